@@ -110,10 +110,10 @@ def _lookup(dim: DimensionSpec, written: DataFrame, bindings: DataFrame | None)
     return Lookup(rows.select(key, dim.surrogate_key), (dim.source_key,))
 
 
-def _all_at_once(task: Callable[[T], R], items: Sequence[T]) -> list[R]:
+def _all_at_once(spark: SparkSession, task: Callable[[T], R], items: Sequence[T]) -> list[R]:
     """Run independent loads side by side, so that small jobs fill the gaps of large ones."""
     with ThreadPoolExecutor(max_workers=len(items)) as pool:
-        return list(pool.map(inheritable_thread_target(task), items))
+        return list(pool.map(inheritable_thread_target(spark)(task), items))
 
 
 def load_star(
@@ -138,7 +138,7 @@ def load_star(
         enforce_constraints(written, dim.table, primary_key=[dim.surrogate_key])
         return _lookup(dim, written, bindings)
 
-    lookups = _all_at_once(write_dimension, spec.dimensions)
+    lookups = _all_at_once(gold.spark, write_dimension, spec.dimensions)
     fact = spec.fact
     start = 0 if last is None else last["last_fact_key"]
     measured = events.withColumns({new: F.col(old) for old, new in fact.measures.items()})
@@ -261,7 +261,7 @@ def run_pipeline(
             ("silver", f"bronze/{name}", f"silver/{name}", cleaned, "success"),
         ]
 
-    steps = [step for pair in _all_at_once(to_silver, list(cleaning)) for step in pair]
+    steps = [step for pair in _all_at_once(spark, to_silver, list(cleaning)) for step in pair]
     log_steps(spark, gold.lineage_path(), steps)
 
     tables = {name: spark.read.parquet(f"{data_dir}/silver/{name}") for name in cleaning}

@@ -164,7 +164,8 @@ def edition_order(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def dense_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines = table(spark, sf_dir, "lineitem")
+    shipped = F.col("l_shipdate").cast("date").cast("string")
+    lines = table(spark, sf_dir, "lineitem").withColumn("l_shipdate", shipped)
     return assign_keys(lines, "line_sk", lines.columns, 1000)
 
 
@@ -295,7 +296,8 @@ QUERIES = {
         """SELECT CAST(1000 + row_number() OVER (
                       ORDER BY l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity,
                                l_extendedprice, l_discount, l_tax, l_returnflag, l_linestatus,
-                               l_shipdate) AS BIGINT) AS line_sk, *
+                               l_shipdate) AS BIGINT) AS line_sk,
+                  * REPLACE (CAST(CAST(l_shipdate AS DATE) AS VARCHAR) AS l_shipdate)
            FROM lineitem""",
     ),
     "largest_key": (
