@@ -2,13 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
 
-from lodeworks.operators.keys import assign_keys
+from lodeworks.operators.keys import assign_batch_keys, assign_keys
 
 
 @dataclass(frozen=True)
@@ -47,13 +46,16 @@ def fact_history(
     lookups: Sequence[Lookup],
     surrogate_key: str,
     columns: Sequence[str],
-    order: Sequence[str | Column],
+    sizes: Mapping[int, int],
+    identity: Sequence[str],
     batch: str = "edition_seq",
     start: int = 0,
 ) -> DataFrame:
     """Facts of all batches at once, numbered batch by batch.
 
     Lookups into versioned dimensions use the batch number beside the natural key, so each fact
-    gets the version that was current when its batch was loaded.
+    gets the version that was current when its batch was loaded. *sizes* are the row counts of the
+    batches, and *identity* the event columns that facts are made of.
     """
-    return load_facts(events, lookups, surrogate_key, columns, [F.col(batch), *order], start)
+    facts = resolve_keys(events, lookups)
+    return assign_batch_keys(facts, surrogate_key, batch, sizes, identity, start, columns)

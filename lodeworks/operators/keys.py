@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from itertools import accumulate
 
 from pyspark.sql import Column, DataFrame
@@ -10,7 +10,10 @@ from pyspark.sql import functions as F
 
 from lodeworks.sources.tables import stage
 
+ROWS_PER_PART = 5_000_000  # target size of a partition of numbered rows
+
 _SLOT_BITS = 33  # monotonically_increasing_id holds the position in its lower 33 bits
+_HASHES = float(1 << 64)
 
 
 def assign_keys(
@@ -23,28 +26,71 @@ def assign_keys(
     """Number the rows ``start + 1, start + 2, …`` in the given order; keep only *columns* if given.
 
     Equal to a global ``row_number``, without its single partition: rows are range-partitioned and
-    sorted, written with their partition and position, and each partition then adds the number of
-    rows before it. Ranges are taken over the whole order, so one dominant leading value is split.
-    Only the row count per partition reaches the driver.
+    sorted, and then numbered by partition and position. Ranges are taken over the whole order, so
+    one dominant leading value is split.
+    """
+    placed = df.repartitionByRange(*order).sortWithinPartitions(*order)
+    return _number(placed, key, start, columns or df.columns)
+
+
+def assign_batch_keys(
+    df: DataFrame,
+    key: str,
+    batch: str,
+    sizes: Mapping[int, int],
+    identity: Sequence[str],
+    start: int = 0,
+    columns: Sequence[str] | None = None,
+) -> DataFrame:
+    """Number the rows batch by batch, and within a batch by a hash of the *identity* columns.
+
+    For tables whose order within a batch has no meaning: the numbering is reproducible, as rows
+    that agree on *identity* are interchangeable, and it needs neither a sample of the data (a
+    second evaluation of *df*) nor the order columns in the shuffle. *sizes* are the row counts of
+    the batches; with evenly spread hashes they tell beforehand which partition a row belongs to,
+    whatever the sizes of the batches. Only the balance depends on them, never the result.
+    """
+    total = max(1, sum(sizes.values()))
+    spread = -(-total // df.sparkSession.sparkContext.defaultParallelism)
+    per_part = min(ROWS_PER_PART, spread)
+    parts = -(-total // per_part)
+    numbers = sorted(sizes)
+    before = dict(zip(numbers, accumulate((sizes[number] for number in numbers), initial=0)))
+    slots = range(max(numbers, default=0) + 1)
+
+    fraction = F.col("_hash") / F.lit(_HASHES) + F.lit(0.5)
+    rank = _listed([before.get(slot, 0) for slot in slots])[F.col(batch)] + fraction * _listed(
+        [sizes.get(slot, 0) for slot in slots]
+    )[F.col(batch)]
+    part = F.least(F.floor(rank / F.lit(per_part)), F.lit(parts - 1)).cast("int")
+    placed = (
+        df.withColumn("_hash", F.xxhash64(*identity))
+        .select(*dict.fromkeys([*(columns or df.columns), batch, "_hash"]), part.alias("_target"))
+        .repartitionById(parts, "_target")
+        .sortWithinPartitions(batch, "_hash")
+    )
+    return _number(placed, key, start, columns or df.columns)
+
+
+def _listed(values: Sequence[int]) -> Column:
+    """The values as one constant array."""
+    return F.split(F.lit(",".join(map(str, values))), ",").cast("array<bigint>")
+
+
+def _number(placed: DataFrame, key: str, start: int, columns: Sequence[str]) -> DataFrame:
+    """Number sorted partitions one after another.
+
+    Rows are written with their partition and position, and each partition then adds the number of
+    rows before it. Only the row count per partition reaches the driver.
     """
     position = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << _SLOT_BITS) - 1))
-    placed = stage(
-        df.repartitionByRange(*order)
-        .sortWithinPartitions(*order)
-        .select(
-            *(columns or df.columns),
-            F.spark_partition_id().alias("_part"),
-            position.alias("_slot"),
-        ),
-        key,
+    written = stage(
+        placed.select(*columns, F.spark_partition_id().alias("_part"), position.alias("_slot")), key
     )
-    sizes = {row["_part"]: row["count"] for row in placed.groupBy("_part").count().collect()}
+    sizes = {row["_part"]: row["count"] for row in written.groupBy("_part").count().collect()}
     counts = [sizes.get(part, 0) for part in range(max(sizes, default=-1) + 1)]
-    before = ",".join(map(str, accumulate(counts, initial=start)))
-    offsets = F.split(F.lit(before), ",").cast("array<bigint>")
-    return placed.select(
-        (offsets[F.col("_part")] + F.col("_slot") + 1).alias(key), *placed.drop("_part", "_slot").columns
-    )
+    offsets = _listed(list(accumulate(counts, initial=start)))
+    return written.select((offsets[F.col("_part")] + F.col("_slot") + 1).alias(key), *columns)
 
 
 def max_key(df: DataFrame | None, key: str) -> int:

@@ -39,14 +39,17 @@ class DimensionSpec:
 
 @dataclass(frozen=True)
 class FactSpec:
-    """One fact per event. *measures* maps source to gold columns; *order* numbers the facts."""
+    """One fact per event. *measures* maps source to gold columns.
+
+    Facts are numbered batch by batch; within a batch by content, or by *order* if it is given.
+    """
 
     table: str
     schema: StructType
     surrogate_key: str
     measures: Mapping[str, str]
-    order: tuple[str, ...]
     partition_by: tuple[str, ...] = ()
+    order: tuple[str, ...] = ()
 
 
 @dataclass(frozen=True)
@@ -107,10 +110,6 @@ RESULTS_STAR = StarSpec(
         schema=FACT_RESULTS,
         surrogate_key="result_sk",
         measures={"medal": "medal", "age": "age", "height": "height", "weight": "weight"},
-        order=(
-            "athlete_id", "event", "medal", "name", "sex", "age", "height", "weight", "team",
-            "noc", "games", "year", "season", "city", "sport",
-        ),
         partition_by=("game_sk",),
     ),
 )

@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
+from dataclasses import dataclass
 from datetime import date
 from typing import TypeVar
 
@@ -18,7 +19,7 @@ from lodeworks.functions.columns import (
     require_columns,
 )
 from lodeworks.operators.dedupe import keep_first
-from lodeworks.operators.facts import Lookup, fact_history
+from lodeworks.operators.facts import Lookup, fact_history, load_facts
 from lodeworks.operators.keys import assign_keys, max_key
 from lodeworks.operators.lineage import Step, log_steps, read_lineage
 from lodeworks.operators.quality import enforce_constraints, run_checks
@@ -116,19 +117,28 @@ def _all_at_once(spark: SparkSession, task: Callable[[T], R], items: Sequence[T]
         return list(pool.map(inheritable_thread_target(spark)(task), items))
 
 
+@dataclass(frozen=True)
+class Batches:
+    """Events that carry ``edition_seq`` and ``load_date``, the date of the first batch, all sizes."""
+
+    events: DataFrame
+    first_date: date
+    sizes: Mapping[int, int]
+
+
 def load_star(
-    gold: Gold, spec: StarSpec, events: DataFrame, regions: DataFrame, rebuild: bool = False
+    gold: Gold, spec: StarSpec, batches: Batches, regions: DataFrame, rebuild: bool = False
 ) -> None:
-    """Load batches of events (which carry ``edition_seq`` and ``load_date``) and publish them.
+    """Load batches of events and publish them.
 
     All batches go through each table together; every table is written once. The regions are one
     full snapshot, dated by the first batch.
     """
-    last = None if rebuild else gold.last_load()
     previous = gold.last_load()
+    last = None if rebuild else previous
     load_id = 1 if previous is None else previous["load_id"] + 1
-    first_date = events.agg(F.min_by(_DATE, _BATCH).alias("day")).first()["day"]
-    regions = regions.withColumns({_BATCH: F.lit(1), _DATE: F.lit(first_date).cast("date")})
+    events = batches.events
+    regions = regions.withColumns({_BATCH: F.lit(1), _DATE: F.lit(batches.first_date)})
 
     def write_dimension(dim: DimensionSpec) -> Lookup:
         existing = None if last is None else gold.read_dimension(dim.table, dim.schema)
@@ -139,20 +149,33 @@ def load_star(
         return _lookup(dim, written, bindings)
 
     lookups = _all_at_once(gold.spark, write_dimension, spec.dimensions)
-    fact = spec.fact
     start = 0 if last is None else last["last_fact_key"]
-    measured = events.withColumns({new: F.col(old) for old, new in fact.measures.items()})
-    columns = [*(dim.surrogate_key for dim in spec.dimensions), *fact.measures.values()]
-    facts = fact_history(
-        measured, lookups, fact.surrogate_key, columns, fact.order, _BATCH, start
-    )
-    # Facts are numbered in one pass from the last key, so they need no uniqueness check.
+    facts = _number_facts(spec, batches, lookups, start)
+    # Keys are dense and continue from the last one, so they need no uniqueness check.
     written = gold.write_snapshot(
-        fact.table, conform(facts, fact.schema), load_id, fact.partition_by
+        spec.fact.table, conform(facts, spec.fact.schema), load_id, spec.fact.partition_by
     )
     gold.publish(load_id, rebuild or previous is None, start + written.count())
 
 
+def _number_facts(
+    spec: StarSpec, batches: Batches, lookups: Sequence[Lookup], start: int
+) -> DataFrame:
+    fact = spec.fact
+    events = batches.events.withColumns(
+        {new: F.col(old) for old, new in fact.measures.items() if new != old}
+    )
+    columns = [*(dim.surrogate_key for dim in spec.dimensions), *fact.measures.values()]
+    if fact.order:
+        return load_facts(
+            events, lookups, fact.surrogate_key, columns, [_BATCH, *fact.order], start
+        )
+    identity = [*(dim.source_key for dim in spec.dimensions), *fact.measures]
+    return fact_history(
+        events, lookups, fact.surrogate_key, columns, batches.sizes, identity, _BATCH, start
+    )
+
+
 def load_batch(
     spark: SparkSession,
     events: DataFrame,
@@ -165,8 +188,8 @@ def load_batch(
     """Load silver events as one batch on top of the gold tables, whatever editions they hold."""
     gold = Gold(spark, str(gold_path))
     batch = events.withColumns({_BATCH: F.lit(1), _DATE: F.lit(load_date)})
-    load_star(gold, spec, batch, regions)
     sizes = {"events": events.count(), "regions": regions.count()}
+    load_star(gold, spec, Batches(batch, load_date, {1: sizes["events"]}), regions)
     names = dict(zip(("events", "regions"), source_names))
     sources = [(dim.source, dim.table) for dim in spec.dimensions] + [("events", spec.fact.table)]
     steps = [("gold", names[kind], table, sizes[kind], "success") for kind, table in sources]
@@ -227,16 +250,21 @@ def load_editions(
         )
         newest = loaded.agg(F.max(edition_order_key(F.col(spec.edition)))).first()[0]
     editions = list_editions(events, spec, loaded)
-    summary = editions.agg(F.count(F.lit(1)).alias("n"), F.min("order_key").alias("oldest")).first()
-    if summary["n"] == 0:
+    listed = editions.collect()  # one row per edition
+    if not listed:
         return 0
-    if newest is not None and summary["oldest"] < newest:
-        raise LateEditionError(f"edition {summary['oldest']} is older than loaded edition {newest}")
-
-    batches = events.join(editions.select(spec.edition, _BATCH, _DATE), spec.edition)
+    oldest = min(row["order_key"] for row in listed)
+    if newest is not None and oldest < newest:
+        raise LateEditionError(f"edition {oldest} is older than loaded edition {newest}")
+
+    batches = Batches(
+        events.join(editions.select(spec.edition, _BATCH, _DATE), spec.edition),
+        min(listed, key=lambda row: row[_BATCH])[_DATE],
+        {row[_BATCH]: row["row_count"] for row in listed},
+    )
     load_star(gold, spec, batches, regions, rebuild=not incremental)
     _log_editions(gold, spec, editions, regions.count(), source_names)
-    return summary["n"]
+    return len(listed)
 
 
 def run_pipeline(

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
@@ -107,10 +108,12 @@ SALES_STAR = StarSpec(
         surrogate_key="sales_sk",
         measures={"return_flag": "flag", "l_quantity": "quantity", "l_extendedprice": "price",
                   "l_discount": "discount"},
-        order=("o_orderdate", *_LINE),
         partition_by=("edition_sk",),
     ),
 )
+ORDERED_STAR = replace(
+    SALES_STAR, fact=replace(SALES_STAR.fact, order=("o_orderdate", *_LINE))
+)
 
 
 def sales(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -180,12 +183,11 @@ def dim_nation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dates_as_text(load_dimension(snapshots, dim)[0].select(dim.schema.names))
 
 
-def _loaded(spark: SparkSession, sf_dir: str) -> Gold:
+def _loaded(spark: SparkSession, sf_dir: str, spec: StarSpec = SALES_STAR) -> Gold:
     gold = Gold(spark, staging_path(spark, "gold"))
     events = stage(sales(spark, sf_dir), "sales")
     load_editions(
-        spark, events, nations(spark, sf_dir), gold.path, spec=SALES_STAR,
-        source_names=("sales", "nations"),
+        spark, events, nations(spark, sf_dir), gold.path, spec=spec, source_names=("sales", "nations")
     )
     return gold
 
@@ -195,7 +197,22 @@ def _facts(gold: Gold) -> DataFrame:
 
 
 def fact_history(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _facts(_loaded(spark, sf_dir))
+    """All facts; their numbers within a year have no meaning, so fact_key_ranges checks those."""
+    return _facts(_loaded(spark, sf_dir)).drop("sales_sk")
+
+
+def fact_key_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The keys of each year are dense and follow those of the year before."""
+    return _facts(_loaded(spark, sf_dir)).groupBy("edition_sk").agg(
+        F.min("sales_sk").alias("first_sk"),
+        F.max("sales_sk").alias("last_sk"),
+        F.countDistinct("sales_sk").alias("n_keys"),
+    )
+
+
+def fact_ordered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All facts, numbered in a declared order within each year."""
+    return _facts(_loaded(spark, sf_dir, ORDERED_STAR))
 
 
 def fact_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -204,14 +221,14 @@ def fact_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = stage(sales(spark, sf_dir), "sales")
     for part in (events.filter(F.col("order_year") < SPLIT_YEAR), events):
         load_editions(spark, part, nations(spark, sf_dir), gold.path, True, SALES_STAR)
-    return _facts(gold)
+    return _facts(gold).drop("sales_sk")
 
 
 def fact_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All sales as one batch."""
     gold = Gold(spark, staging_path(spark, "gold"))
     events = stage(sales(spark, sf_dir), "sales")
-    load_batch(spark, events, nations(spark, sf_dir), gold.path, date(2002, 1, 1), SALES_STAR)
+    load_batch(spark, events, nations(spark, sf_dir), gold.path, date(2002, 1, 1), ORDERED_STAR)
     return _facts(gold)
 
 
@@ -364,8 +381,15 @@ QUERIES = {
                   '9999-12-31' AS valid_to, true AS is_current
            FROM nation JOIN region ON n_regionkey = r_regionkey""",
     ),
-    "fact_history": (fact_history, _FACTS_SQL),
-    "fact_incremental": (fact_incremental, _FACTS_SQL),
+    "fact_history": (fact_history, f"SELECT * EXCLUDE (sales_sk) FROM ({_FACTS_SQL})"),
+    "fact_incremental": (fact_incremental, f"SELECT * EXCLUDE (sales_sk) FROM ({_FACTS_SQL})"),
+    "fact_ordered": (fact_ordered, _FACTS_SQL),
+    "fact_key_ranges": (
+        fact_key_ranges,
+        f"""SELECT edition_sk, min(sales_sk) AS first_sk, max(sales_sk) AS last_sk,
+                   count(DISTINCT sales_sk) AS n_keys
+            FROM ({_FACTS_SQL}) GROUP BY edition_sk""",
+    ),
     "fact_load": (
         fact_load,
         f"""WITH sales AS (SELECT *, CAST(edition_seq AS VARCHAR) AS label FROM ({_SALES_SQL}))
