@@ -30,11 +30,21 @@ _DATE = "load_date"
 
 @dataclass(frozen=True)
 class Scd2Result:
-    """A dimension, and which version was current for each natural key and batch."""
+    """The outcome of type 2 batches.
 
-    dimension: DataFrame
+    *closed* are the versions that were closed before and stay as they are, *touched* all others:
+    new ones, open ones, and those closed now. *bindings* tell which version was current for each
+    natural key and batch.
+    """
+
+    closed: DataFrame | None
+    touched: DataFrame
     bindings: DataFrame | None
 
+    @property
+    def dimension(self) -> DataFrame:
+        return _union([self.closed, self.touched])
+
 
 def _valid_row(natural_key: str, by_key) -> Column:
     """Always true; fails the job on null natural keys and on keys repeated within a batch."""
@@ -71,6 +81,17 @@ def scd0_history(
     batch: str = _BATCH,
 ) -> DataFrame:
     """Keep the first snapshot of each natural key; keys that already exist are never updated."""
+    return _union([existing, scd0_additions(snapshots, natural_key, surrogate_key, existing, batch)])
+
+
+def scd0_additions(
+    snapshots: DataFrame,
+    natural_key: str,
+    surrogate_key: str,
+    existing: DataFrame | None = None,
+    batch: str = _BATCH,
+) -> DataFrame:
+    """The rows that the snapshots add to a type 0 dimension."""
     rows = snapshots.withColumnRenamed(batch, "_seq")
     by_key = Window.partitionBy(natural_key).orderBy("_seq")
     fresh = (
@@ -84,8 +105,7 @@ def scd0_history(
         fresh = fresh.join(existing.select(natural_key), natural_key, "left_anti")
     columns = [name for name in fresh.columns if name != "_seq"]
     start = max_key(existing, surrogate_key)
-    keyed = assign_keys(fresh, surrogate_key, ["_seq", natural_key], start, columns)
-    return _union([existing, keyed])
+    return assign_keys(fresh, surrogate_key, ["_seq", natural_key], start, columns)
 
 
 def scd0_merge(
@@ -241,6 +261,10 @@ def scd2_versions(
 
     flagged = _flag_versions(rows, natural_key, tracked, existing is not None)
     if bind or existing is not None:
+        # Rows that start no version are kept for their binding only.
+        values = [name for name in flagged.columns if name != natural_key and name[0] != "_"]
+        starts = F.col("_starts")
+        flagged = flagged.withColumns({name: F.when(starts, F.col(name)) for name in values})
         flagged = stage(flagged, surrogate_key)
 
     attributes = [name for name in flagged.columns if not name.startswith("_")]
@@ -263,7 +287,7 @@ def scd2_versions(
             .join(versions.select(natural_key, "_version", surrogate_key), [natural_key, "_version"])
             .drop("_version")
         )
-    return Scd2Result(_union([closed, versions.drop("_version")]), bindings)
+    return Scd2Result(closed, versions.drop("_version"), bindings)
 
 
 def scd2_history(

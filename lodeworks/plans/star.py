@@ -23,7 +23,7 @@ from lodeworks.operators.facts import Lookup, fact_history, load_facts
 from lodeworks.operators.keys import assign_keys, max_key
 from lodeworks.operators.lineage import Step, log_steps, read_lineage
 from lodeworks.operators.quality import enforce_constraints, run_checks
-from lodeworks.operators.scd import scd0_history, scd1_history, scd2_versions
+from lodeworks.operators.scd import scd0_additions, scd1_history, scd2_versions
 from lodeworks.plans.cleaning import (
     EVENT_CLEANING,
     REGION_CLEANING,
@@ -80,34 +80,40 @@ def dimension_snapshots(rows: DataFrame, dim: DimensionSpec) -> DataFrame:
     return first.select(*(F.col(name).alias(gold) for name, gold in dim.columns.items()), _BATCH, _DATE)
 
 
+def read_dimension(gold: Gold, dim: DimensionSpec) -> DataFrame:
+    """The published rows of a dimension."""
+    readers = {0: gold.read_all, 1: gold.read_latest, 2: gold.read_versions}
+    return readers[dim.scd_type](dim.table, dim.schema)
+
+
 def load_dimension(
     snapshots: DataFrame, dim: DimensionSpec, existing: DataFrame | None = None
 ) -> tuple[DataFrame, DataFrame | None]:
-    """Apply the change type of a dimension; for type 2 also return its (key, batch) bindings."""
+    """The rows that the snapshots make it necessary to write, by the change type of the dimension.
+
+    These are the new rows for type 0, all rows for type 1, and all but the versions that were
+    closed before for type 2. For type 2 also the (key, batch) bindings.
+    """
+    nk, sk = dim.natural_key, dim.surrogate_key
     if dim.scd_type == 0:
-        return scd0_history(snapshots.drop(_DATE), dim.natural_key, dim.surrogate_key, existing), None
+        return scd0_additions(snapshots.drop(_DATE), nk, sk, existing), None
     if dim.scd_type == 1:
-        table = scd1_history(
-            snapshots.drop(_DATE), dim.natural_key, dim.tracked, dim.surrogate_key, existing
-        )
-        return table, None
-    result = scd2_versions(
-        snapshots,
-        dim.natural_key,
-        dim.tracked,
-        dim.surrogate_key,
-        existing,
-        bind=dim.source == "events",
-    )
-    return result.dimension, result.bindings
+        return scd1_history(snapshots.drop(_DATE), nk, dim.tracked, sk, existing), None
+    bind = dim.source == "events"
+    result = scd2_versions(snapshots, nk, dim.tracked, sk, existing, bind=bind)
+    return result.touched, result.bindings
 
 
-def _lookup(dim: DimensionSpec, written: DataFrame, bindings: DataFrame | None) -> Lookup:
+def _lookup(
+    dim: DimensionSpec, written: DataFrame, existing: DataFrame | None, bindings: DataFrame | None
+) -> Lookup:
     key = F.col(dim.natural_key).alias(dim.source_key)
     if bindings is not None:
         keys = stage(bindings.select(key, _BATCH, dim.surrogate_key), f"{dim.table}-bindings")
         return Lookup(keys, (dim.source_key, _BATCH))
     rows = current(written) if dim.scd_type == 2 else written
+    if dim.scd_type == 0 and existing is not None:
+        rows = rows.unionByName(existing)
     return Lookup(rows.select(key, dim.surrogate_key), (dim.source_key,))
 
 
@@ -141,12 +147,14 @@ def load_star(
     regions = regions.withColumns({_BATCH: F.lit(1), _DATE: F.lit(batches.first_date)})
 
     def write_dimension(dim: DimensionSpec) -> Lookup:
-        existing = None if last is None else gold.read_dimension(dim.table, dim.schema)
+        existing = None if last is None else read_dimension(gold, dim)
         snapshots = dimension_snapshots(events if dim.source == "events" else regions, dim)
         table, bindings = load_dimension(snapshots, dim, existing)
-        written = gold.write_snapshot(dim.table, conform(table, dim.schema), load_id)
+        written = gold.write_snapshot(
+            dim.table, conform(table, dim.schema), load_id, ["is_current"] if dim.scd_type == 2 else []
+        )
         enforce_constraints(written, dim.table, primary_key=[dim.surrogate_key])
-        return _lookup(dim, written, bindings)
+        return _lookup(dim, written, existing, bindings)
 
     lookups = _all_at_once(gold.spark, write_dimension, spec.dimensions)
     start = 0 if last is None else last["last_fact_key"]
@@ -245,9 +253,7 @@ def load_editions(
     loaded = newest = None
     if incremental:
         dim = spec.dimension(spec.edition_dimension)
-        loaded = gold.read_dimension(dim.table, dim.schema).select(
-            F.col(dim.natural_key).alias(spec.edition)
-        )
+        loaded = read_dimension(gold, dim).select(F.col(dim.natural_key).alias(spec.edition))
         newest = loaded.agg(F.max(edition_order_key(F.col(spec.edition)))).first()[0]
     editions = list_editions(events, spec, loaded)
     listed = editions.collect()  # one row per edition

@@ -193,7 +193,7 @@ def _loaded(spark: SparkSession, sf_dir: str, spec: StarSpec = SALES_STAR) -> Go
 
 
 def _facts(gold: Gold) -> DataFrame:
-    return gold.read_facts(SALES_STAR.fact.table, SALES_STAR.fact.schema)
+    return gold.read_all(SALES_STAR.fact.table, SALES_STAR.fact.schema)
 
 
 def fact_history(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -302,7 +302,7 @@ def snapshot_replace(spark: SparkSession, sf_dir: str) -> DataFrame:
         if label != "third":
             gold.publish(load_id, load_id == 1, 0)
     schema = table_schema({"c_custkey": "long", "c_mktsegment": "string", "label": "string"}, ())
-    return gold.read_dimension("dim_segment", schema)
+    return gold.read_latest("dim_segment", schema)
 
 
 _SALES_SQL = f"""

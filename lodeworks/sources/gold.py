@@ -14,8 +14,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from lodeworks.schemas import table_schema
-from lodeworks.sources.tables import append_rows, read_table, read_table_or_empty, write_table
+from lodeworks.sources.tables import append_rows, read_table_or_empty, write_table
 
+_LOAD = table_schema({"load": "long"}, ())
 _LOADS = table_schema({"load_id": "long", "rebuild": "boolean", "last_fact_key": "long"}, ())
 
 
@@ -24,8 +25,10 @@ class Gold:
     spark: SparkSession
     path: str
 
-    def _loads(self) -> DataFrame:
-        return read_table_or_empty(self.spark, f"{self.path}/_loads", _LOADS)
+    def _loads(self) -> list[Row]:
+        """All published loads in order; a load is one small row."""
+        loads = read_table_or_empty(self.spark, f"{self.path}/_loads", _LOADS).collect()
+        return sorted(loads, key=lambda load: load["load_id"])
 
     def _folder(self, table: str, load_id: int) -> str:
         return f"{self.path}/{table}/load={load_id}"
@@ -35,7 +38,7 @@ class Gold:
 
     def last_load(self) -> Row | None:
         """The newest published load, if any."""
-        return self._loads().orderBy(F.desc("load_id")).first()
+        return next(reversed(self._loads()), None)
 
     def write_snapshot(
         self, table: str, df: DataFrame, load_id: int, partition_by: Sequence[str] = ()
@@ -48,20 +51,31 @@ class Gold:
         row = self.spark.createDataFrame([(load_id, rebuild, last_fact_key)], _LOADS)
         append_rows(row.coalesce(1), f"{self.path}/_loads")
 
-    def read_dimension(self, table: str, schema: StructType) -> DataFrame:
-        """The newest published snapshot of a table that each load replaces."""
-        last = self.last_load()
-        if last is None:
-            return self.spark.createDataFrame([], schema)
-        return read_table(self.spark, schema, self._folder(table, last["load_id"]))
-
-    def read_facts(self, table: str, schema: StructType) -> DataFrame:
-        """All published rows of a table that loads add to, from the last rebuild on."""
+    def _published(self) -> list[int]:
+        """The loads that make up the tables, from the last rebuild on."""
         loads = self._loads()
-        first = loads.filter("rebuild").agg(F.max("load_id").alias("first")).first()["first"]
-        rows = loads.filter(F.col("load_id") >= F.lit(first or 0)).orderBy("load_id").collect()
-        if not rows:
-            return self.spark.createDataFrame([], schema)
-        folders = [self._folder(table, row["load_id"]) for row in rows]
-        base = self.spark.read.option("basePath", f"{self.path}/{table}").schema(schema)
-        return base.parquet(*folders).select(schema.names)
+        first = max((load["load_id"] for load in loads if load["rebuild"]), default=0)
+        return [load["load_id"] for load in loads if load["load_id"] >= first]
+
+    def _read(self, table: str, schema: StructType, load_ids: Sequence[int]) -> DataFrame:
+        """Rows of some loads, with the load as a column (a partition column, for pruning)."""
+        if not load_ids:
+            return self.spark.createDataFrame([], schema).withColumn("load", F.lit(0))
+        reader = self.spark.read.option("basePath", f"{self.path}/{table}")
+        folders = [self._folder(table, load_id) for load_id in load_ids]
+        return reader.schema(StructType([*schema, *_LOAD])).parquet(*folders)
+
+    def read_latest(self, table: str, schema: StructType) -> DataFrame:
+        """A table that every load replaces."""
+        return self._read(table, schema, self._published()[-1:]).select(schema.names)
+
+    def read_all(self, table: str, schema: StructType) -> DataFrame:
+        """A table that every load adds to."""
+        return self._read(table, schema, self._published()).select(schema.names)
+
+    def read_versions(self, table: str, schema: StructType) -> DataFrame:
+        """A table of versions: every load adds closed versions and replaces the open ones."""
+        load_ids = self._published()
+        rows = self._read(table, schema, load_ids)
+        newest = F.col("load") == F.lit(load_ids[-1] if load_ids else 0)
+        return rows.filter(~F.col("is_current") | newest).select(schema.names)
