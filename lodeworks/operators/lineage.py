@@ -15,13 +15,18 @@ from lodeworks.sources.tables import append_rows, read_table_or_empty
 Step = tuple[str, str, str, int, str]
 
 
+def utc_now() -> datetime:
+    """The current time in UTC, without a zone."""
+    return datetime.now(timezone.utc).replace(tzinfo=None)
+
+
 def read_lineage(spark: SparkSession, path: str) -> DataFrame:
     return read_table_or_empty(spark, path, PIPELINE_LINEAGE)
 
 
 def lineage_rows(spark: SparkSession, steps: Sequence[Step], last_id: int = 0) -> DataFrame:
     """Lineage records for steps in the order they ran, stamped with the current UTC time."""
-    now = datetime.now(timezone.utc).replace(tzinfo=None)
+    now = utc_now()
     rows = [(last_id + number, *step, now) for number, step in enumerate(steps, start=1)]
     return spark.createDataFrame(rows, PIPELINE_LINEAGE)
 

@@ -21,7 +21,7 @@ from lodeworks.functions.columns import (
 from lodeworks.operators.dedupe import keep_first
 from lodeworks.operators.facts import Lookup, fact_history, load_facts
 from lodeworks.operators.keys import assign_keys, max_key
-from lodeworks.operators.lineage import Step, log_steps, read_lineage
+from lodeworks.operators.lineage import Step, log_steps, read_lineage, utc_now
 from lodeworks.operators.quality import enforce_constraints, run_checks
 from lodeworks.operators.scd import scd0_additions, scd1_history, scd2_versions
 from lodeworks.plans.cleaning import (
@@ -229,7 +229,7 @@ def _log_editions(
         "_step.target",
         F.col("_step.size").alias("row_count"),
         F.lit("success").alias("status"),
-        F.to_timestamp_ntz(F.date_format(F.current_timestamp(), "yyyy-MM-dd HH:mm:ss")).alias("run_timestamp"),
+        F.lit(utc_now().isoformat(sep=" ")).cast("timestamp_ntz").alias("run_timestamp"),
     )
     append_rows(conform(rows, PIPELINE_LINEAGE).coalesce(1), gold.lineage_path())
 

@@ -1,6 +1,6 @@
 """The gold layer: batches, facts, rebuilds and increments, from small raw files."""
 
-from datetime import date
+from datetime import date, datetime, timedelta, timezone
 
 import pytest
 from pyspark.sql import functions as F
@@ -59,6 +59,15 @@ def full(spark, tmp_path_factory):
     return run_pipeline(spark, str(root))
 
 
+@pytest.fixture(scope="module")
+def silver(spark, full):
+    """The cleaned events up to an edition, and the regions."""
+    root = full.path.removesuffix("/gold")
+    events = spark.read.parquet(f"{root}/silver/athlete_events")
+    regions = spark.read.parquet(f"{root}/silver/noc_regions")
+    return lambda last: events.filter(F.col("games") <= last), regions
+
+
 def test_versions_follow_the_editions(full):
     athlete = star_tables(full)["athlete"]
     assert rows(athlete.filter("athlete_nk = 1"), "athlete_sk", "team", "valid_from", "valid_to", "is_current") == [
@@ -111,55 +120,54 @@ def test_lineage_has_all_layers_and_unique_ids(spark, full):
         ("bronze", "bronze/athlete_events", 8), ("bronze", "bronze/noc_regions", 3),
         ("silver", "silver/athlete_events", 7), ("silver", "silver/noc_regions", 2),
     ]
+    clock = datetime.now(timezone.utc).replace(tzinfo=None)
+    assert all(abs(clock - row["run_timestamp"]) < timedelta(hours=1) for row in lineage.collect())
     third = lineage.filter("source = 'silver/athlete_events/2004 Summer'")
     assert rows(third, "target", "row_count") == [
         ("dim_athlete", 3), ("dim_event", 3), ("dim_game", 3), ("fact_results", 3),
     ]
 
 
-def test_increment_equals_rebuild(spark, full, tmp_path):
-    write_raw(tmp_path, EVENTS_2000)
-    run_pipeline(spark, str(tmp_path), incremental=True)
-    write_raw(tmp_path, EVENTS_2000 + EVENTS_2004)
-    run_pipeline(spark, str(tmp_path), incremental=True)
-    write_raw(tmp_path, EVENTS_2000 + EVENTS_2004 + EVENTS_2004_WINTER)
-    gold = run_pipeline(spark, str(tmp_path), incremental=True)
+def test_increment_equals_rebuild(spark, full, silver, tmp_path):
+    events, regions = silver
+    gold = Gold(spark, str(tmp_path))
+    for last in ("2000 Summer", "2004 Summer", "2004 Winter"):
+        assert load_editions(spark, events(last), regions, gold.path, incremental=True) == 1
     once = star_tables(full)
     for name, table in star_tables(gold).items():
         assert rows(table) == rows(once[name]), name
     # A load writes closed versions only when it closes them, and games only when it adds them.
-    second = spark.read.parquet(f"{gold.path}/dim_athlete/load=3")
-    assert rows(second.filter(F.col("is_current").cast("boolean")), "athlete_sk") == [(2,), (3,), (5,), (6,)]
-    assert rows(second.filter(~F.col("is_current").cast("boolean")), "athlete_sk") == [(4,)]
+    third = spark.read.parquet(f"{gold.path}/dim_athlete/load=3")
+    assert rows(third.filter(F.col("is_current").cast("boolean")), "athlete_sk") == [(2,), (3,), (5,), (6,)]
+    assert rows(third.filter(~F.col("is_current").cast("boolean")), "athlete_sk") == [(4,)]
     assert spark.read.parquet(f"{gold.path}/dim_game/load=3").count() == 1
     # Nothing new: nothing happens.
-    run_pipeline(spark, str(tmp_path), incremental=True)
+    assert load_editions(spark, events("2004 Winter"), regions, gold.path, incremental=True) == 0
     assert gold.last_load()["load_id"] == 3
 
 
-def test_rebuild_replaces_everything(spark, tmp_path):
-    write_raw(tmp_path, EVENTS_2004)
-    run_pipeline(spark, str(tmp_path))
-    write_raw(tmp_path, EVENTS_2000)
-    gold = run_pipeline(spark, str(tmp_path))
+def test_rebuild_replaces_and_late_editions_are_refused(spark, silver, tmp_path):
+    events, regions = silver
+    gold = Gold(spark, str(tmp_path))
+    newest = events("2004 Summer").filter("games = '2004 Summer'")
+    load_editions(spark, newest, regions, gold.path)
+    with pytest.raises(LateEditionError):
+        load_editions(spark, events("2004 Summer"), regions, gold.path, incremental=True)
+    load_editions(spark, events("2000 Summer"), regions, gold.path)
     tables = star_tables(gold)
     assert rows(tables["game"], "game_sk", "games") == [(1, "2000 Summer")]
     assert tables["fact"].count() == 3
+    # What an unfinished load has written is not visible.
+    gold.write_snapshot("dim_game", tables["game"].withColumn("game_sk", F.lit(9)), 3)
+    assert rows(star_tables(gold)["game"], "game_sk", "games") == [(1, "2000 Summer")]
 
 
-def test_late_edition_is_refused(spark, tmp_path):
-    write_raw(tmp_path, EVENTS_2004)
-    run_pipeline(spark, str(tmp_path))
-    write_raw(tmp_path, EVENTS_2000 + EVENTS_2004)
-    with pytest.raises(LateEditionError):
-        run_pipeline(spark, str(tmp_path), incremental=True)
-
-
-def test_region_change_is_dated_by_the_new_edition(spark, tmp_path):
-    write_raw(tmp_path, EVENTS_2000)
-    run_pipeline(spark, str(tmp_path))
-    write_raw(tmp_path, EVENTS_2000 + EVENTS_2004, REGIONS.replace("Aland", "Eland"))
-    gold = run_pipeline(spark, str(tmp_path), incremental=True)
+def test_region_change_is_dated_by_the_new_edition(spark, silver, tmp_path):
+    events, regions = silver
+    gold = Gold(spark, str(tmp_path))
+    load_editions(spark, events("2000 Summer"), regions, gold.path, incremental=True)
+    renamed = regions.replace("Aland", "Eland", "region")
+    load_editions(spark, events("2004 Summer"), renamed, gold.path, incremental=True)
     noc = star_tables(gold)["noc"]
     assert rows(noc.filter("noc_code = 'AAA'"), "noc_sk", "region", "valid_from", "valid_to", "is_current") == [
         (1, "Aland", date(2000, 1, 1), date(2004, 1, 1), False),
@@ -169,21 +177,11 @@ def test_region_change_is_dated_by_the_new_edition(spark, tmp_path):
     assert rows(facts.filter("noc_sk in (1, 3)").groupBy("noc_sk").count()) == [(1, 1), (3, 2)]
 
 
-def test_unpublished_load_is_invisible(spark, tmp_path):
-    write_raw(tmp_path, EVENTS_2000)
-    gold = run_pipeline(spark, str(tmp_path))
-    before = rows(star_tables(gold)["game"])
-    gold.write_snapshot("dim_game", star_tables(gold)["game"].limit(0), 2)
-    assert rows(star_tables(gold)["game"]) == before
-
-
-def test_load_batch_takes_a_mixed_slice_as_one_batch(spark, full, tmp_path):
-    root = full.path.removesuffix("/gold")
-    events = spark.read.parquet(f"{root}/silver/athlete_events").filter("games != '2004 Winter'")
-    regions = spark.read.parquet(f"{root}/silver/noc_regions")
-    gold = Gold(spark, str(tmp_path / "gold"))
+def test_load_batch_takes_a_mixed_slice_as_one_batch(spark, silver, tmp_path):
+    events, regions = silver
+    gold = Gold(spark, str(tmp_path))
     for _ in range(2):
-        load_batch(spark, events, regions, gold.path, date(2010, 5, 1))
+        load_batch(spark, events("2004 Summer"), regions, gold.path, date(2010, 5, 1))
     tables = star_tables(gold)
     assert tables["game"].count() == 2
     assert tables["athlete"].count() == 4  # one version each: a batch keeps one row per athlete
@@ -193,14 +191,12 @@ def test_load_batch_takes_a_mixed_slice_as_one_batch(spark, full, tmp_path):
     assert read_lineage(spark, gold.lineage_path()).count() == 10
 
 
-def test_null_dimension_key_fails_the_load(spark, full, tmp_path):
-    root = full.path.removesuffix("/gold")
-    events = spark.read.parquet(f"{root}/silver/athlete_events")
-    regions = spark.read.parquet(f"{root}/silver/noc_regions")
-    broken = events.withColumn("athlete_id", F.lit(None).cast("bigint"))
+def test_null_dimension_key_fails_the_load(spark, silver, tmp_path):
+    events, regions = silver
+    broken = events("2000 Summer").withColumn("athlete_id", F.lit(None).cast("bigint"))
     with pytest.raises(Exception, match="null natural key"):
-        load_editions(spark, broken, regions, str(tmp_path / "gold"))
-    assert Gold(spark, str(tmp_path / "gold")).last_load() is None
+        load_editions(spark, broken, regions, str(tmp_path))
+    assert Gold(spark, str(tmp_path)).last_load() is None
 
 
 def test_leaderboard_and_sql_views(spark, full):
