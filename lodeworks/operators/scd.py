@@ -230,6 +230,7 @@ def scd2_versions(
     batch: str = _BATCH,
     load_date: str = _DATE,
     bind: bool = True,
+    always_open: bool = False,
 ) -> Scd2Result:
     """Versions over all batches, on top of an existing dimension if there is one.
 
@@ -238,6 +239,8 @@ def scd2_versions(
     batches: in each, changed keys first, then new ones, by natural key.
 
     With *bind*, also returns the surrogate key that was current for each (natural key, batch).
+    A key that has only closed versions stays closed. With *always_open* there are no such keys (no
+    merge makes them), and the keys of closed versions need not be brought together with the rest.
     """
     missing = [name for name in tracked if name not in snapshots.columns]
     if missing:
@@ -257,7 +260,7 @@ def scd2_versions(
         )
         # A marker row per closed version brings its key along, and nothing else of it.
         markers = closed.select(natural_key).withColumn("_seq", F.lit(-1))
-        rows = _union([rows, opened, markers])
+        rows = _union([rows, opened, None if always_open else markers])
 
     flagged = _flag_versions(rows, natural_key, tracked, existing is not None)
     if bind or existing is not None:

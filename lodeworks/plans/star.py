@@ -100,7 +100,9 @@ def load_dimension(
     if dim.scd_type == 1:
         return scd1_history(snapshots.drop(_DATE), nk, dim.tracked, sk, existing), None
     bind = dim.source == "events"
-    result = scd2_versions(snapshots, nk, dim.tracked, sk, existing, bind=bind)
+    result = scd2_versions(
+        snapshots, nk, dim.tracked, sk, existing, bind=bind, always_open=True
+    )
     return result.touched, result.bindings
 
 

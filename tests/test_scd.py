@@ -204,8 +204,11 @@ def test_history_equals_repeated_merges(history):
 def test_history_on_top_of_history(history):
     plain, snapshots = history
     early = scd2_history(snapshots.filter("edition_seq <= 2"), "nk", TRACKED, "sk")
-    late = scd2_versions(snapshots.filter("edition_seq > 2"), "nk", TRACKED, "sk", early)
     table, bound = folded(plain)
+    rest = snapshots.filter("edition_seq > 2")
+    unmarked = scd2_versions(rest, "nk", TRACKED, "sk", early, always_open=True, bind=False)
+    assert versions(unmarked.dimension) == table
+    late = scd2_versions(rest, "nk", TRACKED, "sk", early)
     assert versions(late.dimension) == table
     assert rows(late.bindings, "nk", "edition_seq", "sk") == [b for b in bound if b[1] > 2]
 
