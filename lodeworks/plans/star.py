@@ -11,6 +11,7 @@ from typing import TypeVar
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from lodeworks.functions.columns import (
     current,
@@ -280,8 +281,13 @@ def run_pipeline(
     data_dir: str,
     incremental: bool = False,
     fail_on_checks: bool = False,
+    raw_schemas: Mapping[str, StructType] | None = None,
 ) -> Gold:
-    """Raw CSV to bronze, silver and gold below *data_dir*, with checks and lineage."""
+    """Raw CSV to bronze, silver and gold below *data_dir*, with checks and lineage.
+
+    The raw inputs ``athlete_events.csv`` and ``noc_regions.csv`` are files or folders of files;
+    *raw_schemas*, by name without suffix, save the pass that infers their types.
+    """
     data_dir = str(data_dir).rstrip("/")
     gold = Gold(spark, f"{data_dir}/gold")
     cleaning = {"athlete_events": EVENT_CLEANING, "noc_regions": REGION_CLEANING}
@@ -289,7 +295,8 @@ def run_pipeline(
 
     def to_silver(name: str) -> list[Step]:
         bronze, silver = f"{data_dir}/bronze/{name}", f"{data_dir}/silver/{name}"
-        ingested = ingest_csv(spark, f"{data_dir}/raw/{name}.csv", bronze)
+        schema = (raw_schemas or {}).get(name)
+        ingested = ingest_csv(spark, f"{data_dir}/raw/{name}.csv", bronze, schema)
         cleaned = clean_to_silver(spark, bronze, silver, cleaning[name])
         run_checks(spark.read.parquet(silver), f"silver.{name}", rules[name], fail_on_checks)
         return [

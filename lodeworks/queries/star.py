@@ -11,13 +11,14 @@ from pyspark.sql import functions as F
 from lodeworks.operators.facts import Lookup, resolve_keys
 from lodeworks.operators.lineage import read_lineage
 from lodeworks.plans.reports import register_star, top_entities
-from lodeworks.plans.specs import DimensionSpec, FactSpec, StarSpec
+from lodeworks.plans.specs import RESULTS_STAR, DimensionSpec, FactSpec, StarSpec
 from lodeworks.plans.star import (
     dimension_snapshots,
     list_editions,
     load_batch,
     load_dimension,
     load_editions,
+    run_pipeline,
 )
 from lodeworks.queries.tables import (
     JAN_FIRST_SQL,
@@ -305,6 +306,47 @@ def snapshot_replace(spark: SparkSession, sf_dir: str) -> DataFrame:
     return gold.read_latest("dim_segment", schema)
 
 
+def raw_to_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole run over orders written as raw event files: every order twice, once with padding."""
+    root = staging_path(spark, "run")
+    orders = table(spark, sf_dir, "orders").join(
+        table(spark, sf_dir, "customer").withColumnRenamed("c_custkey", "o_custkey"), "o_custkey"
+    )
+    year, status = F.year("o_orderdate"), F.col("o_orderstatus")
+    season = F.when(F.month("o_orderdate") <= 6, "Summer").otherwise("Winter")
+    events = orders.select(
+        F.col("o_custkey").alias("ID"),
+        F.col("c_name").alias("Name"),
+        F.when(status == "F", "F").otherwise("M").alias("Sex"),
+        F.when(status == "P", "NA").otherwise(F.dayofyear("o_orderdate").cast("string")).alias("Age"),
+        F.month("o_orderdate").alias("Height"),
+        F.when(status == "O", "70.5").otherwise("NA").alias("Weight"),
+        F.col("o_orderpriority").alias("Team"),
+        F.concat(F.lit("N"), "c_nationkey").alias("NOC"),
+        F.concat(year, F.lit(" "), season).alias("Games"),
+        year.alias("Year"),
+        season.alias("Season"),
+        F.lit("Here").alias("City"),
+        F.concat(F.lit("Sport "), status).alias("Sport"),
+        F.col("c_mktsegment").alias("Event"),
+        F.when(status == "F", "Gold").when(status == "O", "Silver").otherwise("NA").alias("Medal"),
+    )
+    padded = events.withColumn("Team", F.concat(F.lit(" "), "Team", F.lit("  ")))
+    regions = nations(spark, sf_dir).filter(F.col("n_name") != "NATION_0").select(
+        F.concat(F.lit("N"), "nationkey").alias("NOC"),
+        F.col("r_name").alias("region"),
+        F.lit(None).cast("string").alias("notes"),
+    )
+    # Spaces at the ends of a field belong to the data.
+    options = {"header": True, "quoteAll": True, "ignoreLeadingWhiteSpace": False,
+               "ignoreTrailingWhiteSpace": False}
+    events.unionByName(padded).write.options(**options).csv(f"{root}/raw/athlete_events.csv")
+    regions.write.options(**options).csv(f"{root}/raw/noc_regions.csv")
+    gold = run_pipeline(spark, root)
+    facts = gold.read_all(RESULTS_STAR.fact.table, RESULTS_STAR.fact.schema)
+    return facts.withColumn("noc_sk", F.coalesce("noc_sk", F.lit(-1))).drop("result_sk")
+
+
 _SALES_SQL = f"""
     SELECT o_custkey, o_orderpriority, o_orderstatus, o_orderdate, o_orderkey,
            CAST(year(o_orderdate) AS BIGINT) AS edition_seq, c_nationkey,
@@ -360,7 +402,51 @@ _FACTS_SQL = f"""
     FROM sales s JOIN versions v ON {_BOUND_SQL}
     JOIN parts p ON l_partkey = p.part_nk JOIN editions e ON s.edition_seq = e.edition_seq"""
 
+_EVENTS_SQL = """
+    events AS (
+        SELECT DISTINCT o_custkey AS athlete_nk, c_name AS name,
+               CASE WHEN o_orderstatus = 'F' THEN 'F' ELSE 'M' END AS sex, o_orderpriority AS team,
+               CASE WHEN o_orderstatus <> 'P' THEN CAST(dayofyear(o_orderdate) AS DOUBLE) END AS age,
+               CAST(month(o_orderdate) AS DOUBLE) AS height, CASE WHEN o_orderstatus = 'O' THEN 70.5::DOUBLE END AS weight,
+               'N' || CAST(c_nationkey AS VARCHAR) AS noc, year(o_orderdate) AS year,
+               CAST(year(o_orderdate) AS VARCHAR)
+                   || CASE WHEN month(o_orderdate) <= 6 THEN ' Summer' ELSE ' Winter' END AS games,
+               CASE WHEN month(o_orderdate) <= 6 THEN 'Summer' ELSE 'Winter' END AS season,
+               'Sport ' || o_orderstatus AS sport, c_mktsegment AS event,
+               CASE o_orderstatus WHEN 'F' THEN 'Gold' WHEN 'O' THEN 'Silver' END AS medal
+        FROM orders JOIN customer ON o_custkey = c_custkey),
+    games AS (
+        SELECT games, CAST(row_number() OVER (ORDER BY year, games) AS BIGINT) AS edition_seq
+        FROM (SELECT DISTINCT games, year FROM events)),
+    numbered AS (SELECT * FROM events JOIN games USING (games)),
+    event_starts AS (
+        SELECT event, CAST(row_number() OVER (ORDER BY min(edition_seq), event) AS BIGINT) AS event_sk
+        FROM numbered GROUP BY event),
+    nocs AS (
+        SELECT noc, CAST(row_number() OVER (ORDER BY noc) AS BIGINT) AS noc_sk
+        FROM (SELECT 'N' || CAST(n_nationkey AS VARCHAR) AS noc FROM nation WHERE n_name <> 'NATION_0'))"""
+
+_ATHLETES_SQL = versions_sql(
+    """SELECT athlete_nk, name, sex, team, edition_seq FROM (
+           SELECT *, row_number() OVER (PARTITION BY athlete_nk, edition_seq
+                                        ORDER BY name, sex, team) AS rn FROM numbered)
+       WHERE rn = 1""",
+    "athlete_nk",
+    ["name", "sex", "team"],
+    "athlete_sk",
+    "DATE '2000-01-01'",
+)
+
 QUERIES = {
+    "raw_to_gold": (
+        raw_to_gold,
+        f"""WITH {_EVENTS_SQL}, {_ATHLETES_SQL}
+            SELECT v.athlete_sk, event_sk, coalesce(noc_sk, -1) AS noc_sk, s.edition_seq AS game_sk, medal, age, height, weight
+            FROM numbered s JOIN versions v
+              ON s.athlete_nk = v.athlete_nk AND v.edition_seq <= s.edition_seq
+             AND (v.next_seq IS NULL OR s.edition_seq < v.next_seq)
+            JOIN event_starts USING (event) LEFT JOIN nocs USING (noc)""",
+    ),
     "dim_edition": (
         dim_edition,
         f"""WITH sales AS ({_SALES_SQL}), {_EDITIONS_SQL}
