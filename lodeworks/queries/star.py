@@ -146,16 +146,19 @@ def nations(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _numbered(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Sales with the batch number and load date of their edition."""
-    events = stage(sales(spark, sf_dir), "sales")
+def _numbered(
+    spark: SparkSession, sf_dir: str, dim: DimensionSpec, also: tuple[str, ...] = ()
+) -> DataFrame:
+    """The columns a dimension needs, with the batch number and load date of their edition."""
+    needed = dict.fromkeys([SALES_STAR.edition, SALES_STAR.year, *dim.columns, *dim.order, *also])
+    events = stage(sales(spark, sf_dir).select(*needed), "sales")
     editions = list_editions(events, SALES_STAR)
     return events.join(editions.select("edition", "edition_seq", "load_date"), "edition")
 
 
 def _dimension(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     dim = SALES_STAR.dimension(name)
-    snapshots = dimension_snapshots(_numbered(spark, sf_dir), dim)
+    snapshots = dimension_snapshots(_numbered(spark, sf_dir, dim), dim)
     return dates_as_text(load_dimension(snapshots, dim)[0].select(dim.schema.names))
 
 
@@ -247,7 +250,7 @@ def fact_unmatched(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _flagged_sales(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """Facts with the customer version of their year, and the customer dimension."""
     dim = SALES_STAR.dimension("dim_customer")
-    events = _numbered(spark, sf_dir)
+    events = _numbered(spark, sf_dir, dim, ("return_flag",))
     dimension, bindings = load_dimension(dimension_snapshots(events, dim), dim)
     keys = stage(
         bindings.withColumnRenamed("customer_nk", "o_custkey"), "bindings"
