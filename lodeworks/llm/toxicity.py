@@ -1,11 +1,10 @@
 """Toxicity of whole texts: fuzzy matches with a learned lexicon, weighed by their context.
 
 Method. The lexicon holds words that mark toxic training documents and hardly occur in others: a word
-needs so many toxic documents that chance, over all words counted, explains it with probability below
-1e-3. Near copies count once, told by the least hash of their words. A non-deterministic Levenshtein
+needs so many toxic documents that chance explains at most one of all words counted. Near copies count once, told by the least hash of their word shingles. A non-deterministic Levenshtein
 automaton over the trie of the lexicon is made deterministic state by state as words are read; it
-accepts words within one edit of terms of 5 to 8 letters and two of longer ones. Variants that occur in
-clean training documents are left out. Each match weighs less the more edits it has, and its
+accepts words within one edit of terms of 5 to 8 letters and two of longer ones. Variants that clean
+training documents hold are left out, and a term with more than BENIGN of them is matched exactly. Each match weighs less the more edits it has, and its
 context decides: between quotation marks, or after words that report or name speech, it counts as a
 quotation; next to another match or a word of address it counts as abuse. Sum and maximum of a document's
 matches give the score by logistic regression.
@@ -22,20 +21,21 @@ from __future__ import annotations
 
 import math
 import re
-from collections.abc import Iterable, Mapping
+from collections.abc import Collection, Iterable, Mapping
 from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lodeworks.llm.common import Memo, held_out, stage
+from lodeworks.llm.near_duplicates import shingles
 
 WORD = re.compile(r"[^\W_]+")
 WINDOW = 4
 STATES = 50_000
+BENIGN = 3
 # Words that report, name or deny speech, and words that address somebody, in four languages.
 REPORTING = frozenset(
     "said says saying called calls calling wrote writes quoted quote word words term terms slur insult "
@@ -52,13 +52,14 @@ def edits_allowed(term: str) -> int:
 class Automaton:
     """Levenshtein automaton of all terms at once, along their trie; deterministic states are made on demand."""
 
-    def __init__(self, terms: Iterable[str]):
+    def __init__(self, terms: Iterable[str], exact: Collection[str] = ()):
+        self.exact = frozenset(exact)
         self.children: list[dict[str, int]] = [{}]
         self.term: list[str | None] = [None]
         self.most = [0]  # edits that some term below allows
         for term in terms:
             node = 0
-            self.most[0] = max(self.most[0], edits_allowed(term))
+            self.most[0] = max(self.most[0], self._allowed(term))
             for letter in term:
                 if letter not in self.children[node]:
                     self.children[node][letter] = len(self.children)
@@ -66,10 +67,13 @@ class Automaton:
                     self.term.append(None)
                     self.most.append(0)
                 node = self.children[node][letter]
-                self.most[node] = max(self.most[node], edits_allowed(term))
+                self.most[node] = max(self.most[node], self._allowed(term))
             self.term[node] = term
         self._clear()
 
+    def _allowed(self, term: str) -> int:
+        return 0 if term in self.exact else edits_allowed(term)
+
     def _clear(self) -> None:
         self.states: dict[frozenset, int] = {}
         self.sets: list[frozenset] = []
@@ -114,7 +118,7 @@ class Automaton:
         found = [
             (edits, self.term[node])
             for node, edits in self.sets[state]
-            if self.term[node] is not None and edits <= edits_allowed(self.term[node])
+            if self.term[node] is not None and edits <= self._allowed(self.term[node])
         ]
         return min(found)[::-1] if found else None
 
@@ -123,17 +127,18 @@ class Automaton:
 class Model:
     weights: Mapping[str, float] = field(default_factory=dict)
     benign: frozenset = frozenset()
+    exact: frozenset = frozenset()
     coefficients: tuple = (0.0, 0.0, 0.0)
 
     def __post_init__(self):
         self._words = None
 
     def __getstate__(self):
-        return {"weights": self.weights, "benign": self.benign, "coefficients": self.coefficients, "_words": None}
+        return self.__dict__ | {"_words": None}
 
     def words(self) -> Memo:
         if self._words is None:
-            match = Automaton(self.weights).match
+            match = Automaton(self.weights, self.exact).match
             self._words = Memo(lambda word: None if word in self.benign else match(word))
         return self._words
 
@@ -201,12 +206,11 @@ def _lexicon(training: DataFrame, size: int) -> dict[str, float]:
     def distinct_words(texts: pd.Series) -> pd.DataFrame:
         out = []
         for text in texts:
-            words = list(set(WORD.findall((text or "").lower())))
-            out.append((words, min(map(xxhash.xxh3_64_intdigest, words), default=0) - 2**63))
+            least = shingles(text, 3)[:1].view(np.int64).tolist()
+            out.append((list(set(WORD.findall((text or "").lower()))), *(least or [0])))
         return pd.DataFrame(out, columns=["words", "copy"])
 
     rows = training.select("toxic", distinct_words("text").alias("d")).select("toxic", "d.copy", F.explode("d.words").alias("word"))
-    # A word of a toxic document can only be a term if it is rarely in clean ones: count those words alone.
     per_copy = rows.groupBy("word", "copy").agg(F.max("toxic").alias("toxic"))
     counts = per_copy.groupBy("word").agg(F.sum("toxic").alias("bad"), F.sum(1 - F.col("toxic")).alias("clean"))
     kinds = rows.groupBy("toxic").agg(F.count_distinct("copy").alias("copies")).collect()
@@ -216,7 +220,7 @@ def _lexicon(training: DataFrame, size: int) -> dict[str, float]:
     chance = kinds[1] / (kinds[0] + kinds[1])
     counts = stage(counts, "words")
     vocabulary = counts.count()
-    needed = max(3, math.ceil((math.log(vocabulary + 1) + math.log(1e3)) / -math.log(chance)))
+    needed = max(3, math.ceil(math.log(vocabulary + 1) / -math.log(chance)))
     ratio = kinds[0] / kinds[1]
     terms = (
         counts.where((F.col("bad") >= needed) & (F.col("bad") * ratio >= 20 * F.col("clean")) & (F.length("word") >= 3))
@@ -224,7 +228,7 @@ def _lexicon(training: DataFrame, size: int) -> dict[str, float]:
         .limit(size)
         .collect()
     )
-    return {r["word"]: 1 - (r["clean"] / max(1.0, r["bad"] * ratio)) for r in terms}
+    return {r["word"]: max(0.1, 1 - 20 * r["clean"] / (r["bad"] * ratio)) for r in terms}
 
 
 def train(docs: DataFrame, labels: DataFrame, sample: int = 20_000, lexicon_size: int = 400) -> Model:
@@ -242,13 +246,15 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = 20_000, lexicon_size
     model = Model(_lexicon(training, lexicon_size))
     variants = (
         _features(training, model)
-        .select("toxic", F.explode("near").alias("word"))
-        .groupBy("word")
+        .select("toxic", F.explode("near").alias("n"))
+        .groupBy("n.word", "n.term")
         .agg(F.sum("toxic").alias("bad"), F.sum(1 - F.col("toxic")).alias("clean"))
         .where("clean > bad")
-        .collect()
     )
-    model = Model(model.weights, frozenset(r["word"] for r in variants))
+    # One row per term, with so many variants at most.
+    by_term = variants.groupBy("term").agg(F.count("*").alias("n"), F.slice(F.sort_array(F.collect_set("word")), 1, BENIGN).alias("words")).collect()
+    exact = frozenset(r["term"] for r in by_term if r["n"] > BENIGN)
+    model = Model(model.weights, frozenset(w for r in by_term if r["term"] not in exact for w in r["words"]), exact)
     pairs = _features(training, model).select("toxic", "total", "most").toPandas()
     if len(pairs):
         y = pairs["toxic"].to_numpy(float)
@@ -263,12 +269,12 @@ def _features(training: DataFrame, model: Model) -> DataFrame:
     """Per training row: toxic, sum and maximum of its matches, and the misspelled words among them."""
     held = training.sparkSession.sparkContext.broadcast(model)
 
-    @F.pandas_udf("total double, most double, near array<string>")
+    @F.pandas_udf("total double, most double, near array<struct<word:string,term:string>>")
     def seen(texts: pd.Series) -> pd.DataFrame:
         out = []
         for text in texts:
             total, most, hits = held.value.features(text)
-            out.append((total, most, sorted({h[0] for h in hits if h[2]})))
+            out.append((total, most, [{"word": w, "term": t} for w, t in {h[:2] for h in hits if h[2]}]))
         return pd.DataFrame(out, columns=["total", "most", "near"])
 
     return training.select("toxic", seen("text").alias("s")).select("toxic", "s.*")
