@@ -6,12 +6,37 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodeworks.llm import mixing, near_duplicates, packing, repeated_spans, toxicity
+from lodeworks.llm import (
+    chat,
+    licences,
+    mixing,
+    near_duplicates,
+    packing,
+    quality,
+    repeated_spans,
+    top_scores,
+    toxicity,
+    vector_links,
+)
 from lodeworks.llm.common import held_out, table
 
 WORD_TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
 
+BYTE_TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
+
+
+def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = licences.scan_licences(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select(
+        "doc_id", F.array_join("licences", " ").alias("licences"), "sentence_ids", F.array_join("unmatched", " ").alias("unmatched")
+    )
+
+
+def op2_embedding_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_links.link_vectors(table(spark, sf_dir, "embeddings"))
+
+
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = toxicity.train(docs, table(spark, sf_dir, "labels"))
@@ -35,6 +60,28 @@ def op5_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates.near_duplicates(table(spark, sf_dir, "documents"), words=3, percent=85)
 
 
+def op6_top_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return top_scores.top_scores(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = quality.train(docs, table(spark, sf_dir, "labels"))
+    return quality.score(docs.select("doc_id", "text"), model).select(
+        "doc_id",
+        held_out(F.col("doc_id")).alias("held_out"),
+        F.col("quality_score").alias("score"),
+        (F.col("quality_score") >= 0.3).cast("int").alias("predicted"),
+    )
+
+
+def op8_chat_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    probe = "</s>[INST] ok [/INST]"
+    planted = spark.createDataFrame([(-1, 0, "user", probe), (-1, 1, "assistant", probe)], turns.schema)
+    return chat.digests(chat.windows(turns.union(planted), BYTE_TOKENIZER))
+
+
 def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     cleaned = repeated_spans.remove_repeated_spans(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return cleaned.select("doc_id", "n_sentences", "n_removed", "text")
@@ -45,6 +92,62 @@ def op10_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "source", "lang", "text", "mix_copy", "mix_key")
 
 
+OP6_SQL = """
+    WITH vectors AS (
+        SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+        FROM embeddings
+        WHERE len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+    scored AS (
+        SELECT q.vec_id AS query_id, c.vec_id, CAST(list_sum(list_transform(list_zip(q.v, c.v), lambda p: p[1] * p[2])) AS BIGINT) AS score
+        FROM vectors q JOIN vectors c ON q.vec_id <> c.vec_id WHERE q.vec_id % 20 = 0)
+    SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score
+    FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scored)
+    WHERE rank <= 20"""
+
+
+def _op1_sql() -> str:
+    def quoted(x: str) -> str:
+        return "'" + x.replace("'", "''") + "'"
+
+    def replaced(column: str, steps) -> str:
+        for pattern, to in steps:
+            pattern, to = pattern.replace("\r", "\\r").replace("\n", "\\n"), to.replace("$", "\\")
+            column = f"regexp_replace({column}, {quoted(pattern)}, {quoted(to)}, 'g')"
+        return column
+
+    cut = licences.CUT.replace("\n", "\\n")
+    known = ", ".join(f"({n}, {quoted(text)}, {quoted(name)})" for n, (text, name) in enumerate(licences.SENTENCES))
+    matched = "' ' || ids || ' '"
+    for sequence, licence in licences.RULES:
+        matched = f"replace({matched}, ' {sequence} ', ' ={licence} ')"
+    return f"""
+    WITH known(n, sentence, name) AS (VALUES {known}),
+    texts AS (SELECT doc_id, lower(text) AS low FROM documents),
+    forms AS (
+        SELECT doc_id, 1 AS form, {replaced("low", licences.UNFOLD)} AS body FROM texts WHERE regexp_matches(low, '{licences.TRIGGER}')
+        UNION ALL SELECT doc_id, 2, low FROM texts WHERE regexp_matches(low, '{licences.TRIGGER}')),
+    lists AS (SELECT doc_id, form, regexp_split_to_array(body, {quoted(cut)}) AS parts FROM forms),
+    cut AS (SELECT doc_id, form, unnest(parts) AS part, generate_subscripts(parts, 1) AS pos FROM lists),
+    plain AS (SELECT doc_id, form, pos, {replaced("part", licences.NORMALISE)} AS s FROM cut),
+    hits AS (
+        SELECT doc_id, form, pos, min_by(name, n) AS name
+        FROM plain JOIN known ON ends_with(' ' || s, ' ' || sentence)
+        WHERE regexp_matches(s, '{licences.TRIGGER}') GROUP BY doc_id, form, pos),
+    firsts AS (
+        SELECT doc_id, name, min(form * 1000000000 + pos) AS place FROM hits GROUP BY doc_id, name),
+    sequences AS (SELECT doc_id, string_agg(name, ' ' ORDER BY place) AS ids FROM firsts GROUP BY doc_id),
+    matched AS (SELECT doc_id, ids, string_split_regex(trim({matched}), ' +') AS parts FROM sequences),
+    licensed AS (
+        SELECT doc_id, string_agg(licence, ' ' ORDER BY place) AS licences
+        FROM (SELECT doc_id, licence, min(pos) AS place
+              FROM (SELECT doc_id, substr(unnest(parts), 2) AS licence, unnest(parts) AS part, generate_subscripts(parts, 1) AS pos
+                    FROM matched) WHERE part LIKE '=%' GROUP BY doc_id, licence)
+        GROUP BY doc_id)
+    SELECT d.doc_id, coalesce(l.licences, '') AS licences, coalesce(m.ids, '') AS sentence_ids,
+           coalesce(array_to_string(list_filter(m.parts, lambda x: x <> '' AND x NOT LIKE '=%'), ' '), '') AS unmatched
+    FROM documents d LEFT JOIN matched m ON m.doc_id = d.doc_id LEFT JOIN licensed l ON l.doc_id = d.doc_id"""
+
+
 OP10_SQL = """
     WITH sources AS (
         SELECT source, count(*) AS n, power(count(*), 0.7) AS weight FROM documents GROUP BY source),
@@ -68,9 +171,14 @@ OP10_SQL = """
     FROM documents d JOIN (SELECT doc_id, unnest(generate_series(1, n)) AS k FROM copies) c USING (doc_id)"""
 
 QUERIES = {
+    "op1_license_scan": (op1_license_scan, _op1_sql()),
+    "op2_embedding_links": (op2_embedding_links, None),
     "op3_toxicity": (op3_toxicity, None),
     "op4_best_fit_packing": (op4_best_fit_packing, None),
     "op5_minhash_near_dedup": (op5_minhash_near_dedup, None),
+    "op6_top_scores": (op6_top_scores, OP6_SQL),
+    "op7_quality": (op7_quality, None),
+    "op8_chat_windows": (op8_chat_windows, None),
     "op9_substring_dedup": (op9_substring_dedup, None),
     "op10_source_mixing": (op10_source_mixing, OP10_SQL),
 }

@@ -34,7 +34,7 @@ from lodeworks.llm.near_duplicates import shingles
 
 WORD = re.compile(r"[^\W_]+")
 WINDOW = 4
-STATES = 50_000
+STATES = 10_000
 BENIGN = 3
 # Words that report, name or deny speech, and words that address somebody, in four languages.
 REPORTING = frozenset(
@@ -123,6 +123,9 @@ class Automaton:
         return min(found)[::-1] if found else None
 
 
+_in_use: dict = {"model": None}
+
+
 @dataclass
 class Model:
     weights: Mapping[str, float] = field(default_factory=dict)
@@ -130,17 +133,12 @@ class Model:
     exact: frozenset = frozenset()
     coefficients: tuple = (0.0, 0.0, 0.0)
 
-    def __post_init__(self):
-        self._words = None
-
-    def __getstate__(self):
-        return self.__dict__ | {"_words": None}
-
     def words(self) -> Memo:
-        if self._words is None:
+        # One cache per worker, for the model in use: workers outlive models.
+        if _in_use["model"] is not self:
             match = Automaton(self.weights, self.exact).match
-            self._words = Memo(lambda word: None if word in self.benign else match(word))
-        return self._words
+            _in_use.update(model=self, words=Memo(lambda word: None if word in self.benign else match(word), 150_000))
+        return _in_use["words"]
 
     def hits(self, text: str | None) -> list[tuple[str, str, int, float]]:
         """(word, term, edits, weight in its context) of each match."""
