@@ -13,7 +13,7 @@ a vector, however many, cost one. Ranks are limited before they are shuffled.
 
 Defined results. Vectors that are null or empty or hold null or non-finite components take no part, as rows without
 vec_id. Ties go to the smaller vec_id. Rows that repeat vec_id and vector are one row; a vec_id with several
-vectors is a candidate with each, but never for itself. Vectors of different length are not compared. Fewer than k other rows: all of them. Extra columns are ignored.
+vectors is a candidate with each, but never for itself. Vectors of different length are not compared. Integers beyond 2**25 are clamped to it, so that scores fit a long. Fewer than k other rows: all of them. Extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 from lodeworks.llm.common import sorted_groups, stage
 from lodeworks.llm.vector_links import finite
 
+LARGEST = 2.0**25
 EXACT = 2.0**52  # sums of products below this are exact in doubles
 
 
@@ -142,7 +143,7 @@ def top_scores(
     members = stage(
         vectors.where(finite(embedding) & F.col("vec_id").isNotNull()).select(
             F.col("vec_id").cast("long").alias("vec_id"),
-            F.transform(embedding, lambda x: F.floor(x * factor).cast("long")).alias("vector"),
+            F.transform(embedding, lambda x: F.floor(F.greatest(F.least(x * factor, F.lit(LARGEST)), F.lit(-LARGEST))).cast("long")).alias("vector"),
             F.coalesce(is_query, F.lit(False)).alias("asks"),
         ).distinct(),
         "members",

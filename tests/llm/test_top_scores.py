@@ -10,7 +10,7 @@ from lodeworks.llm.top_scores import top_scores
 
 
 def brute_force(rows, k, asks):
-    good = {(i, tuple(math.floor(64 * float(x)) for x in v)) for i, v in rows if i is not None and v and all(x is not None and math.isfinite(x) for x in v)}
+    good = {(i, tuple(max(-(2**25), min(2**25, math.floor(64 * float(x)))) for x in v)) for i, v in rows if i is not None and v and all(x is not None and math.isfinite(x) for x in v)}
     out = []
     for i in sorted({i for i, _ in good if asks(i)}):
         (own,) = (v for j, v in good if j == i)
