@@ -30,6 +30,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
+from lodeworks.llm.common import small_batches
+
 WINDOWS = "conv_id long, window long, n_new long, text string, loss array<struct<start:long,end:long>>"
 
 
@@ -156,7 +158,7 @@ def windows(
         if started:
             yield _frame([state.close()])
 
-    clean = turns.select(
+    clean = small_batches(turns).select(
         F.coalesce(F.col("conv_id").cast("long"), F.lit(0)).alias("conv_id"),
         F.col("conv_id").isNull().alias("missing"),
         F.col("turn").alias("turn"),

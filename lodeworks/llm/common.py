@@ -28,6 +28,14 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def small_batches(df: DataFrame, rows: int = 512) -> DataFrame:
+    """*df*, with a session that hands Python workers few whole texts at a time, to bound their memory."""
+    conf, name = df.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(conf.get(name)) <= rows:
+        conf.set(name, str(rows))
+    return df
+
+
 def held_out(doc_id: Column) -> Column:
     """Whether a row is kept from training: crc32 of its id as text is divisible by five."""
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 5 == 0, F.lit(False))

@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lodeworks.llm.common import Forest, Memo, components, sorted_groups, stage
+from lodeworks.llm.common import Forest, Memo, components, small_batches, sorted_groups, stage
 
 DEPTH = 8
 MISS = 2e-4
@@ -88,7 +88,7 @@ def summaries(docs: DataFrame, words: int, trees: int) -> DataFrame:
                 out.append((0, None, None))
         return pd.DataFrame(out, columns=["n", "print", "sig"])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), summary(F.col("text")).alias("s")).select(
+    return small_batches(docs).select(F.col("doc_id").cast("long").alias("doc_id"), summary(F.col("text")).alias("s")).select(
         "doc_id", "s.*"
     )
 

@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lodeworks.llm.common import Memo, held_out, stage
+from lodeworks.llm.common import Memo, held_out, small_batches, stage
 
 TOKEN = re.compile(r"[^\W_]+|[^\w\s]+|_+|\n")
 SHAPES = 16
@@ -136,7 +136,7 @@ def train(
 
     # At most *sample* pairs of numbers are broadcast.
     rows = stage(
-        docs.select("doc_id", "text")
+        small_batches(docs).select("doc_id", "text")
         .join(F.broadcast(chosen), "doc_id")
         .select(F.xxhash64("doc_id").alias("order"), "label", counted("text").alias("f"))
         .select("order", "label", "f.*"),
@@ -173,4 +173,4 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
     def scored(texts: pd.Series) -> pd.Series:
         return pd.Series([held.value.score(text) for text in texts], dtype=float)
 
-    return docs.withColumn("quality_score", scored("text"))
+    return small_batches(docs).withColumn("quality_score", scored("text"))

@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lodeworks.llm.common import Memo
+from lodeworks.llm.common import Memo, small_batches
 
 MOST_WORDS = 12
 _PIECE = re.compile(r"[^.!?,;:\n]+[.!?,;:\n]*\s*|[.!?,;:\n]+\s*")
@@ -125,7 +125,7 @@ def remove_repeated_spans(docs: DataFrame, run: int = 3, least_words: int = 20)
     """
     # The hash of the text tells rows of one doc_id apart; it shares a long with the position.
     place = F.shiftleft(F.xxhash64("text"), 32).bitwiseOR(F.col("part.pos").cast("long"))
-    found = docs.select(
+    found = small_batches(docs).select(
         F.col("doc_id").alias("id"), F.col("text").alias("text"), F.explode(_parts(run, least_words)("text")).alias("part")
     ).select("part.h", "id", place.alias("at"))
     firsts = (

@@ -29,7 +29,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lodeworks.llm.common import Memo, held_out, stage
+from lodeworks.llm.common import Memo, held_out, small_batches, stage
 from lodeworks.llm.near_duplicates import shingles
 
 WORD = re.compile(r"[^\W_]+")
@@ -240,7 +240,7 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = 20_000, lexicon_size
         .limit(sample)
     )
     # At most *sample* pairs of numbers.
-    training = stage(docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("toxic", "text"), "training")
+    training = stage(small_batches(docs).select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("toxic", "text"), "training")
     model = Model(_lexicon(training, lexicon_size))
     variants = (
         _features(training, model)
@@ -291,4 +291,4 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
         return pd.DataFrame(out, columns=["toxicity", "toxic_terms"])
 
     names = [f"`{c}`" for c in docs.columns if c not in ("toxicity", "toxic_terms")]
-    return docs.select(*names, scored("text").alias("scored_")).select(*names, "scored_.toxicity", "scored_.toxic_terms")
+    return small_batches(docs).select(*names, scored("text").alias("scored_")).select(*names, "scored_.toxicity", "scored_.toxic_terms")
