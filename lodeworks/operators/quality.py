@@ -1,6 +1,7 @@
 """Data-quality checks between layers.
 
-All checks of a table are measured in one aggregation, plus one grouped count per uniqueness check;
+A failed check of values gives a row count and the smallest value, at every size; unexpected_values() has them
+all. All checks of a table are measured in one aggregation, plus one grouped count per uniqueness check;
 only those counts reach the driver. A failed check is logged, and raised on request.
 """
 
@@ -15,8 +16,6 @@ from pyspark.sql import functions as F
 
 logger = logging.getLogger(__name__)
 
-LISTED_VALUES = 100  # a check names up to this many values; unexpected_values() has them all
-
 
 @dataclass(frozen=True)
 class QualityResult:
@@ -83,14 +82,6 @@ def duplicate_count(df: DataFrame, columns: Sequence[str]) -> int:
     return groups.agg(extra.alias("extra")).first()["extra"]
 
 
-def _describe_unexpected(df: DataFrame, check: AcceptedValues) -> str:
-    values = unexpected_values(df, check).select(check.column)
-    listed = [row[0] for row in values.orderBy(check.column).limit(LISTED_VALUES + 1).collect()]
-    if len(listed) > LISTED_VALUES:
-        return f"{values.count()} unexpected values, the first is {listed[0]!r}"
-    return "unexpected values: {" + ", ".join(repr(value) for value in listed) + "}"
-
-
 def run_checks(
     df: DataFrame, table: str, checks: Iterable[Check], fail: bool = False
 ) -> list[QualityResult]:
@@ -105,7 +96,9 @@ def run_checks(
                 if column in df.columns:
                     measures[number, column] = F.count_if(_is_missing(df, column))
         elif isinstance(check, AcceptedValues):
-            measures[number, None] = F.count_if(_is_unexpected(df, check))
+            outside = _is_unexpected(df, check)
+            measures[number, None] = F.count_if(outside)
+            measures[number, "least"] = F.min(F.when(outside, F.col(check.column))).cast("string")
     counted = {}
     if measures:
         exprs = [measure.alias(f"m{i}") for i, measure in enumerate(measures.values())]
@@ -129,8 +122,9 @@ def run_checks(
             details = f"{extra} duplicate rows on {list(check.columns)}" if extra else "all unique"
             result = QualityResult(f"{table}:unique", extra == 0, details)
         else:
-            passed = counted[number, None] == 0
-            details = "all valid" if passed else _describe_unexpected(df, check)
+            rows, least = counted[number, None], counted[number, "least"]
+            passed = rows == 0
+            details = f"{rows} rows outside the set, the smallest value is {least}" if rows else "only accepted values"
             result = QualityResult(f"{table}:accepted_values({check.column})", passed, details)
         results.append(result)
     return report(results, fail)

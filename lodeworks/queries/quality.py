@@ -148,12 +148,10 @@ def _no_nulls_sql(name: str, source: str, column: str) -> str:
 
 def _accepted_sql(name: str, source: str, column: str, values: str) -> str:
     return f"""SELECT '{name}:accepted_values({column})' AS check_name, count(*) = 0 AS passed,
-                      CASE WHEN count(*) = 0 THEN 'all valid'
-                           WHEN count(*) > 100 THEN CAST(count(*) AS VARCHAR)
-                                || ' unexpected values, the first is ' || CAST(min({column}) AS VARCHAR)
-                           ELSE 'unexpected values: {{' || string_agg('''' || {column} || '''', ', '
-                                                                    ORDER BY {column}) || '}}' END AS details
-               FROM (SELECT DISTINCT {column} FROM {source} WHERE {column} NOT IN ({values}))"""
+                      CASE WHEN count(*) = 0 THEN 'only accepted values'
+                           ELSE CAST(count(*) AS VARCHAR) || ' rows outside the set, the smallest value is '
+                                || CAST(min({column}) AS VARCHAR) END AS details
+               FROM (SELECT {column} FROM {source} WHERE {column} NOT IN ({values}))"""
 
 
 def _row_count_sql(name: str, before: str, after: str, tolerance: str) -> str:

@@ -50,11 +50,11 @@ def test_unique(table):
 
 
 def test_accepted_values(table):
-    assert check_accepted_values(table, "v", {"a", "b", None}, "t").details == "all valid"
+    assert check_accepted_values(table, "v", {"a", "b", None}, "t").details == "only accepted values"
     result = check_accepted_values(table, "v", {"a"}, "t")
     assert (result.check_name, result.passed) == ("t:accepted_values(v)", False)
-    assert result.details == "unexpected values: {'b'}"
-    assert check_accepted_values(table, "id", {1}, "t").details == "unexpected values: {2}"
+    assert result.details == "1 rows outside the set, the smallest value is b"
+    assert check_accepted_values(table, "id", {1}, "t").details == "1 rows outside the set, the smallest value is 2"
     with pytest.raises(Exception, match="absent"):
         check_accepted_values(table, "absent", {1}, "t")
 
@@ -62,7 +62,7 @@ def test_accepted_values(table):
 def test_many_unexpected_values_stay_distributed(spark):
     ids = spark.range(500)
     result = check_accepted_values(ids, "id", {0}, "t")
-    assert result.details == "499 unexpected values, the first is 1"
+    assert result.details == "499 rows outside the set, the smallest value is 1"
     assert unexpected_values(ids, AcceptedValues("id", (0,))).count() == 499
 
 
