@@ -53,8 +53,8 @@ def test_accepted_values(table):
     assert check_accepted_values(table, "v", {"a", "b", None}, "t").details == "only accepted values"
     result = check_accepted_values(table, "v", {"a"}, "t")
     assert (result.check_name, result.passed) == ("t:accepted_values(v)", False)
-    assert result.details == "1 rows outside the set, the smallest value is b"
-    assert check_accepted_values(table, "id", {1}, "t").details == "1 rows outside the set, the smallest value is 2"
+    assert result.details == "3 rows outside the set, the smallest value is b"
+    assert check_accepted_values(table, "id", {1}, "t").details == "2 rows outside the set, the smallest value is 2"
     with pytest.raises(Exception, match="absent"):
         check_accepted_values(table, "absent", {1}, "t")
 
