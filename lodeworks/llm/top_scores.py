@@ -42,21 +42,31 @@ def _blocks(column: str, n: int) -> Column:
     return F.pmod(F.xxhash64(F.lit("block"), column), F.lit(n)).cast("int")
 
 
+def _cell(lead: Column, q: Column, c: Column, q_blocks: int, c_blocks: int) -> Column:
+    """One number for (lead, query block, row block)."""
+    return ((lead.cast("long") * q_blocks + q) * c_blocks + c).alias("cell")
+
+
+def _in_cells(df: DataFrame) -> DataFrame:
+    """Rows by cell; a sort by a single number is a radix sort, where one by several columns compares rows."""
+    return df.repartition("cell").sortWithinPartitions("cell")
+
+
 def _met(classes: DataFrame, queries: DataFrame, lists: int, q_blocks: int, c_blocks: int) -> DataFrame:
-    """Parts of queries and rows, dealt to (list, query block, row block)."""
+    """Parts of queries and rows, dealt to the cells of (list, query block, row block)."""
 
     def part(k: Column) -> Column:
         size = F.ceil(F.col("dim") / lists).cast("int")
         return F.struct(k.alias("part"), F.slice("vector", k * size + 1, size).alias("values"))
 
     def dealt(df: DataFrame, is_query: bool, own: Column, others: Column, cutoff: Column) -> DataFrame:
-        q, c = (own, F.col("other")) if is_query else (F.col("other"), own)
+        q, c = (F.col("own"), F.col("other")) if is_query else (F.col("other"), F.col("own"))
         parts = F.explode(F.transform(F.sequence(F.lit(0), F.lit(lists - 1)), part)).alias("p")
         return (
             df.select("node", "dim", cutoff.alias("cutoff"), parts, own.alias("own"))
             .withColumn("other", F.explode(others))
-            .select("dim", "p.part", (q if not is_query else F.col("own")).alias("q"), (c if is_query else F.col("own")).alias("c"),
-                    F.lit(is_query).alias("is_query"), "node", "cutoff", "p.values")
+            .select(_cell(F.col("dim") * lists + F.col("p.part"), q, c, q_blocks, c_blocks), F.lit(is_query).alias("is_query"),
+                    "node", "cutoff", "p.values")
         )
 
     cutoff = F.col("cutoff") if "cutoff" in queries.columns else F.lit(None).cast("long")
@@ -64,13 +74,12 @@ def _met(classes: DataFrame, queries: DataFrame, lists: int, q_blocks: int, c_bl
     both = dealt(queries, True, _blocks("node", q_blocks), all_c, cutoff).union(
         dealt(classes, False, _blocks("node", c_blocks), all_q, F.lit(None).cast("long"))
     )
-    keys = ["dim", "part", "q", "c"]
-    return both.repartition(*keys).sortWithinPartitions(*keys, "is_query", "node")
+    return _in_cells(both)
 
 
 def _parts(batches):
     """Of each group: queries, rows, and the part scores of all of them."""
-    for key, group in sorted_groups(batches, ["dim", "part", "q", "c"]):
+    for key, group in sorted_groups(batches, ["cell"]):
         asked = group["is_query"].to_numpy(bool)
         if asked.all() or not asked.any():
             continue
@@ -109,7 +118,7 @@ def _sufficient(lists: int):
 
 def _resolve(batches):
     """Exact scores of the pairs of each (query block, row block), if they reach the cutoff."""
-    for _, group in sorted_groups(batches, ["dim", "q", "c"]):
+    for _, group in sorted_groups(batches, ["cell"]):
         kind = group["kind"].to_numpy()
         pairs = group[kind == 2]
         if pairs.empty:
@@ -187,27 +196,29 @@ def top_scores(
 
     entries = _met(classes, asked, lists, q_blocks, c_blocks).mapInPandas(_sufficient(lists), "query long, node long, score long")
     seen = entries.groupBy("query", "node").agg(F.sum("score").alias("part"), F.count("*").alias("lists_seen"))
+
+    def cell(q: Column, c: Column) -> Column:
+        return _cell(F.col("dim"), q, c, q_blocks, c_blocks)
+
     # An unseen part times the number of lists is below the cutoff.
     unseen = (lists - F.col("lists_seen")) * (F.ceil(F.col("cutoff") / lists) - 1)
     pairs = (
         seen.join(asked.select(F.col("node").alias("query"), "cutoff", "dim"), "query")
         .where(F.col("cutoff").isNull() | (F.col("part") + unseen >= F.col("cutoff")))
-        .select("dim", _blocks("query", q_blocks).alias("q"), _blocks("node", c_blocks).alias("c"), F.lit(2).alias("kind"), "query", "node")
-    )
-    meet = asked.select(
-        "dim", _blocks("node", q_blocks).alias("q"), F.explode(F.sequence(F.lit(0), F.lit(c_blocks - 1))).alias("c"),
-        F.lit(0).alias("kind"), "node", "vector", "cutoff",
-    ).unionByName(
-        classes.select(
-            "dim", F.explode(F.sequence(F.lit(0), F.lit(q_blocks - 1))).alias("q"), _blocks("node", c_blocks).alias("c"),
-            F.lit(1).alias("kind"), "node", "vector",
-        ), allowMissingColumns=True,
-    ).unionByName(pairs, allowMissingColumns=True)
-    scored = (
-        meet.repartition("dim", "q", "c")
-        .sortWithinPartitions("dim", "q", "c", "kind", "query", "node")
-        .mapInPandas(_resolve, "query long, node long, score long")
+        .select(cell(_blocks("query", q_blocks), _blocks("node", c_blocks)), F.lit(2).alias("kind"), "query", "node")
     )
+    other = F.col("other")
+    meet = (
+        asked.withColumn("other", F.explode(F.sequence(F.lit(0), F.lit(c_blocks - 1))))
+        .select(cell(_blocks("node", q_blocks), other), F.lit(0).alias("kind"), "node", "vector", "cutoff")
+        .unionByName(
+            classes.withColumn("other", F.explode(F.sequence(F.lit(0), F.lit(q_blocks - 1))))
+            .select(cell(other, _blocks("node", c_blocks)), F.lit(1).alias("kind"), "node", "vector"),
+            allowMissingColumns=True,
+        )
+        .unionByName(pairs, allowMissingColumns=True)
+    )
+    scored = _in_cells(meet).mapInPandas(_resolve, "query long, node long, score long")
     candidates = scored.join(ids, "node").select("query", "vec_id", "score")
     best = candidates.selectExpr(
         "query", "vec_id", "score", "row_number() OVER (PARTITION BY query ORDER BY score DESC, vec_id) AS r"
