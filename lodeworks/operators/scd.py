@@ -258,8 +258,8 @@ def scd2_versions(
             .withColumns({"_seq": F.lit(0), "_date": F.col("valid_from")})
             .drop(*VERSION_COLUMNS)
         )
-        # A marker row per closed version brings its key along, and nothing else of it.
-        markers = closed.select(natural_key).withColumn("_seq", F.lit(-1))
+        # One marker row brings the key of closed versions along, and nothing else of them.
+        markers = closed.select(natural_key).distinct().withColumn("_seq", F.lit(-1))
         rows = _union([rows, opened, None if always_open else markers])
 
     flagged = _flag_versions(rows, natural_key, tracked, existing is not None)

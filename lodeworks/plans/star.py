@@ -11,7 +11,14 @@ from typing import TypeVar
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import (
+    DateType,
+    DecimalType,
+    LongType,
+    StringType,
+    StructField,
+    StructType,
+)
 
 from lodeworks.functions.columns import (
     current,
@@ -24,7 +31,12 @@ from lodeworks.operators.facts import Lookup, fact_history, load_facts
 from lodeworks.operators.keys import assign_keys, max_key
 from lodeworks.operators.lineage import Step, log_steps, read_lineage, utc_now
 from lodeworks.operators.quality import enforce_constraints, run_checks
-from lodeworks.operators.scd import scd0_additions, scd1_history, scd2_versions
+from lodeworks.operators.scd import (
+    classify_changes,
+    scd0_additions,
+    scd1_history,
+    scd2_versions,
+)
 from lodeworks.plans.cleaning import (
     EVENT_CLEANING,
     REGION_CLEANING,
@@ -42,12 +54,50 @@ R = TypeVar("R")
 
 _BATCH = "edition_seq"
 _DATE = "load_date"
+_LOADED = "editions_loaded"
+_LOADED_SCHEMA = StructType(
+    [
+        StructField("edition", StringType()),
+        StructField("row_count", LongType()),
+        StructField("content", DecimalType(38, 0)),
+        StructField(_DATE, DateType()),
+    ]
+)
 
 
 class LateEditionError(Exception):
     """An edition is older than one already loaded; history can only be rebuilt, not inserted."""
 
 
+class ChangedEditionError(Exception):
+    """A loaded edition has other rows than those that were loaded."""
+
+
+def edition_contents(events: DataFrame, spec: StarSpec) -> DataFrame:
+    """Per edition its first year, row count and content: the sum of the hashes of its rows.
+
+    The hash covers the columns that the star uses. Sums do not depend on the order of rows, and those
+    of several loads of an edition add up.
+    """
+    used = {spec.edition, spec.year, *spec.fact.measures, *spec.fact.order}
+    for dim in spec.dimensions:
+        if dim.source == "events":
+            used.update([*dim.columns, *dim.order])
+    row_hash = F.xxhash64(*(name for name in sorted(used) if name in events.columns))
+    return events.groupBy(spec.edition).agg(
+        F.min(spec.year).alias("_year"),
+        F.count(F.lit(1)).alias("row_count"),
+        F.sum(row_hash.cast("decimal(38,0)")).alias("content"),
+    )
+
+
+def _in_order(found: DataFrame, spec: StarSpec) -> DataFrame:
+    dated = found.withColumns(
+        {"order_key": edition_order_key(F.col(spec.edition)), _DATE: load_date_of(F.col("_year"))}
+    ).drop("_year")
+    return assign_keys(dated, _BATCH, ["order_key", spec.edition])
+
+
 def list_editions(
     events: DataFrame, spec: StarSpec, loaded: DataFrame | None = None
 ) -> DataFrame:
@@ -56,15 +106,10 @@ def list_editions(
     One row per edition that is not among the *loaded* ones: label, batch number from 1, load date
     (January 1 of its first year), row count.
     """
-    found = events.groupBy(spec.edition).agg(
-        F.min(spec.year).alias("_year"), F.count(F.lit(1)).alias("row_count")
-    )
+    found = edition_contents(events, spec).drop("content")
     if loaded is not None:
         found = found.join(loaded, spec.edition, "left_anti")
-    dated = found.withColumns(
-        {"order_key": edition_order_key(F.col(spec.edition)), _DATE: load_date_of(F.col("_year"))}
-    ).drop("_year")
-    return assign_keys(dated, _BATCH, ["order_key", spec.edition])
+    return _in_order(found, spec)
 
 
 def dimension_snapshots(rows: DataFrame, dim: DimensionSpec) -> DataFrame:
@@ -128,11 +173,15 @@ def _all_at_once(spark: SparkSession, task: Callable[[T], R], items: Sequence[T]
 
 @dataclass(frozen=True)
 class Batches:
-    """Events that carry ``edition_seq`` and ``load_date``, the date of the first batch, all sizes."""
+    """Events that carry ``edition_seq`` and ``load_date``, the date of the first batch, all sizes.
+
+    *contents* are the row counts and content sums of the editions, as far as the batches hold them.
+    """
 
     events: DataFrame
     first_date: date
     sizes: Mapping[int, int]
+    contents: DataFrame
 
 
 def load_star(
@@ -166,6 +215,7 @@ def load_star(
     written = gold.write_snapshot(
         spec.fact.table, conform(facts, spec.fact.schema), load_id, spec.fact.partition_by
     )
+    gold.write_snapshot(_LOADED, conform(batches.contents, _LOADED_SCHEMA), load_id)
     gold.publish(load_id, rebuild or previous is None, start + written.count())
 
 
@@ -181,12 +231,75 @@ def _number_facts(
         return load_facts(
             events, lookups, fact.surrogate_key, columns, [_BATCH, *fact.order], start
         )
-    identity = [*(dim.source_key for dim in spec.dimensions), *fact.measures]
+    # All columns of an event take part, so that events which give equal facts are still dealt out evenly.
+    content = [name for name in sorted(batches.events.columns) if name not in (_BATCH, _DATE)]
+    events = events.withColumn("_content", F.xxhash64(*content))
     return fact_history(
-        events, lookups, fact.surrogate_key, columns, batches.sizes, identity, _BATCH, start
+        events, lookups, fact.surrogate_key, columns, batches.sizes, ["_content"], _BATCH, start
     )
 
 
+def _contents(found: DataFrame, spec: StarSpec, load_date) -> DataFrame:
+    return found.select(F.col(spec.edition).alias("edition"), "row_count", "content", load_date.alias(_DATE))
+
+
+def _loaded_editions(gold: Gold, spec: StarSpec) -> DataFrame:
+    """The editions in gold, with what was loaded of them, in however many loads."""
+    dim = spec.dimension(spec.edition_dimension)
+    labels = read_dimension(gold, dim).select(F.col(dim.natural_key).alias("edition"))
+    if gold.last_load() is None:
+        sums = gold.spark.createDataFrame([], _LOADED_SCHEMA)
+    else:
+        sums = gold.read_all(_LOADED, _LOADED_SCHEMA)
+    sums = sums.groupBy("edition").agg(
+        F.sum("row_count").alias("loaded_rows"),
+        F.sum("content").alias("loaded_content"),
+        F.max(_DATE).alias("loaded_date"),
+    )
+    return labels.join(sums, "edition", "left").withColumnRenamed("edition", spec.edition)
+
+
+def _refuse_changed(found: DataFrame, loaded: DataFrame, spec: StarSpec) -> None:
+    same = F.col("row_count").eqNullSafe(F.col("loaded_rows")) & F.col("content").eqNullSafe(
+        F.col("loaded_content")
+    )
+    changed = found.join(loaded, spec.edition).filter(~same)
+    seen = changed.agg(F.count(F.lit(1)).alias("n"), F.min(spec.edition).alias("label")).first()
+    if seen["n"]:
+        raise ChangedEditionError(
+            f"{seen['n']} loaded editions have other rows now, the first is {seen['label']!r}: "
+            "add the missing rows with load_batch, or rebuild"
+        )
+
+
+def _has_changes(gold: Gold, dim: DimensionSpec, regions: DataFrame) -> bool:
+    """Whether a snapshot would add to a dimension, or change it."""
+    existing = read_dimension(gold, dim)
+    if dim.scd_type != 2:
+        existing = existing.withColumn("is_current", F.lit(True))
+    tracked = dim.tracked or [dim.natural_key]
+    classes = classify_changes(existing, dimension_snapshots(regions, dim), dim.natural_key, tracked)
+    wanted = ["new"] if dim.scd_type == 0 else ["new", "changed"]
+    return not classes.filter(F.col("change").isin(wanted)).isEmpty()
+
+
+def _load_regions(
+    gold: Gold, spec: StarSpec, events: DataFrame, regions: DataFrame, day: date, source_name: str
+) -> None:
+    """Load the regions alone, if they differ from those in gold."""
+    dims = [dim for dim in spec.dimensions if dim.source != "events"]
+    marks = {_BATCH: F.lit(1), _DATE: F.lit(day)}
+    dated = regions.withColumns(marks)
+    if not any(_has_changes(gold, dim, dated) for dim in dims):
+        return
+    no_events = events.filter(F.lit(False)).withColumns(marks)
+    no_contents = gold.spark.createDataFrame([], _LOADED_SCHEMA)
+    load_star(gold, spec, Batches(no_events, day, {1: 0}, no_contents), regions)
+    rows = regions.count()
+    steps = [("gold", source_name, dim.table, rows, "success") for dim in dims]
+    log_steps(gold.spark, gold.lineage_path(), steps)
+
+
 def load_batch(
     spark: SparkSession,
     events: DataFrame,
@@ -196,11 +309,16 @@ def load_batch(
     spec: StarSpec = RESULTS_STAR,
     source_names: tuple[str, str] = ("events", "regions"),
 ) -> None:
-    """Load silver events as one batch on top of the gold tables, whatever editions they hold."""
+    """Load silver events as one batch on top of the gold tables, whatever editions they hold.
+
+    Both inputs are evaluated once and staged.
+    """
     gold = Gold(spark, str(gold_path))
+    events, regions = stage(events, "batch"), stage(regions, "regions")
     batch = events.withColumns({_BATCH: F.lit(1), _DATE: F.lit(load_date)})
     sizes = {"events": events.count(), "regions": regions.count()}
-    load_star(gold, spec, Batches(batch, load_date, {1: sizes["events"]}), regions)
+    contents = _contents(edition_contents(events, spec), spec, F.lit(load_date))
+    load_star(gold, spec, Batches(batch, load_date, {1: sizes["events"]}, contents), regions)
     names = dict(zip(("events", "regions"), source_names))
     sources = [(dim.source, dim.table) for dim in spec.dimensions] + [("events", spec.fact.table)]
     steps = [("gold", names[kind], table, sizes[kind], "success") for kind, table in sources]
@@ -245,31 +363,44 @@ def load_editions(
     incremental: bool = False,
     spec: StarSpec = RESULTS_STAR,
     source_names: tuple[str, str] = ("events", "regions"),
+    region_date: date | None = None,
 ) -> int:
     """Load every edition of the silver events in order and return how many were loaded.
 
-    A full load rebuilds all tables. An incremental one adds the editions that are not loaded yet,
-    and refuses editions older than the newest loaded one.
+    A full load rebuilds all tables. An incremental one adds the editions that are not loaded yet. It
+    refuses, and loads nothing, if one of them comes before the newest loaded one (by number, then by
+    label), or if a loaded edition has other rows than those loaded. Regions are merged by every
+    increment: with new editions dated by the first of them, otherwise, if they differ, by
+    *region_date*, which is the date of the newest loaded edition unless given.
     """
     gold = Gold(spark, str(gold_path))
     events = require_columns(events, [spec.edition, spec.year])
-    loaded = newest = None
+    found = stage(edition_contents(events, spec), "editions")
+    newest = None
     if incremental:
-        dim = spec.dimension(spec.edition_dimension)
-        loaded = read_dimension(gold, dim).select(F.col(dim.natural_key).alias(spec.edition))
-        newest = loaded.agg(F.max(edition_order_key(F.col(spec.edition)))).first()[0]
-    editions = list_editions(events, spec, loaded)
+        loaded = _loaded_editions(gold, spec)
+        _refuse_changed(found, loaded, spec)
+        place = F.struct(
+            edition_order_key(F.col(spec.edition)).alias("order_key"), spec.edition, "loaded_date"
+        )
+        newest = loaded.agg(F.max(place)).first()[0]
+        found = found.join(loaded, spec.edition, "left_anti")
+    editions = _in_order(found, spec)
     listed = editions.collect()  # one row per edition
     if not listed:
+        day = region_date or (newest and newest["loaded_date"])
+        if day:
+            _load_regions(gold, spec, events, regions, day, source_names[1])
         return 0
-    oldest = min(row["order_key"] for row in listed)
-    if newest is not None and oldest < newest:
-        raise LateEditionError(f"edition {oldest} is older than loaded edition {newest}")
+    oldest = min((row["order_key"], row[spec.edition]) for row in listed)
+    if newest is not None and oldest < (newest["order_key"], newest[spec.edition]):
+        raise LateEditionError(f"edition {oldest[1]!r} comes before loaded edition {newest[spec.edition]!r}")
 
     batches = Batches(
         events.join(editions.select(spec.edition, _BATCH, _DATE), spec.edition),
         min(listed, key=lambda row: row[_BATCH])[_DATE],
         {row[_BATCH]: row["row_count"] for row in listed},
+        _contents(editions, spec, F.col(_DATE)),
     )
     load_star(gold, spec, batches, regions, rebuild=not incremental)
     _log_editions(gold, spec, editions, regions.count(), source_names)
@@ -282,11 +413,14 @@ def run_pipeline(
     incremental: bool = False,
     fail_on_checks: bool = False,
     raw_schemas: Mapping[str, StructType] | None = None,
+    multi_line: bool = True,
+    region_date: date | None = None,
 ) -> Gold:
     """Raw CSV to bronze, silver and gold below *data_dir*, with checks and lineage.
 
     The raw inputs ``athlete_events.csv`` and ``noc_regions.csv`` are files or folders of files;
-    *raw_schemas*, by name without suffix, save the pass that infers their types.
+    *raw_schemas*, by name without suffix, save the pass that infers their types; without
+    *multi_line* records, single files are split among tasks. See load_editions() for *region_date*.
     """
     data_dir = str(data_dir).rstrip("/")
     gold = Gold(spark, f"{data_dir}/gold")
@@ -296,7 +430,7 @@ def run_pipeline(
     def to_silver(name: str) -> list[Step]:
         bronze, silver = f"{data_dir}/bronze/{name}", f"{data_dir}/silver/{name}"
         schema = (raw_schemas or {}).get(name)
-        ingested = ingest_csv(spark, f"{data_dir}/raw/{name}.csv", bronze, schema)
+        ingested = ingest_csv(spark, f"{data_dir}/raw/{name}.csv", bronze, schema, multi_line)
         cleaned = clean_to_silver(spark, bronze, silver, cleaning[name])
         run_checks(spark.read.parquet(silver), f"silver.{name}", rules[name], fail_on_checks)
         return [
@@ -316,5 +450,6 @@ def run_pipeline(
         incremental,
         RESULTS_STAR,
         ("silver/athlete_events", "silver/noc_regions"),
+        region_date,
     )
     return gold

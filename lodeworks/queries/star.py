@@ -13,11 +13,13 @@ from lodeworks.operators.lineage import read_lineage
 from lodeworks.plans.reports import register_star, top_entities
 from lodeworks.plans.specs import RESULTS_STAR, DimensionSpec, FactSpec, StarSpec
 from lodeworks.plans.star import (
+    ChangedEditionError,
     dimension_snapshots,
     list_editions,
     load_batch,
     load_dimension,
     load_editions,
+    read_dimension,
     run_pipeline,
 )
 from lodeworks.queries.tables import (
@@ -175,16 +177,12 @@ def dim_customer(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def dim_nation(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The full region snapshot in every order year; nothing changes, so one version each."""
-    dim = SALES_STAR.dimension("dim_nation")
-    years = table(spark, sf_dir, "orders").select(F.year("o_orderdate").alias("edition_seq"))
-    batches = years.distinct().withColumn(
-        "load_date", F.make_date("edition_seq", F.lit(1), F.lit(1))
-    )
-    listed = batches.agg(F.array_agg(F.struct("edition_seq", "load_date")).alias("batch"))
-    snapshot = nations(spark, sf_dir).withColumn("_batch", F.explode(listed.scalar()))
-    snapshots = dimension_snapshots(snapshot.select("*", "_batch.*").drop("_batch"), dim)
-    return dates_as_text(load_dimension(snapshots, dim)[0].select(dim.schema.names))
+    """The nations of a loaded star, read back from gold."""
+    return _read_back(_loaded(spark, sf_dir), "dim_nation")
+
+
+def _read_back(gold: Gold, name: str) -> DataFrame:
+    return dates_as_text(read_dimension(gold, SALES_STAR.dimension(name)))
 
 
 def _loaded(spark: SparkSession, sf_dir: str, spec: StarSpec = SALES_STAR) -> Gold:
@@ -219,13 +217,54 @@ def fact_ordered(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _facts(_loaded(spark, sf_dir, ORDERED_STAR))
 
 
-def fact_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _incremented(spark: SparkSession, sf_dir: str) -> Gold:
     """The years before the split first, then everything: the loaded years are skipped."""
     gold = Gold(spark, staging_path(spark, "gold"))
     events = stage(sales(spark, sf_dir), "sales")
     for part in (events.filter(F.col("order_year") < SPLIT_YEAR), events):
         load_editions(spark, part, nations(spark, sf_dir), gold.path, True, SALES_STAR)
-    return _facts(gold).drop("sales_sk")
+    return gold
+
+
+def fact_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _facts(_incremented(spark, sf_dir)).drop("sales_sk")
+
+
+def dim_customer_increments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A type 2 dimension after two increments equals that of one load of all years."""
+    return _read_back(_incremented(spark, sf_dir), "dim_customer")
+
+
+def dim_part_increments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A type 1 dimension after two increments equals that of one load of all years."""
+    return _read_back(_incremented(spark, sf_dir), "dim_part")
+
+
+def increment_late_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Some lines of loaded years come late: the increment refuses them, a batch adds them, then nothing is left to do."""
+    gold = Gold(spark, staging_path(spark, "gold"))
+    events, places = stage(sales(spark, sf_dir), "sales"), nations(spark, sf_dir)
+    late = F.col("l_linenumber") == 1
+    load_editions(spark, events.filter(~late), places, gold.path, True, SALES_STAR)
+    try:
+        load_editions(spark, events, places, gold.path, True, SALES_STAR)
+    except ChangedEditionError:
+        load_batch(spark, events.filter(late), places, gold.path, date(2002, 1, 1), SALES_STAR)
+    load_editions(spark, events, places, gold.path, True, SALES_STAR)
+    editions = read_dimension(gold, SALES_STAR.dimension("dim_edition")).select("edition_sk", "edition")
+    return _facts(gold).join(editions, "edition_sk").groupBy("edition").agg(
+        F.count(F.lit(1)).alias("n_lines"), F.countDistinct("sales_sk").alias("n_keys")
+    )
+
+
+def increment_regions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A region is renamed while no year is new: its nations get new versions, from the given day."""
+    gold = _loaded(spark, sf_dir)
+    renamed = nations(spark, sf_dir).replace("ASIA", "EAST", "r_name")
+    load_editions(
+        spark, sales(spark, sf_dir), renamed, gold.path, True, SALES_STAR, region_date=date(2003, 5, 1)
+    )
+    return _read_back(gold, "dim_nation")
 
 
 def fact_load(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -539,3 +578,28 @@ QUERIES = {
         "SELECT c_custkey, c_mktsegment, 'second' AS label FROM customer",
     ),
 }
+QUERIES |= {
+    "dim_customer_increments": (dim_customer_increments, QUERIES["dim_customer"][1]),
+    "dim_part_increments": (dim_part_increments, QUERIES["dim_part"][1]),
+    "increment_late_rows": (
+        increment_late_rows,
+        """SELECT CAST(year(o_orderdate) AS VARCHAR) || ' Orders' AS edition, count(*) AS n_lines, count(*) AS n_keys
+           FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY 1""",
+    ),
+    "increment_regions": (
+        increment_regions,
+        """WITH listed AS (
+               SELECT row_number() OVER (ORDER BY n_nationkey) AS sk, CAST(n_nationkey AS BIGINT) AS nk, n_name, r_name,
+                      (SELECT CAST(make_date(CAST(min(year(o_orderdate)) AS INTEGER), 1, 1) AS VARCHAR)
+                       FROM orders) AS first_day
+               FROM nation JOIN region ON n_regionkey = r_regionkey)
+           SELECT CAST(sk AS BIGINT) AS nation_sk, nk AS nation_nk, n_name AS nation, r_name AS region,
+                  first_day AS valid_from, CASE WHEN r_name = 'ASIA' THEN '2003-05-01' ELSE '9999-12-31' END AS valid_to,
+                  r_name <> 'ASIA' AS is_current
+           FROM listed
+           UNION ALL
+           SELECT CAST((SELECT count(*) FROM nation) + row_number() OVER (ORDER BY nk) AS BIGINT), nk, n_name, 'EAST',
+                  '2003-05-01', '9999-12-31', true
+           FROM listed WHERE r_name = 'ASIA'""",
+    ),
+}

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from lodeworks.plans.reports import register_star, top_entities
 from lodeworks.plans.specs import RESULTS_STAR
 from lodeworks.plans.star import (
+    ChangedEditionError,
     LateEditionError,
     load_batch,
     load_editions,
@@ -177,6 +178,48 @@ def test_region_change_is_dated_by_the_new_edition(spark, silver, tmp_path):
     assert rows(facts.filter("noc_sk in (1, 3)").groupBy("noc_sk").count()) == [(1, 1), (3, 2)]
 
 
+def test_late_rows_of_a_loaded_edition_are_never_skipped(spark, silver, tmp_path):
+    events, regions = silver
+    gold = Gold(spark, str(tmp_path))
+    part = events("2000 Summer").filter("athlete_id <> 3")
+    load_editions(spark, part, regions, gold.path, incremental=True)
+    with pytest.raises(ChangedEditionError, match="2000 Summer"):
+        load_editions(spark, events("2000 Summer"), regions, gold.path, incremental=True)
+    assert star_tables(gold)["fact"].count() == 2
+    late = events("2000 Summer").filter("athlete_id = 3")
+    load_batch(spark, late, regions, gold.path, date(2000, 1, 1))
+    assert load_editions(spark, events("2004 Summer"), regions, gold.path, incremental=True) == 1
+    assert sorted(row["result_sk"] for row in star_tables(gold)["fact"].collect()) == list(range(1, 7))
+
+
+def test_region_changes_without_new_editions_are_loaded(spark, silver, tmp_path):
+    events, regions = silver
+    gold = Gold(spark, str(tmp_path))
+    load_editions(spark, events("2000 Summer"), regions, gold.path, incremental=True)
+    before = {name: rows(table) for name, table in star_tables(gold).items()}
+    for name, day in (("Eland", None), ("Iland", date(2001, 3, 1)), ("Iland", date(2002, 1, 1))):
+        renamed = regions.replace("Aland", name, "region")
+        assert load_editions(spark, events("2000 Summer"), renamed, gold.path, True, region_date=day) == 0
+    tables = star_tables(gold)
+    assert rows(tables["noc"].filter("noc_code = 'AAA'"), "noc_sk", "region", "valid_from", "valid_to") == [
+        (1, "Aland", date(2000, 1, 1), date(2000, 1, 1)),
+        (3, "Eland", date(2000, 1, 1), date(2001, 3, 1)),
+        (4, "Iland", date(2001, 3, 1), date(9999, 12, 31)),
+    ]
+    assert gold.last_load()["load_id"] == 3
+    for name in ("athlete", "event", "game", "fact"):
+        assert rows(tables[name]) == before[name], name
+
+
+def test_label_decides_between_editions_of_one_year(spark, silver, tmp_path):
+    events, regions = silver
+    gold = Gold(spark, str(tmp_path))
+    load_editions(spark, events("2000 Summer"), regions, gold.path, incremental=True)
+    autumn = events("2000 Summer").withColumn("games", F.lit("2000 Autumn"))
+    with pytest.raises(LateEditionError):
+        load_editions(spark, events("2000 Summer").union(autumn), regions, gold.path, incremental=True)
+
+
 def test_load_batch_takes_a_mixed_slice_as_one_batch(spark, silver, tmp_path):
     events, regions = silver
     gold = Gold(spark, str(tmp_path))
