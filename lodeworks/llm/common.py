@@ -42,16 +42,22 @@ def held_out(doc_id: Column) -> Column:
 
 
 class Memo(dict):
-    """A bounded cache of a function of one argument; it starts again when it is full."""
+    """A cache of a function of one argument that holds between one and two times *size* values at most.
 
-    def __init__(self, function, size: int = 400_000):
+    When it is full, its values become the older generation, and those asked for again come back from it,
+    so that frequent arguments stay and rare ones go.
+    """
+
+    def __init__(self, function, size: int = 50_000):
         super().__init__()
-        self.function, self.size = function, size
+        self.function, self.size, self.older = function, size, {}
 
     def __missing__(self, key):
+        value = self.older.pop(key) if key in self.older else self.function(key)
         if len(self) >= self.size:
+            self.older = dict(self)
             self.clear()
-        value = self[key] = self.function(key)
+        self[key] = value
         return value
 
 

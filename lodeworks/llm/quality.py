@@ -52,7 +52,7 @@ def _shape(token: str) -> int:
 @functools.cache
 def _tokens() -> Memo:
     """A token's hash, with its shape in the lowest bits."""
-    return Memo(lambda t: xxhash.xxh3_64_intdigest(t.encode("utf-8", "replace")) & ~(SHAPES - 1) | _shape(t), 300_000)
+    return Memo(lambda t: xxhash.xxh3_64_intdigest(t.encode("utf-8", "replace")) & ~(SHAPES - 1) | _shape(t))
 
 
 def features(text: str | None, bits: int) -> np.ndarray:

@@ -56,7 +56,7 @@ def sentences(text: str) -> tuple[list[str], list[int]]:
 
 @functools.cache
 def _piece_hashes() -> Memo:
-    return Memo(lambda piece: xxhash.xxh3_64_intdigest(" ".join(piece.lower().split()).encode("utf-8", "replace")), 100_000)
+    return Memo(lambda piece: xxhash.xxh3_64_intdigest(" ".join(piece.lower().split()).encode("utf-8", "replace")), 20_000)
 
 
 @functools.cache

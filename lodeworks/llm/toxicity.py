@@ -137,7 +137,7 @@ class Model:
         # One cache per worker, for the model in use: workers outlive models.
         if _in_use["model"] is not self:
             match = Automaton(self.weights, self.exact).match
-            _in_use.update(model=self, words=Memo(lambda word: None if word in self.benign else match(word), 150_000))
+            _in_use.update(model=self, words=Memo(lambda word: None if word in self.benign else match(word)))
         return _in_use["words"]
 
     def hits(self, text: str | None) -> list[tuple[str, str, int, float]]:
