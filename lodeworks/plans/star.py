@@ -47,7 +47,7 @@ from lodeworks.plans.cleaning import (
 from lodeworks.plans.specs import RESULTS_STAR, DimensionSpec, StarSpec
 from lodeworks.schemas import PIPELINE_LINEAGE, conform
 from lodeworks.sources.gold import Gold
-from lodeworks.sources.tables import append_rows, ingest_csv, stage
+from lodeworks.sources.tables import append_rows, freed_after, ingest_csv, stage
 
 T = TypeVar("T")
 R = TypeVar("R")
@@ -185,12 +185,17 @@ class Batches:
 
 
 def load_star(
-    gold: Gold, spec: StarSpec, batches: Batches, regions: DataFrame, rebuild: bool = False
+    gold: Gold,
+    spec: StarSpec,
+    batches: Batches,
+    regions: DataFrame,
+    log: Callable[[], None],
+    rebuild: bool = False,
 ) -> None:
-    """Load batches of events and publish them.
+    """Load batches of events, *log* them, and publish them.
 
     All batches go through each table together; every table is written once. The regions are one
-    full snapshot, dated by the first batch.
+    full snapshot, dated by the first batch. No load is visible without its lineage.
     """
     previous = gold.last_load()
     last = None if rebuild else previous
@@ -216,7 +221,9 @@ def load_star(
         spec.fact.table, conform(facts, spec.fact.schema), load_id, spec.fact.partition_by
     )
     gold.write_snapshot(_LOADED, conform(batches.contents, _LOADED_SCHEMA), load_id)
-    gold.publish(load_id, rebuild or previous is None, start + written.count())
+    last_key = start + written.count()
+    log()
+    gold.publish(load_id, rebuild or previous is None, last_key)
 
 
 def _number_facts(
@@ -294,10 +301,15 @@ def _load_regions(
         return
     no_events = events.filter(F.lit(False)).withColumns(marks)
     no_contents = gold.spark.createDataFrame([], _LOADED_SCHEMA)
-    load_star(gold, spec, Batches(no_events, day, {1: 0}, no_contents), regions)
     rows = regions.count()
     steps = [("gold", source_name, dim.table, rows, "success") for dim in dims]
-    log_steps(gold.spark, gold.lineage_path(), steps)
+    load_star(
+        gold,
+        spec,
+        Batches(no_events, day, {1: 0}, no_contents),
+        regions,
+        lambda: log_steps(gold.spark, gold.lineage_path(), steps),
+    )
 
 
 def load_batch(
@@ -314,15 +326,21 @@ def load_batch(
     Both inputs are evaluated once and staged.
     """
     gold = Gold(spark, str(gold_path))
-    events, regions = stage(events, "batch"), stage(regions, "regions")
-    batch = events.withColumns({_BATCH: F.lit(1), _DATE: F.lit(load_date)})
-    sizes = {"events": events.count(), "regions": regions.count()}
-    contents = _contents(edition_contents(events, spec), spec, F.lit(load_date))
-    load_star(gold, spec, Batches(batch, load_date, {1: sizes["events"]}, contents), regions)
-    names = dict(zip(("events", "regions"), source_names))
-    sources = [(dim.source, dim.table) for dim in spec.dimensions] + [("events", spec.fact.table)]
-    steps = [("gold", names[kind], table, sizes[kind], "success") for kind, table in sources]
-    log_steps(spark, gold.lineage_path(), steps)
+    with freed_after(spark, "batch"):
+        events, regions = stage(events, "events"), stage(regions, "regions")
+        batch = events.withColumns({_BATCH: F.lit(1), _DATE: F.lit(load_date)})
+        sizes = {"events": events.count(), "regions": regions.count()}
+        contents = _contents(edition_contents(events, spec), spec, F.lit(load_date))
+        names = dict(zip(("events", "regions"), source_names))
+        sources = [(dim.source, dim.table) for dim in spec.dimensions] + [("events", spec.fact.table)]
+        steps = [("gold", names[kind], table, sizes[kind], "success") for kind, table in sources]
+        load_star(
+            gold,
+            spec,
+            Batches(batch, load_date, {1: sizes["events"]}, contents),
+            regions,
+            lambda: log_steps(spark, gold.lineage_path(), steps),
+        )
 
 
 def _log_editions(
@@ -373,8 +391,22 @@ def load_editions(
     increment: with new editions dated by the first of them, otherwise, if they differ, by
     *region_date*, which is the date of the newest loaded edition unless given.
     """
-    gold = Gold(spark, str(gold_path))
     events = require_columns(events, [spec.edition, spec.year])
+    with freed_after(spark, "editions"):
+        return _load_editions(
+            Gold(spark, str(gold_path)), events, regions, incremental, spec, source_names, region_date
+        )
+
+
+def _load_editions(
+    gold: Gold,
+    events: DataFrame,
+    regions: DataFrame,
+    incremental: bool,
+    spec: StarSpec,
+    source_names: tuple[str, str],
+    region_date: date | None,
+) -> int:
     found = stage(edition_contents(events, spec), "editions")
     newest = None
     if incremental:
@@ -402,8 +434,14 @@ def load_editions(
         {row[_BATCH]: row["row_count"] for row in listed},
         _contents(editions, spec, F.col(_DATE)),
     )
-    load_star(gold, spec, batches, regions, rebuild=not incremental)
-    _log_editions(gold, spec, editions, regions.count(), source_names)
+    load_star(
+        gold,
+        spec,
+        batches,
+        regions,
+        lambda: _log_editions(gold, spec, editions, regions.count(), source_names),
+        rebuild=not incremental,
+    )
     return len(listed)
 
 

@@ -72,6 +72,15 @@ def csv_ingest_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def csv_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Single-line records, which let every file be read by several tasks, with declared types."""
+    raw, bronze = staging_path(spark, "csv"), staging_path(spark, "bronze")
+    orders = table(spark, sf_dir, "orders").drop("o_orderdate")
+    orders.write.options(header=True, quoteAll=True, escape='"').csv(raw)
+    ingest_csv(spark, raw, bronze, orders.schema, multi_line=False)
+    return spark.read.parquet(bronze)
+
+
 def parquet_overwrite(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = staging_path(spark, "overwritten")
     write_table(table(spark, sf_dir, "supplier"), path)
@@ -229,6 +238,10 @@ QUERIES = {
         """SELECT l_returnflag, count(*) AS n, (SELECT count(*) FROM lineitem) AS ingested
            FROM lineitem GROUP BY l_returnflag""",
     ),
+    "csv_split": (
+        csv_split,
+        "SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderpriority FROM orders",
+    ),
     "parquet_overwrite": (
         parquet_overwrite,
         "SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer",

@@ -336,6 +336,22 @@ def lineage_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_lineage(spark, gold.lineage_path()).drop("run_timestamp")
 
 
+def batch_lineage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What two batches log, the second without the lines of the first years."""
+    gold = Gold(spark, staging_path(spark, "gold"))
+    events, places = stage(sales(spark, sf_dir), "sales"), nations(spark, sf_dir)
+    later = F.col("order_year") >= SPLIT_YEAR
+    for day, part in ((date(2002, 1, 1), events.filter(~later)), (date(2003, 1, 1), events.filter(later))):
+        load_batch(spark, part, places, gold.path, day, SALES_STAR, ("sales", "nations"))
+    return read_lineage(spark, gold.lineage_path()).drop("run_timestamp")
+
+
+def pipeline_lineage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a whole run logs in its three layers."""
+    lineage = read_lineage(spark, _raw_run(spark, sf_dir).lineage_path())
+    return lineage.drop("run_timestamp")
+
+
 def snapshot_replace(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two published snapshots of a dimension and one unpublished: readers see the second."""
     gold = Gold(spark, staging_path(spark, "gold"))
@@ -348,7 +364,7 @@ def snapshot_replace(spark: SparkSession, sf_dir: str) -> DataFrame:
     return gold.read_latest("dim_segment", schema)
 
 
-def raw_to_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _raw_run(spark: SparkSession, sf_dir: str) -> Gold:
     """The whole run over orders written as raw event files: every order twice, once with padding."""
     root = staging_path(spark, "run")
     orders = table(spark, sf_dir, "orders").join(
@@ -384,7 +400,12 @@ def raw_to_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
                "ignoreTrailingWhiteSpace": False}
     events.unionByName(padded).write.options(**options).csv(f"{root}/raw/athlete_events.csv")
     regions.write.options(**options).csv(f"{root}/raw/noc_regions.csv")
-    gold = run_pipeline(spark, root)
+    return run_pipeline(spark, root)
+
+
+def raw_to_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The facts of a whole run from raw files."""
+    gold = _raw_run(spark, sf_dir)
     facts = gold.read_all(RESULTS_STAR.fact.table, RESULTS_STAR.fact.schema)
     return facts.withColumn("noc_sk", F.coalesce("noc_sk", F.lit(-1))).drop("result_sk")
 
@@ -602,4 +623,34 @@ QUERIES |= {
                   '2003-05-01', '9999-12-31', true
            FROM listed WHERE r_name = 'ASIA'""",
     ),
+    "batch_lineage": (
+        batch_lineage,
+        f"""WITH sizes(batch, n_lines) AS (
+                SELECT CASE WHEN year(o_orderdate) < {SPLIT_YEAR} THEN 0 ELSE 1 END, count(*)
+                FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey GROUP BY 1),
+            tables(step, target) AS (VALUES (1, 'dim_edition'), (2, 'dim_part'), (3, 'dim_customer'),
+                                            (4, 'dim_nation'), (5, 'fact_sales'))
+            SELECT CAST(batch * 5 + step AS BIGINT) AS lineage_id, 'gold' AS layer,
+                   CASE WHEN step = 4 THEN 'nations' ELSE 'sales' END AS source, target,
+                   CASE WHEN step = 4 THEN (SELECT count(*) FROM nation) ELSE n_lines END AS row_count,
+                   'success' AS status
+            FROM sizes JOIN tables ON true""",
+    ),
+    "pipeline_lineage": (
+        pipeline_lineage,
+        f"""WITH {_EVENTS_SQL},
+            sizes AS (SELECT edition_seq, games, count(*) AS n FROM numbered GROUP BY ALL),
+            tables(step, target) AS (VALUES (1, 'dim_game'), (2, 'dim_event'), (3, 'dim_athlete'),
+                                            (4, 'dim_noc'), (5, 'fact_results')),
+            counts AS (SELECT 2 * (SELECT count(*) FROM orders JOIN customer ON o_custkey = c_custkey) AS raw_events,
+                              (SELECT count(*) FROM events) AS events, (SELECT count(*) FROM nocs) AS nocs)
+            SELECT CAST(4 + (edition_seq - 1) * 5 + step AS BIGINT) AS lineage_id, 'gold' AS layer,
+                   CASE WHEN step = 4 THEN 'silver/noc_regions' ELSE 'silver/athlete_events/' || games END AS source,
+                   target, CASE WHEN step = 4 THEN nocs ELSE n END AS row_count, 'success' AS status
+            FROM sizes JOIN tables ON true JOIN counts ON true
+            UNION ALL SELECT 1, 'bronze', 'raw/athlete_events.csv', 'bronze/athlete_events', raw_events, 'success' FROM counts
+            UNION ALL SELECT 2, 'silver', 'bronze/athlete_events', 'silver/athlete_events', events, 'success' FROM counts
+            UNION ALL SELECT 3, 'bronze', 'raw/noc_regions.csv', 'bronze/noc_regions', nocs, 'success' FROM counts
+            UNION ALL SELECT 4, 'silver', 'bronze/noc_regions', 'silver/noc_regions', nocs, 'success' FROM counts""",
+    ),
 }

@@ -2,37 +2,54 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
-_local_roots: dict[str, str] = {}
+_SCOPE = "lodeworks.staging.folder"
 
 
 def staging_root(spark: SparkSession) -> str:
     """The folder for staged tables: a subfolder, per application, of the cluster's checkpoint folder.
 
-    Without a configured checkpoint folder only a local session gets one (a temporary folder);
-    on a cluster a machine-local path would be lost with its machine, so that is an error.
+    Without a configured checkpoint folder only a local session gets one, below its warehouse;
+    on a cluster that path may be local to one machine, so it is an error.
     """
     app = spark.sparkContext.applicationId
     shared = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if shared:
-        return f"{shared.rstrip('/')}/lodeworks/{app}"
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder that every executor can reach")
-    if app not in _local_roots:
-        _local_roots[app] = tempfile.mkdtemp(prefix="lodeworks-")
-    return _local_roots[app]
+    if not shared:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that every executor can reach")
+        shared = spark.conf.get("spark.sql.warehouse.dir") + "/staged"
+    return f"{shared.rstrip('/')}/lodeworks/{app}"
 
 
 def staging_path(spark: SparkSession, name: str) -> str:
-    """A fresh path below the staging folder."""
-    return f"{staging_root(spark)}/{name}-{uuid.uuid4().hex}"
+    """A fresh path below the staging folder, or below that of the surrounding :func:`freed_after`."""
+    root = spark.sparkContext.getLocalProperty(_SCOPE) or staging_root(spark)
+    return f"{root}/{name}-{uuid.uuid4().hex}"
+
+
+@contextmanager
+def freed_after(spark: SparkSession, name: str) -> Iterator[None]:
+    """Delete at the end, also after a failure, what is staged within.
+
+    Threads that inherit local properties take part. Nothing lazy that reads staged tables may leave.
+    """
+    context = spark.sparkContext
+    outer = context.getLocalProperty(_SCOPE)
+    folder = staging_path(spark, name)
+    context.setLocalProperty(_SCOPE, folder)
+    try:
+        yield
+    finally:
+        context.setLocalProperty(_SCOPE, outer)
+        path = context._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def stage(df: DataFrame, name: str) -> DataFrame:

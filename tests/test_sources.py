@@ -1,11 +1,16 @@
+from pathlib import Path
+from urllib.parse import urlparse
+
 import pytest
 
 from lodeworks.schemas import table_schema
 from lodeworks.sources.tables import (
     append_rows,
+    freed_after,
     ingest_csv,
     read_table_or_empty,
     stage,
+    staging_path,
     staging_root,
     write_table,
 )
@@ -45,6 +50,22 @@ def test_ingest_folder_with_schema(spark, tmp_path):
     assert spark.read.parquet(str(tmp_path / "out")).dtypes == [("a", "bigint"), ("b", "string")]
 
 
+def test_one_file_is_read_by_many_tasks_without_multi_line(spark, tmp_path):
+    path = tmp_path / "raw.csv"
+    path.write_text("a,b\n" + "".join(f"{n},text {n}\n" for n in range(20_000)))
+    schema = table_schema({"a": "long", "b": "string"}, ())
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "40000")
+    try:
+        assert ingest_csv(spark, path, tmp_path / "split", schema, multi_line=False) == 20_000
+        assert ingest_csv(spark, path, tmp_path / "whole", schema) == 20_000
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    split, whole = (len(list((tmp_path / name).glob("part-*"))) for name in ("split", "whole"))
+    assert split > 5 and whole == 1
+    assert rows(spark.read.parquet(str(tmp_path / "split"))) == rows(spark.read.parquet(str(tmp_path / "whole")))
+
+
 def test_only_a_missing_table_is_empty(spark, tmp_path):
     schema = table_schema({"a": "long"}, ())
     assert read_table_or_empty(spark, tmp_path / "none", schema).count() == 0
@@ -74,3 +95,17 @@ def test_staging_uses_the_checkpoint_folder(spark):
     staged = stage(spark.range(5), "numbers")
     assert root in staged.inputFiles()[0]
     assert staged.count() == 5
+
+
+def test_staged_tables_are_freed_also_after_a_failure(spark):
+    outside = stage(spark.range(3), "kept")
+    folders = []
+    with pytest.raises(ValueError), freed_after(spark, "load"):
+        with freed_after(spark, "inner"):
+            folders.append(stage(spark.range(5), "numbers").inputFiles()[0])
+        folders.append(stage(spark.range(5), "numbers").inputFiles()[0])
+        raise ValueError
+    assert len(folders) == 2
+    assert not any(Path(urlparse(folder).path).exists() for folder in folders)
+    assert outside.count() == 3
+    assert staging_path(spark, "next").startswith(f"{staging_root(spark)}/next-")

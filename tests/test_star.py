@@ -1,6 +1,7 @@
 """The gold layer: batches, facts, rebuilds and increments, from small raw files."""
 
 from datetime import date, datetime, timedelta, timezone
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -18,6 +19,7 @@ from lodeworks.plans.star import (
 from lodeworks.schemas import FACT_RESULTS
 from lodeworks.operators.lineage import read_lineage
 from lodeworks.sources.gold import Gold
+from lodeworks.sources.tables import staging_root
 from tests.conftest import rows
 
 HEADER = '"ID","Name","Sex","Age","Height","Weight","Team","NOC","Games","Year","Season","City","Sport","Event","Medal"'
@@ -259,3 +261,33 @@ def test_leaderboard_and_sql_views(spark, full):
     assert rows(found) == rows(top)
     assert spark.sql("SELECT count(*) FROM pipeline_lineage").first()[0] == 19
     assert RESULTS_STAR.dimension("dim_noc").natural_key == "noc_code"
+
+
+def test_loads_free_what_they_staged(spark, tmp_path):
+    write_raw(tmp_path, EVENTS_2000)
+    before = set(staged_files(spark))
+    gold = run_pipeline(spark, str(tmp_path))
+    write_raw(tmp_path, EVENTS_2000 + EVENTS_2004)
+    run_pipeline(spark, str(tmp_path), incremental=True)
+    silver = [spark.read.parquet(f"{tmp_path}/silver/{name}") for name in ("athlete_events", "noc_regions")]
+    load_batch(spark, *silver, gold.path, date(2005, 1, 1))
+    write_raw(tmp_path, EVENTS_2000[1:3])
+    with pytest.raises(ChangedEditionError):
+        run_pipeline(spark, str(tmp_path), incremental=True)
+    assert set(staged_files(spark)) == before
+
+
+def staged_files(spark):
+    return Path(staging_root(spark)).rglob("*.parquet")
+
+
+def test_no_load_is_published_without_lineage(spark, tmp_path, monkeypatch):
+    write_raw(tmp_path, EVENTS_2000)
+
+    def fail(*_):
+        raise OSError
+
+    monkeypatch.setattr("lodeworks.plans.star._log_editions", fail)
+    with pytest.raises(OSError):
+        run_pipeline(spark, str(tmp_path))
+    assert Gold(spark, f"{tmp_path}/gold").last_load() is None
