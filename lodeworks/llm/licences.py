@@ -7,7 +7,8 @@ against the rules: sequences of identifiers, longer ones first, each replaced by
 Identifiers that no rule takes are reported as unmatched.
 
 Scale. Everything happens within a row, in JVM expressions, in one pass without a shuffle. A document
-without any of the words of which every known sentence has one (TRIGGER) skips the work. The knowledge is a fixed list of rules.
+without any of the words of which every known sentence has one (TRIGGER) skips the work. The knowledge is a fixed list of rules;
+when the module loads, every known sentence must find itself by the same steps.
 
 Defined results. Null and empty texts have no licences. Repeated rows give the same result each. A licence that
 occurs twice is listed once, where it came first. Other columns are handed on; incoming ones named licences,
@@ -16,10 +17,12 @@ sentence_ids or unmatched give way. An empty table stays empty.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-TRIGGER = "licen|cc0|copyright|permission|warrant|redistribut|public domain|liable|spdx"
+TRIGGER = "licen|cc0|copyright|permission|warrant|redistribut|domain|reserved|liable|spdx"  # single words: no line end can part them
 
 # Sentences of public licences, normalised, with an identifier for each.
 _VERSIONED = {
@@ -41,6 +44,7 @@ _PLAIN = {
     "cc0-short": "released under cc0",
     "public-domain": "released into the public domain",
     "rights-reserved": "all rights reserved copyright",
+    "rights-reserved ": "all rights reserved",
     "spdx-mit": "spdx license identifier mit",
     "spdx-apache-2.0": "spdx license identifier apache 2.0",
     "spdx-bsd-3": "spdx license identifier bsd 3 clause",
@@ -70,14 +74,31 @@ _PLAIN = {
     "apache-as-is": "unless required by applicable law or agreed to in writing software distributed under the license is "
     "distributed on an as is basis without warranties or conditions of any kind either express or implied",
     "gpl-no-warranty": "this program is distributed in the hope that it will be useful but without any warranty",
-    "mpl-2.0-header": "this source code form is subject to the terms of the mozilla public license v. 2.0",
+    "mpl-2.0-header": "this source code form is subject to the terms of the mozilla public license version 2.0",
 }
+# The notices of the GPL family: its versions end a sentence of their own where a semicolon stands before "either".
+_FAMILY = {"gpl": "general", "lgpl": "lesser general", "lgpl ": "library general", "agpl": "affero general"}
+_TERMS = "you can redistribute it and or modify it under the terms of the gnu {} public license"
+_PUBLISHED = "as published by the free software foundation"
+_LATER = "either version {} of the license or at your option any later version"
+_NOTICES = [
+    *((f"{_TERMS.format(kind)} {_PUBLISHED} {_LATER.format(v)}", f"{name.strip()}-{v}-later") for name, kind in _FAMILY.items() for v in ("2", "2.1", "3")),
+    *((f"{_TERMS.format(kind)} version {v} {_PUBLISHED}", f"{name.strip()}-{v}-only") for name, kind in _FAMILY.items() for v in ("2", "2.1", "3")),
+    *((f"{_TERMS.format(kind)} {_PUBLISHED}", f"{name.strip()}-terms") for name, kind in _FAMILY.items()),
+    *((_LATER.format(v), f"later-{v}") for v in ("2", "2.1", "3")),
+]
 #: (sentence, identifier); identifiers hold no blanks, so the blank of a second spelling goes.
 SENTENCES = [(text, name.strip()) for name, text in _PLAIN.items()] + [
     (text.format(v=v), name.format(v=v)) for name, text in _VERSIONED.items() for v in _VERSIONS
-]
+] + [(f"licensed under the apache license version {v} the license", f"apache-{v}-short") for v in _VERSIONS] + _NOTICES
 #: Sequences of identifiers and their licence, in the order in which they are tried.
 RULES = [
+    (f"{ids}{more}", f"{name.upper()}-{v if '.' in v else v + '.0'}-{kind}")
+    for name in ("gpl", "lgpl", "agpl") for v in ("2", "2.1", "3") for more in (" gpl-no-warranty", "")
+    for ids, kind in ((f"{name}-terms later-{v}", "or-later"), (f"{name}-{v}-later", "or-later"), (f"{name}-{v}-only", "only"))
+] + [
+    ("rights-reserved bsd-grant bsd-source bsd-binary bsd-endorse", "BSD-3-Clause"),
+    ("rights-reserved bsd-grant bsd-source bsd-binary", "BSD-2-Clause"),
     ("bsd-grant bsd-source bsd-binary bsd-endorse", "BSD-3-Clause"),
     ("mit-grant mit-notice mit-as-is mit-liability", "MIT"),
     ("mit-grant mit-notice mit-as-is", "MIT"),
@@ -95,6 +116,7 @@ RULES = [
     ("spdx-apache-2.0", "Apache-2.0"),
     ("spdx-bsd-3", "BSD-3-Clause"),
     ("spdx-gpl-3.0", "GPL-3.0-only"),
+    ("rights-reserved", "All-Rights-Reserved"),
 ] + [
     (f"{name}-{v}-short", f"{name.upper() if name != 'apache' else 'Apache'}-{v if '.' in v else v + '.0'}")
     for name in ("gpl", "lgpl", "agpl", "mpl", "apache", "epl") for v in _VERSIONS
@@ -103,7 +125,14 @@ RULES = [
 ]
 
 #: Applied in order to a lower-case text, in both engines: pattern and replacement.
-UNFOLD = [("\r", ""), ("([^.;:!?\n])[ \t]*\n[ \t]*[*#/;>|-]*[ \t]*([^ \t\n*#/;>|-])", r"$1 $2")]
+# The stop of "v. 2.0" and the colon of an SPDX line would cut a sentence; the end of their line ends it.
+UNFOLD = [
+    ("\r", ""),
+    (r"spdx-license-identifier:[ \t]*([a-z0-9.+-]+)[ \t]*[^a-z0-9(\n]*(\n|$)", "spdx license identifier $1.$2"),
+    ("\\b(v|ver)\\.[ \t]*(?:\n[ \t]*[*#/;>|-]*[ \t]*)?([0-9][0-9.]*)[ \t]*\n", "$1 $2.\n"),
+    ("\\b(v|ver)\\.[ \t]*(?:\n[ \t]*[*#/;>|-]*[ \t]*)?([0-9])", "$1 $2"),
+    ("([^.;:!?\n])[ \t]*\n[ \t]*[*#/;>|-]*[ \t]*([^ \t\n*#/;>|-])", r"$1 $2"),
+]
 CUT = r"[.;:!?]+[ \t]+|[.;:!?]*[ \t]*\n|[;:!?]"
 NORMALISE = [
     ("licence", "license"),
@@ -114,6 +143,25 @@ NORMALISE = [
 ]
 
 
+def _found_by(text: str) -> list[str]:
+    """The identifiers of a text by the steps below, in Python: to check the known sentences."""
+    for pattern, to in UNFOLD:
+        text = re.sub(pattern, to.replace("$", "\\"), text)
+    out = []
+    for part in re.split(CUT, text):
+        for pattern, to in NORMALISE:
+            part = re.sub(pattern, to.replace("$", "\\"), part)
+        names = [name for known, name in SENTENCES if f" {part}".endswith(f" {known}")]
+        if re.search(TRIGGER, part) and names:
+            out.append(names[0])
+    return out
+
+
+_dead = [text for text, name in SENTENCES if _found_by(text + ".") != [name]]
+if _dead:
+    raise ValueError(f"known sentences that cannot match: {_dead}")
+
+
 def _map_sentences(cut: Column) -> Column:
     def normalised(s: Column) -> Column:
         for pattern, to in NORMALISE:

@@ -16,6 +16,55 @@ MIT = """/*
  * THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO
  * THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT.
  */"""
+APACHE = """# Copyright 2020 Somebody
+#
+# Licensed under the Apache License, Version 2.0 (the "License");
+# you may not use this file except in compliance with the License.
+# You may obtain a copy of the License at
+#
+#     http://www.apache.org/licenses/LICENSE-2.0
+#
+# Unless required by applicable law or agreed to in writing, software
+# distributed under the License is distributed on an "AS IS" BASIS,
+# WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.
+"""
+MPL = """/* This Source Code Form is subject to the terms of the Mozilla Public
+ * License, v. 2.0. If a copy of the MPL was not distributed with this
+ * file, You can obtain one at https://mozilla.org/MPL/2.0/. */"""
+GPL3 = """    This program is free software: you can redistribute it and/or modify
+    it under the terms of the GNU General Public License as published by
+    the Free Software Foundation, either version 3 of the License, or
+    (at your option) any later version.
+
+    This program is distributed in the hope that it will be useful,
+    but WITHOUT ANY WARRANTY; without even the implied warranty of"""
+LGPL2 = """ * This library is free software; you can redistribute it and/or
+ * modify it under the terms of the GNU Lesser General Public
+ * License as published by the Free Software Foundation; either
+ * version 2.1 of the License, or (at your option) any later version."""
+GPL2 = "you can redistribute it and/or modify it under the terms of the GNU General Public License version 2 as published by the Free Software Foundation."
+BSD = """Copyright (c) 2020, Somebody. All rights reserved.
+
+Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer.
+2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer
+   in the documentation and/or other materials provided with the distribution.
+"""
+HEADERS = [
+    (APACHE, "Apache-2.0"),
+    (MPL, "MPL-2.0"),
+    ("Licensed under the Mozilla Public License, v. 2.0\nwords that go on", "MPL-2.0"),
+    (GPL3, "GPL-3.0-or-later"),
+    (LGPL2, "LGPL-2.1-or-later"),
+    (GPL2, "GPL-2.0-only"),
+    (BSD, "BSD-2-Clause"),
+    ("prose\nAll rights reserved.\nmore", "All-Rights-Reserved"),
+    ("some prose\nAll rights\nreserved.", "All-Rights-Reserved"),
+    ("This was released into the public\ndomain.", "Public-Domain"),
+    ("// SPDX-License-Identifier: MIT\n// words that go on", "MIT"),
+    ("/* SPDX-License-Identifier: Apache-2.0 */", "Apache-2.0"),
+]
 CASES = [
     ("some prose\nLicensed under the Apache Licence, Version 2.0.\nmore", "Apache-2.0"),
     ("Released under the MIT License. And more.", "MIT"),
@@ -34,6 +83,12 @@ def test_cases(spark, text, expected):
     assert [" ".join(r.licences) for r in scan_licences(docs).collect()] == [expected] * 2
 
 
+@pytest.mark.parametrize(("text", "expected"), HEADERS)
+def test_canonical_headers(spark, text, expected):
+    (row,) = scan_licences(spark.createDataFrame([(text,)], "text string")).collect()
+    assert (row.licences, row.unmatched) == ([expected], [])
+
+
 def test_identifiers_that_no_rule_takes_are_reported(spark):
     docs = spark.createDataFrame([("Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer.",)], "text string")
     (row,) = scan_licences(docs).collect()
