@@ -1,7 +1,9 @@
 """Removal of text that repeats: spans of several consecutive sentences, compared over all documents.
 
-Method. A text is cut into sentences: up to a stop (. ! ? , ; : or a line end), and at most MOST_WORDS
-words, so that every text has short steps. A span begins at each sentence and takes the fewest sentences,
+Method. A text is cut into sentences: up to a stop (. ! ? , ; : or a line end). A stretch of more than
+MOST_WORDS words without a stop is cut before the least word hash of each WINDOW words in a row, so that every
+text has short steps, and those of a repeated passage lie alike whatever words come before it: all but its first
+and last WINDOW words at most. A span begins at each sentence and takes the fewest sentences,
 at least *run*, that hold *least_words* words. Spans are compared by a 64-bit hash of their lower-case
 words. The first occurrence of a span, by (doc_id, text, position), stays; sentences covered by any other
 occurrence go.
@@ -18,6 +20,7 @@ Other columns are handed on.
 from __future__ import annotations
 
 import functools
+import itertools
 import re
 
 import numpy as np
@@ -29,12 +32,25 @@ from pyspark.sql import functions as F
 from lodeworks.llm.common import Memo, small_batches
 
 MOST_WORDS = 12
+WINDOW = 10  # a shared stretch of 51 words keeps at least 32 between shared cuts, enough for three pieces and 20 words
 _PIECE = re.compile(r"[^.!?,;:\n]+[.!?,;:\n]*\s*|[.!?,;:\n]+\s*")
 _WORD = re.compile(r"\S+\s*")
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 2**64))
 
 
+@functools.cache
+def _word_ranks() -> Memo:
+    return Memo(lambda word: xxhash.xxh3_64_intdigest(word.encode("utf-8", "replace")), 20_000)
+
+
+def _cuts(words: list[str]) -> list[int]:
+    """Where a stretch is cut: at the least hash of each window, the first one on a tie."""
+    ranks = np.array(list(map(_word_ranks().__getitem__, words)), np.uint64)
+    least = np.lib.stride_tricks.sliding_window_view(ranks, WINDOW).argmin(axis=1)
+    return np.unique(least + np.arange(len(least))).tolist()
+
+
 def sentences(text: str) -> tuple[list[str], list[int]]:
     """Consecutive pieces that make up the whole text, and the number of words in each."""
     pieces, words = [], []
@@ -47,10 +63,10 @@ def sentences(text: str) -> tuple[list[str], list[int]]:
             lead = piece[: len(piece) - len(piece.lstrip())]
             each = _WORD.findall(piece)
             each[0] = lead + each[0]
-            for start in range(0, count, MOST_WORDS):
-                part = each[start : start + MOST_WORDS]
-                pieces.append("".join(part))
-                words.append(len(part))
+            cuts = _cuts(piece.lower().split())
+            for start, end in itertools.pairwise([*([0] if cuts[0] else []), *cuts, count]):
+                pieces.append("".join(each[start:end]))
+                words.append(end - start)
     return pieces, words
 
 

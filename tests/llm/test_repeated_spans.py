@@ -45,6 +45,20 @@ def test_planted_passage_goes_and_clean_text_stays(spark):
     assert found == {1: rows[0][1], 2: "Another start: Another end.", 3: rows[2][1]}
 
 
+def test_passage_without_stops_goes_at_every_offset(spark):
+    passage = " ".join(f"passage{k}" for k in range(51))
+    rows = [(0, f"{passage} end")]
+    for n in range(1, 40):  # n other words before it, and others behind it
+        rows.append((n, " ".join([*(f"lead{n}x{k}" for k in range(n)), passage, *(f"tail{n}x{k}" for k in range(7))])))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    for r in remove_repeated_spans(docs).collect():
+        kept = r.text.split()
+        left = sum(w.startswith("passage") for w in kept)
+        assert left == 51 if r.doc_id == 0 else left <= 25, r.doc_id
+        assert sum(w.startswith("lead") for w in kept) == r.doc_id
+    assert max(max(sentences(text)[1]) for _, text in rows) <= 12
+
+
 def test_odd_rows(odd_documents, no_documents):
     found = remove_repeated_spans(odd_documents)
     assert found.columns[: len(odd_documents.columns)] == odd_documents.columns
