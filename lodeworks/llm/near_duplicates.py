@@ -2,15 +2,16 @@
 
 Method. A document's words give its set of word shingles, as 64-bit hashes. Documents with equal sets
 form a class, and one of them stands for it. A signature of trees x DEPTH minima is cut into one sorted
-order per tree. Rows that are neighbours in an order and share a prefix form a region. A region is as
-shallow as the threshold allows, and only where it holds more than *region_rows* rows is it split at a
-deeper prefix. Rows of one region are joined loosely (each with the region's first); loose groups are
-then compared in blocks: pairs whose signatures agree enough, best first, are confirmed by the exact
+order per tree. Rows that are neighbours in an order and share a prefix form a region. A region is as deep
+as the threshold allows, however many rows it holds: splitting a large one at a deeper prefix would lose
+pairs. Rows of one region are joined loosely (each with the region's first: one edge a row); loose groups
+are then compared in blocks: pairs whose signatures agree enough, best first, are confirmed by the exact
 100 * intersection >= percent * union, except pairs that links found before already connect.
 
 Scale. Copies are collapsed by a grouped minimum before anything is joined. No pair is written: a task
 returns at most one link per row that it holds. Groups larger than a block are compared as pairs of
-blocks in tasks of their own. The chance to miss a lone pair right at the threshold is below 2e-4.
+blocks in tasks of their own: unlike texts that share a region cost comparisons, in blocks, with the square
+of their group. The chance to miss a lone pair right at the threshold is below 2e-4.
 
 Defined results. Null and empty texts, and texts of white space only, have no shingles and link with
 nothing. Rows without doc_id link with nothing, and their component is null. Rows that share a doc_id
@@ -93,27 +94,13 @@ def summaries(docs: DataFrame, words: int, trees: int) -> DataFrame:
     )
 
 
-def _regions(classes: DataFrame, percent: int, trees: int, region_rows: int) -> DataFrame:
+def _regions(classes: DataFrame, percent: int, trees: int) -> DataFrame:
     """Loose edges (a, b): every row of a region with the region's first."""
-    shallow = least_depth(percent, trees)
-    depths = sorted({shallow, min(DEPTH, shallow + 2), DEPTH})
-    keys = F.array(
-        *(
-            F.struct(*(F.xxhash64(F.lit(t), F.slice("sig", t * DEPTH + 1, d)).alias(f"k{d}") for d in depths))
-            for t in range(trees)
-        )
-    )
-    rows = classes.select("node", F.explode(keys).alias("k")).select("node", "k.*")
-    edges = None
-    for d in depths:
-        regions = rows.groupBy(f"k{d}").agg(F.count("*").alias("rows"), F.min("node").alias("first")).where("rows > 1")
-        inside = stage(rows.join(regions, f"k{d}"), f"regions{d}")
-        done = inside if d == depths[-1] else inside.where(F.col("rows") <= region_rows)
-        found = done.select(F.col("node").alias("a"), F.col("first").alias("b")).where("a <> b")
-        edges = found if edges is None else edges.union(found)
-        rows = inside.where(F.col("rows") > region_rows).select("node", *(f"k{x}" for x in depths if x > d))
-        if d == depths[-1] or rows.isEmpty():
-            return edges
+    depth = least_depth(percent, trees)
+    keys = F.array(*(F.xxhash64(F.lit(t), F.slice("sig", t * DEPTH + 1, depth)) for t in range(trees)))
+    rows = classes.select("node", F.explode(keys).alias("k"))
+    regions = rows.groupBy("k").agg(F.count("*").alias("rows"), F.min("node").alias("first")).where("rows > 1")
+    return rows.join(regions, "k").select(F.col("node").alias("a"), F.col("first").alias("b")).where("a <> b")
 
 
 def _confirm(percent: int, trees: int):
@@ -165,13 +152,16 @@ def near_duplicates(
     region_rows: int = 4096,
     block_rows: int = 256,
 ) -> DataFrame:
-    """Per row of *docs* (doc_id, text): doc_id, n_shingles, component_id (smallest doc_id), kept."""
+    """Per row of *docs* (doc_id, text): doc_id, n_shingles, component_id (smallest doc_id), kept.
+
+    *region_rows* is accepted as before and has no effect: regions of any size keep their edges.
+    """
     seen = stage(summaries(docs, words, trees), "summaries")
     named = seen.where("n > 0 AND doc_id IS NOT NULL")
     classes = stage(
         named.groupBy("print").agg(F.min("doc_id").alias("node"), F.first("sig").alias("sig")), "classes"
     )
-    loose = components(_regions(classes, percent, trees, region_rows))
+    loose = components(_regions(classes, percent, trees))
     sized = loose.join(loose.groupBy("component").agg(F.count("*").alias("rows")), "component")
     wanted = classes.join(sized, "node").select(
         "node", "print", "sig", F.col("component").alias("cluster"), F.ceil(F.col("rows") / block_rows).alias("blocks")

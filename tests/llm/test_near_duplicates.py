@@ -55,6 +55,19 @@ def test_large_group_in_blocks(spark, region_rows, block_rows):
     assert len({r.component_id for r in found}) < 120
 
 
+def test_large_regions_miss_no_pairs(spark):
+    rows = []
+    for n in range(400):  # pairs near the threshold: 109 of 127 shingles in common
+        text = [f"w{n}x{k}" for k in range(120)]
+        rows.append((2 * n, " ".join(text)))
+        for k in (30, 60, 90):
+            text[k] = f"y{n}x{k}"
+        rows.append((2 * n + 1, " ".join(text)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = near_duplicates(docs, 3, 85, region_rows=1).collect()
+    assert {r.doc_id: r.component_id for r in found} == {d: d - d % 2 for d, _ in rows}
+
+
 def test_odd_rows(odd_documents):
     found = near_duplicates(odd_documents, 3, 85).collect()
     assert len(found) == odd_documents.count()
