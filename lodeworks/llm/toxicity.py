@@ -3,14 +3,15 @@
 Method. The lexicon holds words that mark toxic training documents and hardly occur in others: a word
 needs so many toxic documents that chance explains at most one of all words counted. Near copies count once, told by the least hash of their word shingles. A non-deterministic Levenshtein
 automaton over the trie of the lexicon is made deterministic state by state as words are read; it
-accepts words within one edit of terms of 5 to 8 letters and two of longer ones. Variants that clean
-training documents hold are left out, and a term with more than BENIGN of them is matched exactly. Each match weighs less the more edits it has, and its
+accepts words within one edit of terms of 5 to 8 letters and two of longer ones. Variants that are more
+often in clean than in toxic training documents are left out, all of them; the other
+variants of a term stay matched, and weigh less the more of its variants were left out than were seen in toxic documents. Each match weighs less the more edits it has, and its
 context decides: between quotation marks, or after words that report or name speech, it counts as a
 quotation; next to another match or a word of address it counts as abuse. Sum and maximum of a document's
 matches give the score by logistic regression.
 
 Scale. Lexicon and coefficients are learned on at most *sample* labelled rows (those with the smallest
-hashes) and bounded in size; scoring reads each text once, where it lies, without a shuffle.
+hashes), whose words bound the lexicon and the variants left out; scoring reads each text once, where it lies, without a shuffle.
 
 Defined results. Null and empty texts score as documents without a match. Without labels of both kinds
 the lexicon is empty, and every score is the smoothed share of toxic rows. Rows without doc_id are never
@@ -35,7 +36,6 @@ from lodeworks.llm.near_duplicates import shingles
 WORD = re.compile(r"[^\W_]+")
 WINDOW = 4
 STATES = 10_000
-BENIGN = 3
 # Words that report, name or deny speech, and words that address somebody, in four languages.
 REPORTING = frozenset(
     "said says saying called calls calling wrote writes quoted quote word words term terms slur insult "
@@ -132,6 +132,7 @@ class Model:
     benign: frozenset = frozenset()
     exact: frozenset = frozenset()
     coefficients: tuple = (0.0, 0.0, 0.0)
+    trust: Mapping[str, float] = field(default_factory=dict)  # of variants of a term; 1 where it is missing
 
     def words(self) -> Memo:
         # One cache per worker, for the model in use: workers outlive models.
@@ -154,7 +155,7 @@ class Model:
         out = []
         for k in at:
             term, edits = matched[k]
-            weight = self.weights[term] * (1 - 0.25 * edits)
+            weight = self.weights[term] * (1 - 0.25 * edits) * (self.trust.get(term, 1.0) if edits else 1.0)
             near = set(words[max(0, k - WINDOW) : k]) | set(words[k + 1 : k + 1 + WINDOW])
             start, end = spans[k]
             opened = low[max(0, start - 40) : start].rstrip(" ")[-1:] in QUOTES and start > 0
@@ -197,8 +198,8 @@ def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0) -> np.ndarray:
     return w
 
 
-def _lexicon(training: DataFrame, size: int) -> dict[str, float]:
-    """The terms that mark toxic documents, at most *size*, with weights of about 1."""
+def _lexicon(training: DataFrame, size: int | None) -> dict[str, float]:
+    """The terms that mark toxic documents, at most *size* if given, with weights of about 1."""
 
     @F.pandas_udf("words array<string>, copy long")
     def distinct_words(texts: pd.Series) -> pd.DataFrame:
@@ -223,13 +224,12 @@ def _lexicon(training: DataFrame, size: int) -> dict[str, float]:
     terms = (
         counts.where((F.col("bad") >= needed) & (F.col("bad") * ratio >= 20 * F.col("clean")) & (F.length("word") >= 3))
         .orderBy(F.desc("bad"), "word")
-        .limit(size)
-        .collect()
     )
+    terms = (terms if size is None else terms.limit(size)).collect()
     return {r["word"]: max(0.1, 1 - 20 * r["clean"] / (r["bad"] * ratio)) for r in terms}
 
 
-def train(docs: DataFrame, labels: DataFrame, sample: int = 20_000, lexicon_size: int = 400) -> Model:
+def train(docs: DataFrame, labels: DataFrame, sample: int = 20_000, lexicon_size: int | None = None) -> Model:
     """A model from the rows of *labels* (doc_id, toxic) that are not held out, and their texts."""
     chosen = (
         labels.where(F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
@@ -247,12 +247,12 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = 20_000, lexicon_size
         .select("toxic", F.explode("near").alias("n"))
         .groupBy("n.word", "n.term")
         .agg(F.sum("toxic").alias("bad"), F.sum(1 - F.col("toxic")).alias("clean"))
-        .where("clean > bad")
     )
-    # One row per term, with so many variants at most.
-    by_term = variants.groupBy("term").agg(F.count("*").alias("n"), F.slice(F.sort_array(F.collect_set("word")), 1, BENIGN).alias("words")).collect()
-    exact = frozenset(r["term"] for r in by_term if r["n"] > BENIGN)
-    model = Model(model.weights, frozenset(w for r in by_term if r["term"] not in exact for w in r["words"]), exact)
+    # At most the distinct words of the sample; all of them, so that no term loses its misspellings.
+    benign = frozenset(r["word"] for r in variants.where("clean > bad").select("word").distinct().collect())
+    sides = variants.groupBy("term").agg(F.count_if(F.expr("clean > bad")).alias("benign"), F.count_if(F.expr("clean <= bad")).alias("abuse"))
+    trust = {r["term"]: (1 + r["abuse"]) / (1 + r["abuse"] + r["benign"]) for r in sides.where("benign > 0").collect()}
+    model = Model(model.weights, benign, trust=trust)
     pairs = _features(training, model).select("toxic", "total", "most").toPandas()
     if len(pairs):
         y = pairs["toxic"].to_numpy(float)

@@ -57,6 +57,32 @@ def test_misspelled_terms_are_caught_and_quotations_weigh_less(spark, model):
     assert quoted < plain
 
 
+def test_terms_with_many_benign_neighbours_keep_their_misspellings(spark):
+    neighbours = ["lower", "loses", "closer", "poser", "lover"]
+    filler = [f"f{chr(97 + k % 26)}{k}" for k in range(400)]
+    rows = []
+    for k in range(600):
+        words = [filler[(k * 7 + j * 13) % 400] for j in range(12)]
+        rows.append((k, " ".join([*words[:6], "loser" if k % 3 == 0 else neighbours[k % 5], *words[6:]]), int(k % 3 == 0)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    model = train(docs.select("doc_id", "text"), docs.select("doc_id", "toxic"))
+    assert "loser" in model.weights
+    assert set(neighbours) <= model.benign
+    assert [h[:3] for h in model.hits("a loserr here")] == [("loserr", "loser", 1)]
+    assert model.hits("a closer lower poser") == []
+
+
+def test_lexicon_holds_all_significant_terms(spark):
+    terms = [f"bad{chr(97 + k // 26)}{chr(97 + k % 26)}" for k in range(420)]
+    rows = []
+    for k in range(150):  # toxic texts hold the terms in different orders: near copies count once
+        words = sorted(terms, key=lambda t: hash((k, *map(ord, t)))) if k % 3 == 0 else ["good", f"x{k}"]
+        rows.append((k, f"u{k} v{k} " + " ".join(words), int(k % 3 == 0)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    model = train(docs.select("doc_id", "text"), docs.select("doc_id", "toxic"))
+    assert set(terms) <= set(model.weights)
+
+
 def test_query_columns(spark, sf, documents):
     found = op3_toxicity(spark, sf)
     assert found.columns[:4] == ["doc_id", "held_out", "score", "predicted"]
