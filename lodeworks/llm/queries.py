@@ -17,6 +17,7 @@ from lodeworks.llm import (
     top_scores,
     toxicity,
     vector_links,
+    whitening,
 )
 from lodeworks.llm.common import held_out, table
 
@@ -92,6 +93,10 @@ def op10_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "source", "lang", "text", "mix_copy", "mix_key")
 
 
+def op13_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
 OP6_SQL = """
     WITH vectors AS (
         SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
@@ -181,4 +186,5 @@ QUERIES = {
     "op8_chat_windows": (op8_chat_windows, None),
     "op9_substring_dedup": (op9_substring_dedup, None),
     "op10_source_mixing": (op10_source_mixing, OP10_SQL),
+    "op13_embedding_whitening": (op13_embedding_whitening, None),
 }
