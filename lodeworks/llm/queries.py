@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from lodeworks.llm import (
     chat,
+    filter_audit,
     licences,
     mixing,
     near_duplicates,
@@ -93,6 +94,10 @@ def op10_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "source", "lang", "text", "mix_copy", "mix_key")
 
 
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op13_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.whiten(table(spark, sf_dir, "embeddings"))
 
@@ -175,6 +180,44 @@ OP10_SQL = """
            md5('17:order:' || CAST(d.doc_id AS VARCHAR) || ':' || CAST(c.k AS VARCHAR)) AS mix_key
     FROM documents d JOIN (SELECT doc_id, unnest(generate_series(1, n)) AS k FROM copies) c USING (doc_id)"""
 
+OP11_SQL = r"""
+    WITH docs AS (SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t FROM documents),
+    words AS (SELECT *, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS w FROM docs),
+    marks AS (SELECT doc_id, bool_or(quality = 1) AS good, bool_or(toxic = 1) AS toxic FROM labels GROUP BY doc_id),
+    failed AS (
+        SELECT part, coalesce(good, false) AS good, coalesce(toxic, false) AS toxic,
+               CAST(len(w) < 100 AS INTEGER) + 2 * CAST(100 * len(list_distinct(w)) < 80 * len(w) AS INTEGER)
+               + 4 * CAST(100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 10 * length(t) AS INTEGER)
+               + 8 * CAST(regexp_matches(t, '[#$%&*|]') AS INTEGER)
+               + 16 * CAST(coalesce(doc_id > min(doc_id) OVER (PARTITION BY t), false) AS INTEGER) AS fails
+        FROM words LEFT JOIN marks USING (doc_id)),
+    counted AS (
+        SELECT part, fails, count(*) AS n, count(*) FILTER (WHERE good) AS n_good, count(*) FILTER (WHERE toxic) AS n_toxic
+        FROM failed GROUP BY part, fails),
+    letters(l, bit) AS (VALUES ('A', 1), ('B', 2), ('C', 4), ('D', 8), ('E', 16)),
+    orders AS (
+        SELECT p.l || q.l || r.l || s.l || t.l AS filter_order, [p.bit, q.bit, r.bit, s.bit, t.bit] AS bits
+        FROM letters p, letters q, letters r, letters s, letters t
+        WHERE p.bit + q.bit + r.bit + s.bit + t.bit = 31 AND (p.bit | q.bit | r.bit | s.bit | t.bit) = 31),
+    steps AS (
+        SELECT filter_order, CAST(step AS INTEGER) AS step, bits[step] AS own,
+               CAST(coalesce(list_sum(bits[1:step - 1]), 0) AS INTEGER) AS earlier
+        FROM orders, generate_series(1, 5) AS g(step)),
+    sums AS (
+        SELECT part, filter_order, step, own,
+               sum(n) FILTER (WHERE (fails & (earlier | own)) = 0) AS kept,
+               sum(n) FILTER (WHERE (fails & earlier) = 0 AND (fails & own) > 0) AS removed,
+               sum(n) FILTER (WHERE (fails & earlier) > 0 AND (fails & own) > 0) AS redundant,
+               sum(n) FILTER (WHERE fails = own) AS unique_fails,
+               sum(n_good) FILTER (WHERE (fails & earlier) = 0 AND (fails & own) > 0) AS good_lost,
+               sum(n_toxic) FILTER (WHERE (fails & earlier) = 0 AND (fails & own) > 0) AS toxic_lost
+        FROM counted, steps GROUP BY part, filter_order, step, own)
+    SELECT part, filter_order, step, CAST(coalesce(kept, 0) AS BIGINT) AS kept, CAST(coalesce(removed, 0) AS BIGINT) AS removed,
+           CAST(coalesce(redundant, 0) AS BIGINT) AS redundant, CAST(coalesce(unique_fails, 0) AS BIGINT) AS unique_fails,
+           CAST(coalesce(good_lost, 0) AS BIGINT) AS good_lost, CAST(coalesce(toxic_lost, 0) AS BIGINT) AS toxic_lost,
+           CAST(sum(coalesce(removed, 0)) OVER (PARTITION BY part, own) AS BIGINT) AS shapley
+    FROM sums"""
+
 QUERIES = {
     "op1_license_scan": (op1_license_scan, _op1_sql()),
     "op2_embedding_links": (op2_embedding_links, None),
@@ -186,5 +229,6 @@ QUERIES = {
     "op8_chat_windows": (op8_chat_windows, None),
     "op9_substring_dedup": (op9_substring_dedup, None),
     "op10_source_mixing": (op10_source_mixing, OP10_SQL),
+    "op11_filter_audit": (op11_filter_audit, OP11_SQL),
     "op13_embedding_whitening": (op13_embedding_whitening, None),
 }
