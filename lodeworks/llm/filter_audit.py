@@ -25,13 +25,13 @@ from __future__ import annotations
 
 import hashlib
 import itertools
-from collections import Counter, defaultdict
 from collections.abc import Iterator
+from functools import partial
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-import xxhash
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -40,124 +40,139 @@ from pyspark.sql.types import ArrayType, StructField, StructType
 from lodeworks.llm.common import stage
 
 FILTERS = "ABCDE"
-SHARD_BYTES = 16 << 20  # of text; a longer text is a shard of its own
+SHARD_BYTES = 4 << 20  # of text, about; longer texts are shards of their own
 BUCKET_WORDS = 500_000  # shard words that one task numbers, about
 _CAPITALS = bytes(range(ord("A"), ord("Z") + 1))
 _FOLLOWING = bytes(range(0x80, 0xC0))  # bytes of UTF-8 that start no code point
 _MARKS = b"#$%&*|"
 _MEASURES = [("points", pa.int64()), ("capitals", pa.int64()), ("marked", pa.bool_()), ("digest", pa.binary())]
 _MEASURED = "points long, capitals long, marked boolean, digest binary"
+_PIECES = pa.schema(
+    [("bucket", pa.int32()), ("shard", pa.int64()), ("own", pa.list_(pa.int32())), ("words", pa.list_(pa.string()))]
+)
 _COUNTS = ["kept", "removed", "redundant", "unique_fails", "good_lost", "toxic_lost"]
 
 
-class _Shard:
-    """Rows of a shard in the making, with a dictionary of its own."""
-
-    def __init__(self) -> None:
-        self.words: dict[bytes, int] = defaultdict(itertools.count().__next__)
-        self.terms: list[np.ndarray] = []
-        self.counts: list[np.ndarray] = []
-        self.measures: list[tuple] = []
-        self.kept: list[pa.RecordBatch] = []
-        self.size = 0
-
-    def add(self, text: bytes) -> None:
-        counts = Counter(text.split())
-        self.terms.append(np.fromiter(map(self.words.__getitem__, counts), np.int32, len(counts)))
-        self.counts.append(np.fromiter(counts.values(), np.int32, len(counts)))
-        self.measures.append(
-            (
-                len(text.translate(None, _FOLLOWING)),
-                len(text) - len(text.translate(None, _CAPITALS)),
-                len(text.translate(None, _MARKS)) < len(text),
-                hashlib.blake2b(text, digest_size=16).digest(),
-            )
-        )
-        self.size += len(text)
-
-
 def _one_row(values: pa.Array | pa.ChunkedArray) -> pa.Array:
     flat = values.combine_chunks() if isinstance(values, pa.ChunkedArray) else values
     return pa.ListArray.from_arrays(pa.array([0, len(flat)], pa.int32()), flat)
 
 
+def _lists(lengths: np.ndarray, values: pa.Array) -> pa.Array:
+    return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(lengths)]), pa.int32()), values)
+
+
+def sparse_rows(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, pa.Array]:
+    """The words of texts: starts of the rows, terms and counts of their entries, and the words that terms stand for."""
+    words = pc.ascii_split_whitespace(texts)
+    coded = words.flatten().dictionary_encode()
+    rows = np.repeat(np.arange(len(texts)), words.value_lengths().to_numpy())
+    terms, known = coded.indices.to_numpy().astype(np.int64), coded.dictionary
+    empty = pc.index(known, "").as_py()  # white space at an end of a text makes an empty word
+    if empty >= 0:
+        real = terms != empty
+        rows, terms = rows[real], terms[real]
+        terms -= terms > empty
+        known = known.filter(pc.not_equal(known, ""))
+    entries = rows * len(known) + terms
+    entries.sort()
+    first = np.flatnonzero(np.concatenate([[True] * (len(entries) > 0), entries[1:] != entries[:-1]]))
+    counts = np.diff(np.concatenate([first, [len(entries)]])).astype(np.int32)
+    starts = np.searchsorted(entries[first], np.arange(len(texts) + 1) * len(known))
+    return starts, (entries[first] % max(len(known), 1)).astype(np.int32), counts, known
+
+
+def _measures(text: bytes) -> tuple[int, int, bool, bytes]:
+    return (
+        len(text.translate(None, _FOLLOWING)),
+        len(text) - len(text.translate(None, _CAPITALS)),
+        len(text.translate(None, _MARKS)) < len(text),
+        hashlib.blake2b(text, digest_size=16).digest(),
+    )
+
+
 def _local_shards(names: list[str]):
     """Shards of the documents of a task: kept columns and measures as lists, sparse rows, dictionary."""
 
+    def shard(number: int, rows: pa.RecordBatch) -> pa.RecordBatch:
+        texts = rows.column("text")
+        measures = zip(*map(_measures, texts.cast(pa.binary()).to_pylist()), strict=True)
+        starts, terms, counts, words = sparse_rows(texts)
+        columns = [pa.array([number], pa.int64()), *(_one_row(rows.column(name)) for name in names)]
+        columns += [_one_row(pa.array(values, kind)) for values, (_, kind) in zip(measures, _MEASURES, strict=True)]
+        columns += [_one_row(x if isinstance(x, pa.Array) else pa.array(x)) for x in (starts, terms, counts, words)]
+        labels = ["shard", *names, *(m for m, _ in _MEASURES), "starts", "terms", "counts", "words"]
+        return pa.RecordBatch.from_arrays(columns, labels)
+
     def shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number = itertools.count(TaskContext.get().partitionId() << 33)
-
-        def finished(shard: _Shard) -> pa.RecordBatch:
-            kept = pa.Table.from_batches(shard.kept)
-            starts = np.concatenate([[0], np.cumsum([len(t) for t in shard.terms])])
-            columns = [pa.array([next(number)], pa.int64())]
-            columns += [_one_row(kept.column(name)) for name in names]
-            columns += [
-                _one_row(pa.array(values, kind))
-                for values, (_, kind) in zip(zip(*shard.measures, strict=True), _MEASURES, strict=True)
-            ]
-            columns += [
-                _one_row(pa.array(starts, pa.int64())),
-                _one_row(pa.array(np.concatenate(shard.terms))),
-                _one_row(pa.array(np.concatenate(shard.counts))),
-                _one_row(pa.array(list(shard.words), pa.binary())),
-            ]
-            labels = ["shard", *names, *(m for m, _ in _MEASURES), "starts", "terms", "counts", "words"]
-            return pa.RecordBatch.from_arrays(columns, labels)
-
-        shard = _Shard()
         for batch in batches:
-            texts = batch.column("text").cast(pa.binary())
-            rest = batch.drop_columns(["text"])
-            first = 0
-            for k in range(len(texts)):
-                shard.add(texts[k].as_py())
-                if shard.size >= SHARD_BYTES:
-                    shard.kept.append(rest.slice(first, k + 1 - first))
-                    yield finished(shard)
-                    shard, first = _Shard(), k + 1
-            if first < len(texts):
-                shard.kept.append(rest.slice(first))
-        if shard.kept:
-            yield finished(shard)
+            sizes = np.cumsum(pc.binary_length(batch.column("text")).to_numpy(zero_copy_only=False), dtype=np.int64)
+            cuts = np.flatnonzero(np.diff(sizes // SHARD_BYTES)) + 1
+            for start, end in itertools.pairwise([0, *cuts.tolist(), len(batch)]):
+                if start < end:
+                    yield shard(next(number), batch.slice(start, end - start))
 
     return shards
 
 
+def _buckets(words: pa.Array, buckets: int) -> np.ndarray:
+    """A bucket for each word, the same wherever the word comes from."""
+    lengths = pc.binary_length(words).to_numpy(zero_copy_only=False).astype(np.int64)
+    ends = np.cumsum(lengths)
+    data = np.frombuffer(b"".join(words.cast(pa.binary()).to_pylist()), np.uint8)
+    place = np.arange(len(data)) - np.repeat(ends - lengths, lengths)
+    factors = np.random.default_rng(0).integers(1, 1 << 62, 64, dtype=np.uint64)
+    value = np.add.reduceat((data.astype(np.uint64) + np.uint64(1)) * factors[place & 63], ends - lengths)
+    return ((value ^ (value >> np.uint64(31))) % np.uint64(buckets)).astype(np.int32)
+
+
 def _by_bucket(buckets: int):
     """The dictionary of each shard in pieces, by a hash of the word."""
 
-    def pieces(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for shard, words in zip(batch["shard"], batch["words"], strict=True):
-                if not len(words):
+            for shard, words in zip(batch.column("shard").to_pylist(), batch.column("words"), strict=True):
+                if not len(words.values):
                     continue
-                bucket = np.fromiter((xxhash.xxh3_64_intdigest(w) % buckets for w in words), np.int32, len(words))
-                order = np.argsort(bucket, kind="stable")
-                found, firsts = np.unique(bucket[order], return_index=True)
-                parts = np.split(order.astype(np.int32), firsts[1:])
-                yield pd.DataFrame({"bucket": found, "shard": shard, "own": parts, "words": [words[p] for p in parts]})
+                bucket = _buckets(words.values, buckets)
+                order = np.argsort(bucket, kind="stable").astype(np.int32)
+                found, lengths = np.unique(bucket, return_counts=True)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(found),
+                        pa.array(np.full(len(found), shard, np.int64)),
+                        _lists(lengths, pa.array(order)),
+                        _lists(lengths, words.values.take(pa.array(order))),
+                    ],
+                    ["bucket", "shard", "own", "words"],
+                )
 
     return pieces
 
 
-def _numbered(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Numbers the words of a task from 0 as they come; *fresh* are those that come for the first time."""
-    numbers: dict[bytes, int] = {}
+def _numbered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Numbers the words of a bucket from 0; a last row, without shard, has them in that order."""
+    rows = pa.Table.from_batches(list(batches), _PIECES).combine_chunks()
+    if not len(rows):
+        return
     part = TaskContext.get().partitionId()
-    for batch in batches:
-        own, slots, fresh = [], [], []
-        for piece in batch["words"]:
-            before = len(numbers)
-            slots.append(np.fromiter((numbers.setdefault(w, len(numbers)) for w in piece), np.int64, len(piece)))
-            fresh.append(list(itertools.islice(reversed(numbers), len(numbers) - before))[::-1])
-            own.append(before)
-        yield pd.DataFrame(
-            {"part": part, "shard": batch["shard"], "own": batch["own"], "slots": slots, "before": own, "fresh": fresh}
-        )
+    words = rows.column("words").combine_chunks()
+    coded = words.flatten().dictionary_encode()
+    slots = _lists(words.value_lengths().to_numpy(), coded.indices.cast(pa.int64()))
+    own = rows.column("own").combine_chunks()
+    names = ["part", "shard", "own", "slots", "known"]
+    numbers = pa.array(np.full(len(rows), part, np.int32))
+    yield pa.RecordBatch.from_arrays(
+        [numbers, rows.column("shard").combine_chunks(), own, slots, pa.nulls(len(rows), pa.list_(pa.string()))], names
+    )
+    yield pa.RecordBatch.from_arrays(
+        [pa.array([part], pa.int32()), pa.nulls(1, pa.int64()), pa.nulls(1, own.type), pa.nulls(1, slots.type), _one_row(coded.dictionary)],
+        names,
+    )
 
 
-def _remapped(names: list[str], bases: dict[int, int], batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _remapped(bases: dict[int, int], batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
         terms = []
         for local, pieces in zip(batch["terms"], batch["pieces"], strict=True):
@@ -183,35 +198,37 @@ def term_matrix(docs: DataFrame, keep: dict[str, Column]) -> tuple[DataFrame, Da
     schema = StructType(
         StructType.fromDDL("shard long").fields
         + [StructField(f.name, ArrayType(f.dataType)) for f in [*wanted.schema.fields[1:], *measured.fields]]
-        + StructType.fromDDL("starts array<long>, terms array<int>, counts array<int>, words array<binary>").fields
+        + StructType.fromDDL("starts array<long>, terms array<int>, counts array<int>, words array<string>").fields
     )
     local = stage(wanted.mapInArrow(_local_shards(names), schema), "shards")
 
     total = local.agg(F.sum(F.size("words").cast("long"))).first()[0] or 0
     buckets = -(-total // BUCKET_WORDS) or 1
-    pieces = local.select("shard", "words").mapInPandas(
-        _by_bucket(buckets), "bucket int, shard long, own array<int>, words array<binary>"
+    pieces = local.select("shard", "words").mapInArrow(
+        _by_bucket(buckets), "bucket int, shard long, own array<int>, words array<string>"
     )
     coded = stage(
-        pieces.repartitionById(buckets, "bucket").mapInPandas(
-            _numbered, "part int, shard long, own array<int>, slots array<long>, before long, fresh array<binary>"
+        pieces.repartitionById(buckets, "bucket").mapInArrow(
+            _numbered, "part int, shard long, own array<int>, slots array<long>, known array<string>"
         ),
         "terms",
     )
-    sizes = coded.groupBy("part").agg(F.sum(F.size("fresh")).alias("n")).orderBy("part").collect()  # a row a bucket
-    bases = dict(zip((r["part"] for r in sizes), itertools.accumulate((r["n"] for r in sizes), initial=0), strict=False))
+    known = coded.where("shard IS NULL")
+    sizes = sorted((r["part"], r["n"]) for r in known.select("part", F.size("known").alias("n")).collect())  # a row a bucket
+    bases = dict(zip((p for p, _ in sizes), itertools.accumulate((n for _, n in sizes), initial=0), strict=False))
 
     base = spark.createDataFrame(list(bases.items()), "part int, base long")
     dictionary = (
-        coded.join(base, "part")
-        .select((F.col("base") + F.col("before")).alias("first"), F.posexplode("fresh").alias("at", "word"))
-        .select((F.col("first") + F.col("at")).alias("term"), F.col("word").cast("string").alias("word"))
+        known.join(base, "part")
+        .select("base", F.posexplode("known").alias("at", "word"))
+        .select((F.col("base") + F.col("at")).alias("term"), "word")
+    )
+    by_shard = (
+        coded.where("shard IS NOT NULL").groupBy("shard").agg(F.collect_list(F.struct("part", "own", "slots")).alias("pieces"))
     )
-    by_shard = coded.groupBy("shard").agg(F.collect_list(F.struct("part", "own", "slots")).alias("pieces"))
     numeric = local.select("shard", "starts", "terms", "counts").join(by_shard, "shard", "left")
     shards = numeric.withColumn("pieces", F.coalesce("pieces", F.array())).mapInPandas(
-        lambda batches: _remapped(names, bases, batches),
-        "shard long, starts array<long>, terms array<long>, counts array<int>",
+        partial(_remapped, bases), "shard long, starts array<long>, terms array<long>, counts array<int>"
     )
     return dictionary, shards, local.drop("starts", "terms", "counts", "words")
 
