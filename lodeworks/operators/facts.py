@@ -7,7 +7,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 
-from lodeworks.operators.keys import assign_batch_keys, assign_keys
+from lodeworks.operators.keys import assign_batch_keys, assign_keys, count_cells
 
 
 @dataclass(frozen=True)
@@ -46,16 +46,18 @@ def fact_history(
     lookups: Sequence[Lookup],
     surrogate_key: str,
     columns: Sequence[str],
-    sizes: Mapping[int, int],
-    identity: Sequence[str],
+    row_hash: Column,
     batch: str = "edition_seq",
     start: int = 0,
+    counts: Mapping[tuple[int, int], int] | None = None,
 ) -> DataFrame:
     """Facts of all batches at once, numbered batch by batch.
 
     Lookups into versioned dimensions use the batch number beside the natural key, so each fact
-    gets the version that was current when its batch was loaded. *sizes* are the row counts of the
-    batches, and *identity* the event columns that facts are made of.
+    gets the version that was current when its batch was loaded. Facts are numbered by the *row_hash*
+    of their events; *counts* is its histogram by batch and cell, which is taken here if not given.
     """
+    if counts is None:
+        counts = count_cells(events, batch, row_hash)
     facts = resolve_keys(events, lookups)
-    return assign_batch_keys(facts, surrogate_key, batch, sizes, identity, start, columns)
+    return assign_batch_keys(facts, surrogate_key, batch, counts, row_hash, start, columns)

@@ -32,18 +32,19 @@ _DATE = "load_date"
 class Scd2Result:
     """The outcome of type 2 batches.
 
-    *closed* are the versions that were closed before and stay as they are, *touched* all others:
-    new ones, open ones, and those closed now. *bindings* tell which version was current for each
-    natural key and batch.
+    *closed* are the versions that were closed before, *kept* those that were open and stay open, and
+    *changed* all others: new ones, and those closed now. *bindings* tell which version was current
+    for each natural key and batch.
     """
 
     closed: DataFrame | None
-    touched: DataFrame
+    kept: DataFrame | None
+    changed: DataFrame
     bindings: DataFrame | None
 
     @property
     def dimension(self) -> DataFrame:
-        return _union([self.closed, self.touched])
+        return _union([self.closed, self.kept, self.changed])
 
 
 def _valid_row(natural_key: str, by_key) -> Column:
@@ -132,6 +133,23 @@ def scd1_history(
     Other columns keep the value from the first appearance. A tracked column that the snapshots
     lack is left alone. New keys are numbered by first appearance, then natural key.
     """
+    unchanged, changed = scd1_changes(snapshots, natural_key, tracked, surrogate_key, existing, batch)
+    return _union([unchanged, changed])
+
+
+def scd1_changes(
+    snapshots: DataFrame,
+    natural_key: str,
+    tracked: Sequence[str],
+    surrogate_key: str | None = None,
+    existing: DataFrame | None = None,
+    batch: str = _BATCH,
+    last_key: int | None = None,
+) -> tuple[DataFrame | None, DataFrame]:
+    """The existing rows that stay as they are, and the new and overwritten ones.
+
+    New keys follow *last_key*, by default the largest one among the existing rows.
+    """
     incoming = snapshots.withColumnRenamed(batch, "_seq")
     overwritten = [name for name in tracked if name in incoming.columns]
     before = None if existing is None else existing.withColumn("_seq", F.lit(0))
@@ -139,31 +157,36 @@ def scd1_history(
 
     by_key = Window.partitionBy(natural_key).orderBy("_seq")
     whole_key = by_key.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    latest = F.last(F.struct(*overwritten)).over(whole_key) if overwritten else F.lit(None)
+    own = F.struct(*overwritten) if overwritten else F.lit(None)
     merged = (
         rows.withColumns(
             {
                 "_valid": _valid_row(natural_key, by_key),
                 "_rank": F.row_number().over(by_key),
-                "_latest": latest,
+                "_latest": F.last(own).over(whole_key) if overwritten else own,
             }
         )
         .filter(F.col("_valid") & (F.col("_rank") == 1))
+        .withColumn("_changed", (F.col("_seq") > 0) | ~own.eqNullSafe(F.col("_latest")))
         .withColumns({name: F.col(f"_latest.{name}") for name in overwritten})
         .drop("_valid", "_rank", "_latest")
     )
+    columns = [name for name in merged.columns if name not in ("_seq", "_changed", surrogate_key)]
     if surrogate_key is None:
-        return merged.drop("_seq")
+        if existing is None:
+            return None, merged.select(columns)
+        return merged.filter(~F.col("_changed")).select(columns), merged.filter("_changed").select(columns)
 
-    columns = [name for name in merged.columns if name not in ("_seq", surrogate_key)]
     order = ["_seq", natural_key]
     if existing is None:
-        return assign_keys(merged, surrogate_key, order, 0, columns)
+        return None, assign_keys(merged, surrogate_key, order, 0, columns)
     merged = stage(merged, "scd1")
     missing = F.col(surrogate_key).isNull()
-    start = max_key(existing, surrogate_key)
+    start = max_key(existing, surrogate_key) if last_key is None else last_key
     keyed = assign_keys(merged.filter(missing), surrogate_key, order, start, columns)
-    return _union([merged.filter(~missing).drop("_seq"), keyed])
+    known = merged.filter(~missing)
+    overwritten_rows = known.filter("_changed").drop("_seq", "_changed")
+    return known.filter(~F.col("_changed")).drop("_seq", "_changed"), _union([overwritten_rows, keyed])
 
 
 def scd1_merge(
@@ -231,6 +254,7 @@ def scd2_versions(
     load_date: str = _DATE,
     bind: bool = True,
     always_open: bool = False,
+    last_key: int | None = None,
 ) -> Scd2Result:
     """Versions over all batches, on top of an existing dimension if there is one.
 
@@ -241,6 +265,7 @@ def scd2_versions(
     With *bind*, also returns the surrogate key that was current for each (natural key, batch).
     A key that has only closed versions stays closed. With *always_open* there are no such keys (no
     merge makes them), and the keys of closed versions need not be brought together with the rest.
+    New surrogate keys follow *last_key*, by default the largest one among the existing versions.
     """
     missing = [name for name in tracked if name not in snapshots.columns]
     if missing:
@@ -278,9 +303,13 @@ def scd2_versions(
     if existing is not None:
         kept = started.filter(F.col("_seq") == 0).select(surrogate_key, *columns)
         started = started.filter(F.col("_seq") > 0)
-    start = max_key(existing, surrogate_key)
+    start = max_key(existing, surrogate_key) if last_key is None else last_key
     fresh = assign_keys(started, surrogate_key, ["_seq", "_new", natural_key], start, columns)
     versions = _union([kept, fresh])
+    changed = fresh
+    if existing is not None:
+        changed = _union([kept.filter(~F.col("is_current")), fresh])
+        kept = kept.filter("is_current").drop("_version")
 
     bindings = None
     if bind:
@@ -290,7 +319,7 @@ def scd2_versions(
             .join(versions.select(natural_key, "_version", surrogate_key), [natural_key, "_version"])
             .drop("_version")
         )
-    return Scd2Result(closed, versions.drop("_version"), bindings)
+    return Scd2Result(closed, kept, changed.drop("_version"), bindings)
 
 
 def scd2_history(

@@ -9,7 +9,7 @@ from datetime import date
 from typing import TypeVar
 
 from pyspark import inheritable_thread_target
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import (
     DateType,
@@ -28,13 +28,13 @@ from lodeworks.functions.columns import (
 )
 from lodeworks.operators.dedupe import keep_first
 from lodeworks.operators.facts import Lookup, fact_history, load_facts
-from lodeworks.operators.keys import assign_keys, max_key
+from lodeworks.operators.keys import assign_keys, hash_cell, max_key
 from lodeworks.operators.lineage import Step, log_steps, read_lineage, utc_now
 from lodeworks.operators.quality import enforce_constraints, run_checks
 from lodeworks.operators.scd import (
     classify_changes,
     scd0_additions,
-    scd1_history,
+    scd1_changes,
     scd2_versions,
 )
 from lodeworks.plans.cleaning import (
@@ -46,7 +46,7 @@ from lodeworks.plans.cleaning import (
 )
 from lodeworks.plans.specs import RESULTS_STAR, DimensionSpec, StarSpec
 from lodeworks.schemas import PIPELINE_LINEAGE, conform
-from lodeworks.sources.gold import Gold
+from lodeworks.sources.gold import NO_LOADS, Gold, Loads, Merged
 from lodeworks.sources.tables import append_rows, freed_after, ingest_csv, stage
 
 T = TypeVar("T")
@@ -54,6 +54,7 @@ R = TypeVar("R")
 
 _BATCH = "edition_seq"
 _DATE = "load_date"
+_CELL = "_cell"
 _LOADED = "editions_loaded"
 _LOADED_SCHEMA = StructType(
     [
@@ -73,24 +74,40 @@ class ChangedEditionError(Exception):
     """A loaded edition has other rows than those that were loaded."""
 
 
-def edition_contents(events: DataFrame, spec: StarSpec) -> DataFrame:
-    """Per edition its first year, row count and content: the sum of the hashes of its rows.
+def _row_hash(events: DataFrame) -> Column:
+    """The hash by which facts are numbered. It covers all columns of the events, so that events
+    which give equal facts are still dealt out evenly."""
+    return F.xxhash64(*(name for name in sorted(events.columns) if name not in (_BATCH, _DATE)))
 
-    The hash covers the columns that the star uses. Sums do not depend on the order of rows, and those
-    of several loads of an edition add up.
+
+def edition_cells(events: DataFrame, spec: StarSpec) -> DataFrame:
+    """Per edition and cell of row hashes: first year, row count and content, the sum of content hashes.
+
+    The content hash covers the columns that the star uses. Sums do not depend on the order of rows, and
+    those of several loads of an edition add up. The cells are the histogram by which facts are numbered.
     """
     used = {spec.edition, spec.year, *spec.fact.measures, *spec.fact.order}
     for dim in spec.dimensions:
         if dim.source == "events":
             used.update([*dim.columns, *dim.order])
     row_hash = F.xxhash64(*(name for name in sorted(used) if name in events.columns))
-    return events.groupBy(spec.edition).agg(
+    cell = hash_cell(_row_hash(events))
+    return events.groupBy(spec.edition, cell.alias(_CELL)).agg(
         F.min(spec.year).alias("_year"),
         F.count(F.lit(1)).alias("row_count"),
         F.sum(row_hash.cast("decimal(38,0)")).alias("content"),
     )
 
 
+def edition_contents(cells: DataFrame, spec: StarSpec) -> DataFrame:
+    """The sums of edition_cells() per edition."""
+    return cells.groupBy(spec.edition).agg(
+        F.min("_year").alias("_year"),
+        F.sum("row_count").alias("row_count"),
+        F.sum("content").alias("content"),
+    )
+
+
 def _in_order(found: DataFrame, spec: StarSpec) -> DataFrame:
     dated = found.withColumns(
         {"order_key": edition_order_key(F.col(spec.edition)), _DATE: load_date_of(F.col("_year"))}
@@ -106,7 +123,7 @@ def list_editions(
     One row per edition that is not among the *loaded* ones: label, batch number from 1, load date
     (January 1 of its first year), row count.
     """
-    found = edition_contents(events, spec).drop("content")
+    found = edition_contents(edition_cells(events, spec), spec).drop("content")
     if loaded is not None:
         found = found.join(loaded, spec.edition, "left_anti")
     return _in_order(found, spec)
@@ -126,42 +143,65 @@ def dimension_snapshots(rows: DataFrame, dim: DimensionSpec) -> DataFrame:
     return first.select(*(F.col(name).alias(gold) for name, gold in dim.columns.items()), _BATCH, _DATE)
 
 
-def read_dimension(gold: Gold, dim: DimensionSpec) -> DataFrame:
-    """The published rows of a dimension."""
-    readers = {0: gold.read_all, 1: gold.read_latest, 2: gold.read_versions}
-    return readers[dim.scd_type](dim.table, dim.schema)
+def merged_table(dim: DimensionSpec) -> Merged:
+    """How a dimension of type 1 or 2 is stored: deltas by surrogate key."""
+    partition_by = ("is_current",) if dim.scd_type == 2 else ()
+    return Merged(dim.table, dim.schema, dim.surrogate_key, partition_by)
+
+
+def read_dimension(gold: Gold, dim: DimensionSpec, loads: Loads | None = None) -> DataFrame:
+    """The published rows of a dimension, or those of the given loads."""
+    if dim.scd_type == 0:
+        return gold.read_all(dim.table, dim.schema, loads)
+    return gold.read_merged(merged_table(dim), loads)
+
+
+def compact(gold: Gold, spec: StarSpec = RESULTS_STAR) -> int | None:
+    """Write the dimensions that are stored as deltas anew; returns the load, or nothing if there is one only."""
+    return gold.compact([merged_table(dim) for dim in spec.dimensions if dim.scd_type != 0])
+
+
+def remove_superseded(gold: Gold, spec: StarSpec = RESULTS_STAR) -> list[str]:
+    """Delete what no reader of the published tables needs: see Gold.remove_superseded()."""
+    added = [dim.table for dim in spec.dimensions if dim.scd_type == 0]
+    merged = [merged_table(dim) for dim in spec.dimensions if dim.scd_type != 0]
+    return gold.remove_superseded([*added, spec.fact.table, _LOADED], merged)
 
 
 def load_dimension(
     snapshots: DataFrame, dim: DimensionSpec, existing: DataFrame | None = None
 ) -> tuple[DataFrame, DataFrame | None]:
-    """The rows that the snapshots make it necessary to write, by the change type of the dimension.
+    """The rows that a load has to write: new ones, and those that it changes.
 
-    These are the new rows for type 0, all rows for type 1, and all but the versions that were
-    closed before for type 2. For type 2 also the (key, batch) bindings.
+    For type 2 also the (key, batch) bindings. Only the existing rows of the snapshots' keys take part.
     """
     nk, sk = dim.natural_key, dim.surrogate_key
     if dim.scd_type == 0:
         return scd0_additions(snapshots.drop(_DATE), nk, sk, existing), None
+    last_key = None
+    if existing is not None:
+        snapshots = stage(snapshots, f"{dim.table}-snapshots")
+        last_key = max_key(existing, sk)
+        existing = existing.join(snapshots.select(nk).distinct(), nk, "left_semi")
     if dim.scd_type == 1:
-        return scd1_history(snapshots.drop(_DATE), nk, dim.tracked, sk, existing), None
+        _, changed = scd1_changes(
+            snapshots.drop(_DATE), nk, dim.tracked, sk, existing, last_key=last_key
+        )
+        return changed, None
     bind = dim.source == "events"
     result = scd2_versions(
-        snapshots, nk, dim.tracked, sk, existing, bind=bind, always_open=True
+        snapshots, nk, dim.tracked, sk, existing, bind=bind, always_open=True, last_key=last_key
     )
-    return result.touched, result.bindings
+    return result.changed, result.bindings
 
 
-def _lookup(
-    dim: DimensionSpec, written: DataFrame, existing: DataFrame | None, bindings: DataFrame | None
-) -> Lookup:
+def _lookup(dim: DimensionSpec, rows: DataFrame, bindings: DataFrame | None) -> Lookup:
+    """How facts find a dimension's keys: by the bindings, or among the *rows* of the dimension."""
     key = F.col(dim.natural_key).alias(dim.source_key)
     if bindings is not None:
         keys = stage(bindings.select(key, _BATCH, dim.surrogate_key), f"{dim.table}-bindings")
         return Lookup(keys, (dim.source_key, _BATCH))
-    rows = current(written) if dim.scd_type == 2 else written
-    if dim.scd_type == 0 and existing is not None:
-        rows = rows.unionByName(existing)
+    rows = current(rows) if dim.scd_type == 2 else rows
     return Lookup(rows.select(key, dim.surrogate_key), (dim.source_key,))
 
 
@@ -173,14 +213,15 @@ def _all_at_once(spark: SparkSession, task: Callable[[T], R], items: Sequence[T]
 
 @dataclass(frozen=True)
 class Batches:
-    """Events that carry ``edition_seq`` and ``load_date``, the date of the first batch, all sizes.
+    """Events that carry ``edition_seq`` and ``load_date``, the date of the first batch.
 
-    *contents* are the row counts and content sums of the editions, as far as the batches hold them.
+    *counts* are the numbers of rows by batch and cell, *contents* the row counts and content sums of the
+    editions, as far as the batches hold them.
     """
 
     events: DataFrame
     first_date: date
-    sizes: Mapping[int, int]
+    counts: Mapping[tuple[int, int], int]
     contents: DataFrame
 
 
@@ -197,33 +238,33 @@ def load_star(
     All batches go through each table together; every table is written once. The regions are one
     full snapshot, dated by the first batch. No load is visible without its lineage.
     """
-    previous = gold.last_load()
-    last = None if rebuild else previous
-    load_id = 1 if previous is None else previous["load_id"] + 1
+    published = gold.loads()
+    loads = NO_LOADS if rebuild else published
+    load_id = 1 if published.last is None else published.last["load_id"] + 1
     events = batches.events
     regions = regions.withColumns({_BATCH: F.lit(1), _DATE: F.lit(batches.first_date)})
 
     def write_dimension(dim: DimensionSpec) -> Lookup:
-        existing = None if last is None else read_dimension(gold, dim)
+        existing = read_dimension(gold, dim, loads) if loads.last else None
         snapshots = dimension_snapshots(events if dim.source == "events" else regions, dim)
         table, bindings = load_dimension(snapshots, dim, existing)
-        written = gold.write_snapshot(
-            dim.table, conform(table, dim.schema), load_id, ["is_current"] if dim.scd_type == 2 else []
-        )
-        enforce_constraints(written, dim.table, primary_key=[dim.surrogate_key])
-        return _lookup(dim, written, existing, bindings)
+        if dim.scd_type == 0:
+            written = gold.write_snapshot(dim.table, conform(table, dim.schema), load_id)
+        else:
+            written = gold.write_delta(merged_table(dim), conform(table, dim.schema), load_id)
+        # Surrogate keys are dense by construction; natural keys come from outside.
+        opened = current(written) if dim.scd_type == 2 else written
+        enforce_constraints(opened, dim.table, primary_key=[dim.natural_key])
+        return _lookup(dim, read_dimension(gold, dim, loads.then(load_id)), bindings)
 
     lookups = _all_at_once(gold.spark, write_dimension, spec.dimensions)
-    start = 0 if last is None else last["last_fact_key"]
+    start = loads.last["last_fact_key"] if loads.last else 0
     facts = _number_facts(spec, batches, lookups, start)
     # Keys are dense and continue from the last one, so they need no uniqueness check.
-    written = gold.write_snapshot(
-        spec.fact.table, conform(facts, spec.fact.schema), load_id, spec.fact.partition_by
-    )
+    gold.write_snapshot(spec.fact.table, conform(facts, spec.fact.schema), load_id, spec.fact.partition_by)
     gold.write_snapshot(_LOADED, conform(batches.contents, _LOADED_SCHEMA), load_id)
-    last_key = start + written.count()
     log()
-    gold.publish(load_id, rebuild or previous is None, last_key)
+    gold.publish(load_id, rebuild or published.last is None, start + sum(batches.counts.values()))
 
 
 def _number_facts(
@@ -238,11 +279,9 @@ def _number_facts(
         return load_facts(
             events, lookups, fact.surrogate_key, columns, [_BATCH, *fact.order], start
         )
-    # All columns of an event take part, so that events which give equal facts are still dealt out evenly.
-    content = [name for name in sorted(batches.events.columns) if name not in (_BATCH, _DATE)]
-    events = events.withColumn("_content", F.xxhash64(*content))
+    events = events.withColumn("_row", _row_hash(batches.events))
     return fact_history(
-        events, lookups, fact.surrogate_key, columns, batches.sizes, ["_content"], _BATCH, start
+        events, lookups, fact.surrogate_key, columns, F.col("_row"), _BATCH, start, batches.counts
     )
 
 
@@ -254,11 +293,7 @@ def _loaded_editions(gold: Gold, spec: StarSpec) -> DataFrame:
     """The editions in gold, with what was loaded of them, in however many loads."""
     dim = spec.dimension(spec.edition_dimension)
     labels = read_dimension(gold, dim).select(F.col(dim.natural_key).alias("edition"))
-    if gold.last_load() is None:
-        sums = gold.spark.createDataFrame([], _LOADED_SCHEMA)
-    else:
-        sums = gold.read_all(_LOADED, _LOADED_SCHEMA)
-    sums = sums.groupBy("edition").agg(
+    sums = gold.read_all(_LOADED, _LOADED_SCHEMA).groupBy("edition").agg(
         F.sum("row_count").alias("loaded_rows"),
         F.sum("content").alias("loaded_content"),
         F.max(_DATE).alias("loaded_date"),
@@ -306,7 +341,7 @@ def _load_regions(
     load_star(
         gold,
         spec,
-        Batches(no_events, day, {1: 0}, no_contents),
+        Batches(no_events, day, {}, no_contents),
         regions,
         lambda: log_steps(gold.spark, gold.lineage_path(), steps),
     )
@@ -330,14 +365,16 @@ def load_batch(
         events, regions = stage(events, "events"), stage(regions, "regions")
         batch = events.withColumns({_BATCH: F.lit(1), _DATE: F.lit(load_date)})
         sizes = {"events": events.count(), "regions": regions.count()}
-        contents = _contents(edition_contents(events, spec), spec, F.lit(load_date))
+        cells = stage(edition_cells(events, spec), "cells")
+        counts = {(1, row[_CELL]): row["n"] for row in cells.groupBy(_CELL).agg(F.sum("row_count").alias("n")).collect()}
+        contents = _contents(edition_contents(cells, spec), spec, F.lit(load_date))
         names = dict(zip(("events", "regions"), source_names))
         sources = [(dim.source, dim.table) for dim in spec.dimensions] + [("events", spec.fact.table)]
         steps = [("gold", names[kind], table, sizes[kind], "success") for kind, table in sources]
         load_star(
             gold,
             spec,
-            Batches(batch, load_date, {1: sizes["events"]}, contents),
+            Batches(batch, load_date, counts, contents),
             regions,
             lambda: log_steps(spark, gold.lineage_path(), steps),
         )
@@ -407,7 +444,8 @@ def _load_editions(
     source_names: tuple[str, str],
     region_date: date | None,
 ) -> int:
-    found = stage(edition_contents(events, spec), "editions")
+    cells = stage(edition_cells(events, spec), "cells")
+    found = edition_contents(cells, spec)
     newest = None
     if incremental:
         loaded = _loaded_editions(gold, spec)
@@ -431,7 +469,10 @@ def _load_editions(
     batches = Batches(
         events.join(editions.select(spec.edition, _BATCH, _DATE), spec.edition),
         min(listed, key=lambda row: row[_BATCH])[_DATE],
-        {row[_BATCH]: row["row_count"] for row in listed},
+        {
+            (row[_BATCH], row[_CELL]): row["row_count"]
+            for row in cells.drop("content").join(editions.select(spec.edition, _BATCH), spec.edition).collect()
+        },
         _contents(editions, spec, F.col(_DATE)),
     )
     load_star(

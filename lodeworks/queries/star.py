@@ -14,12 +14,14 @@ from lodeworks.plans.reports import register_star, top_entities
 from lodeworks.plans.specs import RESULTS_STAR, DimensionSpec, FactSpec, StarSpec
 from lodeworks.plans.star import (
     ChangedEditionError,
+    compact,
     dimension_snapshots,
     list_editions,
     load_batch,
     load_dimension,
     load_editions,
     read_dimension,
+    remove_superseded,
     run_pipeline,
 )
 from lodeworks.queries.tables import (
@@ -240,6 +242,26 @@ def dim_part_increments(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _read_back(_incremented(spark, sf_dir), "dim_part")
 
 
+def _compacted(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A dimension after three increments, before and after its deltas are compacted and the old ones removed."""
+    gold = Gold(spark, staging_path(spark, "gold"))
+    events, places = stage(sales(spark, sf_dir), "sales"), nations(spark, sf_dir)
+    for last in (SPLIT_YEAR - 1, SPLIT_YEAR, 9999):
+        load_editions(spark, events.filter(F.col("order_year") <= last), places, gold.path, True, SALES_STAR)
+    before = stage(_read_back(gold, name).withColumn("state", F.lit("before")), "before")
+    compact(gold, SALES_STAR)
+    remove_superseded(gold, SALES_STAR)
+    return before.unionByName(_read_back(gold, name).withColumn("state", F.lit("after")))
+
+
+def dim_customer_compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _compacted(spark, sf_dir, "dim_customer")
+
+
+def dim_part_compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _compacted(spark, sf_dir, "dim_part")
+
+
 def increment_late_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Some lines of loaded years come late: the increment refuses them, a batch adds them, then nothing is left to do."""
     gold = Gold(spark, staging_path(spark, "gold"))
@@ -500,6 +522,8 @@ _ATHLETES_SQL = versions_sql(
     "DATE '2000-01-01'",
 )
 
+_BOTH_STATES = "SELECT * FROM ({}), (VALUES ('before'), ('after')) AS states(state)"
+
 QUERIES = {
     "raw_to_gold": (
         raw_to_gold,
@@ -602,6 +626,8 @@ QUERIES = {
 QUERIES |= {
     "dim_customer_increments": (dim_customer_increments, QUERIES["dim_customer"][1]),
     "dim_part_increments": (dim_part_increments, QUERIES["dim_part"][1]),
+    "dim_customer_compacted": (dim_customer_compacted, _BOTH_STATES.format(QUERIES["dim_customer"][1])),
+    "dim_part_compacted": (dim_part_compacted, _BOTH_STATES.format(QUERIES["dim_part"][1])),
     "increment_late_rows": (
         increment_late_rows,
         """SELECT CAST(year(o_orderdate) AS VARCHAR) || ' Orders' AS edition, count(*) AS n_lines, count(*) AS n_keys

@@ -1,10 +1,11 @@
 import random
 
+import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from lodeworks.operators import keys
-from lodeworks.operators.keys import assign_batch_keys, assign_keys, max_key
+from lodeworks.operators.keys import assign_batch_keys, assign_keys, count_cells, max_key
 from tests.conftest import rows
 
 
@@ -48,38 +49,56 @@ def batches(spark):
     return spark.range(9000).select(number.alias("b"), "id", (F.col("id") * 3).alias("v"))
 
 
-def test_batch_keys_are_dense_and_follow_the_batches(spark, monkeypatch):
+def keyed_batches(spark, layout=lambda df: df, start=0):
+    source = batches(spark)
+    return assign_batch_keys(layout(source), "sk", "b", count_cells(source, "b", F.xxhash64("id")), F.xxhash64("id"), start)
+
+
+@pytest.fixture()
+def small_parts(monkeypatch):
     monkeypatch.setattr(keys, "ROWS_PER_PART", 700)
-    keyed = assign_batch_keys(batches(spark), "sk", "b", {1: 10, 3: 6000, 4: 2990}, ["id"], 50)
+    monkeypatch.setattr(keys, "LEAST_ROWS", 1)
+
+
+def test_batch_keys_are_dense_and_follow_the_batches(spark, small_parts):
+    keyed = keyed_batches(spark, start=50)
     spans = keyed.groupBy("b").agg(F.min("sk"), F.max("sk"), F.countDistinct("sk"))
     assert rows(spans) == [(1, 51, 60, 10), (3, 61, 6060, 6000), (4, 6061, 9050, 2990)]
     assert keyed.filter("v != id * 3").count() == 0
 
 
-def test_batch_keys_do_not_depend_on_the_layout(spark, monkeypatch):
-    sizes = {1: 10, 3: 6000, 4: 2990}
-    monkeypatch.setattr(keys, "ROWS_PER_PART", 700)
-    one = assign_batch_keys(batches(spark).repartition(5, "v"), "sk", "b", sizes, ["id"])
+def test_batch_keys_do_not_depend_on_the_layout(spark, monkeypatch, small_parts):
+    one = rows(keyed_batches(spark, lambda df: df.repartition(5, "v")))
     monkeypatch.setattr(keys, "ROWS_PER_PART", 10**6)
-    two = assign_batch_keys(batches(spark).coalesce(1), "sk", "b", sizes, ["id"])
-    # Wrong sizes cost balance, not correctness.
-    three = assign_batch_keys(batches(spark), "sk", "b", {1: 1, 3: 1, 4: 5}, ["id"])
-    assert rows(one) == rows(two) == rows(three)
+    monkeypatch.setattr(keys, "LEAST_ROWS", 10**6)
+    assert one == rows(keyed_batches(spark, lambda df: df.coalesce(1)))
 
 
-def test_batch_keys_spread_a_dominant_batch(spark, monkeypatch):
-    monkeypatch.setattr(keys, "ROWS_PER_PART", 700)
-    written = []
-    original = keys.stage
-    monkeypatch.setattr(keys, "stage", lambda df, name: written.append(original(df, name)) or written[-1])
-    assign_batch_keys(batches(spark), "sk", "b", {1: 10, 3: 6000, 4: 2990}, ["id"])
-    sizes = [row["count"] for row in written[0].groupBy("_part").count().collect()]
-    assert len(sizes) == 13
-    assert max(sizes) < 2 * 700
+def test_batch_keys_spread_a_dominant_batch_and_stage_nothing(spark, monkeypatch, small_parts):
+    monkeypatch.setattr(keys, "stage", None)
+    parts = keyed_batches(spark).groupBy(F.spark_partition_id()).count().collect()
+    assert len(parts) == 13
+    assert max(row["count"] for row in parts) < 2 * 700
+
+
+def test_few_rows_stay_in_few_partitions(spark):
+    assert keyed_batches(spark).rdd.getNumPartitions() == 1
+
+
+def test_rows_that_were_not_counted_fail(spark, small_parts):
+    source = batches(spark)
+    counts = count_cells(source.filter("id % 2 = 0"), "b", F.xxhash64("id"))
+    with pytest.raises(Exception, match="not counted"):
+        assign_batch_keys(source, "sk", "b", counts, F.xxhash64("id")).collect()
+
+
+def test_no_rows(spark):
+    none = batches(spark).filter("id < 0")
+    assert assign_batch_keys(none, "sk", "b", count_cells(none, "b", F.xxhash64("id")), F.xxhash64("id")).collect() == []
 
 
 def test_equal_rows_get_different_keys(spark):
     random.seed(3)
     same = spark.createDataFrame([(1, random.choice("ab")) for _ in range(200)], "b int, v string")
-    keyed = assign_batch_keys(same, "sk", "b", {1: 200}, ["v"])
+    keyed = assign_batch_keys(same, "sk", "b", count_cells(same, "b", F.xxhash64("v")), F.xxhash64("v"))
     assert sorted(row["sk"] for row in keyed.collect()) == list(range(1, 201))

@@ -12,13 +12,15 @@ from lodeworks.plans.star import (
     ChangedEditionError,
     LateEditionError,
     load_batch,
+    compact,
     load_editions,
     read_dimension,
+    remove_superseded,
     run_pipeline,
 )
-from lodeworks.schemas import FACT_RESULTS
+from lodeworks.schemas import DIM_NOC, FACT_RESULTS
 from lodeworks.operators.lineage import read_lineage
-from lodeworks.sources.gold import Gold
+from lodeworks.sources.gold import Gold, Loads, Merged
 from lodeworks.sources.tables import staging_root
 from tests.conftest import rows
 
@@ -139,16 +141,60 @@ def test_increment_equals_rebuild(spark, full, silver, tmp_path):
     once = star_tables(full)
     for name, table in star_tables(gold).items():
         assert rows(table) == rows(once[name]), name
-    # A load writes closed versions only when it closes them, and games only when it adds them.
+    # A load writes the versions that it opens or closes, the events that it adds or changes, and nothing else.
     third = spark.read.parquet(f"{gold.path}/dim_athlete/load=3")
-    assert rows(third.filter(F.col("is_current").cast("boolean")), "athlete_sk") == [(2,), (3,), (5,), (6,)]
-    assert rows(third.filter(~F.col("is_current").cast("boolean")), "athlete_sk") == [(4,)]
-    assert spark.read.parquet(f"{gold.path}/dim_game/load=3").count() == 1
+    assert rows(third, "athlete_sk", F.col("is_current").cast("boolean")) == [(4, False), (6, True)]
+    for name, keys in (("event", [(3,)]), ("game", [(3,)])):
+        assert rows(spark.read.parquet(f"{gold.path}/dim_{name}/load=3"), f"{name}_sk") == keys
+    assert rows(gold.read_merged(Merged("dim_noc", DIM_NOC, "noc_sk"), Loads(None, (), (3,)))) == []
     # Nothing new: nothing happens.
     assert load_editions(spark, events("2004 Winter"), regions, gold.path, incremental=True) == 0
     assert gold.last_load()["load_id"] == 3
 
 
+def folders(gold):
+    return {f"{path.parent.name}/{path.name}" for path in Path(gold.path).glob("*/load=*")}
+
+
+def test_compaction_changes_no_table(spark, full, silver, tmp_path):
+    events, regions = silver
+    gold = Gold(spark, str(tmp_path))
+    load_editions(spark, events("2000 Summer"), regions, gold.path, incremental=True)
+    assert compact(gold) is None
+    load_editions(spark, events("2004 Summer"), regions, gold.path, incremental=True)
+    before = {name: rows(table) for name, table in star_tables(gold).items()}
+    assert compact(gold) == 3
+    assert compact(gold) is None
+    assert {name: rows(table) for name, table in star_tables(gold).items()} == before
+    old = folders(gold)
+    removed = remove_superseded(gold)
+    assert set(removed) == {f"dim_{name}/load={n}" for name in ("athlete", "event", "noc") for n in (1, 2)}
+    assert folders(gold) == old - set(removed)
+    assert {name: rows(table) for name, table in star_tables(gold).items()} == before
+    # Later increments build on the compacted tables.
+    load_editions(spark, events("2004 Winter"), regions, gold.path, incremental=True)
+    for name, table in star_tables(full).items():
+        assert rows(star_tables(gold)[name]) == rows(table), name
+    # A rebuild starts anew; what came before it can go, and so can what a failed load has left.
+    load_editions(spark, events("2000 Summer"), regions, gold.path)
+    gold.write_snapshot("dim_game", star_tables(gold)["game"], 9)
+    remove_superseded(gold)
+    assert {name.split("=")[1] for name in folders(gold)} == {"5"}
+    assert rows(star_tables(gold)["game"], "game_sk") == [(1,)]
+
+
+def test_an_increment_without_changes_writes_no_dimension_row(spark, silver, tmp_path):
+    events, regions = silver
+    gold = Gold(spark, str(tmp_path))
+    for _ in range(3):
+        load_batch(spark, events("2004 Summer"), regions, gold.path, date(2010, 5, 1))
+    assert gold.loads().merged == (1, 2, 3)
+    for number in (2, 3):
+        loads = Loads(None, (number,), (number,))
+        for dim in RESULTS_STAR.dimensions:
+            assert read_dimension(gold, dim, loads).isEmpty(), dim.table
+
+
 def test_rebuild_replaces_and_late_editions_are_refused(spark, silver, tmp_path):
     events, regions = silver
     gold = Gold(spark, str(tmp_path))
