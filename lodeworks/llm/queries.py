@@ -15,6 +15,7 @@ from lodeworks.llm import (
     packing,
     quality,
     repeated_spans,
+    suffix_repeats,
     top_scores,
     toxicity,
     vector_links,
@@ -98,6 +99,11 @@ def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op12_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cleaned = suffix_repeats.remove_repeats(table(spark, sf_dir, "documents"), 100)
+    return cleaned.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("rest", 256).alias("kept_sha256"))
+
+
 def op13_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.whiten(table(spark, sf_dir, "embeddings"))
 
@@ -230,5 +236,6 @@ QUERIES = {
     "op9_substring_dedup": (op9_substring_dedup, None),
     "op10_source_mixing": (op10_source_mixing, OP10_SQL),
     "op11_filter_audit": (op11_filter_audit, OP11_SQL),
+    "op12_suffix_dedup": (op12_suffix_dedup, None),
     "op13_embedding_whitening": (op13_embedding_whitening, None),
 }

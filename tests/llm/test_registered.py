@@ -14,7 +14,7 @@ WITH_SQL = [name for name, (_, sql) in QUERIES.items() if sql]
 
 
 def test_all_are_registered():
-    assert {name.split("_")[0] for name in QUERIES} == {f"op{n}" for n in [*range(1, 12), 13]}
+    assert {name.split("_")[0] for name in QUERIES} == {f"op{n}" for n in range(1, 14)}
     assert set(QUERIES) | {"pipeline"} <= set(queries())
     assert set(oracle_sql()) & set(QUERIES) == set(WITH_SQL)
 
