@@ -44,6 +44,25 @@ _ROW = "doc long, at int, path int, pos int, own long, kind int, a long, b long,
 _PLACED = "doc long, at int, path int, pos int, own long, kind int, part int, lead boolean, {} stat array<long>"
 
 
+def _gathered(parts: Iterator[dict], rows: int = 1 << 17) -> Iterator[pd.DataFrame]:
+    """Columns of many short texts as few frames; a single value holds for all rows of its part."""
+    held: list[dict] = []
+    size = 0
+
+    def frame() -> pd.DataFrame:
+        return pd.DataFrame({name: np.concatenate([part[name] for part in held]) for name in held[0]})
+
+    for part in parts:
+        length = max(np.size(column) for column in part.values())
+        held.append({name: np.broadcast_to(column, length) for name, column in part.items()})
+        size += length
+        if size >= rows:
+            yield frame()
+            held, size = [], 0
+    if held:
+        yield frame()
+
+
 # --- what can repeat -----------------------------------------------------------------------------
 
 
@@ -62,26 +81,26 @@ def seeds(data: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.nda
 
 
 def _seed_rows(length: int, batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for batch in batches:
-        for doc, body in zip(batch["doc"], batch["body"], strict=True):
-            if len(body) >= length:
-                value, first, last = seeds(np.frombuffer(body, np.uint8), length)
-                yield pd.DataFrame({"doc": doc, "seed": value, "first": first, "last": last})
+    def each() -> Iterator[dict]:
+        for batch in batches:
+            for doc, body in zip(batch["doc"], batch["body"], strict=True):
+                if len(body) >= length:
+                    value, first, last = seeds(np.frombuffer(body, np.uint8), length)
+                    yield {"doc": doc, "seed": value, "first": first, "last": last}
+
+    return _gathered(each())
 
 
 def _stretches(length: int, batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """The parts of texts that have repeated seeds, adjoining ones as one."""
     for batch in batches:
         rows = []
-        for doc, body, spans in zip(batch["doc"], batch["body"], batch["spans"], strict=True):
-            ends = sorted((s["first"], s["last"] + length) for s in spans)
-            start, end = ends[0]
-            for first, last in ends[1:]:
-                if first > end:
-                    rows.append((doc, start, body[start:end]))
-                    start = first
-                end = max(end, last)
-            rows.append((doc, start, body[start:end]))
+        for doc, body, first, last in batch[["doc", "body", "first", "last"]].itertuples(index=False):
+            order = np.argsort(first)
+            first, end = first[order], np.maximum.accumulate(last[order]) + length
+            apart = np.flatnonzero(first[1:] > end[:-1]) + 1
+            for start, stop in zip(first[np.r_[0, apart]].tolist(), end[np.r_[apart - 1, -1]].tolist(), strict=True):
+                rows.append((doc, start, body[start:stop]))
         yield pd.DataFrame(rows, columns=["doc", "at", "body"])
 
 
@@ -92,8 +111,8 @@ def candidates(texts: DataFrame, length: int) -> DataFrame:
     place = F.struct("doc", "first")  # a text in several rows is one place
     repeated = found.groupBy("seed").agg(F.min(place).alias("lo"), F.max(place).alias("hi")).where("lo <> hi")
     repeated = stage(repeated.select("seed"), "repeated-seeds")
-    spans = found.join(repeated, "seed").groupBy("doc").agg(F.collect_list(F.struct("first", "last")).alias("spans"))
-    joined = texts.join(spans, "doc").select("doc", "body", "spans")
+    spans = found.join(repeated, "seed").groupBy("doc").agg(F.collect_list("first").alias("first"), F.collect_list("last").alias("last"))
+    joined = texts.join(spans, "doc").select("doc", "body", "first", "last")
     return joined.mapInPandas(partial(_stretches, length), "doc long, at int, body binary").dropDuplicates(["doc", "at"])
 
 
@@ -161,86 +180,93 @@ def places(rows: DataFrame, order: Sequence[str], keys: Sequence[str], kinds: in
 
 def _strings(rows: DataFrame, value) -> DataFrame:
     """The values of rows as strings (doc, at, path, v), by position; values of one position add up."""
-    lists = rows.groupBy(*_STRING).agg(F.collect_list(F.struct("pos", value.alias("x"))).alias("each"))
+    lists = rows.groupBy(*_STRING).agg(F.collect_list("pos").alias("pos"), F.collect_list(value).alias("x"))
 
     @F.pandas_udf("array<long>")
-    def in_order(each: pd.Series) -> pd.Series:
-        out = []
-        for pairs in each:
-            v = np.zeros(max(p["pos"] for p in pairs) + 1, np.int64)
-            for p in pairs:
-                v[p["pos"]] += p["x"]
-            out.append(v)
-        return pd.Series(out)
+    def in_order(places: pd.Series, values: pd.Series) -> pd.Series:
+        return pd.Series([np.bincount(p, x).astype(np.int64) for p, x in zip(places, values, strict=True)])
 
-    return lists.select(*_STRING, in_order("each").alias("v"))
+    return lists.select(*_STRING, in_order("pos", "x").alias("v"))
 
 
 # --- down ----------------------------------------------------------------------------------------
 
 
-def _padded(v: np.ndarray) -> np.ndarray:
-    return np.concatenate([v, np.zeros(3, np.int64)])
-
-
-def _sample(v: np.ndarray, remainder: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The triples at the positions of a remainder; a string ends with zeros, which are no character."""
-    p = np.arange(remainder, len(v), 3)
-    w = _padded(v)
-    return w[p], w[p + 1], w[p + 2]
-
-
 def _first_level(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Level 1: triples of bytes are their own names."""
     for batch in batches:
         rows = []
         for doc, at, body in zip(batch["doc"], batch["at"], batch["body"], strict=True):
-            v = np.frombuffer(body, np.uint8).astype(np.int64) + 1
-            for remainder in (1, 2):
-                a, b, c = _sample(v, remainder)
-                if len(a):
-                    rows.append((doc, at, 1 + remainder, (a << 18) + (b << 9) + c))
+            v = np.concatenate([np.frombuffer(body, np.uint8).astype(np.int64) + 1, np.zeros(3, np.int64)])
+            triples = (v[:-3] << 18) + (v[1:-2] << 9) + v[2:-1]
+            rows += [(doc, at, 1 + r, triples[r::3]) for r in (1, 2) if len(body) > r]
         yield pd.DataFrame(rows, columns=[*_STRING, "v"])
 
 
-def _triples(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+class _Flat:
+    """The strings of a frame, one after another."""
+
+    def __init__(self, strings: pd.Series):
+        self.lengths = np.fromiter((0 if x is None else len(x) for x in strings), np.int64, len(strings))
+        self.starts = np.cumsum(self.lengths) - self.lengths
+        self.values = np.concatenate([np.zeros(0, np.int64), *(x for x in strings if x is not None)]).astype(np.int64)
+
+    def at(self, string: np.ndarray, place: np.ndarray) -> np.ndarray:
+        """The values of strings at places; zero behind their ends."""
+        inside = place < self.lengths[string]
+        out = np.zeros(len(place), np.int64)
+        out[inside] = self.values[(self.starts[string] + place)[inside]]
+        return out
+
+
+def _in_slices(batches: Iterator[pd.DataFrame], characters: int = 1 << 18) -> Iterator[pd.DataFrame]:
+    """The strings of batches, about as many characters at a time; a longer string comes alone."""
     for batch in batches:
-        for doc, at, path, v in batch[[*_STRING, "v"]].itertuples(index=False):
-            for remainder in (1, 2):
-                a, b, c = _sample(np.asarray(v), remainder)
-                if len(a):
-                    yield pd.DataFrame(
-                        {"doc": doc, "at": at, "path": path * 2 + remainder - 1, "pos": np.arange(len(a)), "own": 0, "kind": 0,
-                         "a": a, "b": b, "c": c}
-                    )
+        upto = np.cumsum(batch["v"].map(len).to_numpy()) // characters
+        for cut in np.split(np.arange(len(batch)), np.flatnonzero(np.diff(upto)) + 1):
+            if len(cut):
+                yield batch.iloc[cut]
+
+
+def _positions(strings: _Flat) -> tuple[np.ndarray, np.ndarray]:
+    """String and place of each character."""
+    string = np.repeat(np.arange(len(strings.lengths)), strings.lengths)
+    return string, np.arange(len(string)) - strings.starts[string]
+
+
+def _rows(batch: pd.DataFrame, string: np.ndarray, **columns) -> pd.DataFrame:
+    return pd.DataFrame({name: batch[name].to_numpy()[string] for name in _STRING} | columns)
+
+
+def _triples(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """The triples at the positions that leave 1 and 2; a string ends with zeros, which are no character."""
+    for batch in _in_slices(batches):
+        strings = _Flat(batch["v"])
+        string, place = _positions(strings)
+        string, place = string[place % 3 > 0], place[place % 3 > 0]
+        a, b, c = (strings.at(string, place + k) for k in range(3))
+        rows = _rows(batch, string, pos=place // 3, own=0, kind=0, a=a, b=b, c=c)
+        rows["path"] = rows["path"] * 2 + place % 3 - 1
+        yield rows
 
 
 # --- up ------------------------------------------------------------------------------------------
 
 
 def _merging(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """The rows of both orders of a level; *own* is what a row is worth before the rows ahead are counted."""
-    for batch in batches:
-        for doc, at, path, v, one, two in batch[[*_STRING, "v", "one", "two"]].itertuples(index=False):
-            v = np.asarray(v)
-            w, n = _padded(v), len(v)
-            p0, p1, p2 = (np.arange(r, n, 3) for r in range(3))
-            one = _padded(np.asarray([] if one is None else one, np.int64))
-            two = _padded(np.asarray([] if two is None else two, np.int64))
-            ones, k0, k1, k2 = np.ones(len(p0), np.int64), np.arange(len(p0)), np.arange(len(p1)), np.arange(len(p2))
-            first = [
-                (p0, ones, 0, w[p0], 0 * p0, one[k0]),  # against remainder 1: a character, then the rank
-                (p1, one[k1], 1, w[p1], 0 * p1, two[k1]),
-            ]
-            second = [
-                (p0, 0 * ones, 2, w[p0], w[p0 + 1], two[k0]),  # against remainder 2: two characters, then the rank
-                (p2, two[k2], 3, w[p2], w[p2 + 1], one[k2 + 1]),
-            ]
-            parts = [
-                pd.DataFrame({"pos": p, "own": own, "kind": kind, "a": a, "b": b, "c": c})
-                for p, own, kind, a, b, c in (*first, *second)
-            ]
-            yield pd.concat(parts).assign(doc=doc, at=at, path=path)
+    """The rows of both orders of a level; *own* is what a row is worth before the rows ahead of it are counted."""
+    for batch in _in_slices(batches):
+        strings, one, two = _Flat(batch["v"]), _Flat(batch["one"]), _Flat(batch["two"])
+        string, place = _positions(strings)
+        for kind, remainder in enumerate((0, 1, 0, 2)):
+            s, p = string[place % 3 == remainder], place[place % 3 == remainder]
+            k = p // 3
+            # Kinds 0 and 1, against remainder 1: a character, then the rank of what follows. Kinds 2 and 3, against
+            # remainder 2: two characters, then the rank.
+            own = (np.ones(len(k), np.int64), one.at(s, k), np.zeros(len(k), np.int64), two.at(s, k))[kind]
+            rank = (one.at(s, k), two.at(s, k), two.at(s, k), one.at(s, k + 1))[kind]
+            second = strings.at(s, p + 1) if kind > 1 else np.zeros(len(k), np.int64)
+            yield _rows(batch, s, pos=p, own=own, kind=kind, a=strings.at(s, p), b=second, c=rank)
 
 
 def _merged(level: DataFrame, above: DataFrame) -> DataFrame:
@@ -287,17 +313,18 @@ def ranks(stretches: DataFrame, length: int) -> DataFrame:
 
 def _prefixes(length: int, batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Rank and digest of each string of *length* bytes."""
-    for batch in batches:
-        for doc, at, body, rank in batch[["doc", "at", "body", "v"]].itertuples(index=False):
-            n = len(body) - length + 1
-            if n < 1:
-                continue
-            digests = b"".join(xxhash.xxh3_128_digest(body[k : k + length]) for k in range(n))
-            halves = np.frombuffer(digests, np.int64).reshape(n, 2)
-            yield pd.DataFrame(
-                {"doc": doc, "at": at, "path": 1, "pos": np.arange(n), "own": 0, "kind": 0,
-                 "a": np.asarray(rank)[:n], "b": halves[:, 0], "c": halves[:, 1]}
-            )
+
+    def each() -> Iterator[dict]:
+        for batch in batches:
+            for doc, at, body, rank in batch[["doc", "at", "body", "v"]].itertuples(index=False):
+                n = len(body) - length + 1
+                if n > 0:
+                    digests = b"".join(xxhash.xxh3_128_digest(body[k : k + length]) for k in range(n))
+                    halves = np.frombuffer(digests, np.int64).reshape(n, 2)
+                    place = {"doc": doc, "at": at, "path": 1, "pos": np.arange(n), "own": 0, "kind": 0}
+                    yield place | {"a": np.asarray(rank)[:n], "b": halves[:, 0], "c": halves[:, 1]}
+
+    return _gathered(each())
 
 
 def repeats(texts: DataFrame, length: int) -> DataFrame:
