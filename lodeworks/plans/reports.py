@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from lodeworks.functions.columns import current
 from lodeworks.operators.lineage import read_lineage
 from lodeworks.plans.specs import RESULTS_STAR, StarSpec
+from lodeworks.plans.splice import read_facts
 from lodeworks.plans.star import read_dimension
 from lodeworks.sources.gold import Gold
 
@@ -58,5 +59,5 @@ def register_star(spark: SparkSession, gold_path: str, spec: StarSpec = RESULTS_
     gold = Gold(spark, str(gold_path))
     for dim in spec.dimensions:
         read_dimension(gold, dim).createOrReplaceTempView(dim.table)
-    gold.read_all(spec.fact.table, spec.fact.schema).createOrReplaceTempView(spec.fact.table)
+    read_facts(gold, spec.fact).createOrReplaceTempView(spec.fact.table)
     read_lineage(spark, gold.lineage_path()).createOrReplaceTempView("pipeline_lineage")

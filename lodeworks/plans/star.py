@@ -9,7 +9,7 @@ from datetime import date
 from typing import TypeVar
 
 from pyspark import inheritable_thread_target
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import (
     DateType,
@@ -45,6 +45,14 @@ from lodeworks.plans.cleaning import (
     clean_to_silver,
 )
 from lodeworks.plans.specs import RESULTS_STAR, DimensionSpec, StarSpec
+from lodeworks.plans.splice import (
+    Spliced,
+    read_facts,
+    rebind,
+    rebound_table,
+    splice_overwrites,
+    splice_versions,
+)
 from lodeworks.schemas import PIPELINE_LINEAGE, conform
 from lodeworks.sources.gold import NO_LOADS, Gold, Loads, Merged
 from lodeworks.sources.tables import append_rows, freed_after, ingest_csv, stage
@@ -165,7 +173,7 @@ def remove_superseded(gold: Gold, spec: StarSpec = RESULTS_STAR) -> list[str]:
     """Delete what no reader of the published tables needs: see Gold.remove_superseded()."""
     added = [dim.table for dim in spec.dimensions if dim.scd_type == 0]
     merged = [merged_table(dim) for dim in spec.dimensions if dim.scd_type != 0]
-    return gold.remove_superseded([*added, spec.fact.table, _LOADED], merged)
+    return gold.remove_superseded([*added, spec.fact.table, _LOADED], merged, [rebound_table(spec.fact)])
 
 
 def load_dimension(
@@ -216,13 +224,15 @@ class Batches:
     """Events that carry ``edition_seq`` and ``load_date``, the date of the first batch.
 
     *counts* are the numbers of rows by batch and cell, *contents* the row counts and content sums of the
-    editions, as far as the batches hold them.
+    editions, as far as the batches hold them. If they go before loaded editions, *places* has edition,
+    edition_seq and load_date of the loaded ones, in one order with these.
     """
 
     events: DataFrame
     first_date: date
     counts: Mapping[tuple[int, int], int]
     contents: DataFrame
+    places: DataFrame | None = None
 
 
 def load_star(
@@ -244,10 +254,28 @@ def load_star(
     events = batches.events
     regions = regions.withColumns({_BATCH: F.lit(1), _DATE: F.lit(batches.first_date)})
 
-    def write_dimension(dim: DimensionSpec) -> Lookup:
+    rebound: dict[str, DataFrame] = {}
+
+    def load(dim: DimensionSpec) -> Spliced:
         existing = read_dimension(gold, dim, loads) if loads.last else None
         snapshots = dimension_snapshots(events if dim.source == "events" else regions, dim)
-        table, bindings = load_dimension(snapshots, dim, existing)
+        if batches.places is None or dim.source != "events" or dim.scd_type == 0:
+            return Spliced(*load_dimension(snapshots, dim, existing))
+        edition = spec.dimension(spec.edition_dimension)
+        labels = read_dimension(gold, edition, loads).select(
+            F.col(edition.surrogate_key).alias("edition_sk"), F.col(edition.natural_key).alias(spec.edition)
+        )
+        places = labels.join(batches.places, spec.edition).drop(spec.edition)
+        own = F.col(edition.surrogate_key).alias("edition_sk")
+        facts = read_facts(gold, spec.fact, loads).select(own, dim.surrogate_key)
+        splice = splice_versions if dim.scd_type == 2 else splice_overwrites
+        return splice(snapshots, dim, existing, facts, places)
+
+    def write_dimension(dim: DimensionSpec) -> Lookup:
+        spliced = load(dim)
+        table, bindings = spliced.changed, spliced.bindings
+        if spliced.rebound is not None:
+            rebound[dim.surrogate_key] = spliced.rebound
         if dim.scd_type == 0:
             written = gold.write_snapshot(dim.table, conform(table, dim.schema), load_id)
         else:
@@ -263,8 +291,13 @@ def load_star(
     # Keys are dense and continue from the last one, so they need no uniqueness check.
     gold.write_snapshot(spec.fact.table, conform(facts, spec.fact.schema), load_id, spec.fact.partition_by)
     gold.write_snapshot(_LOADED, conform(batches.contents, _LOADED_SCHEMA), load_id)
+    if rebound:
+        edition_key = spec.dimension(spec.edition_dimension).surrogate_key
+        moved = rebind(read_facts(gold, spec.fact, loads), spec.fact, edition_key, rebound)
+        gold.write_delta(rebound_table(spec.fact), conform(moved, spec.fact.schema), load_id)
     log()
-    gold.publish(load_id, rebuild or published.last is None, start + sum(batches.counts.values()))
+    last_key = start + sum(batches.counts.values())
+    gold.publish(load_id, rebuild or published.last is None, last_key, rebound=bool(rebound))
 
 
 def _number_facts(
@@ -419,19 +452,23 @@ def load_editions(
     spec: StarSpec = RESULTS_STAR,
     source_names: tuple[str, str] = ("events", "regions"),
     region_date: date | None = None,
+    splice: bool = False,
 ) -> int:
     """Load every edition of the silver events in order and return how many were loaded.
 
     A full load rebuilds all tables. An incremental one adds the editions that are not loaded yet. It
-    refuses, and loads nothing, if one of them comes before the newest loaded one (by number, then by
-    label), or if a loaded edition has other rows than those loaded. Regions are merged by every
+    refuses, and loads nothing, if a loaded edition has other rows than those loaded, or if a new one
+    comes before the newest loaded one (by number, then by label). With *splice* such late editions are
+    loaded first, into the history that their keys have by then: versions, overwritten values and facts
+    become those of a rebuild, with other surrogate keys. Type 0 rows stay as first loaded, and regions
+    take no part. Regions are merged by every
     increment: with new editions dated by the first of them, otherwise, if they differ, by
     *region_date*, which is the date of the newest loaded edition unless given.
     """
     events = require_columns(events, [spec.edition, spec.year])
     with freed_after(spark, "editions"):
         return _load_editions(
-            Gold(spark, str(gold_path)), events, regions, incremental, spec, source_names, region_date
+            Gold(spark, str(gold_path)), events, regions, incremental, spec, source_names, region_date, splice
         )
 
 
@@ -443,6 +480,7 @@ def _load_editions(
     spec: StarSpec,
     source_names: tuple[str, str],
     region_date: date | None,
+    splice: bool,
 ) -> int:
     cells = stage(edition_cells(events, spec), "cells")
     found = edition_contents(cells, spec)
@@ -455,26 +493,26 @@ def _load_editions(
         )
         newest = loaded.agg(F.max(place)).first()[0]
         found = found.join(loaded, spec.edition, "left_anti")
+    number = 0
+    if newest is not None:
+        label, key = F.col(spec.edition), edition_order_key(F.col(spec.edition))
+        same = key == newest["order_key"]
+        before = (key < newest["order_key"]) | (same & (label < newest[spec.edition]))
+        late = found.filter(before)
+        first = late.agg(F.min(label)).first()[0]
+        if first is not None and not splice:
+            raise LateEditionError(f"edition {first!r} comes before loaded edition {newest[spec.edition]!r}")
+        if first is not None:
+            number = _splice(gold, spec, events, cells, loaded, late, source_names)
+            found = found.filter(~before)
     editions = _in_order(found, spec)
     listed = editions.collect()  # one row per edition
     if not listed:
         day = region_date or (newest and newest["loaded_date"])
         if day:
             _load_regions(gold, spec, events, regions, day, source_names[1])
-        return 0
-    oldest = min((row["order_key"], row[spec.edition]) for row in listed)
-    if newest is not None and oldest < (newest["order_key"], newest[spec.edition]):
-        raise LateEditionError(f"edition {oldest[1]!r} comes before loaded edition {newest[spec.edition]!r}")
-
-    batches = Batches(
-        events.join(editions.select(spec.edition, _BATCH, _DATE), spec.edition),
-        min(listed, key=lambda row: row[_BATCH])[_DATE],
-        {
-            (row[_BATCH], row[_CELL]): row["row_count"]
-            for row in cells.drop("content").join(editions.select(spec.edition, _BATCH), spec.edition).collect()
-        },
-        _contents(editions, spec, F.col(_DATE)),
-    )
+        return number
+    batches = _batches(events, cells, editions, listed, spec)
     load_star(
         gold,
         spec,
@@ -483,9 +521,59 @@ def _load_editions(
         lambda: _log_editions(gold, spec, editions, regions.count(), source_names),
         rebuild=not incremental,
     )
+    return number + len(listed)
+
+
+def _batches(
+    events: DataFrame,
+    cells: DataFrame,
+    editions: DataFrame,
+    listed: Sequence[Row],
+    spec: StarSpec,
+    places: DataFrame | None = None,
+) -> Batches:
+    counted = cells.drop("content").join(editions.select(spec.edition, _BATCH), spec.edition)
+    return Batches(
+        events.join(editions.select(spec.edition, _BATCH, _DATE), spec.edition),
+        min(listed, key=lambda row: row[_BATCH])[_DATE],
+        {(row[_BATCH], row[_CELL]): row["row_count"] for row in counted.collect()},
+        _contents(editions, spec, F.col(_DATE)),
+        places,
+    )
+
+
+def _splice(
+    gold: Gold,
+    spec: StarSpec,
+    events: DataFrame,
+    cells: DataFrame,
+    loaded: DataFrame,
+    late: DataFrame,
+    source_names: tuple[str, str],
+) -> int:
+    """Load the late editions among the loaded ones, without regions."""
+    date_of = load_date_of(F.col("_year"))
+    known = loaded.select(spec.edition, F.col("loaded_date").alias(_DATE), F.lit(None).cast("long").alias("row_count"),
+                          F.lit(None).cast("decimal(38,0)").alias("content"))
+    dated = late.select(spec.edition, date_of.alias(_DATE), "row_count", F.col("content").cast("decimal(38,0)").alias("content"))
+    placed = known.unionByName(dated).withColumn("order_key", edition_order_key(F.col(spec.edition)))
+    placed = stage(assign_keys(placed, _BATCH, ["order_key", spec.edition]), "places")
+    editions = placed.filter(F.col("row_count").isNotNull())
+    listed = editions.collect()  # one row per edition
+    places = placed.filter(F.col("row_count").isNull()).select(spec.edition, _BATCH, _DATE)
+    batches = _batches(events, cells, editions, listed, spec, places)
+    stored = {dim.table: _as_source(read_dimension(gold, dim), dim) for dim in spec.dimensions if dim.source != "events"}
+    regions = next(iter(stored.values()), events.limit(0))
+    load_star(gold, spec, batches, regions, lambda: _log_editions(gold, spec, editions, 0, source_names))
     return len(listed)
 
 
+def _as_source(rows: DataFrame, dim: DimensionSpec) -> DataFrame:
+    """The stored current rows of a dimension in the form of its source, which change nothing when loaded."""
+    rows = current(rows) if dim.scd_type == 2 else rows
+    return rows.select(*(F.col(name).alias(source) for source, name in dim.columns.items()))
+
+
 def run_pipeline(
     spark: SparkSession,
     data_dir: str,

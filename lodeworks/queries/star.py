@@ -12,6 +12,7 @@ from lodeworks.operators.facts import Lookup, resolve_keys
 from lodeworks.operators.lineage import read_lineage
 from lodeworks.plans.reports import register_star, top_entities
 from lodeworks.plans.specs import RESULTS_STAR, DimensionSpec, FactSpec, StarSpec
+from lodeworks.plans.splice import read_facts
 from lodeworks.plans.star import (
     ChangedEditionError,
     compact,
@@ -197,7 +198,7 @@ def _loaded(spark: SparkSession, sf_dir: str, spec: StarSpec = SALES_STAR) -> Go
 
 
 def _facts(gold: Gold) -> DataFrame:
-    return gold.read_all(SALES_STAR.fact.table, SALES_STAR.fact.schema)
+    return read_facts(gold, SALES_STAR.fact)
 
 
 def fact_history(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -279,6 +280,35 @@ def increment_late_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _spliced(spark: SparkSession, sf_dir: str) -> Gold:
+    """Some years first, then all: the first year and one in between are spliced in, the last is added."""
+    gold = Gold(spark, staging_path(spark, "gold"))
+    events, places = stage(sales(spark, sf_dir), "sales"), nations(spark, sf_dir)
+    late = F.col("order_year").isin(1995, SPLIT_YEAR, 2001)
+    load_editions(spark, events.filter(~late), places, gold.path, True, SALES_STAR)
+    load_editions(spark, events, places, gold.path, True, SALES_STAR, splice=True)
+    return gold
+
+
+def increment_late_edition(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Which customer version and part the lines of each year point to, after late years: as in a rebuild."""
+    gold = _spliced(spark, sf_dir)
+    facts = _facts(gold)
+    for name in ("dim_edition", "dim_customer", "dim_part"):
+        facts = facts.join(_read_back(gold, name), SALES_STAR.dimension(name).surrogate_key)
+    by = ["edition", "customer_nk", "priority", "status", "valid_from", "valid_to", "is_current",
+          "part_nk", "line_status", "return_flag"]
+    return facts.groupBy(*by).agg(F.count(F.lit(1)).alias("n_lines"), F.count_distinct("sales_sk").alias("n_keys"))
+
+
+def dim_customer_late_edition(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All customer versions after late years; surrogate keys are other ones than in a rebuild, and unique."""
+    versions = _read_back(_spliced(spark, sf_dir), "dim_customer")
+    return versions.groupBy(*(name for name in versions.columns if name != "customer_sk")).agg(
+        F.count_distinct("customer_sk").alias("n_keys")
+    )
+
+
 def increment_regions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A region is renamed while no year is new: its nations get new versions, from the given day."""
     gold = _loaded(spark, sf_dir)
@@ -633,6 +663,22 @@ QUERIES |= {
         """SELECT CAST(year(o_orderdate) AS VARCHAR) || ' Orders' AS edition, count(*) AS n_lines, count(*) AS n_keys
            FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY 1""",
     ),
+    "increment_late_edition": (
+        increment_late_edition,
+        f"""WITH sales AS ({_SALES_SQL}), {_VERSIONS_SQL}, {_PARTS_SQL}, {_EDITIONS_SQL}
+            SELECT edition, customer_nk, priority, status, CAST(valid_from AS VARCHAR) AS valid_from,
+                   CAST(valid_to AS VARCHAR) AS valid_to, is_current, part_nk, p.line_status, p.return_flag,
+                   count(*) AS n_lines, count(*) AS n_keys
+            FROM sales s JOIN versions v ON {_BOUND_SQL}
+            JOIN parts p ON l_partkey = p.part_nk JOIN editions e ON s.edition_seq = e.edition_seq
+            GROUP BY ALL""",
+    ),
+    "dim_customer_late_edition": (
+        dim_customer_late_edition,
+        f"""WITH sales AS ({_SALES_SQL}), {_VERSIONS_SQL}
+            SELECT * EXCLUDE (customer_sk), CAST(1 AS BIGINT) AS n_keys
+            FROM (SELECT {versions_columns_sql("customer_nk", _TRACKED, "customer_sk")} FROM versions)""",
+    ),
     "increment_regions": (
         increment_regions,
         """WITH listed AS (

@@ -22,7 +22,9 @@ from lodeworks.sources.tables import append_rows, read_table_or_empty, write_tab
 
 _LOAD = table_schema({"load": "long"}, ())
 _LOADS = table_schema(
-    {"load_id": "long", "rebuild": "boolean", "last_fact_key": "long", "compacted": "boolean"}, ()
+    {"load_id": "long", "rebuild": "boolean", "last_fact_key": "long", "compacted": "boolean",
+     "rebound": "boolean"},
+    (),
 )
 
 
@@ -38,15 +40,19 @@ class Merged:
 
 @dataclass(frozen=True)
 class Loads:
-    """The published loads: those whose rows are added up, and those whose deltas are merged."""
+    """The published loads: those whose rows are added up, and those whose deltas are merged.
+
+    *rebound* are those that wrote facts of earlier loads again.
+    """
 
     last: Row | None
     added: tuple[int, ...]
     merged: tuple[int, ...]
+    rebound: tuple[int, ...] = ()
 
     def then(self, load_id: int) -> Loads:
         """These loads, and one that is written and not published yet."""
-        return Loads(self.last, (*self.added, load_id), (*self.merged, load_id))
+        return Loads(self.last, (*self.added, load_id), (*self.merged, load_id), self.rebound)
 
 
 NO_LOADS = Loads(None, (), ())
@@ -68,6 +74,7 @@ class Gold:
             rows[-1] if rows else None,
             tuple(row["load_id"] for row in rows if not row["compacted"]),
             tuple(row["load_id"] for row in rows if row["load_id"] >= base),
+            tuple(row["load_id"] for row in rows if row["rebound"]),
         )
 
     def _folder(self, table: str, load_id: int) -> str:
@@ -92,10 +99,15 @@ class Gold:
         return self.write_snapshot(merged.table, ordered, load_id, merged.partition_by)
 
     def publish(
-        self, load_id: int, rebuild: bool, last_fact_key: int, compacted: bool = False
+        self,
+        load_id: int,
+        rebuild: bool,
+        last_fact_key: int,
+        compacted: bool = False,
+        rebound: bool = False,
     ) -> None:
         """Make a load visible, after all its tables are written."""
-        row = self.spark.createDataFrame([(load_id, rebuild, last_fact_key, compacted)], _LOADS)
+        row = self.spark.createDataFrame([(load_id, rebuild, last_fact_key, compacted, rebound)], _LOADS)
         append_rows(row.coalesce(1), f"{self.path}/_loads")
 
     def _read(self, table: str, schema: StructType, load_ids: Sequence[int]) -> DataFrame:
@@ -148,14 +160,17 @@ class Gold:
         self.publish(load_id, False, loads.last["last_fact_key"], True)
         return load_id
 
-    def remove_superseded(self, tables: Sequence[str], merged: Sequence[Merged]) -> list[str]:
+    def remove_superseded(
+        self, tables: Sequence[str], merged: Sequence[Merged], rebound: Sequence[Merged] = ()
+    ) -> list[str]:
         """Delete the folders that no published state needs any more, and return their names.
 
         These are the loads before the last rebuild; of tables of deltas, which *merged* lists, also those
         before the last compaction; and what failed loads have left. No reader may still use an older state.
         """
         loads = self.loads()
-        keep = {table: set(loads.added) for table in tables} | {m.table: set(loads.merged) for m in merged}
+        keep = {table: set(loads.added) for table in tables}
+        keep |= {m.table: set(loads.merged) for m in merged} | {m.table: set(loads.rebound) for m in rebound}
         context = self.spark.sparkContext
         removed = []
         for table, ids in keep.items():

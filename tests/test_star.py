@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from lodeworks.plans.reports import register_star, top_entities
 from lodeworks.plans.specs import RESULTS_STAR
+from lodeworks.plans.splice import read_facts
 from lodeworks.plans.star import (
     ChangedEditionError,
     LateEditionError,
@@ -211,6 +212,40 @@ def test_rebuild_replaces_and_late_editions_are_refused(spark, silver, tmp_path)
     assert rows(star_tables(gold)["game"], "game_sk", "games") == [(1, "2000 Summer")]
 
 
+def without_keys(gold):
+    """Versions, overwritten rows and facts as they are, whatever surrogate keys they have."""
+    tables = {dim.table: read_dimension(gold, dim) for dim in RESULTS_STAR.dimensions}
+    facts = read_facts(gold, RESULTS_STAR.fact)
+    assert facts.count() == facts.select("result_sk").distinct().count()
+    seen = facts.drop("result_sk")
+    for dim in RESULTS_STAR.dimensions:
+        if dim.table != "dim_noc":  # dated by the first edition that was loaded
+            assert tables[dim.table].count() == tables[dim.table].select(dim.surrogate_key).distinct().count()
+            renamed = tables[dim.table].select(
+                dim.surrogate_key, *(F.col(name).alias(f"{dim.table}_{name}") for name in dim.schema.names if name != dim.surrogate_key)
+            )
+            seen = seen.join(renamed, dim.surrogate_key, "left").drop(dim.surrogate_key)
+    whole = [rows(tables[dim.table].drop(dim.surrogate_key)) for dim in RESULTS_STAR.dimensions if dim.table != "dim_noc"]
+    return [*whole, rows(seen.drop("noc_sk"))]
+
+
+@pytest.mark.parametrize("first", [["2000 Summer", "2004 Winter"], ["2004 Winter"], ["2004 Summer"]])
+def test_late_editions_are_spliced_into_history(spark, full, silver, tmp_path, first):
+    events, regions = silver
+    gold = Gold(spark, str(tmp_path))
+    load_editions(spark, events("2004 Winter").filter(F.col("games").isin(first)), regions, gold.path, True)
+    before = rows(read_facts(gold, RESULTS_STAR.fact), "result_sk")
+    every = events("2004 Winter")
+    assert load_editions(spark, every, regions, gold.path, True, splice=True) == 3 - len(first)
+    assert without_keys(gold) == without_keys(full)
+    assert set(before) < set(rows(read_facts(gold, RESULTS_STAR.fact), "result_sk"))
+    # Versions that go on from the same edition keep their keys, and facts are written again only if theirs changes.
+    assert load_editions(spark, every, regions, gold.path, True, splice=True) == 0
+    compact(gold)
+    remove_superseded(gold)
+    assert without_keys(gold) == without_keys(full)
+
+
 def test_region_change_is_dated_by_the_new_edition(spark, silver, tmp_path):
     events, regions = silver
     gold = Gold(spark, str(tmp_path))
