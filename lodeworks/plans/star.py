@@ -100,11 +100,16 @@ def edition_cells(events: DataFrame, spec: StarSpec) -> DataFrame:
             used.update([*dim.columns, *dim.order])
     row_hash = F.xxhash64(*(name for name in sorted(used) if name in events.columns))
     cell = hash_cell(_row_hash(events))
-    return events.groupBy(spec.edition, cell.alias(_CELL)).agg(
+    # The halves of the hashes are added up as longs, which is cheaper than decimals for every row.
+    sums = events.groupBy(spec.edition, cell.alias(_CELL)).agg(
         F.min(spec.year).alias("_year"),
         F.count(F.lit(1)).alias("row_count"),
-        F.sum(row_hash.cast("decimal(38,0)")).alias("content"),
+        F.sum(F.shiftright(row_hash, 32)).alias("_high"),
+        F.sum(row_hash.bitwiseAND(F.lit(0xFFFFFFFF))).alias("_low"),
     )
+    high = F.col("_high").cast("decimal(20,0)") * F.lit(1 << 32).cast("decimal(10,0)")
+    content = (high + F.col("_low")).cast("decimal(38,0)")
+    return sums.select(spec.edition, _CELL, "_year", "row_count", content.alias("content"))
 
 
 def edition_contents(cells: DataFrame, spec: StarSpec) -> DataFrame:
