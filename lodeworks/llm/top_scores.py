@@ -2,8 +2,8 @@
 
 Method. The components of a vector are split over several lists; a list scores every row by its part of the inner
 product. Phase 1: each list gathers its local best rows per query, over blocks of rows; the exact scores of
-these rows give, per query, a safe cutoff: the score that the answer's last row reaches at least. Phase 2:
-every list gets the cutoff divided by the number of lists, and returns all rows whose part reaches it; a row
+these rows give, per query, a safe cutoff: a score that the answer's last row reaches at least, own rows left out.
+Phase 2: every list gets the cutoff divided by the number of lists, and returns all rows whose part reaches it; a row
 below it in every list cannot reach the cutoff. Phase 3: what the unseen parts can add at most drops rows
 that cannot reach the cutoff; the rest is scored exactly, block by block, and ranked.
 
@@ -13,7 +13,9 @@ a vector, however many, cost one. Ranks are limited before they are shuffled.
 
 Defined results. Vectors that are null or empty or hold null or non-finite components take no part, as rows without
 vec_id. Ties go to the smaller vec_id. Rows that repeat vec_id and vector are one row; a vec_id with several
-vectors is a candidate with each, but never for itself. Vectors of different length are not compared. Integers beyond 2**25 are clamped to it, so that scores fit a long. Fewer than k other rows: all of them. Extra columns are ignored.
+vectors is a candidate with each, but never for itself, and as a query it has the k best of all their pairs. Vectors of
+different length are not compared. Scores are exact integers; those beyond a long are returned as its bound, and integers
+beyond 2**62 count as that. Fewer than k other rows: all of them. Extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -26,16 +28,30 @@ from pyspark.sql import functions as F
 from lodeworks.llm.common import sorted_groups, stage
 from lodeworks.llm.vector_links import finite
 
-LARGEST = 2.0**25
+LARGEST = 2.0**62
 EXACT = 2.0**52  # sums of products below this are exact in doubles
+FITS = 2.0**62  # and below this in longs
+NO_CUTOFF = -(2**62)
+BOUND = 2**60  # parts beyond it are handed on as it, and cutoffs are no higher than this for all lists together
+
+
+def _most(queries: np.ndarray, rows: np.ndarray) -> float:
+    """What no inner product exceeds."""
+    return float(np.abs(queries).max(initial=0)) * float(np.abs(rows).max(initial=0)) * max(1, queries.shape[1])
+
+
+def _longs(values: np.ndarray, bound: int) -> np.ndarray:
+    return np.array([max(-bound, min(bound, x)) for x in values.ravel()], np.int64).reshape(values.shape)
 
 
 def _product(queries: np.ndarray, rows: np.ndarray) -> np.ndarray:
     """Integer inner products; by floating point, which is faster, where that is exact."""
-    most = float(np.abs(queries).max(initial=0)) * float(np.abs(rows).max(initial=0)) * max(1, queries.shape[1])
+    most = _most(queries, rows)
     if most < EXACT:
         return (queries.astype(float) @ rows.astype(float).T).astype(np.int64)
-    return queries @ rows.T
+    if most < FITS:
+        return np.clip(queries @ rows.T, -BOUND, BOUND)
+    return _longs(queries.astype(object) @ rows.astype(object).T, BOUND)
 
 
 def _blocks(column: str, n: int) -> Column:
@@ -69,10 +85,11 @@ def _met(classes: DataFrame, queries: DataFrame, lists: int, q_blocks: int, c_bl
                     "node", "cutoff", "p.values")
         )
 
-    cutoff = F.col("cutoff") if "cutoff" in queries.columns else F.lit(None).cast("long")
+    none = F.lit(NO_CUTOFF)  # no nulls: pandas would make doubles of the column
+    cutoff = F.col("cutoff") if "cutoff" in queries.columns else none
     all_c, all_q = (F.sequence(F.lit(0), F.lit(n - 1)) for n in (c_blocks, q_blocks))
     both = dealt(queries, True, _blocks("node", q_blocks), all_c, cutoff).union(
-        dealt(classes, False, _blocks("node", c_blocks), all_q, F.lit(None).cast("long"))
+        dealt(classes, False, _blocks("node", c_blocks), all_q, none)
     )
     return _in_cells(both)
 
@@ -108,14 +125,21 @@ def _sufficient(lists: int):
     def entries(batches):
         for _, queries, rows, scores in _parts(batches):
             # Without a cutoff there are fewer rows than an answer takes, and all of them are needed.
-            missing = queries["cutoff"].isna().to_numpy()
-            limit = queries["cutoff"].fillna(0).to_numpy(np.int64)
-            q, c = np.nonzero((scores * lists >= limit[:, None]) | missing[:, None])
+            cutoff = queries["cutoff"].to_numpy()
+            limit = np.where(cutoff == NO_CUTOFF, np.iinfo(np.int64).min, cutoff // lists)
+            q, c = np.nonzero(scores >= limit[:, None])
             yield pd.DataFrame({"query": queries["node"].to_numpy()[q], "node": rows[c], "score": scores[q, c]})
 
     return entries
 
 
+def _exact(queries: np.ndarray, rows: np.ndarray) -> np.ndarray:
+    """The inner products of pairs, as longs."""
+    if _most(queries, rows) < FITS:
+        return (queries * rows).sum(axis=1)
+    return _longs((queries.astype(object) * rows.astype(object)).sum(axis=1), np.iinfo(np.int64).max)
+
+
 def _resolve(batches):
     """Exact scores of the pairs of each (query block, row block), if they reach the cutoff."""
     for _, group in sorted_groups(batches, ["cell"]):
@@ -129,11 +153,12 @@ def _resolve(batches):
             at = pd.Index(known["node"]).get_indexer(ids)
             vectors.append((np.stack([np.asarray(v, np.int64) for v in known["vector"]]), at))
         (queries, q), (rows, c) = vectors
-        cutoff = group[kind == 0]["cutoff"].fillna(np.iinfo(np.int64).min).to_numpy(np.int64)[q]
+        cutoff = group["cutoff"].to_numpy()[kind == 0][q]
+        cutoff = np.where(cutoff == NO_CUTOFF, np.iinfo(np.int64).min, cutoff)
         score = np.empty(len(pairs), np.int64)
         for start in range(0, len(pairs), 65_536):
             part = slice(start, start + 65_536)
-            score[part] = (queries[q[part]] * rows[c[part]]).sum(axis=1)
+            score[part] = _exact(queries[q[part]], rows[c[part]])
         keep = score >= cutoff
         yield pd.DataFrame({"query": pairs["query"].to_numpy()[keep], "node": pairs["node"].to_numpy()[keep], "score": score[keep]})
 
@@ -158,20 +183,24 @@ def top_scores(
         "members",
     )
     classes = stage(
-        members.groupBy("vector").agg(F.min("vec_id").alias("node"), F.max("asks").alias("asks"), F.count("*").alias("n"))
-        .withColumn("dim", F.size("vector")),
+        members.groupBy("vector").agg(F.max("asks").alias("asks"))
+        .select(F.monotonically_increasing_id().alias("node"), "vector", "asks", F.size("vector").alias("dim")),
         "classes",
     )
     named = members.join(classes.select("vector", "node"), "vector")
-    # The query's own id is left out in the end, so k + 1 different ids of a vector are enough.
+    # An id takes one place of a vector, so k + 1 different ids are enough of each. Of an asking vector's own ids, the one
+    # that has most vectors takes so many places of its answer.
     ids = stage(
         named.select("node", "vec_id")
         .selectExpr("node", "vec_id", "row_number() OVER (PARTITION BY node ORDER BY vec_id) AS r")
-        .where(F.col("r") <= 2 * k + 2)
+        .where(F.col("r") <= k + 1)
         .select("node", "vec_id"),
         "ids",
     )
-    queries = classes.where("asks").select("node", "dim", "vector")
+    asking = stage(named.where("asks").select(F.col("node").alias("query"), F.col("vec_id").alias("query_id")), "asking")
+    vectors_of = members.groupBy("vec_id").agg(F.count("*").alias("n")).withColumnRenamed("vec_id", "query_id")
+    own = asking.join(vectors_of, "query_id").groupBy(F.col("query").alias("node")).agg(F.max("n").alias("own"))
+    queries = stage(classes.where("asks").join(own, "node").select("node", "dim", "vector", "own"), "queries")
     n, n_queries = classes.count(), queries.count()
     q_blocks, c_blocks = max(1, -(-n_queries // query_rows)), max(1, -(-n // block_rows))
 
@@ -183,16 +212,20 @@ def top_scores(
         .select("query", "node")
         .distinct()
     )
-    exact = F.aggregate(F.zip_with("asked", "vector", lambda a, b: a * b), F.lit(0).cast("long"), lambda s, x: s + x)
+    # Doubles give these scores up to rounding, which is taken off; a lower cutoff is as safe.
+    products = F.zip_with("asked", "vector", lambda a, b: a.cast("double") * b.cast("double"))
+    sums = F.aggregate(products, F.lit(0.0), lambda s, x: s + x), F.aggregate(products, F.lit(0.0), lambda s, x: s + F.abs(x))
+    low = F.floor(F.least(F.greatest(sums[0] - 1e-9 * sums[1], F.lit(-float(BOUND))), F.lit(float(BOUND))) / lists).cast("long") * lists
     cutoffs = (
         first.join(classes.select("node", "vector"), "node")
-        .join(queries.select(F.col("node").alias("query"), F.col("vector").alias("asked")), "query")
-        .select("query", exact.alias("score"))
-        .groupBy("query")
+        .join(queries.select(F.col("node").alias("query"), F.col("vector").alias("asked"), "own"), "query")
+        .select("query", "own", low.alias("score"))
+        .groupBy("query", "own")
         .agg(F.sort_array(F.collect_list("score"), asc=False).alias("scores"))
-        .select("query", F.get("scores", F.lit(k)).alias("cutoff"))
+        .select("query", F.get("scores", (F.col("own") + k - 1).cast("int")).alias("cutoff"))
     )
-    asked = stage(queries.join(cutoffs.withColumnRenamed("query", "node"), "node", "left"), "cutoffs")
+    asked = queries.join(cutoffs.withColumnRenamed("query", "node"), "node", "left")
+    asked = stage(asked.withColumn("cutoff", F.coalesce("cutoff", F.lit(NO_CUTOFF))), "cutoffs")
 
     entries = _met(classes, asked, lists, q_blocks, c_blocks).mapInPandas(_sufficient(lists), "query long, node long, score long")
     seen = entries.groupBy("query", "node").agg(F.sum("score").alias("part"), F.count("*").alias("lists_seen"))
@@ -200,30 +233,30 @@ def top_scores(
     def cell(q: Column, c: Column) -> Column:
         return _cell(F.col("dim"), q, c, q_blocks, c_blocks)
 
+    none = F.lit(NO_CUTOFF).alias("cutoff")
     # An unseen part times the number of lists is below the cutoff.
-    unseen = (lists - F.col("lists_seen")) * (F.ceil(F.col("cutoff") / lists) - 1)
+    unseen = (lists - F.col("lists_seen")) * (F.expr(f"cutoff div {lists}") - 1)
     pairs = (
         seen.join(asked.select(F.col("node").alias("query"), "cutoff", "dim"), "query")
-        .where(F.col("cutoff").isNull() | (F.col("part") + unseen >= F.col("cutoff")))
-        .select(cell(_blocks("query", q_blocks), _blocks("node", c_blocks)), F.lit(2).alias("kind"), "query", "node")
+        .where((F.col("cutoff") == NO_CUTOFF) | (F.col("part") + unseen >= F.col("cutoff")))
+        .select(cell(_blocks("query", q_blocks), _blocks("node", c_blocks)), F.lit(2).alias("kind"), "query", "node", none)
     )
-    other = F.col("other")
+    other, own_query = F.col("other"), F.lit(-1).cast("long").alias("query")
     meet = (
         asked.withColumn("other", F.explode(F.sequence(F.lit(0), F.lit(c_blocks - 1))))
-        .select(cell(_blocks("node", q_blocks), other), F.lit(0).alias("kind"), "node", "vector", "cutoff")
+        .select(cell(_blocks("node", q_blocks), other), F.lit(0).alias("kind"), "node", "vector", "cutoff", own_query)
         .unionByName(
             classes.withColumn("other", F.explode(F.sequence(F.lit(0), F.lit(q_blocks - 1))))
-            .select(cell(other, _blocks("node", c_blocks)), F.lit(1).alias("kind"), "node", "vector"),
+            .select(cell(other, _blocks("node", c_blocks)), F.lit(1).alias("kind"), "node", "vector", none, own_query),
             allowMissingColumns=True,
         )
         .unionByName(pairs, allowMissingColumns=True)
     )
     scored = _in_cells(meet).mapInPandas(_resolve, "query long, node long, score long")
-    candidates = scored.join(ids, "node").select("query", "vec_id", "score")
+    candidates = scored.join(ids, "node").join(queries.select(F.col("node").alias("query"), "own"), "query")
     best = candidates.selectExpr(
-        "query", "vec_id", "score", "row_number() OVER (PARTITION BY query ORDER BY score DESC, vec_id) AS r"
-    ).where(F.col("r") <= 2 * k + 2)
-    asking = named.where("asks").select(F.col("node").alias("query"), F.col("vec_id").alias("query_id")).distinct()
+        "query", "vec_id", "score", "own", "row_number() OVER (PARTITION BY query ORDER BY score DESC, vec_id) AS r"
+    ).where(F.col("r") <= F.col("own") + k)
     return (
         asking.join(best, "query")
         .where("vec_id <> query_id")
