@@ -135,8 +135,9 @@ def _found(threshold: float):
             x = _unit(raw)
             cosine = x @ x.T
             linked = cosine >= threshold
+            scaled = np.ldexp(raw, -np.frexp(np.abs(raw).max(axis=1, keepdims=True))[1])  # keeps squares within doubles
             for a, b in np.argwhere(np.abs(cosine - threshold) < 1e-12):  # rounding decides here: add exactly
-                dot, p, q = (math.fsum(u * v) for u, v in ((raw[a], raw[b]), (raw[a], raw[a]), (raw[b], raw[b])))
+                dot, p, q = (math.fsum(u * v) for u, v in ((scaled[a], scaled[b]), (scaled[a], scaled[a]), (scaled[b], scaled[b])))
                 linked[a, b] = dot / math.sqrt(p) / math.sqrt(q) >= threshold
             np.fill_diagonal(linked, False)
             side = rows["home" if kind else "part"].to_numpy()
@@ -174,8 +175,8 @@ def link_vectors(
         "vectors",
     )
     classes = stage(
-        seen.where("usable").groupBy("label", "embedding").agg(F.min("vec_id").alias("node"), F.count("*").alias("copies"))
-        .withColumn("dim", F.size("embedding")),
+        seen.where("usable").groupBy("label", "embedding").agg(F.min("vec_id").alias("least_id"), F.count("*").alias("copies"))
+        .withColumns({"node": F.monotonically_increasing_id(), "dim": F.size("embedding")}),
         "classes",
     )
     pivots = _pivots(classes, cell_rows)
@@ -184,14 +185,17 @@ def link_vectors(
     found = stage(dealt.mapInPandas(_found(min_cosine), "a long, b long, links long"), "links")
     counts = found.groupBy("a").agg(F.sum("links").alias("links"))
     linked = components(found.select("a", "b"))
+    # A component is named by its least vec_id; ids may have several vectors, so they cannot stand for them before.
+    names = linked.join(classes.select("node", "least_id"), "node").groupBy("component").agg(F.min("least_id").alias("least"))
+    linked = linked.join(stage(names, "names"), "component").select(F.col("node").alias("of"), F.col("least").alias("component"))
     known = (
         classes.join(counts, classes["node"] == counts["a"], "left")
-        .join(linked.withColumnRenamed("node", "of"), F.col("node") == F.col("of"), "left")
+        .join(linked, F.col("node") == F.col("of"), "left")
         .select(
             F.col("label").alias("own_label"),
             F.col("embedding").alias("own_embedding"),
             (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"),
-            F.coalesce("component", "node").alias("component"),
+            F.coalesce("component", "least_id").alias("component"),
         )
     )
     component = F.coalesce("component", "vec_id")

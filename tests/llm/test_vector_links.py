@@ -68,3 +68,16 @@ def test_odd_rows(spark):
     vectors = spark.createDataFrame([(*r, 1, "x") for r in rows], "vec_id long, embedding array<float>, label int, node int, cell string")
     assert sorted(map(tuple, link_vectors(vectors).collect()), key=repr) == brute_force(rows, 0.93)
     assert link_vectors(vectors.limit(0)).collect() == []
+
+
+def test_ids_with_several_vectors(spark):
+    rows = [(1, [1.0, 0.0], 1), (1, [0.0, 1.0], 1), (2, [1.0, 0.01], 1), (3, [5.0, 0.0], 2), (1, [5.0, 0.1], 2)]
+    found = link_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")).collect()
+    assert sorted(map(tuple, found)) == [(1, 0, 1, True), (1, 1, 1, True), (1, 1, 1, True), (2, 1, 1, False), (3, 1, 1, False)]
+
+
+def test_very_small_and_large_components(spark):
+    rows = [(k, [x * scale for x in v], 1) for scale in (1e-200, 1e200) for k, v in enumerate(([0.93, (1 - 0.93**2) ** 0.5], [1.0, 0.0]), int(scale > 1) * 2)]
+    found = link_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")).collect()
+    assert {r.vec_id for r in found} == {0, 1, 2, 3}
+    assert all(r.n_links >= 1 for r in found)
