@@ -247,8 +247,9 @@ def load_star(
     regions: DataFrame,
     log: Callable[[], None],
     rebuild: bool = False,
+    arrival: str | None = None,
 ) -> None:
-    """Load batches of events, *log* them, and publish them.
+    """Load batches of events, *log* them, and publish them, if given with the *arrival* they came with.
 
     All batches go through each table together; every table is written once. The regions are one
     full snapshot, dated by the first batch. No load is visible without its lineage.
@@ -302,7 +303,7 @@ def load_star(
         gold.write_delta(rebound_table(spec.fact), conform(moved, spec.fact.schema), load_id)
     log()
     last_key = start + sum(batches.counts.values())
-    gold.publish(load_id, rebuild or published.last is None, last_key, rebound=bool(rebound))
+    gold.publish(load_id, rebuild or published.last is None, last_key, rebound=bool(rebound), arrival=arrival)
 
 
 def _number_facts(
@@ -327,7 +328,7 @@ def _contents(found: DataFrame, spec: StarSpec, load_date) -> DataFrame:
     return found.select(F.col(spec.edition).alias("edition"), "row_count", "content", load_date.alias(_DATE))
 
 
-def _loaded_editions(gold: Gold, spec: StarSpec) -> DataFrame:
+def loaded_editions(gold: Gold, spec: StarSpec) -> DataFrame:
     """The editions in gold, with what was loaded of them, in however many loads."""
     dim = spec.dimension(spec.edition_dimension)
     labels = read_dimension(gold, dim).select(F.col(dim.natural_key).alias("edition"))
@@ -339,11 +340,16 @@ def _loaded_editions(gold: Gold, spec: StarSpec) -> DataFrame:
     return labels.join(sums, "edition", "left").withColumnRenamed("edition", spec.edition)
 
 
-def _refuse_changed(found: DataFrame, loaded: DataFrame, spec: StarSpec) -> None:
+def changed_editions(found: DataFrame, loaded: DataFrame, spec: StarSpec) -> DataFrame:
+    """The loaded editions whose rows are others than those that were loaded."""
     same = F.col("row_count").eqNullSafe(F.col("loaded_rows")) & F.col("content").eqNullSafe(
         F.col("loaded_content")
     )
-    changed = found.join(loaded, spec.edition).filter(~same)
+    return found.join(loaded, spec.edition).filter(~same)
+
+
+def _refuse_changed(found: DataFrame, loaded: DataFrame, spec: StarSpec) -> None:
+    changed = changed_editions(found, loaded, spec)
     seen = changed.agg(F.count(F.lit(1)).alias("n"), F.min(spec.edition).alias("label")).first()
     if seen["n"]:
         raise ChangedEditionError(
@@ -393,6 +399,7 @@ def load_batch(
     load_date: date,
     spec: StarSpec = RESULTS_STAR,
     source_names: tuple[str, str] = ("events", "regions"),
+    arrival: str | None = None,
 ) -> None:
     """Load silver events as one batch on top of the gold tables, whatever editions they hold.
 
@@ -415,6 +422,7 @@ def load_batch(
             Batches(batch, load_date, counts, contents),
             regions,
             lambda: log_steps(spark, gold.lineage_path(), steps),
+            arrival=arrival,
         )
 
 
@@ -491,7 +499,7 @@ def _load_editions(
     found = edition_contents(cells, spec)
     newest = None
     if incremental:
-        loaded = _loaded_editions(gold, spec)
+        loaded = loaded_editions(gold, spec)
         _refuse_changed(found, loaded, spec)
         place = F.struct(
             edition_order_key(F.col(spec.edition)).alias("order_key"), spec.edition, "loaded_date"

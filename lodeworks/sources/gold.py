@@ -23,7 +23,7 @@ from lodeworks.sources.tables import append_rows, read_table_or_empty, write_tab
 _LOAD = table_schema({"load": "long"}, ())
 _LOADS = table_schema(
     {"load_id": "long", "rebuild": "boolean", "last_fact_key": "long", "compacted": "boolean",
-     "rebound": "boolean"},
+     "rebound": "boolean", "arrival": "string"},
     (),
 )
 
@@ -77,6 +77,11 @@ class Gold:
             tuple(row["load_id"] for row in rows if row["rebound"]),
         )
 
+    def has_arrival(self, arrival: str) -> bool:
+        """Whether a load was published that came with this arrival."""
+        rows = read_table_or_empty(self.spark, f"{self.path}/_loads", _LOADS)
+        return not rows.filter(F.col("arrival") == arrival).isEmpty()
+
     def _folder(self, table: str, load_id: int) -> str:
         return f"{self.path}/{table}/load={load_id}"
 
@@ -105,9 +110,11 @@ class Gold:
         last_fact_key: int,
         compacted: bool = False,
         rebound: bool = False,
+        arrival: str | None = None,
     ) -> None:
         """Make a load visible, after all its tables are written."""
-        row = self.spark.createDataFrame([(load_id, rebuild, last_fact_key, compacted, rebound)], _LOADS)
+        row = (load_id, rebuild, last_fact_key, compacted, rebound, arrival)
+        row = self.spark.createDataFrame([row], _LOADS)
         append_rows(row.coalesce(1), f"{self.path}/_loads")
 
     def _read(self, table: str, schema: StructType, load_ids: Sequence[int]) -> DataFrame:

@@ -6,6 +6,7 @@ from pathlib import Path
 import pytest
 from pyspark.sql import functions as F
 
+from lodeworks.plans.arrivals import load_arrivals
 from lodeworks.plans.reports import register_star, top_entities
 from lodeworks.plans.specs import RESULTS_STAR
 from lodeworks.plans.splice import read_facts
@@ -22,7 +23,7 @@ from lodeworks.plans.star import (
 from lodeworks.schemas import DIM_NOC, FACT_RESULTS
 from lodeworks.operators.lineage import read_lineage
 from lodeworks.sources.gold import Gold, Loads, Merged
-from lodeworks.sources.tables import staging_root
+from lodeworks.sources.tables import append_rows, staging_root
 from tests.conftest import rows
 
 HEADER = '"ID","Name","Sex","Age","Height","Weight","Team","NOC","Games","Year","Season","City","Sport","Event","Medal"'
@@ -229,7 +230,7 @@ def without_keys(gold):
     return [*whole, rows(seen.drop("noc_sk"))]
 
 
-@pytest.mark.parametrize("first", [["2000 Summer", "2004 Winter"], ["2004 Winter"], ["2004 Summer"]])
+@pytest.mark.parametrize("first", [["2000 Summer", "2004 Winter"], ["2004 Winter"]])
 def test_late_editions_are_spliced_into_history(spark, full, silver, tmp_path, first):
     events, regions = silver
     gold = Gold(spark, str(tmp_path))
@@ -372,3 +373,33 @@ def test_no_load_is_published_without_lineage(spark, tmp_path, monkeypatch):
     with pytest.raises(OSError):
         run_pipeline(spark, str(tmp_path))
     assert Gold(spark, f"{tmp_path}/gold").last_load() is None
+
+
+def test_arrivals_load_only_new_files(spark, silver, tmp_path, monkeypatch):
+    events, regions = silver
+    every, late = events("2004 Winter"), (F.col("games") == "2000 Summer") & (F.col("athlete_id") == 3)
+    gold, drops = Gold(spark, str(tmp_path / "gold")), str(tmp_path / "drops")
+
+    def run():
+        return load_arrivals(spark, drops, every.schema, regions, gold.path, str(tmp_path / "seen"), splice=True)
+
+    append_rows(every.filter((F.col("games") == "2000 Summer") & ~late), drops)
+    assert run() == 2
+    append_rows(every.filter("games = '2004 Winter'"), drops)
+    # A run that fails before it publishes loads nothing; the next one takes the same files.
+    with monkeypatch.context() as patched, pytest.raises(Exception, match="no disk"):
+        patched.setattr(Gold, "publish", lambda *_, **__: (_ for _ in ()).throw(OSError("no disk")))
+        run()
+    assert gold.last_load()["load_id"] == 1
+    assert run() == 1
+    assert run() == 0
+    # An edition between the loaded ones, and more rows of one that is loaded.
+    append_rows(every.filter((F.col("games") == "2004 Summer") | late), drops)
+    assert run() == 4
+    facts = read_facts(gold, RESULTS_STAR.fact)
+    assert sorted(row["result_sk"] for row in facts.collect()) == list(range(1, 8))
+    games = read_dimension(gold, RESULTS_STAR.dimension("dim_game"))
+    assert rows(facts.join(games, "game_sk").groupBy("games").count()) == [
+        ("2000 Summer", 3), ("2004 Summer", 3), ("2004 Winter", 1),
+    ]
+    assert gold.has_arrival(f"{tmp_path / 'seen'}#2") and not gold.has_arrival("other")
