@@ -115,11 +115,11 @@ def run_checks(
                 for column in check.columns
                 if counted.get((number, column), 0) > 0
             }
-            details = f"nulls found: {nulls}" if nulls else "no nulls"
+            details = f"values missing: {nulls}" if nulls else "every value present"
             result = QualityResult(f"{table}:no_nulls", not nulls, details)
         elif isinstance(check, Unique):
             extra = duplicate_count(df, check.columns)
-            details = f"{extra} duplicate rows on {list(check.columns)}" if extra else "all unique"
+            details = f"{extra} rows repeat the key {list(check.columns)}" if extra else "every key once"
             result = QualityResult(f"{table}:unique", extra == 0, details)
         else:
             rows, least = counted[number, None], counted[number, "least"]
@@ -165,7 +165,7 @@ def check_row_count_consistent(
 ) -> QualityResult:
     """The share of rows lost is within the tolerance; gaining rows passes."""
     if before == 0:
-        passed, details = True, "no rows before"
+        passed, details = True, "nothing to compare with"
     else:
         drop = 1.0 - after / before
         passed, details = drop <= tolerance, f"before={before}, after={after}, drop={drop:.2%}"

@@ -131,8 +131,8 @@ def _not_empty_sql(name: str, source: str) -> str:
 
 def _unique_sql(name: str, source: str, columns: list[str]) -> str:
     return f"""SELECT '{name}:unique' AS check_name, coalesce(sum(n - 1), 0) = 0 AS passed,
-                      CASE WHEN coalesce(sum(n - 1), 0) = 0 THEN 'all unique'
-                           ELSE CAST(CAST(sum(n - 1) AS BIGINT) AS VARCHAR) || ' duplicate rows on ['
+                      CASE WHEN coalesce(sum(n - 1), 0) = 0 THEN 'every key once'
+                           ELSE CAST(CAST(sum(n - 1) AS BIGINT) AS VARCHAR) || ' rows repeat the key ['
                                 || '{", ".join("''" + c + "''" for c in columns)}' || ']' END AS details
                FROM (SELECT count(*) AS n FROM {source} GROUP BY {", ".join(columns)})"""
 
@@ -140,8 +140,8 @@ def _unique_sql(name: str, source: str, columns: list[str]) -> str:
 def _no_nulls_sql(name: str, source: str, column: str) -> str:
     """For tables in which only *column* may hold nulls."""
     return f"""SELECT '{name}:no_nulls' AS check_name, count(*) = count({column}) AS passed,
-                      CASE WHEN count(*) = count({column}) THEN 'no nulls'
-                           ELSE 'nulls found: {{''{column}'': '
+                      CASE WHEN count(*) = count({column}) THEN 'every value present'
+                           ELSE 'values missing: {{''{column}'': '
                                 || CAST(count(*) - count({column}) AS VARCHAR) || '}}' END AS details
                FROM {source}"""
 
@@ -201,7 +201,7 @@ QUERIES = {
             {_row_count_sql("documents", "before", "after", "0")} UNION ALL
             {_row_count_sql("tolerant", "before", "after", "0.5")} UNION ALL
             {_row_count_sql("growing", "after", "before", "0")} UNION ALL
-            SELECT 'nothing:row_count_consistent', true, 'no rows before'""",
+            SELECT 'nothing:row_count_consistent', true, 'nothing to compare with'""",
     ),
     "quality_report": (
         rule_set,

@@ -37,16 +37,16 @@ def test_not_empty(table):
 
 def test_no_nulls(table):
     result = check_no_nulls(table, ["id", "x", "absent", "v"], "t")
-    assert (result.passed, result.details) == (False, "nulls found: {'id': 2, 'x': 2, 'v': 1}")
-    assert check_no_nulls(table.filter("v = 'a'"), ["id", "v"], "t").details == "no nulls"
+    assert (result.passed, result.details) == (False, "values missing: {'id': 2, 'x': 2, 'v': 1}")
+    assert check_no_nulls(table.filter("v = 'a'"), ["id", "v"], "t").details == "every value present"
     assert check_no_nulls(table.filter("false"), ["id"], "t").passed
 
 
 def test_unique(table):
-    assert check_unique(table, ["id"], "t").details == "2 duplicate rows on ['id']"
-    assert check_unique(table, ["id", "v"], "t").details == "1 duplicate rows on ['id', 'v']"
+    assert check_unique(table, ["id"], "t").details == "2 rows repeat the key ['id']"
+    assert check_unique(table, ["id", "v"], "t").details == "1 rows repeat the key ['id', 'v']"
     assert check_unique(table.filter("v = 'a'"), ["id"], "t").passed
-    assert check_unique(table.filter("false"), ["id"], "t").details == "all unique"
+    assert check_unique(table.filter("false"), ["id"], "t").details == "every key once"
 
 
 def test_accepted_values(table):
@@ -73,7 +73,7 @@ def test_many_unexpected_values_stay_distributed(spark):
         (100, 50, 0.0, False, "before=100, after=50, drop=50.00%"),
         (100, 95, 0.1, True, "before=100, after=95, drop=5.00%"),
         (100, 150, 0.0, True, "before=100, after=150, drop=-50.00%"),
-        (0, 5, 0.0, True, "no rows before"),
+        (0, 5, 0.0, True, "nothing to compare with"),
     ],
 )
 def test_row_count_consistent(before, after, tolerance, passed, details):
@@ -86,7 +86,7 @@ def test_checks_run_together_and_can_fail(spark, table):
     results = run_checks(table, "t", checks)
     assert [result.passed for result in results] == [True, False, False, True]
     assert results_frame(spark, results).columns == ["check_name", "passed", "details"]
-    with pytest.raises(QualityError, match="t:no_nulls: nulls found"):
+    with pytest.raises(QualityError, match="t:no_nulls: values missing"):
         run_checks(table, "t", checks, fail=True)
 
 
