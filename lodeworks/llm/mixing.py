@@ -5,8 +5,9 @@ the mean. Each row draws its number of copies by inverting the Poisson distribut
 number in (0, 1) that a hash of seed and doc_id gives, is exploded by it, and all copies are shuffled
 by a hash of seed, doc_id and copy. Means above 500 are a sum of several draws, as exp(-mean) would vanish.
 
-Scale. The only state is one row per source. Rows are dealt out by the hash, never by source, so a
-source with a third of all rows is like any other; the join with the rates is splittable. Every draw
+Scale. The only state is one row per source, which is written: its real size decides whether it is broadcast.
+Then rows are dealt out by the hash only. Beyond the broadcast threshold they meet the rates by source, in a join
+whose two sides are shuffled for it, so that a source with a third of all rows is split. Every draw
 depends on its row alone, so a lost task draws the same again.
 
 Defined results. A null source is a source. Rows with equal doc_id draw alike, repeated rows too. A null
@@ -22,6 +23,8 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lodeworks.llm.common import stage
+
 ADDED = ("mix_copy", "mix_rate", "mix_key")
 LARGEST = 500.0
 
@@ -80,6 +83,7 @@ def mix(
     by_source = rates(docs, weights, power, total).select(
         "mix_source", "rate", draws.alias("draws"), _cumulative(F.col("rate") / draws).alias("upto")
     )
+    by_source = stage(by_source, "rates")
     doc_id = F.coalesce(F.col("doc.doc_id").cast("string"), F.lit(""))
 
     def drawn(k: Column) -> Column:
