@@ -1,17 +1,17 @@
 """Data-quality checks between layers.
 
 A failed check of values gives a row count and the smallest value, at every size; unexpected_values() has them
-all. All checks of a table are measured in one aggregation, plus one grouped count per uniqueness check;
-only those counts reach the driver. A failed check is logged, and raised on request.
+all. All checks of a table are measured in one aggregation, or within the write of the table, plus one grouped
+count per uniqueness check; only those counts reach the driver. A failed check is logged, and raised on request.
 """
 
 from __future__ import annotations
 
 import logging
-from collections.abc import Iterable, Sequence
+from collections.abc import Callable, Iterable, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 logger = logging.getLogger(__name__)
@@ -87,6 +87,38 @@ def run_checks(
 ) -> list[QualityResult]:
     """Run the checks over *df* and log each result; with *fail*, raise when any check failed."""
     checks = list(checks)
+    measures = _measures(df, checks)
+    counted = {}
+    if measures:
+        exprs = [measure.alias(f"m{i}") for i, measure in enumerate(measures.values())]
+        counted = dict(zip(measures, df.agg(*exprs).first()))
+    return _judge(df, table, checks, counted, fail)
+
+
+def write_checked(
+    df: DataFrame,
+    write: Callable[[DataFrame], DataFrame],
+    table: str,
+    checks: Iterable[Check],
+    fail: bool = False,
+) -> tuple[DataFrame, int, list[QualityResult]]:
+    """Write *df*, run the checks and count the rows, all in one pass; only uniqueness is looked up behind it.
+
+    *write* writes a frame and returns it as read back. Returns what was written, its number of rows and the
+    results. With *fail*, an error is raised when any check failed, after the write.
+    """
+    checks = list(checks)
+    measures = _measures(df, checks)
+    observation = Observation()
+    exprs = [measure.alias(f"m{i}") for i, measure in enumerate(measures.values())]
+    written = write(df.observe(observation, F.count(F.lit(1)).alias("n_rows"), *exprs))
+    found = observation.get
+    counted = {name: found[f"m{i}"] for i, name in enumerate(measures)}
+    return written, found["n_rows"], _judge(written, table, checks, counted, fail)
+
+
+def _measures(df: DataFrame, checks: Sequence[Check]) -> dict[tuple, Column]:
+    """The aggregates that the checks need, but for uniqueness."""
     measures = {}
     for number, check in enumerate(checks):
         if isinstance(check, NotEmpty):
@@ -99,11 +131,12 @@ def run_checks(
             outside = _is_unexpected(df, check)
             measures[number, None] = F.count_if(outside)
             measures[number, "least"] = F.min(F.when(outside, F.col(check.column))).cast("string")
-    counted = {}
-    if measures:
-        exprs = [measure.alias(f"m{i}") for i, measure in enumerate(measures.values())]
-        counted = dict(zip(measures, df.agg(*exprs).first()))
+    return measures
 
+
+def _judge(
+    df: DataFrame, table: str, checks: Sequence[Check], counted: dict, fail: bool
+) -> list[QualityResult]:
     results = []
     for number, check in enumerate(checks):
         if isinstance(check, NotEmpty):

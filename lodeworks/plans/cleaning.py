@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,7 +14,14 @@ from lodeworks.functions.columns import (
     trim_columns,
 )
 from lodeworks.operators.dedupe import dedupe_rows, keep_first
-from lodeworks.operators.quality import AcceptedValues, NoNulls, NotEmpty, Unique
+from lodeworks.operators.quality import (
+    AcceptedValues,
+    Check,
+    NoNulls,
+    NotEmpty,
+    Unique,
+    write_checked,
+)
 from lodeworks.sources.tables import write_table
 
 
@@ -84,11 +91,20 @@ def clean_table(df: DataFrame, spec: CleaningSpec) -> DataFrame:
 
 
 def clean_to_silver(
-    spark: SparkSession, bronze_path: str, silver_path: str, spec: CleaningSpec
+    spark: SparkSession,
+    bronze_path: str,
+    silver_path: str,
+    spec: CleaningSpec,
+    table: str = "silver",
+    rules: Sequence[Check] = (),
+    fail: bool = False,
 ) -> int:
-    """Clean a bronze table into a silver table and return the number of rows written."""
-    bronze = spark.read.parquet(str(bronze_path))
-    return write_table(clean_table(bronze, spec), silver_path).count()
+    """Clean a bronze table into a silver table and return the number of rows written.
+
+    The rows are counted, and the rules of the *table* checked, while they are written.
+    """
+    cleaned = clean_table(spark.read.parquet(str(bronze_path)), spec)
+    return write_checked(cleaned, lambda df: write_table(df, silver_path), table, rules, fail)[1]
 
 
 def clean_athlete_events(spark: SparkSession, bronze_path: str, silver_path: str) -> int:

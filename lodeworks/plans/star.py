@@ -30,7 +30,7 @@ from lodeworks.operators.dedupe import keep_first
 from lodeworks.operators.facts import Lookup, fact_history, load_facts
 from lodeworks.operators.keys import assign_keys, hash_cell, max_key
 from lodeworks.operators.lineage import Step, log_steps, read_lineage, utc_now
-from lodeworks.operators.quality import enforce_constraints, run_checks
+from lodeworks.operators.quality import enforce_constraints
 from lodeworks.operators.scd import (
     classify_changes,
     scd0_additions,
@@ -611,8 +611,9 @@ def run_pipeline(
         bronze, silver = f"{data_dir}/bronze/{name}", f"{data_dir}/silver/{name}"
         schema = (raw_schemas or {}).get(name)
         ingested = ingest_csv(spark, f"{data_dir}/raw/{name}.csv", bronze, schema, multi_line)
-        cleaned = clean_to_silver(spark, bronze, silver, cleaning[name])
-        run_checks(spark.read.parquet(silver), f"silver.{name}", rules[name], fail_on_checks)
+        cleaned = clean_to_silver(
+            spark, bronze, silver, cleaning[name], f"silver.{name}", rules[name], fail_on_checks
+        )
         return [
             ("bronze", f"raw/{name}.csv", f"bronze/{name}", ingested, "success"),
             ("silver", f"bronze/{name}", f"silver/{name}", cleaned, "success"),

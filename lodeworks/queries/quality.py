@@ -21,8 +21,10 @@ from lodeworks.operators.quality import (
     results_frame,
     run_checks,
     unexpected_values,
+    write_checked,
 )
 from lodeworks.queries.tables import table
+from lodeworks.sources.tables import staging_path, write_table
 
 
 def _gappy_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -87,16 +89,25 @@ def row_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+_ORDER_RULES = [
+    NotEmpty(),
+    NoNulls(("o_orderkey", "o_custkey", "o_orderpriority")),
+    Unique(("o_orderkey",)),
+    Unique(("o_custkey",)),
+    AcceptedValues("o_orderstatus", ("F", "O", "P")),
+    AcceptedValues("o_orderpriority", ("1-URGENT", "2-HIGH", "3-MEDIUM")),
+]
+
+
 def rule_set(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rules = [
-        NotEmpty(),
-        NoNulls(("o_orderkey", "o_custkey", "o_orderpriority")),
-        Unique(("o_orderkey",)),
-        Unique(("o_custkey",)),
-        AcceptedValues("o_orderstatus", ("F", "O", "P")),
-        AcceptedValues("o_orderpriority", ("1-URGENT", "2-HIGH", "3-MEDIUM")),
-    ]
-    return results_frame(spark, run_checks(_gappy_orders(spark, sf_dir), "orders", rules))
+    return results_frame(spark, run_checks(_gappy_orders(spark, sf_dir), "orders", _ORDER_RULES))
+
+
+def observed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same rules, measured while the orders are written."""
+    orders, path = _gappy_orders(spark, sf_dir), staging_path(spark, "checked")
+    _, _, results = write_checked(orders, lambda df: write_table(df, path), "orders", _ORDER_RULES)
+    return results_frame(spark, results)
 
 
 def unexpected(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -227,3 +238,4 @@ QUERIES = {
             UNION ALL SELECT 'lineitem', count(*) = count(DISTINCT (l_orderkey, l_linenumber)) FROM lineitem""",
     ),
 }
+QUERIES["observed_checks"] = (observed, QUERIES["quality_report"][1])

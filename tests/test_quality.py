@@ -19,8 +19,10 @@ from lodeworks.operators.quality import (
     results_frame,
     run_checks,
     unexpected_values,
+    write_checked,
 )
 from lodeworks.schemas import PIPELINE_LINEAGE
+from lodeworks.sources.tables import write_table
 from tests.conftest import rows
 
 
@@ -122,3 +124,29 @@ def test_lineage(spark, tmp_path):
     assert found.filter(F.col("run_timestamp").isNull()).count() == 0
     assert dict(found.dtypes)["run_timestamp"] == "timestamp_ntz"
     assert rows(lineage_rows(spark, [("a", "b", "c", 1, "success")], 41), "lineage_id") == [(42,)]
+
+
+def test_checks_and_counts_come_from_the_write(spark, tmp_path, monkeypatch):
+    data = spark.createDataFrame([(1, "a"), (2, None), (2, "c"), (None, "a")], "id long, v string").repartition(3)
+    rules = [NotEmpty(), NoNulls(("id", "v", "absent")), AcceptedValues("v", ("a", "b"))]
+    expected = run_checks(data, "t", rules)
+    plans = []
+
+    def write(df):
+        plans.append(df._jdf.queryExecution().toString())
+        return write_table(df, str(tmp_path / "t"))
+
+    with monkeypatch.context() as patched:
+        # Nothing is aggregated besides: one pass writes, counts and checks.
+        patched.setattr("pyspark.sql.classic.dataframe.DataFrame.agg", None)
+        patched.setattr("pyspark.sql.classic.dataframe.DataFrame.count", None)
+        written, n_rows, results = write_checked(data, write, "t", rules)
+    assert (n_rows, results) == (4, expected)
+    assert written.count() == 4
+    assert "CollectMetrics" in plans[0]
+    again = write_checked(data, write, "t", [*rules, Unique(("id",))])[2]
+    assert again == run_checks(data, "t", [*rules, Unique(("id",))])
+    with pytest.raises(QualityError, match="accepted_values"):
+        write_checked(data, write, "t", rules, fail=True)
+    empty = write_checked(data.filter("false"), write, "t", rules)
+    assert (empty[1], empty[2][0].passed) == (0, False)
