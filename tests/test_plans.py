@@ -8,6 +8,8 @@ from lodeworks.operators.dedupe import dedupe_rows, keep_first
 from lodeworks.operators.facts import Lookup, resolve_keys
 from lodeworks.operators.scd import as_of
 from lodeworks.plans.reports import count_by_entity
+from lodeworks.schemas import table_schema
+from lodeworks.sources.gold import Gold, Merged
 from lodeworks.sources.tables import stage
 
 
@@ -106,7 +108,7 @@ def test_versions_of_a_day_are_pushed_to_the_scan(spark, conf, tmp_path):
 @pytest.mark.parametrize(
     "name",
     ["scd0_history", "scd1_history", "scd2_history", "scd2_bindings", "dim_part", "dense_keys",
-     "clean_orders", "as_of_orders", "leaderboard_career", "fact_unmatched"],
+     "clean_orders", "as_of_orders", "leaderboard_career", "fact_unmatched", "dim_customer"],
 )
 def test_nothing_in_the_plan_is_global(spark, sf, name, monkeypatch):
     """No cross join, no unpartitioned window, no Python worker: in the result and in all it stages."""
@@ -124,3 +126,25 @@ def test_nothing_in_the_plan_is_global(spark, sf, name, monkeypatch):
     for text in plans:
         for unwanted in ("CartesianProduct", "BroadcastNestedLoopJoin", "SinglePartition", "Python", "ArrowEval"):
             assert unwanted not in text
+
+
+def test_the_first_delta_of_a_merged_table_is_not_shuffled(spark, tmp_path):
+    gold = Gold(spark, str(tmp_path))
+    merged = Merged("dim", table_schema({"k": "long", "v": "string"}, ("k",)), "k")
+    for load_id, first in ((1, 0), (2, 900), (3, 950)):
+        rows = spark.range(first, 1000).select(F.col("id").alias("k"), F.lit(f"load {load_id}").alias("v"))
+        gold.write_delta(merged, rows, load_id)
+        gold.publish(load_id, load_id == 1, 0)
+    found = gold.read_merged(merged)
+    assert {row["v"]: row["count"] for row in found.groupBy("v").count().collect()} == {
+        "load 1": 900, "load 2": 50, "load 3": 50,
+    }
+    text = plan(found)
+    physical = text[text.index("== Physical Plan ==") :]
+    join = physical.index("LeftAnti")
+    assert "BroadcastHashJoin" in physical
+    assert "hashpartitioning" not in physical[join : physical.index("FileScan")]
+    # A compacted table is read as it is.
+    gold.compact([merged])
+    assert "Join" not in plan(gold.read_merged(merged)) and "Exchange" not in plan(gold.read_merged(merged))
+    assert gold.read_merged(merged).count() == 1000
