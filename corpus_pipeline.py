@@ -1,4 +1,11 @@
-"""A corpus pipeline of five stages; each works on all that the one before kept."""
+"""A corpus pipeline of five stages; each works on all that the one before kept.
+
+All but the last return the columns of documents; extra columns are dropped, whatever their names. A null text is
+handled as an empty one and stays null, an empty text is not toxic, no near duplicate, and a piece of one token. A null
+doc_id is an id like others: its rows are packed, and come first where the order of ids decides. Of near duplicates the
+smallest doc_id stays; rows that share doc_id and text go through alike, so that ties need no order. Very long texts
+are handled whole. An empty table stays empty in every stage.
+"""
 
 from __future__ import annotations
 
