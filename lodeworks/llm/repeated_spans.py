@@ -1,6 +1,6 @@
 """Removal of text that repeats: spans of several consecutive sentences, compared over all documents.
 
-Method. A text is cut into sentences: up to a stop (. ! ? , ; : or a line end). A stretch of more than
+Method. A text is cut into sentences: up to a stop (. ! ? , ; :) or a line end. A stretch of more than
 MOST_WORDS words without a stop is cut before the least word hash of each WINDOW words in a row, so that every
 text has short steps, and those of a repeated passage lie alike whatever words come before it: all but its first
 and last WINDOW words at most. A span begins at each sentence and takes the fewest sentences,
@@ -8,9 +8,9 @@ at least *run*, that hold *least_words* words. Spans are compared by a 64-bit ha
 words. The first occurrence of a span, by (doc_id, text, position), stays; sentences covered by any other
 occurrence go.
 
-Scale. Spans are hashed row by row. A grouped minimum, combined before its shuffle, finds first
-occurrences; a join with the repeated hashes alone finds the others. A frequent passage is one row per
-task in the first and a splittable key in the second.
+Scale. Spans are hashed row by row, all words of a text at once. A grouped minimum, combined before its shuffle,
+finds first occurrences and is written; a join with the repeated hashes alone finds the others. A frequent passage is
+one row per task in the first and, as both sides of the join are shuffled for it, a key that is split in the second.
 
 Defined results. Null texts stay null; texts with fewer words or sentences than a span stay as they are.
 Rows that share doc_id and text are the same document and are treated alike. A null doc_id comes first.
@@ -19,95 +19,116 @@ Other columns are handed on.
 
 from __future__ import annotations
 
-import functools
-import itertools
-import re
-
 import numpy as np
 import pandas as pd
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lodeworks.llm.common import Memo, small_batches
+from lodeworks.llm.common import small_batches, stage
 
 MOST_WORDS = 12
 WINDOW = 10  # a shared stretch of 51 words keeps at least 32 between shared cuts, enough for three pieces and 20 words
-_PIECE = re.compile(r"[^.!?,;:\n]+[.!?,;:\n]*\s*|[.!?,;:\n]+\s*")
-_WORD = re.compile(r"\S+\s*")
+STOPS = ".!?,;:"
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 2**64))
+_KNOWN = 0x3001  # there is no white space from here on
+_SPACE = np.array([chr(c).isspace() for c in range(_KNOWN)] + [False])
+_STOP = np.array([chr(c) in STOPS for c in range(_KNOWN)] + [False])
+
+
+def _points(text: str) -> np.ndarray:
+    if text.isascii():
+        return np.frombuffer(text.encode(), np.uint8)
+    return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
 
 
-@functools.cache
-def _word_ranks() -> Memo:
-    return Memo(lambda word: xxhash.xxh3_64_intdigest(word.encode("utf-8", "replace")), 20_000)
+def _lower(text: str) -> str:
+    """Lower case of the same length."""
+    low = text.lower()
+    return low if len(low) == len(text) else "".join(c.lower() if len(c.lower()) == 1 else c for c in text)
 
 
-def _cuts(words: list[str]) -> list[int]:
-    """Where a stretch is cut: at the least hash of each window, the first one on a tie."""
-    ranks = np.array(list(map(_word_ranks().__getitem__, words)), np.uint64)
-    least = np.lib.stride_tricks.sliding_window_view(ranks, WINDOW).argmin(axis=1)
-    return np.unique(least + np.arange(len(least))).tolist()
+def _powers(base: np.uint64, n: int) -> np.ndarray:
+    out = np.full(n, base, np.uint64)
+    out[:1] = 1
+    return np.multiply.accumulate(out)
+
+
+_USUAL = 1 << 16  # longer texts get their powers when they come
+_RAISED, _LOWERED = _powers(_BASE, _USUAL), _powers(_INVERSE, _USUAL)
+
+
+def _hashes(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of each stretch of *values*, the same wherever the stretch lies."""
+    n = len(values)
+    raised, lowered = (_RAISED[:n], _LOWERED) if n < _USUAL else (_powers(_BASE, n), _powers(_INVERSE, n + 1))
+    prefix = np.zeros(n + 1, np.uint64)
+    terms = values + np.uint64(1)
+    terms *= raised
+    np.cumsum(terms, out=prefix[1:])
+    value = (prefix[ends] - prefix[starts]) * lowered[starts]
+    value = (value ^ (value >> np.uint64(32))) * _BASE + (ends - starts).astype(np.uint64)
+    return (value ^ (value >> np.uint64(29))) * _INVERSE
+
+
+def _cut(text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The sentences of a text: where each begins (in characters), its number of words, and the hash of its words."""
+    points = _points(text)
+    if not text.isascii():
+        points = np.minimum(points, _KNOWN)
+    space, stop = _SPACE[points], _STOP[points]
+    nothing = np.zeros(0, np.int64)
+    if space.all():
+        return (np.zeros(1, np.int64), np.zeros(1, np.int64), np.zeros(1, np.uint64)) if len(text) else (nothing, nothing, nothing.astype(np.uint64))
+    # A word ends before white space and behind stops.
+    after = np.concatenate([[True], space[:-1]]) | (np.concatenate([[False], stop[:-1]]) & ~stop)
+    starts = np.flatnonzero(~space & after)
+    behind = np.concatenate([space[1:], [True]]) | (stop & ~np.concatenate([stop[1:], [False]]))
+    ends = np.flatnonzero(~space & behind) + 1
+    words = _hashes(_points(_lower(text)).astype(np.uint64), starts, ends)
+
+    lines = np.searchsorted(np.flatnonzero(points == 10), np.stack([ends[:-1], starts[1:]]))
+    closed = stop[ends[:-1] - 1] | (lines[1] > lines[0])
+    sentence = np.concatenate([[0], np.cumsum(closed)])
+    first = np.flatnonzero(np.concatenate([[True], closed]))
+    if len(words) >= WINDOW:
+        whole = sentence[: len(words) - WINDOW + 1] == sentence[WINDOW - 1 :]
+        at = np.flatnonzero(whole & (np.bincount(sentence)[sentence[: len(whole)]] > MOST_WORDS))
+        windows = np.lib.stride_tricks.sliding_window_view(words, WINDOW)
+        first = np.union1d(first, windows[at].argmin(axis=1) + at) if len(at) else first
+    last = np.concatenate([first[1:], [len(words)]])
+    begins = starts[first]
+    begins[0] = 0
+    return begins, last - first, _hashes(words, first, last)
 
 
 def sentences(text: str) -> tuple[list[str], list[int]]:
     """Consecutive pieces that make up the whole text, and the number of words in each."""
-    pieces, words = [], []
-    for piece in _PIECE.findall(text):
-        count = len(piece.split())
-        if count <= MOST_WORDS:
-            pieces.append(piece)
-            words.append(count)
-        else:
-            lead = piece[: len(piece) - len(piece.lstrip())]
-            each = _WORD.findall(piece)
-            each[0] = lead + each[0]
-            cuts = _cuts(piece.lower().split())
-            for start, end in itertools.pairwise([*([0] if cuts[0] else []), *cuts, count]):
-                pieces.append("".join(each[start:end]))
-                words.append(end - start)
-    return pieces, words
-
-
-@functools.cache
-def _piece_hashes() -> Memo:
-    return Memo(lambda piece: xxhash.xxh3_64_intdigest(" ".join(piece.lower().split()).encode("utf-8", "replace")), 20_000)
-
-
-@functools.cache
-def _powers(base: int, n: int) -> np.ndarray:
-    out = np.ones(n, np.uint64)
-    out[1:] = np.uint64(base)
-    return np.multiply.accumulate(out)
+    begins, words, _ = _cut(text)
+    ends = [*begins[1:].tolist(), len(text)]
+    return [text[a:b] for a, b in zip(begins.tolist(), ends, strict=True)] if len(begins) else [], words.tolist()
 
 
-def spans(pieces: list[str], words: list[int], run: int, least_words: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Start, end and hash of the span at each sentence that has one. Sentences without words are no start."""
-    real = np.flatnonzero(np.array(words, np.int64) > 0) if words else np.empty(0, np.int64)
-    n = len(real)
-    if n < run:
-        return np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.uint64)
-    hashes = np.array([_piece_hashes()[pieces[k]] for k in real], np.uint64)
-    total = np.concatenate([[0], np.cumsum(np.array(words, np.int64)[real])])
+def spans(words: np.ndarray, hashes: np.ndarray, run: int, least_words: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """First and last sentence (exclusive) and hash of the span at each sentence that has one."""
+    n = len(words)
+    total = np.concatenate([[0], np.cumsum(words)])
     start = np.arange(n)
     end = np.maximum(start + run, np.searchsorted(total, total[:-1] + least_words))
     start, end = start[end <= n], end[end <= n]
-    size = 1 << int(n + 1).bit_length()
-    prefix = np.concatenate([np.zeros(1, np.uint64), np.cumsum(hashes * _powers(int(_BASE), size)[:n], dtype=np.uint64)])
-    value = (prefix[end] - prefix[start]) * _powers(int(_INVERSE), size)[start]
-    value = (value ^ (value >> np.uint64(32))) * _BASE + (end - start).astype(np.uint64)
-    return real[start], real[end - 1] + 1, value
+    return start, end, _hashes(hashes, start, end)
 
 
 def _parts(run: int, least_words: int):
-    @F.pandas_udf("array<struct<h:long,pos:int>>")
-    def parts(texts: pd.Series) -> pd.Series:
-        out = []
+    @F.pandas_udf("h array<long>, pos array<int>")
+    def parts(texts: pd.Series) -> pd.DataFrame:
+        hashes, places = [], []
         for text in texts:
-            start, _, value = spans(*sentences(text or ""), run, least_words)
-            out.append([{"h": h, "pos": p} for h, p in zip(value.view(np.int64).tolist(), start.tolist(), strict=True)])
-        return pd.Series(out)
+            _, words, each = _cut(text or "")
+            start, _, value = spans(words, each, run, least_words)
+            hashes.append(value.view(np.int64))
+            places.append(start.astype(np.int32))
+        return pd.DataFrame({"h": hashes, "pos": places})
 
     return parts
 
@@ -117,18 +138,20 @@ def _rest(run: int, least_words: int):
     def rest(texts: pd.Series, marks: pd.Series) -> pd.DataFrame:
         out = []
         for text, marked in zip(texts, marks, strict=True):
-            pieces, words = sentences(text or "")
+            begins, words, hashes = _cut(text or "")
             if marked is None or not len(marked):
-                out.append((text, len(pieces), 0))
+                out.append((text, len(begins), 0))
                 continue
-            start, end, _ = spans(pieces, words, run, least_words)
+            start, end, _ = spans(words, hashes, run, least_words)
             hit = np.isin(start, np.asarray(marked, np.int64))
-            change = np.zeros(len(pieces) + 1, np.int64)
+            change = np.zeros(len(begins) + 1, np.int64)
             np.add.at(change, start[hit], 1)
             np.add.at(change, end[hit], -1)
             gone = np.cumsum(change[:-1]) > 0
-            left = "".join(p for p, drop in zip(pieces, gone, strict=True) if not drop)
-            out.append((left, len(pieces), int(gone.sum())))
+            turns = np.flatnonzero(np.diff(np.concatenate([[True], gone, [True]])))  # kept stretches begin and end
+            edges = np.concatenate([begins, [len(text)]])[turns].tolist()
+            left = "".join(text[a:b] for a, b in zip(edges[::2], edges[1::2], strict=True))
+            out.append((left, len(begins), int(gone.sum())))
         return pd.DataFrame(out, columns=["text", "n_sentences", "n_removed"])
 
     return rest
@@ -141,14 +164,19 @@ def remove_repeated_spans(docs: DataFrame, run: int = 3, least_words: int = 20)
     """
     # The hash of the text tells rows of one doc_id apart; it shares a long with the position.
     place = F.shiftleft(F.xxhash64("text"), 32).bitwiseOR(F.col("part.pos").cast("long"))
-    found = small_batches(docs).select(
-        F.col("doc_id").alias("id"), F.col("text").alias("text"), F.explode(_parts(run, least_words)("text")).alias("part")
-    ).select("part.h", "id", place.alias("at"))
-    firsts = (
+    found = (
+        small_batches(docs)
+        .select(F.col("doc_id").alias("id"), F.col("text").alias("text"), _parts(run, least_words)("text").alias("parts"))
+        .select("id", "text", F.explode(F.arrays_zip("parts.h", "parts.pos")).alias("part"))
+        .select("part.h", "id", place.alias("at"))
+    )
+    # Written, so that both sides of the join are shuffled for it, and a frequent span can be split.
+    firsts = stage(
         found.groupBy("h")
         .agg(F.count("*").alias("n"), F.min(F.struct("id", "at")).alias("first"))
         .where("n > 1")
-        .select("h", F.col("first.id").alias("first_id"), F.col("first.at").alias("first_at"))
+        .select("h", F.col("first.id").alias("first_id"), F.col("first.at").alias("first_at")),
+        "first-spans",
     )
     later = (
         found.join(firsts, "h")
