@@ -37,7 +37,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StructField, StructType
 
-from lodeworks.llm.common import stage
+from lodeworks.llm.common import small_batches, stage
 
 FILTERS = "ABCDE"
 SHARD_BYTES = 4 << 20  # of text, about; longer texts are shards of their own
@@ -106,24 +106,35 @@ def _local_shards(names: list[str]):
 
     def shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number = itertools.count(TaskContext.get().partitionId() << 33)
+        held: list[pa.RecordBatch] = []
+        size = 0
         for batch in batches:
-            sizes = np.cumsum(pc.binary_length(batch.column("text")).to_numpy(zero_copy_only=False), dtype=np.int64)
+            held.append(batch)
+            size += batch.column("text").nbytes
+            if size < SHARD_BYTES:
+                continue
+            rows = pa.concat_batches(held)
+            sizes = np.cumsum(pc.binary_length(rows.column("text")).to_numpy(zero_copy_only=False), dtype=np.int64)
             cuts = np.flatnonzero(np.diff(sizes // SHARD_BYTES)) + 1
-            for start, end in itertools.pairwise([0, *cuts.tolist(), len(batch)]):
-                if start < end:
-                    yield shard(next(number), batch.slice(start, end - start))
+            for start, end in itertools.pairwise([0, *cuts.tolist()]):
+                yield shard(next(number), rows.slice(start, end - start))
+            held = [rows.slice(cuts[-1] if len(cuts) else 0)]
+            size = held[0].column("text").nbytes
+        if held and sum(map(len, held)):
+            yield shard(next(number), pa.concat_batches(held))
 
     return shards
 
 
 def _buckets(words: pa.Array, buckets: int) -> np.ndarray:
     """A bucket for each word, the same wherever the word comes from."""
-    lengths = pc.binary_length(words).to_numpy(zero_copy_only=False).astype(np.int64)
-    ends = np.cumsum(lengths)
-    data = np.frombuffer(b"".join(words.cast(pa.binary()).to_pylist()), np.uint8)
-    place = np.arange(len(data)) - np.repeat(ends - lengths, lengths)
+    _, offsets, data = words.buffers()
+    starts = np.frombuffer(offsets, np.int32)[words.offset : words.offset + len(words) + 1]
+    data = np.frombuffer(data, np.uint8)[starts[0] : starts[-1]]
+    starts = starts - starts[0]
+    place = np.arange(len(data), dtype=np.int32) - np.repeat(starts[:-1], np.diff(starts))
     factors = np.random.default_rng(0).integers(1, 1 << 62, 64, dtype=np.uint64)
-    value = np.add.reduceat((data.astype(np.uint64) + np.uint64(1)) * factors[place & 63], ends - lengths)
+    value = np.add.reduceat((data + np.uint64(1)) * factors[place & 63], starts[:-1])
     return ((value ^ (value >> np.uint64(31))) % np.uint64(buckets)).astype(np.int32)
 
 
@@ -200,7 +211,7 @@ def term_matrix(docs: DataFrame, keep: dict[str, Column]) -> tuple[DataFrame, Da
         + [StructField(f.name, ArrayType(f.dataType)) for f in [*wanted.schema.fields[1:], *measured.fields]]
         + StructType.fromDDL("starts array<long>, terms array<int>, counts array<int>, words array<string>").fields
     )
-    local = stage(wanted.mapInArrow(_local_shards(names), schema), "shards")
+    local = stage(small_batches(wanted).mapInArrow(_local_shards(names), schema), "shards")
 
     total = local.agg(F.sum(F.size("words").cast("long"))).first()[0] or 0
     buckets = -(-total // BUCKET_WORDS) or 1
