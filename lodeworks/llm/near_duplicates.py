@@ -1,10 +1,10 @@
 """Near duplicates by an LSH forest over MinHash signatures, confirmed on whole shingle sets.
 
 Method. A document's words give its set of word shingles, as 64-bit hashes. Documents with equal sets
-form a class, and one of them stands for it. A signature of trees x DEPTH minima is cut into one sorted
-order per tree. Rows that are neighbours in an order and share a prefix form a region. A region is as deep
-as the threshold allows, however many rows it holds: splitting a large one at a deeper prefix would lose
-pairs. Rows of one region are joined loosely (each with the region's first: one edge a row); loose groups
+form a class, and one of them stands for it. A signature of trees x DEPTH minima has a part for each tree.
+Rows that share a prefix of a tree's part, of the same length everywhere, form a region: what lies together in
+the tree's sorted order, grouped by hash in place of a sort. The prefix is as long as the threshold allows, however
+many rows a region holds: splitting a large one at a longer prefix would lose pairs. Rows of one region are joined loosely (each with the region's first: one edge a row); loose groups
 are then compared in blocks: pairs whose signatures agree enough, best first, are confirmed by the exact
 100 * intersection >= percent * union, except pairs that links found before already connect.
 

@@ -7,11 +7,11 @@ more than short ones. Training follows the regularised leader: per coordinate, w
 weights of rare features at exactly zero. A score is a sparse dot product.
 
 Scale. A model is trained on at most *sample* labelled rows, those with the smallest hashes, in one task
-that sees one row at a time and returns the weights that are not zero, 2**bits at most. Scoring reads each
+that holds the features of all of them and returns the weights that are not zero, 2**bits at most. Scoring reads each
 text once, where it lies.
 
 Defined results. Null and empty texts have no features and score as the constant. Without labelled rows
-every score is 0.5. Rows without doc_id are never learned from. Repeated rows score alike.
+every score is 0.5; an empty table gives no rows. Rows without doc_id are never learned from. Repeated rows score alike.
 """
 
 from __future__ import annotations
