@@ -127,31 +127,46 @@ def _op1_sql() -> str:
 
     def replaced(column: str, steps) -> str:
         for pattern, to in steps:
-            pattern, to = pattern.replace("\r", "\\r").replace("\n", "\\n"), to.replace("$", "\\")
+            pattern, to = pattern.replace("\r", "\\r").replace("\n", "\\n").replace("\t", "\\t"), to.replace("$", "\\")
             column = f"regexp_replace({column}, {quoted(pattern)}, {quoted(to)}, 'g')"
         return column
 
-    cut = licences.CUT.replace("\n", "\\n")
+    cut = licences.CUT.replace("\n", "\\n").replace("\t", "\\t")
     known = ", ".join(f"({n}, {quoted(text)}, {quoted(name)})" for n, (text, name) in enumerate(licences.SENTENCES))
-    matched = "' ' || ids || ' '"
+    matched = "' ' || replace(ids, ' ', '  ') || ' '"
     for sequence, licence in licences.RULES:
-        matched = f"replace({matched}, ' {sequence} ', ' ={licence} ')"
+        matched = f"replace({matched}, ' {sequence.replace(' ', '  ')} ', ' ={licence} ')"
     return f"""
     WITH known(n, sentence, name) AS (VALUES {known}),
     texts AS (SELECT doc_id, lower(text) AS low FROM documents),
-    forms AS (
-        SELECT doc_id, 1 AS form, {replaced("low", licences.UNFOLD)} AS body FROM texts WHERE regexp_matches(low, '{licences.TRIGGER}')
-        UNION ALL SELECT doc_id, 2, low FROM texts WHERE regexp_matches(low, '{licences.TRIGGER}')),
-    lists AS (SELECT doc_id, form, regexp_split_to_array(body, {quoted(cut)}) AS parts FROM forms),
-    cut AS (SELECT doc_id, form, unnest(parts) AS part, generate_subscripts(parts, 1) AS pos FROM lists),
-    plain AS (SELECT doc_id, form, pos, {replaced("part", licences.NORMALISE)} AS s FROM cut),
+    parts AS (
+        SELECT doc_id, regexp_split_to_array({replaced("low", licences.UNFOLD)}, {quoted(cut)}) AS parts
+        FROM texts WHERE regexp_matches(low, '{licences.TRIGGER}')),
+    cut AS (SELECT doc_id, unnest(parts) AS part, generate_subscripts(parts, 1) AS pos FROM parts),
+    split AS (SELECT doc_id, pos, string_split(part, chr(9)) AS raw FROM cut WHERE regexp_matches(part, '{licences.TRIGGER}')),
+    pieces AS (SELECT doc_id, pos, unnest(raw) AS piece, generate_subscripts(raw, 1) AS place FROM split),
+    plain AS (SELECT doc_id, pos, place, {replaced("piece", licences.NORMALISE)} AS line FROM pieces),
+    sentences AS (SELECT doc_id, pos, list(line ORDER BY place) AS lines FROM plain WHERE line <> '' GROUP BY doc_id, pos),
+    ends AS (SELECT *, unnest(range(1, len(lines) + 1)) AS j FROM sentences),
+    starts AS (
+        SELECT *, unnest(range(greatest(1, j - {licences.MOST_LINES - 1}), j + 1)) AS i
+        FROM ends WHERE regexp_matches(lines[j], {quoted(licences.LAST)})),
+    runs AS (
+        SELECT doc_id, pos, j, array_to_string(lines[i:j], ' ') AS run, length(array_to_string(lines[1:j], ' ')) AS stop
+        FROM starts WHERE i = 1 OR NOT regexp_matches(lines[i - 1], '\\b({licences.NEGATION})( [a-z0-9.]+)?$')),
+    found AS (
+        SELECT doc_id, pos, j, stop, n, name, length(sentence) AS size, rtrim(left(run, length(run) - length(sentence)), ' ') AS lead
+        FROM runs JOIN known ON ends_with(' ' || run, ' ' || sentence)),
     hits AS (
-        SELECT doc_id, form, pos, min_by(name, n) AS name
-        FROM plain JOIN known ON ends_with(' ' || s, ' ' || sentence)
-        WHERE regexp_matches(s, '{licences.TRIGGER}') GROUP BY doc_id, form, pos),
-    firsts AS (
-        SELECT doc_id, name, min(form * 1000000000 + pos) AS place FROM hits GROUP BY doc_id, name),
-    sequences AS (SELECT doc_id, string_agg(name, ' ' ORDER BY place) AS ids FROM firsts GROUP BY doc_id),
+        SELECT doc_id, pos, j, stop, min_by(name, n) AS name, stop - min_by(size, n) AS start
+        FROM found
+        WHERE lead = '' OR (regexp_matches(lead, {quoted(licences.LEAD)}) AND NOT regexp_matches(lead, '\\b({licences.NEGATION})\\b'))
+        GROUP BY doc_id, pos, j, stop),
+    sequences AS (
+        SELECT doc_id, string_agg(name, ' ' ORDER BY pos, j) AS ids
+        FROM hits h WHERE NOT EXISTS (
+            SELECT 1 FROM hits o WHERE o.doc_id = h.doc_id AND o.pos = h.pos AND o.stop > h.stop AND o.start < h.stop)
+        GROUP BY doc_id),
     matched AS (SELECT doc_id, ids, string_split_regex(trim({matched}), ' +') AS parts FROM sequences),
     licensed AS (
         SELECT doc_id, string_agg(licence, ' ' ORDER BY place) AS licences

@@ -1,8 +1,10 @@
 """Licence sentences and rules."""
 
+import duckdb
 import pytest
 
 from lodeworks.llm.licences import SENTENCES, TRIGGER, scan_licences
+from lodeworks.llm.queries import _op1_sql, op1_license_scan
 
 MIT = """/*
  * Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated
@@ -89,6 +91,54 @@ def test_canonical_headers(spark, text, expected):
     assert (row.licences, row.unmatched) == ([expected], [])
 
 
+BSD3 = BSD.replace("Copyright (c) 2020, Somebody. All", "All") + """
+3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived
+   from this software without specific prior written permission.
+"""
+FORMS = [
+    (BSD3, "BSD-3-Clause", "rights-reserved bsd-grant bsd-source bsd-binary bsd-endorse"),
+    (
+        "Released under the MIT License\nLicensed under the Apache License, Version 2.0\nyou may not use this file except in compliance with the License.",
+        "MIT Apache-2.0",
+        "mit-short apache-2.0-short apache-use",
+    ),
+    ("License: MIT", "MIT", "named-mit"),
+    ("License: Apache License 2.0.\nAuthor: X", "Apache-2.0", "named-apache-2.0"),
+    ("Distributed under the MIT License.", "MIT", "mit-short"),
+    ("Licensed under the Apache License 2.0.", "Apache-2.0", "apache-2.0-short"),
+    ("Licensed under the MIT license (see LICENSE).", "MIT", "mit-short"),
+    ("The code is also available under the 3-Clause BSD licence.", "BSD-3-Clause", "bsd-3-short"),
+    ("// SPDX-License-Identifier: BSD-2-Clause", "BSD-2-Clause", "spdx-bsd-2-clause"),
+    ("# SPDX-License-Identifier: MIT OR Apache-2.0\n", "MIT Apache-2.0", "spdx-mit spdx-apache-2.0"),
+    ("# SPDX-License-Identifier: (ISC AND MIT) OR MPL-2.0\nx", "ISC MIT MPL-2.0", "spdx-isc spdx-mit spdx-mpl-2.0"),
+    ("Released under the MIT License. Released under the MIT License. Released under CC0.", "MIT CC0-1.0", "mit-short mit-short cc0-short"),
+    ("Copyright 2020 A B and others, licensed under the MIT License", "MIT", "mit-short"),
+    ("words\nthat run on\nThis work is\nlicensed under the\nMIT License", "MIT", "mit-short"),
+    ("This is not released under the MIT License.", "", ""),
+    ("This isn't released under the MIT License.", "", ""),
+    ("It was never\nreleased under the MIT License.", "", ""),
+    ("Nothing here is released under the MIT License.", "", ""),
+    ("I wonder whether people ever released under the MIT License", "", ""),
+    ("words " * 30_000 + "\n" * 2 + "Released under the MIT License.\n" + "more\n" * 20_000, "MIT", "mit-short"),
+]
+
+
+@pytest.mark.parametrize(("text", "licences", "ids"), FORMS)
+def test_forms_and_order(spark, text, licences, ids):
+    (row,) = scan_licences(spark.createDataFrame([(text,)], "text string")).collect()
+    assert (" ".join(row.licences), row.sentence_ids) == (licences, ids)
+
+
+def test_sql_gives_the_same_for_all_cases(spark, tmp_path):
+    texts = [case[0] for case in [*CASES, *HEADERS, *FORMS]]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    docs.coalesce(1).write.parquet(f"{tmp_path}/documents.parquet")
+    with duckdb.connect() as db:
+        db.sql(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents.parquet/*.parquet'")
+        expected = sorted(db.sql(_op1_sql()).fetchall())
+    assert sorted(map(tuple, op1_license_scan(spark, str(tmp_path)).collect())) == expected
+
+
 def test_identifiers_that_no_rule_takes_are_reported(spark):
     docs = spark.createDataFrame([("Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer.",)], "text string")
     (row,) = scan_licences(docs).collect()
