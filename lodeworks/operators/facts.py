@@ -1,13 +1,17 @@
-"""Fact rows: resolving dimension keys and numbering the facts."""
+"""Fact rows: resolving dimension keys, numbering the facts, and comparing them with other ones."""
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import functions as F
 
 from lodeworks.operators.keys import assign_batch_keys, assign_keys, count_cells
+from lodeworks.sources.tables import stage
+
+_SHARES = 64
 
 
 @dataclass(frozen=True)
@@ -61,3 +65,41 @@ def fact_history(
         counts = count_cells(events, batch, row_hash)
     facts = resolve_keys(events, lookups)
     return assign_batch_keys(facts, surrogate_key, batch, counts, row_hash, start, columns)
+
+
+def multiset_difference(
+    before: DataFrame, after: DataFrame, key: str, same: Sequence[str], carried: Sequence[str] = ()
+) -> tuple[DataFrame, DataFrame]:
+    """What makes the rows *before* into those *after*: the rows to add, and the *key* of those to take back.
+
+    Rows are alike if all columns *same* are, nulls included; alike rows are counted, so that one of two can be
+    taken back. Added rows also have the *carried* columns, by their largest values among alike rows.
+
+    Counts are combined before their shuffle, so however many alike rows there are, they make one row a task.
+    Which of them are taken back is settled by share of the keys: each share gives as many rows as it has until
+    the surplus is reached, and numbers its own rows only.
+    """
+    types = {field.name: field.dataType for field in after.schema}
+    empty = [F.lit(None).cast(types[name]).alias(name) for name in carried]
+    sides = before.select(*same, *empty, F.lit(-1).alias("_sign")).union(after.select(*same, *carried, F.lit(1)))
+    counted = sides.groupBy(*same).agg(F.sum("_sign").alias("_n"), *(F.max(name).alias(name) for name in carried))
+    differing = stage(
+        counted.filter("_n <> 0").withColumn("_group", F.monotonically_increasing_id()), "differing-rows"
+    )
+    more = differing.filter("_n > 0").withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_n").cast("int"))))
+    added = more.select(*same, *carried)
+
+    surplus = differing.filter("_n < 0").select(*(F.col(name).alias(f"_is_{name}") for name in same), "_group", (-F.col("_n")).alias("_surplus"))
+    alike = [F.col(name).eqNullSafe(F.col(f"_is_{name}")) for name in same]
+    rows = stage(
+        before.join(surplus, alike).select("_group", "_surplus", F.pmod(F.xxhash64(key), F.lit(_SHARES)).alias("_share"), key), "surplus-rows"
+    )
+    shares = rows.groupBy("_group", "_surplus", "_share").agg(F.count(F.lit(1)).alias("_rows"))
+    earlier = F.coalesce(F.sum("_rows").over(Window.partitionBy("_group").orderBy("_share").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    quota = stage(
+        shares.withColumn("_quota", F.least(F.col("_rows"), F.col("_surplus") - earlier)).filter("_quota > 0").select("_group", "_share", "_quota"),
+        "surplus-shares",
+    )
+    place = F.row_number().over(Window.partitionBy("_group", "_share").orderBy(key))
+    taken = rows.join(quota, ["_group", "_share"]).withColumn("_place", place).filter("_place <= _quota")
+    return added, taken.select(key)

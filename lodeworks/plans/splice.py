@@ -1,4 +1,4 @@
-"""Editions that arrive late: spliced into the history of the keys they hold.
+"""Editions that arrive late, or changed: spliced into the history of the keys they hold.
 
 A version tells what a key was, not in which editions it appeared. The facts tell that: each one
 points to the version that was current in its edition. So the snapshots of a key can be had again
@@ -6,6 +6,10 @@ from its versions and facts, and only the keys that the late editions hold need
 are folded anew over old and late snapshots; versions keep their surrogate key where their start is
 still one, rows that did not change are not written, and facts that now belong to another version
 are written once more, to be merged at read.
+
+An edition that comes with other rows than were loaded is spliced in as if it were late: its facts no
+longer count for the history of their keys, which also takes part where the edition holds it no more.
+Facts that it lacks now are written once more as taken back, and readers leave them out.
 """
 
 from __future__ import annotations
@@ -15,6 +19,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import BooleanType, StructField, StructType
 
 from lodeworks.operators.keys import assign_keys, max_key
 from lodeworks.operators.scd import scd1_changes, scd2_versions
@@ -24,6 +29,7 @@ from lodeworks.sources.tables import stage
 
 _BATCH = "edition_seq"
 _DATE = "load_date"
+TAKEN_BACK = "taken_back"
 
 
 @dataclass(frozen=True)
@@ -39,19 +45,21 @@ class Spliced:
 
 
 def rebound_table(fact: FactSpec) -> Merged:
-    """Where facts are kept that were written again with other dimension keys."""
-    return Merged(f"{fact.table}_rebound", fact.schema, fact.surrogate_key, fact.partition_by)
+    """Where facts are kept that were written again, with other dimension keys or as taken back."""
+    schema = StructType([*fact.schema, StructField(TAKEN_BACK, BooleanType())])
+    return Merged(f"{fact.table}_rebound", schema, fact.surrogate_key, fact.partition_by)
 
 
 def read_facts(gold: Gold, fact: FactSpec, loads: Loads | None = None) -> DataFrame:
-    """The facts of all loads, each as it was written last."""
+    """The facts of all loads, each as it was written last, without those taken back."""
     loads = gold.loads() if loads is None else loads
     facts = gold.read_all(fact.table, fact.schema, loads)
     if not loads.rebound:
         return facts
     again = gold.read_merged(rebound_table(fact), Loads(loads.last, (), loads.rebound))
     kept = facts.join(again.select(fact.surrogate_key), fact.surrogate_key, "left_anti")
-    return kept.select(fact.schema.names).unionByName(again)
+    valid = again.filter(~F.coalesce(TAKEN_BACK, F.lit(False)))
+    return kept.select(fact.schema.names).unionByName(valid.select(fact.schema.names))
 
 
 def _differing(rows: DataFrame, before: DataFrame, key: str, names: Sequence[str]) -> DataFrame:
@@ -62,16 +70,28 @@ def _differing(rows: DataFrame, before: DataFrame, key: str, names: Sequence[str
 
 
 def splice_versions(
-    snapshots: DataFrame, dim: DimensionSpec, existing: DataFrame, facts: DataFrame, editions: DataFrame
+    snapshots: DataFrame,
+    dim: DimensionSpec,
+    existing: DataFrame,
+    facts: DataFrame,
+    editions: DataFrame,
+    changed_editions: DataFrame | None = None,
 ) -> Spliced:
     """A type 2 dimension with late snapshots (key, tracked columns, edition_seq, load_date).
 
     *facts* have the surrogate key of each fact and of its edition, *editions* place and date of the loaded ones by
     their surrogate key ``edition_sk``. Tracked columns that riding ones go with start with a version.
+
+    *changed_editions* are places of loaded editions that the snapshots replace; *editions* lacks them. Versions
+    that nothing backs any more are closed with an empty interval.
     """
     nk, sk, names = dim.natural_key, dim.surrogate_key, dim.schema.names
     snapshots = stage(snapshots, f"{dim.table}-late")
-    chains = stage(existing.join(snapshots.select(nk).distinct(), nk, "left_semi"), f"{dim.table}-chains")
+    touched = snapshots.select(nk)
+    if changed_editions is not None:
+        replaced = stage(facts.join(changed_editions, "edition_sk").select(sk, _BATCH).distinct(), f"{dim.table}-replaced")
+        touched = touched.union(existing.join(replaced, sk, "left_semi").select(nk))
+    chains = stage(existing.join(touched.distinct(), nk, "left_semi"), f"{dim.table}-chains")
     bound = facts.join(chains.select(sk, nk), sk).distinct().join(editions, "edition_sk")
     bound = stage(bound, f"{dim.table}-bound")
     old = bound.drop(nk).join(chains.drop("valid_from", "valid_to", "is_current"), sk).select(snapshots.columns)
@@ -82,13 +102,22 @@ def splice_versions(
     bindings = stage(folded.bindings.withColumnRenamed(sk, "_fresh"), f"{dim.table}-folds")
 
     # The start of an old version lies in one new version, which takes its key.
-    starts = bound.groupBy(nk, sk).agg(F.min(_BATCH).alias(_BATCH))
+    held = bound.select(nk, sk, _BATCH)
+    if changed_editions is not None:
+        # Where a changed edition still holds a key, its old version is one to go on with.
+        held = held.union(replaced.join(chains.select(sk, nk), sk).select(nk, sk, _BATCH))
+        held = held.join(bindings, [nk, _BATCH], "left_semi")
+    starts = held.groupBy(nk, sk).agg(F.min(_BATCH).alias(_BATCH))
     taken = bindings.join(starts, [nk, _BATCH]).groupBy("_fresh").agg(F.min_by(sk, _BATCH).alias(sk))
     new = versions.select("_fresh").join(taken, "_fresh", "left_anti")
     numbered = assign_keys(new, sk, ["_fresh"], max_key(existing, sk)).select("_fresh", sk)
     keys = stage(taken.unionByName(numbered), f"{dim.table}-keys")
 
     changed = _differing(versions.join(keys, "_fresh"), chains, sk, names)
+    if changed_editions is not None:
+        unbacked = chains.filter("is_current OR valid_to > valid_from").join(keys, sk, "left_anti")
+        closed = unbacked.withColumns({"valid_to": F.col("valid_from"), "is_current": F.lit(False)})
+        changed = changed.unionByName(closed.select(names))
     bindings = bindings.join(keys, "_fresh").drop("_fresh")
     again = bound.select(nk, _BATCH, "edition_sk", F.col(sk).alias("_old")).join(bindings, [nk, _BATCH])
     rebound = again.filter(F.col("_old") != F.col(sk)).select("edition_sk", "_old", F.col(sk).alias("_new"))

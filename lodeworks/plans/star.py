@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from datetime import date
+from functools import reduce
 from typing import TypeVar
 
 from pyspark import inheritable_thread_target
@@ -27,7 +28,7 @@ from lodeworks.functions.columns import (
     require_columns,
 )
 from lodeworks.operators.dedupe import keep_first
-from lodeworks.operators.facts import Lookup, fact_history, load_facts
+from lodeworks.operators.facts import Lookup, fact_history, load_facts, multiset_difference, resolve_keys
 from lodeworks.operators.keys import assign_keys, hash_cell, max_key
 from lodeworks.operators.lineage import Step, log_steps, read_lineage, utc_now
 from lodeworks.operators.quality import enforce_constraints
@@ -46,6 +47,7 @@ from lodeworks.plans.cleaning import (
 )
 from lodeworks.plans.specs import RESULTS_STAR, DimensionSpec, StarSpec
 from lodeworks.plans.splice import (
+    TAKEN_BACK,
     Spliced,
     read_facts,
     rebind,
@@ -230,7 +232,8 @@ class Batches:
 
     *counts* are the numbers of rows by batch and cell, *contents* the row counts and content sums of the
     editions, as far as the batches hold them. If they go before loaded editions, *places* has edition,
-    edition_seq and load_date of the loaded ones, in one order with these.
+    edition_seq and load_date of the loaded ones, in one order with these. With *corrected* the batches are
+    loaded editions that have other rows now: edition and edition_seq of each; *places* lacks them then.
     """
 
     events: DataFrame
@@ -238,6 +241,7 @@ class Batches:
     counts: Mapping[tuple[int, int], int]
     contents: DataFrame
     places: DataFrame | None = None
+    corrected: DataFrame | None = None
 
 
 def load_star(
@@ -272,10 +276,14 @@ def load_star(
             F.col(edition.surrogate_key).alias("edition_sk"), F.col(edition.natural_key).alias(spec.edition)
         )
         places = labels.join(batches.places, spec.edition).drop(spec.edition)
+        corrected = None
+        if batches.corrected is not None:
+            corrected = labels.join(batches.corrected, spec.edition).drop(spec.edition)
         own = F.col(edition.surrogate_key).alias("edition_sk")
         facts = read_facts(gold, spec.fact, loads).select(own, dim.surrogate_key)
-        splice = splice_versions if dim.scd_type == 2 else splice_overwrites
-        return splice(snapshots, dim, existing, facts, places)
+        if dim.scd_type == 2:
+            return splice_versions(snapshots, dim, existing, facts, places, corrected)
+        return splice_overwrites(snapshots, dim, existing, facts, places)
 
     def write_dimension(dim: DimensionSpec) -> Lookup:
         spliced = load(dim)
@@ -293,17 +301,60 @@ def load_star(
 
     lookups = _all_at_once(gold.spark, write_dimension, spec.dimensions)
     start = loads.last["last_fact_key"] if loads.last else 0
-    facts = _number_facts(spec, batches, lookups, start)
+    taken_back = None
+    if batches.corrected is None:
+        facts = _number_facts(spec, batches, lookups, start)
+    else:
+        facts, taken_back = _correct_facts(gold, spec, batches, lookups, loads, load_id, start)
     # Keys are dense and continue from the last one, so they need no uniqueness check.
-    gold.write_snapshot(spec.fact.table, conform(facts, spec.fact.schema), load_id, spec.fact.partition_by)
+    written = gold.write_snapshot(spec.fact.table, conform(facts, spec.fact.schema), load_id, spec.fact.partition_by)
     gold.write_snapshot(_LOADED, conform(batches.contents, _LOADED_SCHEMA), load_id)
+    again = []
     if rebound:
         edition_key = spec.dimension(spec.edition_dimension).surrogate_key
         moved = rebind(read_facts(gold, spec.fact, loads), spec.fact, edition_key, rebound)
-        gold.write_delta(rebound_table(spec.fact), conform(moved, spec.fact.schema), load_id)
+        again.append(moved.withColumn(TAKEN_BACK, F.lit(False)))
+    if taken_back is not None:
+        again.append(taken_back.withColumn(TAKEN_BACK, F.lit(True)))
+    if again:
+        table = rebound_table(spec.fact)
+        gold.write_delta(table, conform(reduce(DataFrame.unionByName, again), table.schema), load_id)
     log()
     last_key = start + sum(batches.counts.values())
-    gold.publish(load_id, rebuild or published.last is None, last_key, rebound=bool(rebound), arrival=arrival)
+    if batches.corrected is not None:
+        last_key = max(start, max_key(written, spec.fact.surrogate_key))
+    gold.publish(load_id, rebuild or published.last is None, last_key, rebound=bool(again), arrival=arrival)
+
+
+def _correct_facts(
+    gold: Gold, spec: StarSpec, batches: Batches, lookups: Sequence[Lookup], loads: Loads, load_id: int, start: int
+) -> tuple[DataFrame, DataFrame]:
+    """The facts that corrected editions have more than before, numbered, and those that they have no more.
+
+    Dimensions of other sources are compared by natural key: a fact keeps the version that it was loaded with.
+    """
+    fact, after = spec.fact, loads.then(load_id)
+    edition = spec.dimension(spec.edition_dimension)
+    labels = read_dimension(gold, edition, after).select(edition.surrogate_key, F.col(edition.natural_key).alias(spec.edition))
+    own = labels.join(batches.corrected, spec.edition).select(edition.surrogate_key)
+    before = read_facts(gold, fact, loads).join(own, edition.surrogate_key, "left_semi")
+    events = batches.events.withColumns({new: F.col(old) for old, new in fact.measures.items() if new != old})
+    now = conform(
+        resolve_keys(events, lookups).withColumn(fact.surrogate_key, F.lit(0)), fact.schema
+    ).drop(fact.surrogate_key)
+    same = [name for name in fact.schema.names if name != fact.surrogate_key]
+    carried = []
+    for dim in spec.dimensions:
+        if dim.source != "events":
+            label = f"_key_of_{dim.table}"
+            keys = read_dimension(gold, dim, after).select(dim.surrogate_key, F.col(dim.natural_key).alias(label))
+            before, now = (rows.join(keys, dim.surrogate_key, "left") for rows in (before, now))
+            same[same.index(dim.surrogate_key)] = label
+            carried.append(dim.surrogate_key)
+    added, keys = multiset_difference(before, now, fact.surrogate_key, same, carried)
+    columns = [name for name in fact.schema.names if name != fact.surrogate_key]
+    numbered = assign_keys(added.select(columns), fact.surrogate_key, columns, start, columns)
+    return numbered, before.join(keys, fact.surrogate_key, "left_semi").select(fact.schema.names)
 
 
 def _number_facts(
@@ -354,7 +405,7 @@ def _refuse_changed(found: DataFrame, loaded: DataFrame, spec: StarSpec) -> None
     if seen["n"]:
         raise ChangedEditionError(
             f"{seen['n']} loaded editions have other rows now, the first is {seen['label']!r}: "
-            "add the missing rows with load_batch, or rebuild"
+            "load them with corrections, add missing rows with load_batch, or rebuild"
         )
 
 
@@ -466,6 +517,7 @@ def load_editions(
     source_names: tuple[str, str] = ("events", "regions"),
     region_date: date | None = None,
     splice: bool = False,
+    corrections: bool = False,
 ) -> int:
     """Load every edition of the silver events in order and return how many were loaded.
 
@@ -474,14 +526,18 @@ def load_editions(
     comes before the newest loaded one (by number, then by label). With *splice* such late editions are
     loaded first, into the history that their keys have by then: versions, overwritten values and facts
     become those of a rebuild, with other surrogate keys. Type 0 rows stay as first loaded, and regions
-    take no part. Regions are merged by every
+    take no part. With *corrections* loaded editions that have other rows now are loaded anew, as late ones
+    are: facts that an edition has no more are taken back, facts that it has more are added, alike ones
+    stay, and versions and bindings become those of a rebuild. Versions that nothing backs any more stay
+    with an empty interval, overwritten values of type 1 that only taken back rows had stay too, and
+    editions that have no rows left stay as they were. Regions are merged by every
     increment: with new editions dated by the first of them, otherwise, if they differ, by
     *region_date*, which is the date of the newest loaded edition unless given.
     """
     events = require_columns(events, [spec.edition, spec.year])
     with freed_after(spark, "editions"):
         return _load_editions(
-            Gold(spark, str(gold_path)), events, regions, incremental, spec, source_names, region_date, splice
+            Gold(spark, str(gold_path)), events, regions, incremental, spec, source_names, region_date, splice, corrections
         )
 
 
@@ -494,19 +550,23 @@ def _load_editions(
     source_names: tuple[str, str],
     region_date: date | None,
     splice: bool,
+    corrections: bool,
 ) -> int:
+    number = 0
     cells = stage(edition_cells(events, spec), "cells")
     found = edition_contents(cells, spec)
     newest = None
     if incremental:
         loaded = loaded_editions(gold, spec)
-        _refuse_changed(found, loaded, spec)
+        if corrections:
+            number = _correct(gold, spec, events, cells, loaded, found, source_names)
+        else:
+            _refuse_changed(found, loaded, spec)
         place = F.struct(
             edition_order_key(F.col(spec.edition)).alias("order_key"), spec.edition, "loaded_date"
         )
         newest = loaded.agg(F.max(place)).first()[0]
         found = found.join(loaded, spec.edition, "left_anti")
-    number = 0
     if newest is not None:
         label, key = F.col(spec.edition), edition_order_key(F.col(spec.edition))
         same = key == newest["order_key"]
@@ -516,7 +576,7 @@ def _load_editions(
         if first is not None and not splice:
             raise LateEditionError(f"edition {first!r} comes before loaded edition {newest[spec.edition]!r}")
         if first is not None:
-            number = _splice(gold, spec, events, cells, loaded, late, source_names)
+            number += _splice(gold, spec, events, cells, loaded, late, source_names)
             found = found.filter(~before)
     editions = _in_order(found, spec)
     listed = editions.collect()  # one row per edition
@@ -555,6 +615,27 @@ def _batches(
     )
 
 
+def _correct(
+    gold: Gold,
+    spec: StarSpec,
+    events: DataFrame,
+    cells: DataFrame,
+    loaded: DataFrame,
+    found: DataFrame,
+    source_names: tuple[str, str],
+) -> int:
+    """Load the changed ones among the loaded editions anew; what was recorded of them is corrected by differences."""
+    changed = stage(changed_editions(found, loaded, spec), "changed-editions")
+    more = changed.select(
+        F.col(spec.edition).alias("edition"),
+        (F.col("row_count") - F.coalesce("loaded_rows", F.lit(0))).alias("row_count"),
+        (F.col("content") - F.coalesce("loaded_content", F.lit(0))).cast("decimal(38,0)").alias("content"),
+        load_date_of(F.col("_year")).alias(_DATE),
+    )
+    others = loaded.join(changed, spec.edition, "left_anti")
+    return _splice(gold, spec, events, cells, others, changed.select(found.columns), source_names, more)
+
+
 def _splice(
     gold: Gold,
     spec: StarSpec,
@@ -563,8 +644,12 @@ def _splice(
     loaded: DataFrame,
     late: DataFrame,
     source_names: tuple[str, str],
+    corrections: DataFrame | None = None,
 ) -> int:
-    """Load the late editions among the loaded ones, without regions."""
+    """Load the late editions among the loaded ones, without regions.
+
+    With *corrections*, what to add to the recorded contents, they are loaded already and replace themselves.
+    """
     date_of = load_date_of(F.col("_year"))
     known = loaded.select(spec.edition, F.col("loaded_date").alias(_DATE), F.lit(None).cast("long").alias("row_count"),
                           F.lit(None).cast("decimal(38,0)").alias("content"))
@@ -573,8 +658,12 @@ def _splice(
     placed = stage(assign_keys(placed, _BATCH, ["order_key", spec.edition]), "places")
     editions = placed.filter(F.col("row_count").isNotNull())
     listed = editions.collect()  # one row per edition
+    if not listed:
+        return 0
     places = placed.filter(F.col("row_count").isNull()).select(spec.edition, _BATCH, _DATE)
     batches = _batches(events, cells, editions, listed, spec, places)
+    if corrections is not None:
+        batches = replace(batches, counts={}, contents=corrections, corrected=editions.select(spec.edition, _BATCH))
     stored = {dim.table: _as_source(read_dimension(gold, dim), dim) for dim in spec.dimensions if dim.source != "events"}
     regions = next(iter(stored.values()), events.limit(0))
     load_star(gold, spec, batches, regions, lambda: _log_editions(gold, spec, editions, 0, source_names))

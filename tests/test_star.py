@@ -21,6 +21,7 @@ from lodeworks.plans.star import (
     run_pipeline,
 )
 from lodeworks.schemas import DIM_NOC, FACT_RESULTS
+from lodeworks.operators.facts import multiset_difference
 from lodeworks.operators.lineage import read_lineage
 from lodeworks.sources.gold import Gold, Loads, Merged
 from lodeworks.sources.tables import append_rows, staging_root
@@ -247,6 +248,59 @@ def test_late_editions_are_spliced_into_history(spark, full, silver, tmp_path, f
     assert without_keys(gold) == without_keys(full)
 
 
+def test_changed_editions_are_corrected(spark, full, silver, tmp_path):
+    events, regions = silver
+    every = events("2004 Winter")
+    summer, own = F.col("games") == "2000 Summer", F.col("athlete_id")
+    # A team that was wrong, a row that was missing, one that came twice, one too many, another measure.
+    wrong = every.filter(~((F.col("games") == "2004 Summer") & (own == 4)))
+    wrong = wrong.unionByName(every.filter(summer & (own == 2))).unionByName(every.filter(summer & (own == 2)).withColumn("athlete_id", F.lit(9)))
+    wrong = wrong.withColumns({
+        "team": F.when(summer & (own == 1), "Wrong").otherwise(F.col("team")),
+        "weight": F.when(summer & (own == 3), 1.0).otherwise(F.col("weight")),
+    })
+    gold = Gold(spark, str(tmp_path))
+    assert load_editions(spark, wrong, regions, gold.path, True) == 3
+    before = read_facts(gold, RESULTS_STAR.fact)
+    loaded, kept = before.count(), {r.result_sk for r in before.filter("weight = 61").collect()}
+    with pytest.raises(ChangedEditionError):
+        load_editions(spark, every, regions, gold.path, True)
+    assert load_editions(spark, every, regions, gold.path, True, corrections=True) == 2
+    assert without_keys(gold)[-1] == without_keys(full)[-1]
+    facts = read_facts(gold, RESULTS_STAR.fact)
+    after = {r.result_sk for r in facts.collect()}
+    assert kept <= after and max(after) <= loaded + 4
+    versions = read_dimension(gold, RESULTS_STAR.dimension("dim_athlete")).filter("athlete_nk <> 9").drop("athlete_sk")
+    assert rows(versions) == rows(read_dimension(full, RESULTS_STAR.dimension("dim_athlete")).drop("athlete_sk"))
+    gone = read_dimension(gold, RESULTS_STAR.dimension("dim_athlete")).filter("athlete_nk = 9").collect()
+    assert [(v.is_current, v.valid_from == v.valid_to) for v in gone] == [(False, True)]
+    # Nothing is left to do, and what was corrected can be corrected again, back to what it was.
+    last = gold.last_load()["load_id"]
+    assert load_editions(spark, every, regions, gold.path, True, corrections=True) == 0
+    assert gold.last_load()["load_id"] == last
+    assert load_editions(spark, wrong, regions, gold.path, True, corrections=True) == 2
+    again = Gold(spark, str(tmp_path / "again"))
+    load_editions(spark, wrong, regions, again.path)
+    assert without_keys(gold)[-1] == without_keys(again)[-1]
+    compact(gold)
+    remove_superseded(gold)
+    assert without_keys(gold)[-1] == without_keys(again)[-1]
+
+
+def test_difference_of_rows_that_are_alike(spark):
+    before = spark.createDataFrame([(k, "a" if k < 200 else None, 1.0, k % 3) for k in range(300)], "k long, s string, x double, g int")
+    wanted = [("a", 1.0, 0)] * 150 + [(None, 1.0, 1)] * 40 + [("new", None, 7)] * 2
+    after = spark.createDataFrame(wanted, "s string, x double, g int")
+    added, taken = multiset_difference(before, after, "k", ["s", "x"], ["g"])
+    assert rows(added) == [("new", None, 7)] * 2
+    keys = [r.k for r in taken.collect()]
+    assert len(set(keys)) == len(keys) == 110 and sum(k < 200 for k in keys) == 50
+    added, taken = multiset_difference(before, before.limit(0), "k", ["s", "x"])
+    assert added.isEmpty() and taken.count() == 300
+    added, taken = multiset_difference(before.limit(0), before, "k", ["s", "x"])
+    assert added.count() == 300 and taken.isEmpty()
+
+
 def test_region_change_is_dated_by_the_new_edition(spark, silver, tmp_path):
     events, regions = silver
     gold = Gold(spark, str(tmp_path))
