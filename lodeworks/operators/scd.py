@@ -371,3 +371,47 @@ def as_of(dimension: DataFrame, day: date | Column) -> DataFrame:
     """The versions that were valid on a day."""
     moment = day if isinstance(day, Column) else F.lit(day)
     return dimension.filter((F.col("valid_from") <= moment) & (moment < F.col("valid_to")))
+
+
+def as_of_sliced(
+    rows: DataFrame, dimension: DataFrame, natural_key: str, day: str, slice_days: int = 366, slice_rows: int = 1_000_000
+) -> DataFrame:
+    """Each row with the columns of the version of its key that was valid on its *day*; rows without one are left out.
+
+    The result is that of a join on the key, filtered by as_of(), without its work of rows times versions: rows and
+    versions of a key are sorted together, and the last version is carried forward. Versions of a key must not overlap.
+
+    A key with very many rows is cut into slices of *slice_days* days, and a slice of more than *slice_rows* rows into
+    shares. Every slice and share gets the versions that start within it and the one that is valid at its
+    start, so all versions together are repeated at most once per slice and share.
+    """
+    number = F.floor(F.unix_date(F.col("_day")) / slice_days)
+    kept = [name for name in dimension.columns if name != natural_key]
+    dated = rows.filter(F.col(natural_key).isNotNull() & F.col(day).isNotNull()).withColumn("_day", F.col(day).cast("date"))
+    sliced = dated.withColumn("_slice", number)
+    sizes = sliced.groupBy(natural_key, "_slice").agg(F.ceil(F.count(F.lit(1)) / slice_rows).cast("int").alias("_shares"))
+    sizes = stage(sizes, "slices")
+
+    # Copies of a row are told apart by where they are read.
+    spot = F.pmod(F.xxhash64(*(name for name in rows.columns)) + F.spark_partition_id(), F.col("_shares"))
+    spread = sliced.join(sizes.filter("_shares > 1"), [natural_key, "_slice"], "left").withColumn("_share", F.coalesce(spot, F.lit(0)))
+
+    spans = sizes.groupBy(natural_key).agg(F.min("_slice").alias("_first"), F.max("_slice").alias("_last"))
+    valid = dimension.filter("valid_from < valid_to").join(spans, natural_key)
+    from_slice = F.floor(F.unix_date("valid_from") / slice_days)
+    to_slice = F.floor((F.unix_date("valid_to") - 1) / slice_days)
+    start, end = F.greatest("_first", from_slice), F.least("_last", to_slice)
+    handed = (
+        valid.filter(start <= end)
+        .withColumn("_slice", F.explode(F.sequence(start, end)))
+        .join(sizes, [natural_key, "_slice"])
+        .withColumn("_share", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_shares").cast("long") - 1)))
+        .select(natural_key, "_slice", "_share", F.col("valid_from").alias("_day"), F.struct(*kept).alias("_version"))
+    )
+    asked = spread.select(natural_key, "_slice", "_share", "_day", F.struct(*rows.columns).alias("_row"))
+    both = handed.unionByName(asked, allowMissingColumns=True)
+    order = ["_day", F.col("_row").isNotNull()]
+    so_far = Window.partitionBy(natural_key, "_slice", "_share").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    carried = both.withColumn("_version", F.last("_version", ignorenulls=True).over(so_far))
+    found = carried.filter(F.col("_row").isNotNull() & (F.col("_day") < F.col("_version.valid_to")))
+    return found.select("_row.*", "_version.*")

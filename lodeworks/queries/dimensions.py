@@ -11,6 +11,7 @@ from lodeworks.functions.columns import load_date_of
 from lodeworks.operators.dedupe import keep_first
 from lodeworks.operators.scd import (
     as_of,
+    as_of_sliced,
     classify_changes,
     scd0_history,
     scd0_merge,
@@ -179,6 +180,29 @@ def as_of_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dated.select("o_orderkey", "customer_sk")
 
 
+def _shared_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events with the user that they belong to: a shared one, 0, for those of the night, a third of the day."""
+    return table(spark, sf_dir, "events").select(
+        "event_id",
+        "event_type",
+        "ts",
+        F.when(F.hour("ts") < 8, 0).otherwise(F.col("user_id")).alias("user_nk"),
+        F.to_date("ts").alias("day"),
+    )
+
+
+def as_of_sliced_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every event with the version of its user on its day; one user has a third of the rows and a version for most days."""
+    events = _shared_events(spark, sf_dir)
+    first = keep_first(events, ["user_nk", "day"], ["ts", "event_id"])
+    snapshots = first.select(
+        "user_nk", F.col("event_type").alias("first_type"), F.col("day").alias("load_date"), F.unix_date("day").alias("edition_seq")
+    )
+    history = scd2_history(snapshots, "user_nk", ["first_type"], "user_sk")
+    dated = as_of_sliced(events, history, "user_nk", "day", slice_days=7, slice_rows=10_000)
+    return dates_as_text(dated).select("event_id", "user_nk", "first_type", "valid_from", "valid_to", "is_current")
+
+
 _YEARLY = customer_snapshots_sql(BY_YEAR_SQL)
 _HALVES = customer_snapshots_sql(BY_HALF_SQL)
 _YEARLY_VERSIONS = versions_sql(_YEARLY, "customer_nk", _TRACKED, "customer_sk", JAN_FIRST_SQL)
@@ -191,6 +215,12 @@ _DAILY = """SELECT user_id AS user_nk, event_type, edition_seq FROM (
             WHERE rn = 1"""
 
 
+_SHARED = "SELECT event_id, event_type, ts, CASE WHEN hour(ts) < 8 THEN 0 ELSE user_id END AS user_nk, CAST(ts AS DATE) AS day FROM events"
+_SHARED_DAILY = f"""SELECT user_nk, event_type AS first_type, day AS edition_seq FROM (
+                SELECT *, row_number() OVER (PARTITION BY user_nk, day ORDER BY ts, event_id) AS rn FROM ({_SHARED}))
+            WHERE rn = 1"""
+
+
 def _scd0_sql(snapshots: str) -> str:
     return f"""
         WITH snapshots AS ({snapshots}),
@@ -283,6 +313,14 @@ QUERIES = {
         f"""WITH {_YEARLY_VERSIONS} SELECT {_COLUMNS} FROM versions
             WHERE valid_from <= DATE '1998-06-01' AND DATE '1998-06-01' < valid_to""",
     ),
+    "as_of_sliced": (
+        as_of_sliced_events,
+        f"""WITH {versions_sql(_SHARED_DAILY, "user_nk", ["first_type"], "user_sk", "{seq}")},
+            spans AS (SELECT {versions_columns_sql("user_nk", ["first_type"], "user_sk")} FROM versions)
+            SELECT event_id, e.user_nk, d.first_type, d.valid_from, d.valid_to, d.is_current
+            FROM ({_SHARED}) e JOIN spans d ON e.user_nk = d.user_nk
+             AND CAST(d.valid_from AS DATE) <= e.day AND e.day < CAST(d.valid_to AS DATE)""",
+    ),
     "as_of_orders": (
         as_of_orders,
         f"""WITH {_YEARLY_VERSIONS}

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from lodeworks.operators.scd import (
     OPEN_END,
     as_of,
+    as_of_sliced,
     classify_changes,
     scd0_history,
     scd0_merge,
@@ -275,3 +276,36 @@ def test_changes_are_classified(spark, first):
     batch = incoming(spark, (1, "Ann", "Reds"), (2, "Bob", "Reds"), (3, "Cy", None))
     assert rows(classify_changes(closed, batch, "nk", TRACKED)) == [(1, "unchanged"), (2, "closed"), (3, "new")]
     assert rows(classify_changes(first, batch, "nk", TRACKED)) == [(1, "unchanged"), (2, "changed"), (3, "new")]
+
+
+# --- lookups by date -----------------------------------------------------------------------------
+
+
+@pytest.mark.parametrize(("slice_days", "slice_rows"), [(5, 7), (1000, 10_000)])
+def test_sliced_lookup_equals_the_join(spark, slice_days, slice_rows):
+    rng, start = random.Random(3), date(2020, 1, 1)
+    spans = []
+    for nk in range(6):
+        cuts = sorted(rng.sample(range(10, 300), 40 if nk == 0 else rng.randrange(4)) + [rng.randrange(10)])
+        ends = [*(start + timedelta(days=c) for c in cuts[1:]), OPEN_END if nk % 2 == 0 else start + timedelta(days=200)]
+        spans += [(nk, f"v{nk}-{c}", start + timedelta(days=c), end) for c, end in zip(cuts, ends)]
+    spans.append((0, "empty", start + timedelta(days=50), start + timedelta(days=50)))
+    dimension = spark.createDataFrame(spans, "nk long, label string, valid_from date, valid_to date")
+    facts = [(k, 0 if k % 3 == 0 else rng.randrange(7), start + timedelta(days=rng.randrange(-5, 320))) for k in range(900)]
+    facts += [(900, 0, start + timedelta(days=77))] * 60 + [(901, None, start), (902, 0, None)]
+    asked = spark.createDataFrame(facts, "id long, nk long, day date")
+    expected = as_of(asked.join(dimension, "nk"), F.col("day"))
+    names = ["id", "nk", "day", "label", "valid_from", "valid_to"]
+    found = as_of_sliced(asked, dimension, "nk", "day", slice_days, slice_rows)
+    assert rows(found, *names) == rows(expected, *names)
+    assert as_of_sliced(asked.limit(0), dimension, "nk", "day").isEmpty()
+    assert as_of_sliced(asked, dimension.limit(0), "nk", "day").isEmpty()
+
+
+def test_sliced_lookup_deals_out_a_key(spark):
+    dimension = spark.createDataFrame([(1, "a", date(2020, 1, 1), OPEN_END)], "nk long, label string, valid_from date, valid_to date")
+    asked = spark.range(1000).select("id", F.lit(1).cast("long").alias("nk"), F.date_add(F.lit(date(2020, 1, 1)), F.col("id").cast("int") % 50).alias("day"))
+    found = as_of_sliced(asked, dimension, "nk", "day", 10, 50)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    window = [line for line in plan.splitlines() if "hashpartitioning(nk" in line and "_slice" in line and "_share" in line]
+    assert window and found.count() == 1000
