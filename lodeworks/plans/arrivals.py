@@ -76,13 +76,15 @@ def _load(
     arrival: str,
 ) -> None:
     spark, label = gold.spark, spec.edition
-    found = edition_contents(stage(edition_cells(events, spec), "cells"), spec)
+    cells = stage(edition_cells(events, spec), "cells")
+    found = edition_contents(cells, spec)
     loaded = loaded_editions(gold, spec)
     known = stage(found.join(loaded.select(label), label).select(label), "known")
     more = stage(changed_editions(found, loaded, spec).select(label), "more")
     new = events.join(known, label, "left_anti")
     if not new.isEmpty():
-        load_editions(spark, new, regions, gold.path, True, spec, source_names, splice=splice)
+        new_cells = cells.join(known, label, "left_anti")
+        load_editions(spark, new, regions, gold.path, True, spec, source_names, splice=splice, cells=new_cells)
     late = events.join(more, label, "left_semi")
     if not late.isEmpty():
         day = loaded.agg(F.max("loaded_date")).first()[0]

@@ -524,6 +524,7 @@ def load_editions(
     region_date: date | None = None,
     splice: bool = False,
     corrections: bool = False,
+    cells: DataFrame | None = None,
 ) -> int:
     """Load every edition of the silver events in order and return how many were loaded.
 
@@ -538,12 +539,16 @@ def load_editions(
     with an empty interval, overwritten values of type 1 that only taken back rows had stay too, and
     editions that have no rows left stay as they were. Regions are merged by every
     increment: with new editions dated by the first of them, otherwise, if they differ, by
-    *region_date*, which is the date of the newest loaded edition unless given.
+    *region_date*, which is the date of the newest loaded edition unless given. *cells* are the
+    edition_cells() of the events, if a caller has them staged already.
     """
     events = require_columns(events, [spec.edition, spec.year])
     with freed_after(spark, "editions"):
+        if cells is None:
+            cells = stage(edition_cells(events, spec), "cells")
         return _load_editions(
-            Gold(spark, str(gold_path)), events, regions, incremental, spec, source_names, region_date, splice, corrections
+            Gold(spark, str(gold_path)), events, regions, incremental, spec, source_names, region_date, splice, corrections,
+            cells,
         )
 
 
@@ -557,9 +562,9 @@ def _load_editions(
     region_date: date | None,
     splice: bool,
     corrections: bool,
+    cells: DataFrame,
 ) -> int:
     number = 0
-    cells = stage(edition_cells(events, spec), "cells")
     found = edition_contents(cells, spec)
     newest = None
     if incremental:

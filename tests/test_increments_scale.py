@@ -1,0 +1,129 @@
+"""What the sales queries shuffle, and how often they read what they load."""
+
+import pytest
+from pyspark.sql import functions as F
+from pyspark.sql.readwriter import DataFrameWriter
+
+from lodeworks.operators.dedupe import keep_first, keep_first_by_lead, keep_first_of_few
+from lodeworks.plans import arrivals, star
+from lodeworks.queries import star as sales_queries
+from lodeworks.queries.star import SALES_STAR, sales
+from lodeworks.sources.tables import append_rows, stage
+from tests.conftest import rows
+
+
+def physical(df):
+    text = df._jdf.queryExecution().toString()
+    return text[text.index("== Physical Plan ==") :]
+
+
+@pytest.fixture()
+def unbroadcast(spark):
+    name = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "-1")
+    yield
+    spark.conf.set(name, before)
+
+
+def test_lines_are_shuffled_once_for_their_order_and_customer(spark, tmp_path, unbroadcast):
+    tables = {
+        "lineitem": "SELECT 7L AS l_orderkey, 'N' AS l_returnflag, 1 AS l_linenumber",
+        "orders": "SELECT 7L AS o_orderkey, 3L AS o_custkey, 1D AS o_totalprice, TIMESTAMP'1997-02-03 00:00:00' AS o_orderdate",
+        "customer": "SELECT * FROM VALUES (3L, 5), (4L, 6) AS t(c_custkey, c_nationkey)",
+    }
+    for name, query in tables.items():
+        spark.sql(query).write.parquet(f"{tmp_path}/{name}.parquet")
+    found = sales(spark, str(tmp_path))
+    text = physical(found)
+    # The lines meet customers with their orders, so their join is the last one.
+    assert text.index("SortMergeJoin [l_orderkey") < text.index("SortMergeJoin [o_custkey")
+    assert [row.asDict() for row in found.select("o_custkey", "nationkey", "edition", "return_flag").collect()] == [
+        {"o_custkey": 3, "nationkey": 5, "edition": "1997 Orders", "return_flag": None}
+    ]
+
+
+ODD = """SELECT * FROM VALUES
+    (1, 5, 2, 9, 'late'), (1, 5, 1, 9, 'b'), (1, 5, 1, 8, 'a'), (1, 5, 1, 9, 'b'),
+    (2, NULL, 1, 1, 'none'), (2, 0, 0, 0, 'some'), (2, 0, 0, 0, 'some'),
+    (NULL, 3, 1, 2, 'y'), (NULL, 3, 1, 1, 'x'), (3, 4, 4, 4, NULL), (3, 4, 4, 4, NULL)
+    AS t(k, a, b, c, v)"""
+
+
+@pytest.mark.parametrize("lead", [1, 2, 3])
+def test_the_first_of_a_long_order_is_found_by_its_first_columns(spark, lead):
+    df = spark.sql(ODD)
+    found = keep_first_by_lead(df, ["k"], ["k", "v"], ["a", "b", "c"], lead)
+    assert rows(found) == rows(keep_first(df, ["k"], ["a", "b", "c"]), "k", "v")
+    assert rows(found) == sorted([(1, "a"), (2, "none"), (None, "x"), (3, None)], key=repr)
+
+
+def test_the_first_of_few_keys_is_found_without_sorting_the_rest(spark):
+    df = spark.sql(ODD)
+    assert rows(keep_first_of_few(df, ["k"], ["a", "b", "c"])) == rows(keep_first(df, ["k"], ["a", "b", "c"]))
+
+
+def test_columns_that_only_break_ties_are_not_shuffled(spark, monkeypatch):
+    dim = SALES_STAR.dimension("dim_part")
+    names = dict.fromkeys([*dim.columns, *dim.order])
+    wide = spark.range(50).select(*(F.col("id").alias(name) for name in names), F.lit(1).alias("edition_seq"), F.lit(None).alias("load_date"))
+    plans = []
+    write = DataFrameWriter.parquet
+
+    def recorded(writer, *args, **kwargs):
+        plans.append(physical(writer._df))
+        return write(writer, *args, **kwargs)
+
+    events = stage(wide.withColumn("load_date", F.current_date()), "wide")
+    monkeypatch.setattr(DataFrameWriter, "parquet", recorded)
+    assert star.dimension_snapshots(events, dim).count() == 50
+    first = next(text for text in plans if "Window" in text)
+    assert "l_suppkey" in first and "l_tax" not in first and "l_extendedprice" not in first
+
+
+def test_lines_are_brought_together_once_for_a_distinct_count(spark, unbroadcast):
+    facts = spark.sql(
+        "SELECT * FROM VALUES ('e', 1L, 2L, 10L), ('e', 1L, 2L, 11L), ('e', 1L, 2L, 11L), ('f', 1L, 3L, 12L) AS t(edition, customer_nk, part_nk, sales_sk)"
+    )
+    counted = sales_queries._together(facts, ["edition", "customer_nk", "part_nk"]).agg(
+        F.count(F.lit(1)).alias("n"), F.count_distinct("sales_sk").alias("keys")
+    )
+    assert physical(counted).count("Exchange hashpartitioning") == 1
+    assert rows(counted) == [("e", 1, 2, 3, 2), ("f", 1, 3, 1, 1)]
+
+
+def test_arrivals_are_summed_up_once(spark, tmp_path, monkeypatch):
+    columns = {"athlete_id": "bigint", "name": "string", "sex": "string", "team": "string", "age": "double", "height": "double",
+               "weight": "double", "noc": "string", "games": "string", "year": "bigint", "season": "string", "city": "string",
+               "sport": "string", "event": "string", "medal": "string"}
+    rows_of = ", ".join(
+        f"({n}, 'A{n}', 'F', 'Reds', 20, 170, 60, 'AAA', '{year} Summer', {year}, 'Summer', 'Here', 'Running', '100m', 'Gold')"
+        for n, year in ((1, 2000), (2, 2004))
+    )
+    events = spark.sql(f"SELECT * FROM VALUES {rows_of} AS t({', '.join(columns)})")
+    events = events.select(*(F.col(name).cast(kind) for name, kind in columns.items()))
+    regions = spark.sql("SELECT 'AAA' AS noc, 'Land' AS region, CAST(NULL AS STRING) AS notes")
+    calls = []
+    counted = star.edition_cells
+
+    def seen(*args):
+        calls.append(args)
+        return counted(*args)
+
+    monkeypatch.setattr(star, "edition_cells", seen)
+    monkeypatch.setattr(arrivals, "edition_cells", seen)
+    append_rows(events, str(tmp_path / "drops"))
+    loaded = arrivals.load_arrivals(spark, str(tmp_path / "drops"), events.schema, regions, str(tmp_path / "gold"), str(tmp_path / "seen"))
+    assert (loaded, len(calls)) == (2, 1)
+
+
+def test_a_change_of_regions_reads_the_sales_that_are_staged(spark, sf, monkeypatch):
+    calls = []
+
+    def seen(*args):
+        calls.append(args)
+        return sales(*args)
+
+    monkeypatch.setattr(sales_queries, "sales", seen)
+    assert sales_queries.increment_regions(spark, sf).filter("region = 'EAST'").count() > 0
+    assert len(calls) == 1
