@@ -31,30 +31,6 @@ def keep_first(
     return df.withColumn("_rank", rank).filter(F.col("_rank") == 1).drop("_rank")
 
 
-def keep_first_by_lead(
-    df: DataFrame, keys: Sequence[str], kept: Sequence[str], order: Sequence[str], lead: int = 5
-) -> DataFrame:
-    """The *kept* columns, keys included, of keep_first(), for long orders.
-
-    Rows are first ranked by the *lead* first columns of the order, and no other column of it is shuffled.
-    Only keys whose leading rows differ in what is kept are settled by the whole order.
-    """
-    ranked = [name for name in order[:lead] if name not in keys]
-    by_key = Window.partitionBy(*keys).orderBy(*(ranked or keys))
-    narrow = df.select(*dict.fromkeys([*kept, *ranked]))
-    leading = narrow.withColumn("_rank", F.rank().over(by_key)).filter(F.col("_rank") == 1)
-    own = F.struct(*kept)
-    other = ~F.lag(own).over(by_key).eqNullSafe(own)
-    told = leading.withColumns({"_place": F.row_number().over(by_key), "_other": other})
-    told = stage(told.filter((F.col("_place") == 1) | F.col("_other")).select(*kept, "_place"), "leading")
-    # Few as a rule: staged, so that their size tells Spark to broadcast them.
-    tied = stage(told.filter("_place > 1").select(*(F.col(key).alias(f"_is_{key}") for key in keys)).distinct(), "tied")
-    alike = [F.col(key).eqNullSafe(F.col(f"_is_{key}")) for key in keys]
-    settled = told.filter("_place = 1").join(tied, alike, "left_anti")
-    rest = keep_first(df.select(*dict.fromkeys([*kept, *order])).join(tied, alike, "left_semi"), keys, order)
-    return settled.select(*kept).unionByName(rest.select(*kept))
-
-
 def keep_first_of_few(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
     """keep_first() where few keys have many rows: only rows that can come first are sorted.
 

@@ -27,7 +27,7 @@ from lodeworks.functions.columns import (
     load_date_of,
     require_columns,
 )
-from lodeworks.operators.dedupe import keep_first, keep_first_by_lead, keep_first_of_few
+from lodeworks.operators.dedupe import keep_first, keep_first_of_few
 from lodeworks.operators.facts import Lookup, fact_history, load_facts, multiset_difference, resolve_keys
 from lodeworks.operators.keys import assign_keys, hash_cell, max_key
 from lodeworks.operators.lineage import Step, log_steps, read_lineage, utc_now
@@ -65,7 +65,6 @@ R = TypeVar("R")
 _BATCH = "edition_seq"
 _DATE = "load_date"
 _CELL = "_cell"
-_LONG_ORDER = 4  # columns of an order from which on it pays to sort by the first ones alone
 _LOADED = "editions_loaded"
 _LOADED_SCHEMA = StructType(
     [
@@ -151,8 +150,6 @@ def dimension_snapshots(rows: DataFrame, dim: DimensionSpec, few: bool = False)
     keys = [dim.source_key, _BATCH]
     if dim.order and few:
         first = keep_first_of_few(rows.select(*dict.fromkeys([*kept, *dim.order])), keys, dim.order)
-    elif len(dim.order) > _LONG_ORDER:
-        first = keep_first_by_lead(rows, keys, kept, dim.order)
     elif dim.order:
         first = keep_first(rows.select(*dict.fromkeys([*kept, *dim.order])), keys, dim.order)
     else:
