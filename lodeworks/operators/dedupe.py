@@ -31,13 +31,17 @@ def keep_first(
     return df.withColumn("_rank", rank).filter(F.col("_rank") == 1).drop("_rank")
 
 
-def keep_first_of_few(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
+def keep_first_of_few(
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], least: DataFrame | None = None
+) -> DataFrame:
     """keep_first() where few keys have many rows: only rows that can come first are sorted.
 
-    These are the ones with the least value, or none, in the first column of the order.
+    These are the ones with the least value, or none, in the first column of the order. That value, by key as
+    ``_least``, is looked for here unless given.
     """
     lead = order[0]
-    least = stage(df.groupBy(*keys).agg(F.min(lead).alias("_least")), "least")
+    if least is None:
+        least = stage(df.groupBy(*keys).agg(F.min(lead).alias("_least")), "least")
     least = least.select(*(F.col(key).alias(f"_is_{key}") for key in keys), "_least")
     alike = [F.col(key).eqNullSafe(F.col(f"_is_{key}")) for key in keys]
     first = F.col(lead).isNull() | (F.col(lead) <= F.col("_least"))

@@ -178,9 +178,10 @@ def scd1_changes(
         return merged.filter(~F.col("_changed")).select(columns), merged.filter("_changed").select(columns)
 
     order = ["_seq", natural_key]
+    # Ranges are found by an extra pass, which should not repeat the windows.
+    merged = stage(merged, "scd1")
     if existing is None:
         return None, assign_keys(merged, surrogate_key, order, 0, columns)
-    merged = stage(merged, "scd1")
     missing = F.col(surrogate_key).isNull()
     start = max_key(existing, surrogate_key) if last_key is None else last_key
     keyed = assign_keys(merged.filter(missing), surrogate_key, order, start, columns)

@@ -147,10 +147,12 @@ def splice_overwrites(
 def rebind(facts: DataFrame, fact: FactSpec, edition_key: str, rebound: dict[str, DataFrame]) -> DataFrame:
     """The facts whose key in a dimension (by its surrogate key column) is another one now."""
     columns = {}
+    # With one dimension only those facts take part in the join.
+    how = "inner" if len(rebound) == 1 else "left"
     for sk, moved in rebound.items():
         new = f"_new_{sk}"
         renamed = moved.select(F.col("edition_sk").alias(edition_key), F.col("_old").alias(sk), F.col("_new").alias(new))
-        facts = facts.join(renamed, [edition_key, sk], "left")
+        facts = facts.join(renamed, [edition_key, sk], how)
         columns[sk] = new
     touched = facts.filter(F.coalesce(*columns.values()).isNotNull())
     moved = touched.withColumns({sk: F.coalesce(new, sk) for sk, new in columns.items()})

@@ -65,6 +65,7 @@ R = TypeVar("R")
 _BATCH = "edition_seq"
 _DATE = "load_date"
 _CELL = "_cell"
+_LEAST = "_least"
 _LOADED = "editions_loaded"
 _LOADED_SCHEMA = StructType(
     [
@@ -84,34 +85,44 @@ class ChangedEditionError(Exception):
     """A loaded edition has other rows than those that were loaded."""
 
 
-def _row_hash(events: DataFrame) -> Column:
+def _used_columns(events: DataFrame, spec: StarSpec) -> list[str]:
+    """The columns of the events that the star uses."""
+    used = {spec.edition, spec.year, *spec.fact.measures, *spec.fact.order}
+    for dim in spec.dimensions:
+        if dim.source == "events":
+            used.update([*dim.columns, *dim.order])
+    return [name for name in sorted(used) if name in events.columns]
+
+
+def _row_hash(events: DataFrame, spec: StarSpec, content: Column) -> Column:
     """The hash by which facts are numbered. It covers all columns of the events, so that events
-    which give equal facts are still dealt out evenly."""
-    return F.xxhash64(*(name for name in sorted(events.columns) if name not in (_BATCH, _DATE)))
+    which give equal facts are still dealt out evenly: those that the star uses by their *content* hash."""
+    used = {*_used_columns(events, spec), _BATCH, _DATE}
+    return F.xxhash64(content, *(name for name in sorted(events.columns) if name not in used))
 
 
 def edition_cells(events: DataFrame, spec: StarSpec) -> DataFrame:
     """Per edition and cell of row hashes: first year, row count and content, the sum of content hashes.
 
-    The content hash covers the columns that the star uses. Sums do not depend on the order of rows, and
+    If the dimension of the editions has an order, ``_least`` is the least value of its first column. The content hash covers the columns that the star uses. Sums do not depend on the order of rows, and
     those of several loads of an edition add up. The cells are the histogram by which facts are numbered.
     """
-    used = {spec.edition, spec.year, *spec.fact.measures, *spec.fact.order}
-    for dim in spec.dimensions:
-        if dim.source == "events":
-            used.update([*dim.columns, *dim.order])
-    row_hash = F.xxhash64(*(name for name in sorted(used) if name in events.columns))
-    cell = hash_cell(_row_hash(events))
+    hashed = events.withColumn("_content", F.xxhash64(*_used_columns(events, spec)))
+    row_hash = F.col("_content")
+    cell = hash_cell(_row_hash(events, spec, row_hash))
+    edition = spec.dimension(spec.edition_dimension)
+    lead = edition.order[:1] if edition.source_key == spec.edition else ()
     # The halves of the hashes are added up as longs, which is cheaper than decimals for every row.
-    sums = events.groupBy(spec.edition, cell.alias(_CELL)).agg(
+    sums = hashed.groupBy(spec.edition, cell.alias(_CELL)).agg(
         F.min(spec.year).alias("_year"),
         F.count(F.lit(1)).alias("row_count"),
         F.sum(F.shiftright(row_hash, 32)).alias("_high"),
         F.sum(row_hash.bitwiseAND(F.lit(0xFFFFFFFF))).alias("_low"),
+        *(F.min(name).alias(_LEAST) for name in lead),
     )
     high = F.col("_high").cast("decimal(20,0)") * F.lit(1 << 32).cast("decimal(10,0)")
     content = (high + F.col("_low")).cast("decimal(38,0)")
-    return sums.select(spec.edition, _CELL, "_year", "row_count", content.alias("content"))
+    return sums.select(spec.edition, _CELL, "_year", "row_count", content.alias("content"), *([_LEAST] if lead else []))
 
 
 def edition_contents(cells: DataFrame, spec: StarSpec) -> DataFrame:
@@ -144,12 +155,17 @@ def list_editions(
     return _in_order(found, spec)
 
 
-def dimension_snapshots(rows: DataFrame, dim: DimensionSpec, few: bool = False) -> DataFrame:
-    """One row per natural key and batch, with gold column names; *few* tells that all keys fit into memory."""
+def dimension_snapshots(
+    rows: DataFrame, dim: DimensionSpec, few: bool = False, least: DataFrame | None = None
+) -> DataFrame:
+    """One row per natural key and batch, with gold column names; *few* tells that all keys fit into memory.
+
+    *least* is what keep_first_of_few() takes.
+    """
     kept = [*dim.columns, _BATCH, _DATE]
     keys = [dim.source_key, _BATCH]
     if dim.order and few:
-        first = keep_first_of_few(rows.select(*dict.fromkeys([*kept, *dim.order])), keys, dim.order)
+        first = keep_first_of_few(rows.select(*dict.fromkeys([*kept, *dim.order])), keys, dim.order, least)
     elif dim.order:
         first = keep_first(rows.select(*dict.fromkeys([*kept, *dim.order])), keys, dim.order)
     else:
@@ -236,6 +252,7 @@ class Batches:
     editions, as far as the batches hold them. If they go before loaded editions, *places* has edition,
     edition_seq and load_date of the loaded ones, in one order with these. With *corrected* the batches are
     loaded editions that have other rows now: edition and edition_seq of each; *places* lacks them then.
+    *least* has, by edition and edition_seq, the least value of the first order column of the dimension of the editions.
     """
 
     events: DataFrame
@@ -244,6 +261,7 @@ class Batches:
     contents: DataFrame
     places: DataFrame | None = None
     corrected: DataFrame | None = None
+    least: DataFrame | None = None
 
 
 def load_star(
@@ -271,7 +289,8 @@ def load_star(
     def load(dim: DimensionSpec) -> Spliced:
         existing = read_dimension(gold, dim, loads) if loads.last else None
         rows = events if dim.source == "events" else regions
-        snapshots = dimension_snapshots(rows, dim, dim.table == spec.edition_dimension)
+        few = dim.table == spec.edition_dimension
+        snapshots = dimension_snapshots(rows, dim, few, batches.least if few else None)
         if batches.places is None or dim.source != "events" or dim.scd_type == 0:
             return Spliced(*load_dimension(snapshots, dim, existing))
         edition = spec.dimension(spec.edition_dimension)
@@ -372,7 +391,8 @@ def _number_facts(
         return load_facts(
             events, lookups, fact.surrogate_key, columns, [_BATCH, *fact.order], start
         )
-    events = events.withColumn("_row", _row_hash(batches.events))
+    content = F.xxhash64(*_used_columns(batches.events, spec))
+    events = events.withColumn("_row", _row_hash(batches.events, spec, content))
     return fact_history(
         events, lookups, fact.surrogate_key, columns, F.col("_row"), _BATCH, start, batches.counts
     )
@@ -473,7 +493,7 @@ def load_batch(
         load_star(
             gold,
             spec,
-            Batches(batch, load_date, counts, contents),
+            Batches(batch, load_date, counts, contents, least=_least(cells.withColumn(_BATCH, F.lit(1)), spec)),
             regions,
             lambda: log_steps(spark, gold.lineage_path(), steps),
             arrival=arrival,
@@ -593,7 +613,7 @@ def _load_editions(
         if day:
             _load_regions(gold, spec, events, regions, day, source_names[1])
         return number
-    batches = _batches(events, cells, editions, listed, spec)
+    batches = _batches(events if newest is None else _of(events, listed, spec), cells, editions, listed, spec)
     load_star(
         gold,
         spec,
@@ -605,6 +625,18 @@ def _load_editions(
     return number + len(listed)
 
 
+def _of(events: DataFrame, listed: Sequence[Row], spec: StarSpec) -> DataFrame:
+    """The events of the listed editions. A constant filter lets files of other editions be skipped."""
+    return events.filter(F.col(spec.edition).isin([row[spec.edition] for row in listed]))
+
+
+def _least(cells: DataFrame, spec: StarSpec) -> DataFrame | None:
+    """The least values in edition_cells() by edition and batch, if there are any; staged, so that they are broadcast."""
+    if _LEAST not in cells.columns:
+        return None
+    return stage(cells.groupBy(spec.edition, _BATCH).agg(F.min(_LEAST).alias(_LEAST)), "least")
+
+
 def _batches(
     events: DataFrame,
     cells: DataFrame,
@@ -613,13 +645,15 @@ def _batches(
     spec: StarSpec,
     places: DataFrame | None = None,
 ) -> Batches:
-    counted = cells.drop("content").join(editions.select(spec.edition, _BATCH), spec.edition)
+    own = cells.join(editions.select(spec.edition, _BATCH), spec.edition)
+    counted = own.select(_BATCH, _CELL, "row_count")
     return Batches(
         events.join(editions.select(spec.edition, _BATCH, _DATE), spec.edition),
         min(listed, key=lambda row: row[_BATCH])[_DATE],
         {(row[_BATCH], row[_CELL]): row["row_count"] for row in counted.collect()},
         _contents(editions, spec, F.col(_DATE)),
         places,
+        least=_least(own, spec),
     )
 
 
@@ -669,7 +703,7 @@ def _splice(
     if not listed:
         return 0
     places = placed.filter(F.col("row_count").isNull()).select(spec.edition, _BATCH, _DATE)
-    batches = _batches(events, cells, editions, listed, spec, places)
+    batches = _batches(_of(events, listed, spec), cells, editions, listed, spec, places)
     if corrections is not None:
         batches = replace(batches, counts={}, contents=corrections, corrected=editions.select(spec.edition, _BATCH))
     stored = {dim.table: _as_source(read_dimension(gold, dim), dim) for dim in spec.dimensions if dim.source != "events"}

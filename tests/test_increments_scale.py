@@ -3,11 +3,14 @@
 import pytest
 from pyspark.sql import functions as F
 
+from lodeworks.operators import scd
 from lodeworks.operators.dedupe import keep_first, keep_first_of_few
+from lodeworks.operators.keys import assign_keys
 from lodeworks.plans import arrivals, star
+from lodeworks.plans.splice import rebind
 from lodeworks.queries import star as sales_queries
 from lodeworks.queries.star import sales
-from lodeworks.sources.tables import append_rows
+from lodeworks.sources.tables import append_rows, stage
 from tests.conftest import rows
 
 
@@ -100,3 +103,49 @@ def test_a_change_of_regions_reads_the_sales_that_are_staged(spark, sf, monkeypa
     monkeypatch.setattr(sales_queries, "sales", seen)
     assert sales_queries.increment_regions(spark, sf).filter("region = 'EAST'").count() > 0
     assert len(calls) == 1
+
+
+def test_an_increment_reads_only_the_editions_that_it_loads(spark):
+    events = spark.sql("SELECT * FROM VALUES (1, '1995 Orders', 'a'), (2, '1996 Orders', 'b'), (3, NULL, NULL) AS t(id, edition, v)")
+    silver = stage(events, "silver", ["edition"])
+    assert silver.columns == events.columns and rows(silver) == rows(events)
+    listed = silver.filter("id = 2").select("edition").collect()
+    read = star._of(silver, listed, sales_queries.SALES_STAR)
+    assert rows(read) == [(2, "1996 Orders", "b")]
+    assert "PartitionFilters: []" not in physical(read) and "edition" in physical(read).split("PartitionFilters: [")[1].split("]")[0]
+
+
+def test_the_first_rows_of_editions_are_found_with_their_cells(spark, monkeypatch):
+    df = spark.sql(ODD)
+    least = df.groupBy("k").agg(F.min("a").alias("_least"))
+    monkeypatch.setattr("lodeworks.operators.dedupe.stage", None)  # no pass of its own
+    assert rows(keep_first_of_few(df, ["k"], ["a", "b", "c"], least)) == rows(keep_first(df, ["k"], ["a", "b", "c"]))
+
+
+def _numbered_from(monkeypatch, module):
+    """The frames that a module hands to assign_keys()."""
+    frames = []
+
+    def seen(df, *args):
+        frames.append(df)
+        return assign_keys(df, *args)
+
+    monkeypatch.setattr(module, "assign_keys", seen)
+    return frames
+
+
+def test_the_ranges_of_overwritten_rows_are_found_without_their_windows(spark, monkeypatch):
+    snapshots = spark.sql("SELECT * FROM VALUES (1, 'x', 1), (1, 'y', 2), (2, 'z', 2) AS t(k, v, edition_seq)")
+    frames = _numbered_from(monkeypatch, scd)
+    assert rows(scd.scd1_changes(snapshots, "k", ["v"], "sk")[1], "sk", "k", "v") == [(1, 1, "y"), (2, 2, "z")]
+    assert len(frames) == 1 and "Window" not in physical(frames[0])
+
+
+def test_moved_facts_are_joined_without_the_others(spark):
+    spec = sales_queries.SALES_STAR.fact
+    values = "(1L, 5L, 1L, 1L, 7L, 'R', 1D, 1D, 1D), (2L, 6L, 1L, 1L, 7L, 'R', 1D, 1D, 1D), (3L, 5L, 1L, 1L, 8L, 'R', 1D, 1D, 1D)"
+    held = spark.sql(f"SELECT * FROM VALUES {values} AS t({', '.join(spec.schema.names)})")
+    moved = spark.sql("SELECT 7L AS edition_sk, 5L AS _old, 9L AS _new")
+    found = rebind(held, spec, "edition_sk", {"customer_sk": moved})
+    assert rows(found, "sales_sk", "customer_sk") == [(1, 9)]
+    assert "LeftOuter" not in physical(found)
