@@ -41,8 +41,15 @@ def load_facts(
     order: Sequence[str | Column],
     start: int = 0,
 ) -> DataFrame:
-    """One fact per event: resolve all keys, keep *columns*, number from ``start + 1`` in *order*."""
-    return assign_keys(resolve_keys(events, lookups), surrogate_key, order, start, columns)
+    """One fact per event: resolve all keys, keep *columns*, number from ``start + 1`` in *order*.
+
+    The *order* is one of event columns. Events are numbered before they are joined, so the pass that finds the ranges
+    repeats no join, and the joins shuffle no order columns.
+    """
+    found = {name for lookup in lookups for name in lookup.keys.columns if name not in lookup.on}
+    needed = [*(name for name in columns if name not in found), *(name for lookup in lookups for name in lookup.on)]
+    numbered = assign_keys(events, surrogate_key, order, start, list(dict.fromkeys(needed)))
+    return resolve_keys(numbered, lookups).select(surrogate_key, *columns)
 
 
 def fact_history(

@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from lodeworks.operators import scd
+from lodeworks.operators import facts, scd
 from lodeworks.operators.dedupe import keep_first, keep_first_of_few
 from lodeworks.operators.keys import assign_keys
 from lodeworks.plans import arrivals, star
@@ -134,6 +134,16 @@ def _numbered_from(monkeypatch, module):
     return frames
 
 
+def test_ordered_facts_are_numbered_before_they_are_joined(spark, monkeypatch):
+    events = spark.sql("SELECT * FROM VALUES (2, 'b', 1D), (1, 'a', 2D), (3, NULL, 3D), (4, 'z', 4D) AS t(at, name, size)")
+    keys = spark.sql("SELECT * FROM VALUES ('a', 10L), ('b', 20L) AS t(name, name_sk)")
+    frames = _numbered_from(monkeypatch, facts)
+    found = facts.load_facts(events, [facts.Lookup(keys, ("name",))], "sk", ["name_sk", "size"], ["at"], 5)
+    assert found.columns == ["sk", "name_sk", "size"]
+    assert rows(found) == [(6, 10, 2.0), (7, 20, 1.0), (8, None, 3.0), (9, None, 4.0)]
+    assert [frame.columns for frame in frames] == [["at", "name", "size"]]
+
+
 def test_the_ranges_of_overwritten_rows_are_found_without_their_windows(spark, monkeypatch):
     snapshots = spark.sql("SELECT * FROM VALUES (1, 'x', 1), (1, 'y', 2), (2, 'z', 2) AS t(k, v, edition_seq)")
     frames = _numbered_from(monkeypatch, scd)
