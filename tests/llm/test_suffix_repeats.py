@@ -2,9 +2,11 @@
 
 import hashlib
 import random
+from pathlib import Path
 
 import pytest
 
+from lodeworks.llm import suffix_repeats
 from lodeworks.llm.queries import op12_suffix_dedup
 from lodeworks.llm.suffix_repeats import ranks, remove_repeats
 
@@ -66,6 +68,41 @@ def test_odd_documents(spark, odd_documents):
     assert result(remove_repeats(frame)) == brute_force(rows, 100)
 
 
+def passages(n, seed):
+    """Documents of random words, with a passage that all share and some that a few share, each in its own surroundings."""
+    rng = random.Random(seed)
+
+    def text(words):
+        return " ".join("".join(rng.choices("abcdefgh", k=rng.randint(2, 7))) for _ in range(words))
+
+    common, shared = text(40), [text(30) for _ in range(n // 8)]
+    return [(k, text(rng.randint(0, 60)) + common[rng.randint(0, 20) :] + rng.choice(shared) + text(rng.randint(0, 60))) for k in range(n)]
+
+
+def test_runs_across_partitions(spark, monkeypatch):
+    """Runs of an order that begin and end in other partitions, or go through several, are one branch."""
+    monkeypatch.setattr(suffix_repeats, "_ORDERED", 25)
+    rows = passages(60, 3)
+    rows += [(k, rows[k % 7][1]) for k in (1, 70, 71)] + [(80, "ab" * 120), (81, "c" + "ab" * 90)]
+    frame = spark.createDataFrame(rows, SCHEMA).repartition(4)
+    assert result(remove_repeats(frame)) == brute_force(rows, 100)
+
+
+def test_rows_are_places(spark):
+    """What is staged on the way is of the input's size, as rows are a seed's, not a byte's; settings are left as they were."""
+    rows = passages(600, 4)
+    folder = Path(spark.conf.get("spark.checkpoint.dir").removeprefix("file:"))
+
+    def staged():
+        return {p: p.stat().st_size for p in folder.rglob("*.parquet")}
+
+    before, conf = staged(), spark.conf.get(suffix_repeats._CLEANUP, None)
+    frame = spark.createDataFrame(rows, SCHEMA)
+    assert result(remove_repeats(frame)) == brute_force(rows, 100)
+    assert sum(size for p, size in staged().items() if p not in before) < 3 * sum(len(t) for _, t in rows)
+    assert spark.conf.get(suffix_repeats._CLEANUP, None) == conf
+
+
 def test_empty_table(spark, no_documents):
     assert remove_repeats(no_documents).collect() == []
 
