@@ -1,6 +1,12 @@
 """Removal of repeated spans against a plain loop over all spans."""
 
-from lodeworks.llm.repeated_spans import remove_repeated_spans, sentences
+import re
+
+import numpy as np
+import pyarrow as pa
+
+from lodeworks.llm import repeated_spans
+from lodeworks.llm.repeated_spans import _cut, _hashes, _lower, remove_repeated_spans, sentences
 
 
 def brute_force(rows, run, least):
@@ -74,3 +80,64 @@ def test_odd_rows(odd_documents, no_documents):
             assert r.text == before[r.length].text
             assert r.n_removed == 0
     assert remove_repeated_spans(no_documents).collect() == []
+
+
+def plain_cut(text):
+    """Beginnings, numbers of words and words of the sentences of one text, by loops."""
+    found = [(m.start(), m.group()) for m in re.finditer(r"(?:[^\s\x1c-\x1f.!?,;:])+[.!?,;:]*|[.!?,;:]+", text)]
+    low = _lower(text)
+    words = [low[at : at + len(word)] for at, word in found]
+    value = [int(_hashes(np.array([ord(c) for c in w], np.uint64), np.array([0]), np.array([len(w)]))[0]) for w in words]
+    ends = [at + len(word) for at, word in found]
+    opens = [k for k in range(len(words)) if k == 0 or found[k - 1][1][-1] in ".!?,;:" or "\n" in text[ends[k - 1] : found[k][0]]]
+    cuts = set(opens)
+    for a, b in zip(opens, [*opens[1:], len(words)], strict=False):
+        if b - a > 12:
+            cuts |= {min(range(k, k + 10), key=value.__getitem__) for k in range(a, b - 9)}
+    edges = [*sorted(cuts), len(words)]
+    if not words:
+        return [(0, [])] if text else []
+    return [(found[a][0] if a else 0, words[a:b]) for a, b in zip(edges, edges[1:], strict=False)]
+
+
+ODD = ["", " ", "\n", "..", "a. b", "x y\n z", "ΑΣ ΑΣ. ς", "İx Kelvin K, k", "\x1c ퟿", "\U0001f600 a!b", "ends\n", " . ,"]
+
+
+def test_texts_cut_together_have_the_sentences_of_each_alone(documents):
+    words = [f"w{k * k % 7}" for k in range(90)]
+    texts = [*ODD, " ".join(words), *reversed(ODD), ", ".join(words), *(r.text for r in documents.limit(40).collect())]
+    for some in (texts, [t for t in texts if t.isascii()], ["", " ", "\n"], [""]):
+        counts, begins, sizes, hashes = _cut(some)
+        expected = [plain_cut(t) for t in some]
+        assert counts.tolist() == [len(e) for e in expected]
+        assert list(zip(begins.tolist(), sizes.tolist(), strict=True)) == [(a, len(w)) for e in expected for a, w in e]
+        keys = [tuple(w) for e in expected for _, w in e]
+        assert len(set(zip(keys, hashes.tolist(), strict=True))) == len(set(keys)) == len(set(hashes.tolist()))
+
+
+def test_short_texts_are_hashed_together(monkeypatch, spark):
+    calls = []
+    monkeypatch.setattr(repeated_spans, "_hashes", lambda *args: calls.append(1) or _hashes(*args))
+    found = repeated_spans._parts(3, 20).func(pa.array(["one two, three four, five six. " * 5, None, ""] * 200))
+    assert [len(x) for x in found.to_pylist()] == [6, 0, 0] * 200
+    assert len(calls) <= 6  # before, three for each text
+
+
+def test_text_is_hashed_once_a_document_not_once_a_span(spark, monkeypatch):
+    plans = []
+    docs = spark.createDataFrame([(1, "one two, three four, five six. " * 5)], "doc_id long, text string")
+    monkeypatch.setattr(repeated_spans, "stage", lambda df, name: plans.append(df._jdf.queryExecution().optimizedPlan().toString()) or df)
+    remove_repeated_spans(docs)
+    lines = plans[0].splitlines()
+    exploded = next(k for k, line in enumerate(lines) if "Generate" in line)
+    assert not any("xxhash64" in line for line in lines[:exploded])
+    assert any("xxhash64" in line for line in lines[exploded:])
+
+
+def test_texts_are_cut_once_a_pass(spark, monkeypatch):
+    plans = []
+    docs = spark.createDataFrame([(1, "one two, three four, five six. " * 5)], "doc_id long, text string")
+    monkeypatch.setattr(repeated_spans, "stage", lambda df, name: plans.append(df) or df)
+    plans.append(remove_repeated_spans(docs))
+    counts = [df._jdf.queryExecution().executedPlan().toString().count("ArrowEvalPython") for df in plans]
+    assert counts == [1, 3]  # without a written table, the second plan holds the first
