@@ -69,6 +69,45 @@ def test_every_constraint_holds(spark, rule):
     assert max(sum(n * n for n in x) for x in by_bin.values()) <= 4000
 
 
+def one_by_one(lengths, full, rule):
+    """What is left of the bins' capacities when items are placed one by one."""
+    bins, size = np.empty((0, 3), np.int64), np.array(full)
+    for n in sorted(lengths, reverse=True):
+        demand = np.array([n, 1, n * n])
+        fits = np.flatnonzero((bins >= demand).all(axis=1))
+        if rule == "norm":
+            score = -(((bins[fits] - demand) / size) ** 2).sum(axis=1)
+        else:
+            score = ((bins[fits] / size) * (demand / size)).sum(axis=1)
+        if len(fits):
+            bins[fits[np.argmax(score)]] -= demand
+        else:
+            bins = np.vstack([bins, size - demand])
+    return Counter(map(tuple, bins.tolist()))
+
+
+@pytest.mark.parametrize("full", [(100, 100, 10_000), (100, 6, 4_000)])
+@pytest.mark.parametrize("rule", ["norm", "dot"])
+def test_bins_are_chosen_by_all_residuals(rule, full):
+    rng = np.random.default_rng(3)
+    histogram = sorted(Counter(int(x) for x in rng.integers(1, 60, 900) ** 2 // 60 + 1).items())
+    lengths = [n for n, count in histogram for _ in range(count)]
+    plan, used = make_plan(histogram, *full, rule=rule), defaultdict(lambda: np.array(full))
+    for n, count in histogram:
+        for k in plan.places(np.full(count, n), np.arange(count))[0].tolist():
+            used[k] = used[k] - [n, 1, n * n]
+    assert Counter(tuple(x.tolist()) for x in used.values()) == one_by_one(lengths, full, rule)
+    assert len(used) == plan.sequences
+
+
+@pytest.mark.parametrize("documents, attention", [(100, 10_000), (4096, 4096 * 4096)])
+def test_capacities_that_do_not_bind_still_count(spark, documents, attention):
+    """By tokens alone the last item would go to the two of 41."""
+    items = spark.createDataFrame([(n,) for n in (81, 41, 41, 10)], "length long")
+    rows = pack(items, 100, documents, attention, weights=(1.0, 1.0, attention / 10_000)).collect()
+    assert {r.length for r in rows if r.sequence_id == next(x.sequence_id for x in rows if x.length == 10)} == {81, 10}
+
+
 def test_plan_does_not_grow_with_counts():
     histogram = [(n, 3 + n % 5) for n in range(1, 200)]
     small = make_plan(histogram, 200, 200, 40_000)
