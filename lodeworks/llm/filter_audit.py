@@ -12,8 +12,9 @@ A: under 100 words. B: distinct words under 80 percent of the words. C: over 10
 
 Scale. Texts are read once and never shuffled. What is shuffled: each word once a shard, in lists by bucket, the shards'
 numeric rows, and narrow rows of flags. A word that all documents hold is one entry a shard. Copies meet by digest, in a
-grouped minimum combined before its shuffle and in a join of written tables, which adaptive execution splits. One
-number a bucket of words and one row a part, with at most 128 counts, are all that is gathered.
+grouped minimum combined before its shuffle and in a join of written tables, which adaptive execution splits. A shard
+is a row group of its own, and Arrow batches are bounded by bytes, so a task holds few shards at once, however many
+it has. One number a bucket of words and one row a part, with at most 128 counts, are all that is gathered.
 
 Defined results. A null text is the empty one, with no words; a null lang is the empty text. Texts are equal if their
 128-bit digests are. A null doc_id is no copy, and nothing is a copy of it; rows that share doc_id and text are not
@@ -37,7 +38,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StructField, StructType
 
-from lodeworks.llm.common import small_batches, stage
+from lodeworks.llm.common import light_batches, small_batches, stage
 
 FILTERS = "ABCDE"
 SHARD_BYTES = 4 << 20  # of text, about; longer texts are shards of their own
@@ -170,7 +171,7 @@ def _numbered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     part = TaskContext.get().partitionId()
     words = rows.column("words").combine_chunks()
     coded = words.flatten().dictionary_encode()
-    slots = _lists(words.value_lengths().to_numpy(), coded.indices.cast(pa.int64()))
+    slots = _lists(words.value_lengths().to_numpy(), coded.indices)
     own = rows.column("own").combine_chunks()
     names = ["part", "shard", "own", "slots", "known"]
     numbers = pa.array(np.full(len(rows), part, np.int32))
@@ -183,15 +184,19 @@ def _numbered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     )
 
 
-def _remapped(bases: dict[int, int], batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _remapped(bases: dict[int, int], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Shards with the numbers of the whole dictionary in place of their own, one at a time."""
     for batch in batches:
-        terms = []
-        for local, pieces in zip(batch["terms"], batch["pieces"], strict=True):
-            numbers = np.zeros(sum(len(p["own"]) for p in pieces), np.int64)
-            for p in pieces:
-                numbers[np.asarray(p["own"])] = np.asarray(p["slots"]) + bases[p["part"]]
-            terms.append(numbers[local])
-        yield batch.assign(terms=terms)[["shard", "starts", "terms", "counts"]]
+        for row in (batch.slice(at, 1) for at in range(len(batch))):
+            pieces = row.column("pieces").flatten()
+            part, own, slots = (pieces.field(name) for name in ("part", "own", "slots"))
+            base = np.array([bases[p] for p in part.to_pylist()], np.int64)
+            places = own.flatten().to_numpy()
+            numbers = np.zeros(len(places), np.int64)
+            numbers[places] = slots.flatten().to_numpy() + np.repeat(base, own.value_lengths().to_numpy())
+            terms = numbers[row.column("terms").flatten().to_numpy()]
+            columns = [row.column("shard"), row.column("starts"), _one_row(pa.array(terms)), row.column("counts")]
+            yield pa.RecordBatch.from_arrays(columns, ["shard", "starts", "terms", "counts"])
 
 
 def term_matrix(docs: DataFrame, keep: dict[str, Column]) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -211,7 +216,7 @@ def term_matrix(docs: DataFrame, keep: dict[str, Column]) -> tuple[DataFrame, Da
         + [StructField(f.name, ArrayType(f.dataType)) for f in [*wanted.schema.fields[1:], *measured.fields]]
         + StructType.fromDDL("starts array<long>, terms array<int>, counts array<int>, words array<string>").fields
     )
-    local = stage(small_batches(wanted).mapInArrow(_local_shards(names), schema), "shards")
+    local = stage(light_batches(small_batches(wanted)).mapInArrow(_local_shards(names), schema), "shards", group_rows=1)
 
     total = local.agg(F.sum(F.size("words").cast("long"))).first()[0] or 0
     buckets = -(-total // BUCKET_WORDS) or 1
@@ -220,7 +225,7 @@ def term_matrix(docs: DataFrame, keep: dict[str, Column]) -> tuple[DataFrame, Da
     )
     coded = stage(
         pieces.repartitionById(buckets, "bucket").mapInArrow(
-            _numbered, "part int, shard long, own array<int>, slots array<long>, known array<string>"
+            _numbered, "part int, shard long, own array<int>, slots array<int>, known array<string>"
         ),
         "terms",
     )
@@ -238,29 +243,28 @@ def term_matrix(docs: DataFrame, keep: dict[str, Column]) -> tuple[DataFrame, Da
         coded.where("shard IS NOT NULL").groupBy("shard").agg(F.collect_list(F.struct("part", "own", "slots")).alias("pieces"))
     )
     numeric = local.select("shard", "starts", "terms", "counts").join(by_shard, "shard", "left")
-    shards = numeric.withColumn("pieces", F.coalesce("pieces", F.array())).mapInPandas(
+    shards = numeric.withColumn("pieces", F.coalesce("pieces", F.array())).mapInArrow(
         partial(_remapped, bases), "shard long, starts array<long>, terms array<long>, counts array<int>"
     )
     return dictionary, shards, local.drop("starts", "terms", "counts", "words")
 
 
-def _row_sums(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _row_sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Per shard, the sum and the number of stored entries of each row."""
     for batch in batches:
-        sums, entries = [], []
-        for starts, counts in zip(batch["starts"], batch["counts"], strict=True):
-            starts = np.asarray(starts, np.int64)
-            upto = np.concatenate([[0], np.cumsum(counts, dtype=np.int64)])
-            sums.append(upto[starts[1:]] - upto[starts[:-1]])
-            entries.append(np.diff(starts))
-        yield pd.DataFrame({"shard": batch["shard"], "n_words": sums, "n_distinct": entries})
+        for row in (batch.slice(at, 1) for at in range(len(batch))):
+            starts = row.column("starts").flatten().to_numpy()
+            upto = np.concatenate([[0], np.cumsum(row.column("counts").flatten().to_numpy(), dtype=np.int64)])
+            sums = (upto[starts[1:]] - upto[starts[:-1]], np.diff(starts))
+            columns = [row.column("shard"), *(_one_row(pa.array(x)) for x in sums)]
+            yield pa.RecordBatch.from_arrays(columns, ["shard", "n_words", "n_distinct"])
 
 
 def failures(docs: DataFrame) -> DataFrame:
     """Per document: doc_id, part, and the filters that it fails as booleans A to E."""
     keep = {"doc_id": F.col("doc_id"), "part": F.coalesce(F.col("lang"), F.lit(""))}
     _, shards, rows = term_matrix(docs, keep)
-    sums = stage(shards.mapInPandas(_row_sums, "shard long, n_words array<long>, n_distinct array<long>"), "row-sums")
+    sums = stage(shards.mapInArrow(_row_sums, "shard long, n_words array<long>, n_distinct array<long>"), "row-sums")
     names = ["doc_id", "part", *(name for name, _ in _MEASURES), "n_words", "n_distinct"]
     each = rows.join(sums, "shard").select(F.explode(F.arrays_zip(*names)).alias("row")).select("row.*")
     flags = stage(

@@ -3,9 +3,12 @@
 import itertools
 import re
 
+import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 
 from lodeworks.llm import filter_audit
+from lodeworks.llm.common import stage
 from lodeworks.llm.filter_audit import audit, failures, term_matrix
 from pyspark.sql import functions as F
 
@@ -91,6 +94,23 @@ def test_matrix_has_all_words(spark, documents, monkeypatch):
     assert seen == len(expected)
 
 
+def test_a_task_holds_few_shards(spark, documents, monkeypatch):
+    monkeypatch.setattr(filter_audit, "SHARD_BYTES", 20_000)
+    staged = {}
+    monkeypatch.setattr(filter_audit, "stage", lambda df, name, *a, **b: staged.setdefault(name, stage(df, name, *a, **b)))
+    _, shards, _ = term_matrix(documents.limit(200).coalesce(1), {"doc_id": F.col("doc_id")})
+    files = [pq.ParquetFile(path.removeprefix("file://")).metadata for path in staged["shards"].inputFiles()]
+    assert sum(f.num_rows for f in files) > 3
+    assert all(f.num_row_groups == f.num_rows for f in files)
+    batches = pa.RecordBatch.from_pylist(
+        [{"shard": k, "starts": [0, 2], "terms": [1, 0], "counts": [3, 4], "pieces": [{"part": 5, "own": [1, 0], "slots": [7, 9]}]} for k in (1, 2)]
+    )
+    out = [b.to_pylist() for b in filter_audit._remapped({5: 100}, [batches])]
+    assert out == [[{"shard": k, "starts": [0, 2], "terms": [107, 109], "counts": [3, 4]}] for k in (1, 2)]
+    assert spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch") == f"{8 << 20}b"
+    assert shards.count() == sum(f.num_rows for f in files)
+
+
 def test_empty_tables(spark, no_documents):
     labels = spark.createDataFrame([], LABELS)
     assert audit(no_documents, labels).collect() == []
