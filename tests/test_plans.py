@@ -5,11 +5,12 @@ from pyspark.sql import functions as F
 
 from __spark_entry__ import queries
 from lodeworks.operators.dedupe import dedupe_rows, keep_first
-from lodeworks.operators.facts import Lookup, resolve_keys
+from lodeworks.operators.facts import Lookup, fact_history, resolve_keys
 from lodeworks.operators.scd import as_of
 from lodeworks.plans.reports import count_by_entity
 from lodeworks.schemas import table_schema
 from lodeworks.sources.gold import Gold, Merged
+from tests.conftest import rows
 from lodeworks.sources.tables import stage
 
 
@@ -148,3 +149,23 @@ def test_the_first_delta_of_a_merged_table_is_not_shuffled(spark, tmp_path):
     gold.compact([merged])
     assert "Join" not in plan(gold.read_merged(merged)) and "Exchange" not in plan(gold.read_merged(merged))
     assert gold.read_merged(merged).count() == 1000
+
+
+def test_facts_are_joined_with_large_tables_before_they_are_numbered(spark):
+    """One after another, so that the shuffles of one join are on disk at a time; nothing is staged for broadcasts."""
+    events = spark.range(300).selectExpr("id", "id % 3 + 1 AS edition_seq", "id % 7 AS a", "CASE WHEN id % 5 > 0 THEN id % 5 END AS b")
+    lookups = [
+        Lookup(spark.range(6).selectExpr("id AS a", "id + 10 AS a_sk"), ("a",)),
+        Lookup(spark.range(20).selectExpr("id % 5 AS b", "id div 5 AS edition_seq", "id + 50 AS b_sk"), ("b", "edition_seq")),
+    ]
+    threshold, found = spark.conf.get("spark.sql.autoBroadcastJoinThreshold"), []
+    try:
+        for size in ("-1", threshold):
+            spark.conf.set("spark.sql.autoBroadcastJoinThreshold", size)
+            facts = fact_history(events, lookups, "sk", ["id", "a_sk", "b_sk"], F.xxhash64("id"))
+            found.append(rows(facts))
+            assert ("Join" in facts._jdf.queryExecution().optimizedPlan().toString()) == (size == threshold)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    assert found[0] == found[1]
+    assert sorted(r[0] for r in found[0]) == list(range(1, 301))

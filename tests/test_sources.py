@@ -1,7 +1,10 @@
+import os
+import time
 from pathlib import Path
 from urllib.parse import urlparse
 
 import pytest
+from pyspark.sql import functions as F
 
 from lodeworks.schemas import table_schema
 from lodeworks.sources.tables import (
@@ -10,6 +13,7 @@ from lodeworks.sources.tables import (
     ingest_csv,
     read_table_or_empty,
     stage,
+    stage_in_turn,
     staging_path,
     staging_root,
     write_table,
@@ -109,3 +113,37 @@ def test_staged_tables_are_freed_also_after_a_failure(spark):
     assert not any(Path(urlparse(folder).path).exists() for folder in folders)
     assert outside.count() == 3
     assert staging_path(spark, "next").startswith(f"{staging_root(spark)}/next-")
+
+
+def test_shuffle_files_go_with_their_query(spark):
+    files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    to_java = spark._jvm.scala.jdk.javaapi.CollectionConverters
+    kept = spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled")
+
+    def shuffled():
+        names = (f.getName() for f in to_java.asJava(files.getAllFiles()))
+        return {name for name in names if name.startswith("shuffle_")}
+
+    before = shuffled()
+    grouped = spark.range(1000).selectExpr("id % 10 AS k", "id").groupBy("k").agg(F.sum("id").alias("n"))
+    staged = stage(grouped, "sums")
+    until = time.time() + 20
+    while (left := shuffled() - before) and time.time() < until:
+        time.sleep(0.2)
+    assert not left
+    assert staged.count() == 10
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == kept
+
+
+def test_steps_are_staged_in_turn(spark):
+    held = []
+
+    def step(rows):
+        held.append(rows.inputFiles())
+        return rows.withColumn("id", F.col("id") + 1)
+
+    found = stage_in_turn(spark.range(5), "steps", [step, step, step])
+    assert rows(found) == [(k,) for k in range(3, 8)]
+    assert held[0] == [] and held[1] and held[2]
+    assert not any(os.path.exists(f.removeprefix("file://")) for f in held[1] + held[2])
+    assert rows(stage_in_turn(spark.range(2), "none", [])) == [(0,), (1,)]
